@@ -28,6 +28,7 @@ from ..functions import htmltree as H
 from ..functions import numbers as N
 from ..functions import text as TX
 from ..functions import urls as U
+from .parallel import spread
 
 
 class Reject(Exception):
@@ -91,7 +92,7 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
 
     src = pages.select(F.col(id_col).cast("long").alias("page_id"),
                        F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return src.mapInPandas(run, schema)
+    return spread(src).mapInPandas(run, schema)
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
