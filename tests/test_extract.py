@@ -1,0 +1,139 @@
+"""Page extraction rules on hand-made pages: selectors, positions,
+whole-record and per-item rejects."""
+
+from webcorpus.functions import htmltree as H
+from webcorpus.operators import extract as X
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+
+
+def test_tree_repairs_and_offsets():
+    src = '<div id="a"><p>one<p>two<b>bold</div><ul><li>x<li>y</ul><script>var t="</p>";</script>'
+    root = H.parse(src)
+    div = H.find(root, "div")
+    assert [p.text for p in div.elements("p")] == ["one", "two"]
+    assert [li.text for li in H.find(root, "ul").elements("li")] == ["x", "y"]
+    assert div.markup(src) == '<div id="a"><p>one<p>two<b>bold</div>'
+    assert H.first_text(H.find(root, "script")) == 'var t="</p>";'
+    assert H.parse("<h1><span>x</span>Title &amp; more</h1>").elements()[0].text is None
+    assert H.first_text(H.parse("<h1><span>x</span>Title &amp; more</h1>").elements()[0]) == "Title & more"
+
+
+NAV = ('<nav id="nav"><ul><li>first, skipped</li><li><a href="/java">Java</a></li>'
+       '<li><a href="/watchers/x">W</a></li><li><a href="https://ai.x.net/">AI</a></li>'
+       '<li><span>no link</span></li><li><a>no href</a></li><li><a href="/main">Main</a></li></ul></nav>')
+
+
+def test_nav_links(spark):
+    rows = X.nav_links(_pages(spark, [("https://blog.x.net/", NAV), ("https://blog.x.net/", "<nav><ul><li>a</li></ul></nav>")]),
+                       nav_id="nav").collect()
+    ok = [(r.pos, r.label, r.href, r.target) for r in rows if r.reject_reason is None]
+    assert ok == [(1, "Java", "/java", "https://blog.x.net/java"),
+                  (3, "AI", "https://ai.x.net/", "https://ai.x.net/"),
+                  (6, "Main", "/main", "/main")]
+    assert sorted((r.pos, r.reject_reason) for r in rows if r.reject_reason) == [(4, "missing a"), (5, "missing href")]
+
+
+def feed_item(art, user=True):
+    u = '<dl class="list_userbar"><dd class="name"><a href="/u1">n</a></dd></dl>' if user else ""
+    return (f'<li class="clearfix"><div class="list_con"><div class="title"><h2><a href="{art}">t</a></h2></div>'
+            f'{u}</div></li>')
+
+
+def test_feed_links_item_reject(spark):
+    html = '<ul class="feedlist_mod home">' + feed_item("/a1") + feed_item("/a2", False) + feed_item("/a3") + \
+           '<li class="other">skip</li></ul>'
+    rows = X.feed_links(_pages(spark, [("https://x.net/f", html)])).orderBy("pos").collect()
+    assert [(r.pos, r.article_href, r.user_href, r.reject_reason) for r in rows] == [
+        (0, "/a1", "/u1", None), (1, None, None, "missing user link"), (2, "/a3", "/u1", None)]
+
+
+def profile(name="\n\t Ann &quot;Q&quot; \n", credits="123", ranks="45", badges=('B1', 'B2'), size=20, total=45,
+            drop=None, grade="Lv3"):
+    def part(key, s):
+        return "" if drop == key else s
+    dls = "".join(f'<dl title="{v}"><dt>x</dt></dl>' for v in ("c", "f", "p", "m", "z", "v"))
+    badge_html = "".join('<div class="icon-badge"></div>' if b is None else f'<div class="icon-badge" title="{b}"></div>'
+                         for b in badges)
+    return ('<html><body><div id="asideProfile">'
+            + part("intro", f'<div class="profile-intro"><div class="user-info"><span><a><b>x</b>{name}</a></span></div></div>')
+            + part("data", f'<div class="data-info">{dls}</div>')
+            + part("grade", f'<div class="grade-box"><dl><dd><a title="{grade}"></a></dd></dl><dl></dl>'
+                            f'<dl><dd title="{credits}"></dd></dl><dl title="{ranks}"></dl></div>')
+            + f'<div class="badge-box"><div></div><div>{badge_html}</div></div>'
+            + '</div>' + "<script>1</script>" * 5
+            + part("script", f"<script>var listTotal = {total} ;var pageSize = {size} ;</script>")
+            + "</body></html>")
+
+
+def test_user_profile_records_and_rejects(spark):
+    pages = [profile(), profile(credits="18万+", ranks=" 7 "), profile(badges=("B1", None)), profile(size=0),
+             profile(drop="intro"), profile(drop="data"), profile(drop="grade"), profile(drop="script"),
+             profile(grade=""), profile(total=0), profile(total=21, badges=())]
+    df = X.user_profile(_pages(spark, [(f"https://blog.x.net/u{i}", h) for i, h in enumerate(pages)]))
+    r = {row.page_id: row for row in df.collect()}
+    assert (r[0].name, r[0].creates, r[0].visits, r[0].grade, r[0].credits, r[0].ranks, r[0].badges,
+            r[0].page_count, r[0].reject_reason) == ('Ann "Q"', "c", "v", "L", 123, 45, "B1/B2", 3, None)
+    assert (r[1].credits, r[1].ranks) == (0, 7)
+    assert r[2].reject_reason == "badge without title" and r[2].name is None
+    assert r[3].reject_reason == "page size 0"
+    assert r[4].reject_reason == "missing name"
+    assert r[5].reject_reason == "missing data-info"
+    assert r[6].reject_reason == "missing grade-box"
+    assert r[7].reject_reason == "missing page script"
+    assert r[8].reject_reason == "empty grade"
+    assert (r[9].page_count, r[9].reject_reason) == (0, None)
+    assert (r[10].page_count, r[10].badges) == (2, "")
+
+
+def article(title="<h1>Hello <b>big</b> world</h1>", rc="阅读数 12", comments=" \n ", drop=None):
+    def part(key, s):
+        return "" if drop == key else s
+    return ('<html><body><div id="mainBox"><main><div><div><div><div>'
+            + part("type", '<span class="article-type">原创</span>') + part("h1", title)
+            + '</div><div><div><span class="time">2019-11-05 10:00:00</span>'
+            + part("rc", f'<span class="read-count">{rc}</span>') + '<a>ann</a></div></div></div></div>'
+            + part("body", '<article><div><div id="content_views"><p>x &amp; y</p></div>tail</div></article>')
+            + '</div></main></div><div class="tool-box vertical"><ul><li><button><p>5</p></button></li><li></li>'
+            + f'<li><a><p>{comments}</p></a></li></ul></div></body></html>')
+
+
+def test_article_detail(spark):
+    pages = [article(), article(comments="3"), article(drop="h1"), article(rc="阅读 9"), article(rc="阅读数"),
+             article(drop="body"), article(drop="type")]
+    r = {row.page_id: row for row in X.article_detail(_pages(spark, [(f"https://x.net/a{i}", h)
+                                                                     for i, h in enumerate(pages)])).collect()}
+    assert (r[0].title, r[0].nature, r[0].create_time, r[0].read_count, r[0].user_name, r[0].praises,
+            r[0].comments, r[0].reject_reason) == ("Hello ", "原创", "2019-11-05 10:00:00", "12", "ann", "5", "0", None)
+    assert r[0].content == '<div id="content_views"><p>x &amp; y</p></div>'
+    assert r[1].comments == "3"
+    assert r[2].reject_reason == "missing h1"
+    assert r[3].reject_reason == "no read count"
+    assert (r[4].read_count, r[4].reject_reason) == ("", None)
+    assert r[5].reject_reason == "missing content_views"
+    assert r[6].reject_reason == "missing article type"
+
+
+def test_followees_lists_tables(spark):
+    fol = ('<div class="chanel_det_list"><ul><li><a href="https://me.x.net/u1">a</a></li><li>none</li>'
+           '<li><a href="https://me.x.net/meme">b</a></li></ul></div>')
+    rows = X.followee_links(_pages(spark, [("https://me.x.net/follow/u", fol)])).orderBy("pos").collect()
+    assert [(r.href, r.user_url, r.reject_reason) for r in rows] == [
+        ("https://me.x.net/u1", "https://blog.x.net/u1", None), (None, None, "missing a"),
+        ("https://me.x.net/meme", "https://blog.x.net/meme", None)]
+    lst = ('<div class="article-list"><div class="article-item-box x"><h4><a href="/d/1">t</a></h4></div>'
+           '<div class="article-item-box"><h5>no</h5></div><div class="other"><h4><a href="/d/9">t</a></h4></div></div>')
+    rows = X.article_list_links(_pages(spark, [("u", lst)])).orderBy("pos").collect()
+    assert [(r.pos, r.href, r.reject_reason) for r in rows] == [(0, "/d/1", None), (1, None, "missing h4/a")]
+    tab = ("<table><tr><th>h</th></tr><tr><td>1</td><td>1.2.3.4</td><td>80</td><td>x</td><td>y</td><td>http</td></tr>"
+           "<tr><td>2</td><td>5.6.7.8</td><td>81</td><td>x</td><td>y</td><td><b>https</b></td></tr></table>")
+    rows = X.html_table_rows(_pages(spark, [("u", tab)])).orderBy("pos").collect()
+    assert [(r.pos, r.cells[5]) for r in rows] == [(1, "http"), (2, "https")]
+
+
+def test_broken_page_is_a_reject_not_a_failure(spark):
+    rows = X.article_titles(_pages(spark, [("u", None), ("u", "<h1>t</h1>"), ("u", "<p>no title")])).collect()
+    assert sorted((r.page_id, r.title, r.reject_reason) for r in rows) == [
+        (0, None, "missing h1"), (1, "t", None), (2, None, "missing h1")]

@@ -88,7 +88,7 @@ def origin(url) -> Column:
 @F.pandas_udf(T.StringType())
 def _urljoin_udf(base: pd.Series, href: pd.Series) -> pd.Series:
     out = [None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href)]
-    return pd.Series(out, dtype=object)
+    return pd.Series(out, index=base.index, dtype=object)
 
 
 def resolve_url(base, href) -> Column:
@@ -99,9 +99,13 @@ def resolve_url(base, href) -> Column:
     segments becomes origin + href.  All other rows go to ``urljoin``.
     """
     b, h = _c(base), _c(href)
+    # Fast paths only where urljoin's re-serialisation changes nothing:
+    # lower-case scheme, no dot segments, no params, no empty '?' or '#'.
     dots = h.rlike(r"(^|/)\.\.?(/|$|\?|#)")
-    absolute = h.rlike(r"^(?i)https?://[^/?#]") & ~dots & ~h.rlike(r"\s")
-    rooted = h.rlike(r"^/([^/]|$)") & ~dots & ~h.rlike(r"\s") & b.rlike(r"^(?i)https?://[^/?#]+")
+    tail = r"(\?[^#\s]+)?(#\S+)?$"
+    absolute = h.rlike(r"^https?://[^/?#;\s]+(/[^?#;\s]*)?" + tail) & ~dots
+    rooted = (h.rlike(r"^(/|/[^/?#;\s][^?#;\s]*)" + tail) & ~dots
+              & b.rlike(r"^https?://[^/?#;\s]+([/?#]|$)"))
     slow = h.isNotNull() & b.isNotNull() & ~absolute & ~rooted
     return (F.when(h.isNull() | b.isNull(), F.lit(None).cast("string"))
             .when(absolute, h)

@@ -86,6 +86,8 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
                     emit(pid, url, None, None, str(e))
                 except Exception as e:  # a broken page must not fail the job
                     emit(pid, url, None, None, f"error {type(e).__name__}: {e}")
+            if not out["page_id"]:
+                continue  # a zero-row frame cannot be converted for struct schemas
             frame = pd.DataFrame(out, columns=cols)
             frame["pos"] = frame["pos"].astype("Int32")
             yield frame
