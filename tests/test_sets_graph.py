@@ -91,3 +91,29 @@ def test_write_then_mark_is_idempotent(spark):
     v1 = spark.createDataFrame(v1.collect(), SET)
     _, v2 = R.write_then_mark(recs.limit(1), path, v1, "blog")
     assert sorted(tuple(r) for r in v2.collect()) == [("blog", "a"), ("blog", "b")]
+
+
+def test_members_snapshot_and_edges(spark, tmp_root):
+    raw = spark.createDataFrame([("blog", bytearray("键".encode())), ("blog", bytearray(b"a")), ("user", bytearray(b"a")),
+                                 ("blog", bytearray(b"a"))], "meta string, key binary")
+    assert sorted(r.key for r in V.members(raw, "blog").collect()) == ["a", "键"]
+    path = V.snapshot(V.members(raw, "blog"), scratch_path(spark, "t_snap"), "1")
+    assert sorted(r.key for r in spark.read.parquet(path).collect()) == ["a", "键"]
+    feed = spark.createDataFrame([("L", "A", "U", None), ("L", None, None, "bad")],
+                                 "url string, article_href string, user_href string, reject_reason string")
+    prof = spark.createDataFrame([("https://b.net/u", 2, None)], "url string, page_count long, reject_reason string")
+    edges = G.link_edges(G.feed_edges(feed), G.list_page_edges(prof))
+    assert sorted(tuple(r) for r in edges.collect()) == [
+        ("L", "A", "article"), ("L", "U", "author"),
+        ("https://b.net/u", "https://b.net/u/article/list/1", "list"),
+        ("https://b.net/u", "https://b.net/u/article/list/2", "list")]
+
+
+def test_write_per_file(spark):
+    from webcorpus.operators import corpus as C
+    from webcorpus.sources import tables as S
+    df = spark.createDataFrame([("a.txt", "x\n"), ("b.txt", "y\n")], "file_name string, text string")
+    path = scratch_path(spark, "t_perfile")
+    C.write_per_file(df, path)
+    back = S.read_text_files(spark, path + "/file_name=a.txt")
+    assert [r.text for r in back.collect()] == ["x\n"]

@@ -52,3 +52,14 @@ def test_stream_extract_equals_batch(spark):
     batch = X.article_titles(spark.read.parquet(f"{SF}/pages.parquet"))
     got = spark.read.parquet(out)
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_stream_first_seen_within_watermark(spark):
+    base = scratch_path(spark, "t_stream_wm")
+    ev = _split_events(spark, base, 2)
+    s = W.read_stream(spark, f"{base}/part*/*.parquet", ev.schema, max_files_per_trigger=1)
+    keyed = s.select("ts", F.col("event_type").alias("meta"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("key"))
+    out, ck = W.new_locations(spark, "t_stream_wm_out")
+    W.run_to_table(W.stream_first_seen(keyed, "ts", "1000 days").drop("ts"), out, ck)
+    got = spark.read.parquet(out)
+    assert got.count() == got.distinct().count() == ev.select("event_type", "user_id").distinct().count()

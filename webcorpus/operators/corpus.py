@@ -60,6 +60,17 @@ def last_by_title(df: DataFrame, title_col: str = "title", content_col: str = "c
               .select(title_col, F.col("w")[order_col].alias(order_col), F.col("w")[content_col].alias(content_col)))
 
 
+def write_per_file(df: DataFrame, path: str, name_col: str = "file_name", text_col: str = "text",
+                   mode: str = "overwrite") -> None:
+    """K5: one output per input file, keyed by its name (``name=<file>``
+    folders).  Meant for folders of a modest number of files; for large
+    corpora keep ``file_name`` as a column of a parquet table instead.
+    The text writer ends every row with a newline, so one final ``\n`` is
+    taken off first: texts that end in a newline come back unchanged."""
+    body = F.regexp_replace(F.col(text_col), r"\n\z", "").alias(text_col)
+    df.select(name_col, body).repartition(name_col).write.mode(mode).partitionBy(name_col).text(path)
+
+
 def write_json_corpus(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON Lines, UTF-8 kept (no \\u escapes), written by the
     executors in parallel -- the corpus never passes through the driver."""

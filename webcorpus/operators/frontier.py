@@ -61,6 +61,40 @@ def nav_edges(nav: DataFrame) -> DataFrame:
                 F.lit("category").alias("kind"))
 
 
+def _ok(df: DataFrame) -> DataFrame:
+    return df.where(F.col("reject_reason").isNull())
+
+
+def feed_edges(feed: DataFrame) -> DataFrame:
+    """Feed page -> article and feed page -> author."""
+    ok = _ok(feed)
+    return (ok.select(F.col("url").alias("src_url"), F.col("article_href").alias("dst_url"),
+                      F.lit("article").alias("kind"))
+              .unionByName(ok.select(F.col("url").alias("src_url"), F.col("user_href").alias("dst_url"),
+                                     F.lit("author").alias("kind"))))
+
+
+def followee_edges(followees: DataFrame) -> DataFrame:
+    """Follow list -> followed author page."""
+    return _ok(followees).select(F.col("url").alias("src_url"), F.col("user_url").alias("dst_url"),
+                                 F.lit("follow").alias("kind"))
+
+
+def article_list_edges(lists: DataFrame) -> DataFrame:
+    """Article list page -> article."""
+    return _ok(lists).select(F.col("url").alias("src_url"), F.col("href").alias("dst_url"),
+                             F.lit("article").alias("kind"))
+
+
+def list_page_edges(profiles: DataFrame, include_last: bool = True) -> DataFrame:
+    """G2 + X10: author page -> each of its article list pages."""
+    from ..functions.urls import list_page_urls
+    ok = _ok(profiles)
+    return ok.select(F.col("url").alias("src_url"),
+                     F.explode(list_page_urls("url", "page_count", include_last)).alias("dst_url"),
+                     F.lit("list").alias("kind"))
+
+
 def link_edges(*parts: DataFrame) -> DataFrame:
     """Union of edge producers (category, feed, follow, list, article)."""
     out = None

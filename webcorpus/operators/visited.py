@@ -44,6 +44,24 @@ def first_seen(candidates: DataFrame, visited: DataFrame | None = None,
     return first
 
 
+def members(visited: DataFrame, meta: str) -> DataFrame:
+    """S7 + T11: the distinct members of one named set; keys stored as
+    bytes are decoded from UTF-8."""
+    k = F.col("key")
+    if dict(visited.dtypes)["key"] == "binary":
+        k = F.decode(k, "UTF-8")
+    return visited.where(F.col("meta") == meta).select("meta", k.alias("key")).distinct()
+
+
+def snapshot(visited: DataFrame, base_path: str, version: str) -> str:
+    """K7: persist the sets under a new versioned path, partitioned by set
+    name.  Readers switch to the new version only after the write has
+    succeeded, so a failed write never leaves a half-replaced set."""
+    path = f"{base_path.rstrip('/')}/version={version}"
+    visited.select(*SET_COLS).write.mode("errorifexists").partitionBy("meta").parquet(path)
+    return path
+
+
 def mark(visited: DataFrame, new_keys: DataFrame) -> DataFrame:
     """Add keys to a set (idempotent): the union, distinct on (meta, key)."""
     return visited.select(*SET_COLS).unionByName(new_keys.select(*SET_COLS)).distinct()

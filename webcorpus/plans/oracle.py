@@ -263,6 +263,13 @@ r(node, depth) USING KEY (node) AS (
   SELECT DISTINCT e.dst, r.depth + 1 FROM r JOIN e ON r.node = e.src
   WHERE NOT EXISTS (SELECT 1 FROM recurring.r AS s WHERE s.node = e.dst))
 SELECT node, CAST(depth AS INTEGER) AS depth FROM r""",
+    "crawl_articles": f"SELECT title, create_time, read_count, nature, content, praises, comments, url, user_name "
+                      f"FROM ({ARTICLE}) WHERE reject_reason IS NULL AND page_id NOT IN "
+                      "(SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')",
+    "crawl_visited": f"""SELECT 'blog' AS meta, 'u' || o_custkey || '/article/details/' || o_orderkey AS key
+FROM orders WHERE o_orderstatus = 'F'
+UNION
+SELECT 'blog', string_split(url, '.net/')[2] FROM ({ARTICLE}) WHERE reject_reason IS NULL""",
     "stream_extract": f"SELECT page_id, url, CAST(0 AS INTEGER) AS pos, "
                       f"{TITLE} AS title, "
                       "CAST(NULL AS VARCHAR) AS reject_reason FROM pages",

@@ -23,6 +23,7 @@ from ..operators import visited as V
 from ..session import apply_runtime_conf, scratch_path
 from ..sources import tables as S
 from ..streaming import stream as W
+from . import crawl as CR
 from . import render as RD
 
 
@@ -399,6 +400,32 @@ def crawl_closure(spark, sf_dir):
     return G.crawl_closure(spark, edges, seeds)
 
 
+# -- the crawl step (E1) ------------------------------------------------------
+
+def _crawl(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    seen = V.keyed(o.where(F.col("o_orderstatus") == "F")
+                    .select(RD.article_url("o_custkey", "o_orderkey").alias("url")), "url", "blog")
+    base = scratch_path(spark, "crawl")
+    paths = CR.CrawlPaths(base + "/article_info", base + "/rejects", base + "/retry")
+    visited = CR.crawl_articles(RD.article_pages(o), seen.select("meta", "key"), paths)
+    return paths, visited
+
+
+def crawl_articles(spark, sf_dir):
+    """E1 RT: article pages of orders not yet visited (the finished ones
+    are), extracted and stored; returns the stored records."""
+    paths, _ = _crawl(spark, sf_dir)
+    return spark.read.parquet(paths.articles)
+
+
+def crawl_visited(spark, sf_dir):
+    """E1 + K3 RT: the visited set after the step: old members plus the
+    keys of the records written."""
+    _, visited = _crawl(spark, sf_dir)
+    return visited
+
+
 # -- streams --------------------------------------------------------------------
 
 def stream_extract(spark, sf_dir):
@@ -479,6 +506,8 @@ QUERIES = {
     "rekey_visited": rekey_visited,
     "frontier_union": frontier_union,
     "crawl_closure": crawl_closure,
+    "crawl_articles": crawl_articles,
+    "crawl_visited": crawl_visited,
     "stream_extract": stream_extract,
     "stream_first_seen": stream_first_seen,
     "stream_left_anti": stream_left_anti,

@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     # HTML rows are large (tens of KB); smaller Arrow batches keep the
     # Python worker's memory flat when pages are parsed in mapInPandas.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    # Unbounded first-seen state lives off-heap in RocksDB, not in the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Repeated keys in `k=v; k=v` text: the last one wins, as in a dict.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }

@@ -44,9 +44,18 @@ def run_to_table(stream: DataFrame, out_path: str, checkpoint: str,
     q.awaitTermination()
 
 
-def stream_first_seen(keyed_stream: DataFrame) -> DataFrame:
+def stream_first_seen(keyed_stream: DataFrame, event_time: str | None = None,
+                      within: str | None = None) -> DataFrame:
     """First arrival of every ``(meta, key)`` across all micro-batches
-    and restarts (state store, checkpointed)."""
+    and restarts.  The seen keys live in the state store (RocksDB, see
+    ``session.DEFAULT_CONF``) and are checkpointed with the query.
+
+    Unbounded by default, as the set it replaces.  With ``event_time`` and
+    ``within`` (e.g. ``"7 days"``) a key is only remembered for that long
+    after its last arrival (``dropDuplicatesWithinWatermark``), which
+    bounds the state."""
+    if event_time and within:
+        return keyed_stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["meta", "key"])
     return keyed_stream.dropDuplicates(["meta", "key"])
 
 
