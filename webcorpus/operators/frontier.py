@@ -1,18 +1,16 @@
 """Link graph and crawl closure.
 
 ``crawl_closure`` is a breadth-first search written as a driver loop of
-DataFrame joins.  Per level: frontier x edges (join on ``src``), distinct,
-anti-join with everything seen.  The edge table is hash-partitioned on
-``src`` once and checkpointed to the shared checkpoint folder, so later
-levels shuffle only the (smaller) frontier; each level is checkpointed too,
-which cuts lineage and lets a lost executor be recovered from files
-instead of from a plan that grows with depth.  Levels are appended to a
-table in the checkpoint folder and the result is read back from there.
-The driver only sees ``isEmpty()`` per level.
+DataFrame joins over bucketed tables in the shared checkpoint folder (see
+its docstring): per level, one shuffle of the new candidates only, none of
+the edge table or of the nodes seen so far.  The driver only sees
+``isEmpty()`` per level.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,33 +23,53 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 
 
 def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
-                  max_depth: int | None = None, partitions: int | None = None) -> DataFrame:
+                  max_depth: int | None = None, buckets: int | None = None) -> DataFrame:
     """G1: every node reachable from ``seeds`` with its BFS depth.
 
     ``edges``: ``(src, dst)``; ``seeds``: ``(node)``.  Stops when a level
     adds no node, or after ``max_depth`` levels.  Returns ``(node, depth)``,
     each node once, with its smallest depth.
+
+    Storage, both in the shared checkpoint folder:
+      * edges, written once, bucketed by ``src``;
+      * seen nodes, one ``depth=<d>`` partition per level, bucketed by
+        ``node`` with the same bucket count.
+    Per level, ``frontier JOIN edges`` reads both sides bucket by bucket
+    (no shuffle of the edge table), the new nodes are made distinct (the
+    one shuffle, of the candidates only) and anti-joined with the seen
+    table, again bucket-wise.  Each level is one written job, which cuts
+    the lineage: a lost executor is recovered from files.
     """
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = (edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-              .distinct().repartition(n, "src").checkpoint())
-    seen_path = scratch_path(spark, "closure")
-    level = seeds.select(F.col("node")).where(F.col("node").isNotNull()).distinct() \
-        .withColumn("depth", F.lit(0)).checkpoint()
-    level.write.mode("overwrite").parquet(seen_path)
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        seen = spark.read.parquet(seen_path).select("node")
-        nxt = (level.join(e, level["node"] == e["src"]).select(F.col("dst").alias("node"))
-                    .distinct().join(seen, "node", "left_anti")
-                    .withColumn("depth", F.lit(depth + 1)).checkpoint())
-        if nxt.isEmpty():
-            break
-        nxt.write.mode("append").parquet(seen_path)
-        level = nxt
-        depth += 1
-    return spark.read.parquet(seen_path)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex[:12]
+    edges_t, seen_t = f"closure_edges_{tag}", f"closure_seen_{tag}"
+    base = scratch_path(spark, "closure")
+    (edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
+          .repartition(n, "src").write.bucketBy(n, "src").option("path", f"{base}/edges").saveAsTable(edges_t))
+
+    def write_level(df: DataFrame, d: int):
+        (df.select("node", F.lit(d).alias("depth")).repartition(n, "node").write.mode("append")
+           .partitionBy("depth").bucketBy(n, "node").option("path", f"{base}/seen").saveAsTable(seen_t))
+
+    try:
+        write_level(seeds.select("node").where(F.col("node").isNotNull()).distinct(), 0)
+        e = spark.table(edges_t)
+        depth = 0
+        while max_depth is None or depth < max_depth:
+            seen = spark.table(seen_t)
+            level = seen.where(F.col("depth") == depth).select("node")
+            nxt = (level.join(e, level["node"] == e["src"]).select(F.col("dst").alias("node"))
+                        .distinct().join(seen.select("node"), "node", "left_anti"))
+            write_level(nxt, depth + 1)
+            if spark.table(seen_t).where(F.col("depth") == depth + 1).isEmpty():
+                break
+            depth += 1
+        # read the levels back as plain files: the result outlives the tables
+        return spark.read.parquet(f"{base}/seen").select("node", F.col("depth").cast("int").alias("depth"))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {edges_t}")
+        spark.sql(f"DROP TABLE IF EXISTS {seen_t}")
 
 
 def nav_edges(nav: DataFrame) -> DataFrame:

@@ -17,6 +17,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what was measured: no static broadcast from file-size
+    # estimates (compressed parquet understates memory size); AQE turns a
+    # sort-merge join into a broadcast join once a side's shuffle output is
+    # known to be under the threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # HTML rows are large (tens of KB); smaller Arrow batches keep the
     # Python worker's memory flat when pages are parsed in mapInPandas.
