@@ -23,7 +23,7 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 
 
 def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
-                  max_depth: int | None = None, buckets: int | None = None) -> DataFrame:
+                  max_depth: int | None = None, buckets: int | None = None, salts: int = 16) -> DataFrame:
     """G1: every node reachable from ``seeds`` with its BFS depth.
 
     ``edges``: ``(src, dst)``; ``seeds``: ``(node)``.  Stops when a level
@@ -31,14 +31,18 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     each node once, with its smallest depth.
 
     Storage, both in the shared checkpoint folder:
-      * edges, written once, bucketed by ``src``;
+      * edges, written once, bucketed by ``(src, salt)`` where
+        ``salt = pmod(hash(dst), salts)``: the out-edges of a hub node (even
+        a third of all edges) are spread over ``salts`` buckets and tasks;
       * seen nodes, one ``depth=<d>`` partition per level, bucketed by
-        ``node`` with the same bucket count.
-    Per level, ``frontier JOIN edges`` reads both sides bucket by bucket
-    (no shuffle of the edge table), the new nodes are made distinct (the
-    one shuffle, of the candidates only) and anti-joined with the seen
-    table, again bucket-wise.  Each level is one written job, which cuts
-    the lineage: a lost executor is recovered from files.
+        ``node``.
+    Per level, the frontier is replicated once per salt (it is the small
+    side) and shuffled to the edge buckets; the edge table is read bucket
+    by bucket and never shuffled.  The new nodes are made distinct (partial
+    aggregation first, so a node reached from many places is combined
+    map-side) and anti-joined with the seen table, again bucket-wise.  Each
+    level is one written job, which cuts the lineage: a lost executor is
+    recovered from files.
     """
     checkpoint_dir(spark)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -46,7 +50,10 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     edges_t, seen_t = f"closure_edges_{tag}", f"closure_seen_{tag}"
     base = scratch_path(spark, "closure")
     (edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
-          .repartition(n, "src").write.bucketBy(n, "src").option("path", f"{base}/edges").saveAsTable(edges_t))
+          .withColumn("salt", F.pmod(F.hash("dst"), F.lit(salts)))
+          .repartition(n, "src", "salt").write.bucketBy(n, "src", "salt")
+          .option("path", f"{base}/edges").saveAsTable(edges_t))
+    salt_range = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
 
     def write_level(df: DataFrame, d: int):
         (df.select("node", F.lit(d).alias("depth")).repartition(n, "node").write.mode("append")
@@ -58,8 +65,9 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
         depth = 0
         while max_depth is None or depth < max_depth:
             seen = spark.table(seen_t)
-            level = seen.where(F.col("depth") == depth).select("node")
-            nxt = (level.join(e, level["node"] == e["src"]).select(F.col("dst").alias("node"))
+            level = seen.where(F.col("depth") == depth).select("node", salt_range.alias("salt"))
+            on = (level["node"] == e["src"]) & (level["salt"] == e["salt"])
+            nxt = (level.join(e, on).select(F.col("dst").alias("node"))
                         .distinct().join(seen.select("node"), "node", "left_anti"))
             write_level(nxt, depth + 1)
             if spark.table(seen_t).where(F.col("depth") == depth + 1).isEmpty():
