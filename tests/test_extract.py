@@ -137,3 +137,32 @@ def test_broken_page_is_a_reject_not_a_failure(spark):
     rows = X.article_titles(_pages(spark, [("u", None), ("u", "<h1>t</h1>"), ("u", "<p>no title")])).collect()
     assert sorted((r.page_id, r.title, r.reject_reason) for r in rows) == [
         (0, None, "missing h1"), (1, "t", None), (2, None, "missing h1")]
+
+
+def _dump(n):
+    out = []
+
+    def rec(x, d):
+        if isinstance(x, str):
+            out.append((d, "T", x))
+            return
+        out.append((d, x.tag, tuple(sorted(x.attrs.items())), x.start, x.end, x.inner_start, x.inner_end))
+        for c in x.children:
+            rec(c, d + 1)
+    rec(n, 0)
+    return out
+
+
+def test_fast_tokenizer_equals_stdlib_parser():
+    import random
+
+    import duckdb
+    pages = [r[0] for r in duckdb.sql("select html from '/root/testdata/sf0.001/pages.parquet'").fetchall()]
+    rnd = random.Random(11)
+    pieces = ["<", ">", " ", "\n", "a", "&amp;", "&lt", "<b>", "</b>", "<br/>", "<p>", "</p>", "<!--", "-->",
+              "<!doctype html>", "<script>", "</script>", "<li>", "<ul>", "</ul>", '<a href="x">', "</a>",
+              "<a href='y' b>", "</ x>", "</>", "<?pi>", "<![CDATA[x]]>", "<div class=c>", "</div>", "& ", "é",
+              "<td>", "<tr>", "<a/b>", "<a / x>", "<p\n>", "<x y=z/>", "<STYLE>", "</style >"]
+    fuzz = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 25))) for _ in range(3000)]
+    for src in pages + fuzz:
+        assert _dump(H.parse(src)) == _dump(H.parse_stdlib(src)), src

@@ -1,6 +1,7 @@
 """A small HTML tree for per-page extraction inside Spark tasks.
 
-Built on stdlib ``html.parser`` (tolerant, no C dependency).  It repairs
+Tokenised with ``html.parser``'s own patterns (a fast path for
+well-formed markup, the stdlib parser itself for anything else).  It repairs
 what page selectors need: void elements, implied ends of ``p``/``li``/
 ``dd``/``dt``/``tr``/``td``/``th``, stray end tags, and keeps source
 offsets so a node's markup can be sliced from the page verbatim.
@@ -9,6 +10,9 @@ Entities are decoded in text and attribute values.
 
 from __future__ import annotations
 
+import html.parser as _hp
+import re
+from html import unescape
 from html.parser import HTMLParser
 
 # HTML void elements and implied-end rules.
@@ -78,22 +82,13 @@ class Node:
         return source[self.start:self.end if self.end is not None else len(source)]
 
 
-class _Builder(HTMLParser):
+class _Tree:
+    """Builds the tree from tag events that carry source offsets."""
+
     def __init__(self, source):
-        super().__init__(convert_charrefs=True)
         self.source = source
         self.root = Node("#document", {}, None, 0, 0)
         self.stack = [self.root]
-        # line start offsets, to turn getpos() into string offsets
-        self.line_starts = [0]
-        i = source.find("\n")
-        while i >= 0:
-            self.line_starts.append(i + 1)
-            i = source.find("\n", i + 1)
-
-    def _offset(self):
-        line, col = self.getpos()
-        return self.line_starts[line - 1] + col
 
     def _close_to(self, idx, at):
         for n in self.stack[idx:]:
@@ -120,33 +115,19 @@ class _Builder(HTMLParser):
                 if t in ("div", "article", "section", "td", "th", "li", "body", "main", "nav", "button"):
                     break
 
-    def handle_starttag(self, tag, attrs):
-        at = self._offset()
-        raw = self.get_starttag_text() or ""
+    def start(self, tag, attrs, at, raw_len, self_closing=False):
         self._implied(tag, at)
         parent = self.stack[-1]
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent, at, at + len(raw))
+        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent, at, at + raw_len)
         parent.children.append(node)
-        if tag in VOID:
-            node.inner_end = node.end = at + len(raw)
+        if self_closing or tag in VOID:
+            node.inner_end = node.end = at + raw_len
         else:
             self.stack.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        at = self._offset()
-        raw = self.get_starttag_text() or ""
-        self._implied(tag, at)
-        parent = self.stack[-1]
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent, at, at + len(raw))
-        node.inner_end = node.end = at + len(raw)
-        parent.children.append(node)
-
-    def handle_endtag(self, tag):
-        at = self._offset()
+    def end(self, tag, at, end):
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                gt = self.source.find(">", at)
-                end = gt + 1 if gt >= 0 else len(self.source)
                 node = self.stack[i]
                 self._close_to(i + 1, at)
                 node.inner_end, node.end = at, end
@@ -154,21 +135,180 @@ class _Builder(HTMLParser):
                 return
         # an end tag with no open element is ignored
 
-    def handle_data(self, data):
+    def data(self, text):
+        if not text:
+            return
         parent = self.stack[-1]
         if parent.children and isinstance(parent.children[-1], str):
-            parent.children[-1] += data
+            parent.children[-1] += text
+        else:
+            parent.children.append(text)
+
+    def finish(self):
+        self._close_to(1, len(self.source))
+        return self.root
+
+
+class _StdlibDriver(HTMLParser):
+    """Feeds ``html.parser`` events to a ``_Tree`` (reference path)."""
+
+    def __init__(self, tree):
+        super().__init__(convert_charrefs=True)
+        self.tree = tree
+        src = tree.source
+        self.line_starts = [0]
+        i = src.find("\n")
+        while i >= 0:
+            self.line_starts.append(i + 1)
+            i = src.find("\n", i + 1)
+
+    def _offset(self):
+        line, col = self.getpos()
+        return self.line_starts[line - 1] + col
+
+    def handle_starttag(self, tag, attrs):
+        self.tree.start(tag, attrs, self._offset(), len(self.get_starttag_text() or ""))
+
+    def handle_startendtag(self, tag, attrs):
+        self.tree.start(tag, attrs, self._offset(), len(self.get_starttag_text() or ""), True)
+
+    def handle_endtag(self, tag):
+        at = self._offset()
+        gt = self.tree.source.find(">", at)
+        self.tree.end(tag, at, gt + 1 if gt >= 0 else len(self.tree.source))
+
+    def handle_data(self, data):
+        self.tree.data(data)
+
+
+def parse_stdlib(source: str) -> Node:
+    """Parse with ``html.parser`` (the slower reference tokenizer)."""
+    tree = _Tree(source or "")
+    d = _StdlibDriver(tree)
+    d.feed(source or "")
+    d.close()
+    return tree.finish()
+
+
+_CDATA_END = {t: re.compile(r"</\s*%s\s*>" % t, re.I) for t in ("script", "style")}
+# attribute-free tags such as <p>, </li>: same result as the general path
+_SIMPLE_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
+
+
+class _Rare(Exception):
+    """A construct the fast path leaves to ``html.parser`` (incomplete or
+    bogus markup, marked sections): the page is parsed by the stdlib."""
+
+
+def _tokenize(src: str, tree: _Tree) -> None:
+    """Tag events straight from the text, using ``html.parser``'s own
+    start-tag, attribute and end-tag patterns; ``str.find`` jumps from
+    ``<`` to ``<``.  Only well-formed constructs are handled here; any other
+    raises ``_Rare`` so the page gets the stdlib's exact treatment."""
+    n = len(src)
+    i = 0
+    while i < n:
+        j = src.find("<", i)
+        if j < 0:
+            t = src[i:]
+            tree.data(unescape(t) if "&" in t else t)
+            return
+        if j > i:
+            t = src[i:j]
+            tree.data(unescape(t) if "&" in t else t)
+        i = j
+        m = _SIMPLE_TAG.match(src, i)
+        if m is not None:
+            tag = m.group(2).lower()
+            if m.group(1):
+                tree.end(tag, i, m.end())
+                i = m.end()
+                continue
+            i = m.end()
+            tree.start(tag, (), j, i - j)
+            if tag in _CDATA_END:
+                cm = _CDATA_END[tag].search(src, i)
+                if not cm:
+                    raise _Rare()
+                tree.data(src[i:cm.start()])
+                tree.end(tag, cm.start(), cm.end())
+                i = cm.end()
+            continue
+        nxt = src[i + 1:i + 2]
+        if nxt.isascii() and nxt.isalpha():                       # start tag
+            k = _hp.locatestarttagend_tolerant.match(src, i).end()
+            c = src[k:k + 1]
+            if c == ">":
+                endpos = k + 1
+            elif src.startswith("/>", k):
+                endpos = k + 2
+            else:
+                raise _Rare()
+            tm = _hp.tagfind_tolerant.match(src, i + 1)
+            tag = tm.group(1).lower()
+            k = tm.end()
+            attrs = []
+            while k < endpos:
+                am = _hp.attrfind_tolerant.match(src, k)
+                if not am:
+                    break
+                name, rest, val = am.group(1, 2, 3)
+                if not rest:
+                    val = None
+                elif val[:1] == "'" == val[-1:] or val[:1] == '"' == val[-1:]:
+                    val = val[1:-1]
+                if val:
+                    val = unescape(val)
+                attrs.append((name.lower(), val))
+                k = am.end()
+            end = src[k:endpos].strip()
+            if end not in (">", "/>"):
+                raise _Rare()
+            closing = end.endswith("/>")
+            tree.start(tag, attrs, i, endpos - i, closing)
+            i = endpos
+            if not closing and tag in _CDATA_END:                  # raw text up to its end tag
+                cm = _CDATA_END[tag].search(src, i)
+                if not cm:
+                    raise _Rare()
+                tree.data(src[i:cm.start()])
+                tree.end(tag, cm.start(), cm.end())
+                i = cm.end()
+        elif nxt == "/":                                          # end tag
+            m = _hp.endtagfind.match(src, i)
+            if not m:
+                raise _Rare()
+            tree.end(m.group(1).lower(), i, m.end())
+            i = m.end()
+        elif src.startswith("<!--", i):                            # comment
+            cm = _hp.commentclose.search(src, i + 4)
+            if not cm:
+                raise _Rare()
+            i = cm.end()
+        elif src[i:i + 9].lower() == "<!doctype":
+            gt = src.find(">", i + 9)
+            if gt < 0:
+                raise _Rare()
+            i = gt + 1
+        elif i + 1 < n and nxt not in ("!", "?"):                  # a lone '<' is text
+            tree.data("<")
+            i += 1
         else:
-            parent.children.append(data)
+            raise _Rare()
 
 
 def parse(source: str) -> Node:
-    """Parse a page into a tree rooted at a ``#document`` node."""
-    b = _Builder(source or "")
-    b.feed(source or "")
-    b.close()
-    b._close_to(1, len(b.source))
-    return b.root
+    """Parse a page into a tree rooted at a ``#document`` node.
+
+    Same tree as ``parse_stdlib`` (the fast path falls back to it on any
+    construct it does not handle itself), at a fraction of the cost."""
+    src = source or ""
+    tree = _Tree(src)
+    try:
+        _tokenize(src, tree)
+    except _Rare:
+        return parse_stdlib(src)
+    return tree.finish()
 
 
 # -- selector helpers (XPath-like, 1-based positions) ------------------------

@@ -3,15 +3,15 @@
 ``crawl_closure`` is a breadth-first search written as a driver loop of
 DataFrame joins over bucketed tables in the shared checkpoint folder (see
 its docstring): per level, one shuffle of the new candidates only, none of
-the edge table or of the nodes seen so far.  The driver only sees
-``isEmpty()`` per level.
+the edge table or of the nodes seen so far.  The driver only sees one
+observed row count per level.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
@@ -55,9 +55,14 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
           .option("path", f"{base}/edges").saveAsTable(edges_t))
     salt_range = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
 
-    def write_level(df: DataFrame, d: int):
-        (df.select("node", F.lit(d).alias("depth")).repartition(n, "node").write.mode("append")
+    def write_level(df: DataFrame, d: int) -> int:
+        """Append one level; its row count is observed during the write
+        (no second job to test for emptiness)."""
+        obs = Observation(f"closure_level_{tag}_{d}")
+        (df.select("node", F.lit(d).alias("depth")).observe(obs, F.count(F.lit(1)).alias("rows"))
+           .repartition(n, "node").write.mode("append")
            .partitionBy("depth").bucketBy(n, "node").option("path", f"{base}/seen").saveAsTable(seen_t))
+        return obs.get["rows"]
 
     try:
         write_level(seeds.select("node").where(F.col("node").isNotNull()).distinct(), 0)
@@ -69,8 +74,7 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
             on = (level["node"] == e["src"]) & (level["salt"] == e["salt"])
             nxt = (level.join(e, on).select(F.col("dst").alias("node"))
                         .distinct().join(seen.select("node"), "node", "left_anti"))
-            write_level(nxt, depth + 1)
-            if spark.table(seen_t).where(F.col("depth") == depth + 1).isEmpty():
+            if write_level(nxt, depth + 1) == 0:
                 break
             depth += 1
         # read the levels back as plain files: the result outlives the tables
