@@ -39,7 +39,7 @@ def severity_route(records: DataFrame, level_col: str = "level", error_value: st
     records to the error sink, all others to the main sink.  ``tee_all``
     gives the reference's actual wiring, where the main sink also receives
     the error records (one extra row per error)."""
-    is_err = F.lower(F.col(level_col)) == error_value
+    is_err = F.coalesce(F.col(level_col).rlike("(?i)^\\Q" + error_value + "\\E$"), F.lit(False))
     routed = records.withColumn("sink", F.when(is_err, F.lit("error")).otherwise(F.lit("main")))
     if tee_all:
         routed = routed.unionByName(records.where(is_err).withColumn("sink", F.lit("main")))

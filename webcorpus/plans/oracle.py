@@ -276,5 +276,5 @@ SELECT 'blog', string_split(url, '.net/')[2] FROM ({ARTICLE}) WHERE reject_reaso
     "stream_first_seen": "SELECT DISTINCT event_type AS meta, 'u' || user_id AS key FROM events",
     "stream_left_anti": """SELECT event_id, user_id, event_type AS level,
   CASE WHEN lower(event_type) = 'error' THEN 'error' ELSE 'main' END AS sink
-FROM events e WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = e.user_id)""",
+FROM events e WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_mktsegment = 'BUILDING' AND c.c_custkey = e.user_id)""",
 }

@@ -449,12 +449,13 @@ def stream_first_seen(spark, sf_dir):
 
 
 def stream_left_anti(spark, sf_dir):
-    """W3 + W5: events of users with no stored order, routed to two sinks
-    in one micro-batch function."""
+    """W3 + W5: events of users not yet stored (the stored side: customers
+    of one market segment), routed to two sinks in one micro-batch function."""
     apply_runtime_conf(spark)
     schema = _t(spark, sf_dir, "events").schema
     s = W.read_stream(spark, f"{sf_dir}/events*.parquet", schema)
-    stored = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"))
+    stored = _t(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING") \
+        .select(F.col("c_custkey").alias("user_id"))
     fresh = W.stream_left_anti(s.select("event_id", "user_id", F.col("event_type").alias("level")), stored, ["user_id"])
     out, ck = W.new_locations(spark, "stream_left_anti")
     W.run_to_table(fresh, out, ck, batch_fn=lambda b, _: R.severity_route(b))
