@@ -59,8 +59,10 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
         """Append one level; its row count is observed during the write
         (no second job to test for emptiness)."""
         obs = Observation(f"closure_level_{tag}_{d}")
+        # already hash-partitioned on node by the distinct/anti join: the
+        # bucketed writer needs no extra shuffle
         (df.select("node", F.lit(d).alias("depth")).observe(obs, F.count(F.lit(1)).alias("rows"))
-           .repartition(n, "node").write.mode("append")
+           .write.mode("append")
            .partitionBy("depth").bucketBy(n, "node").option("path", f"{base}/seen").saveAsTable(seen_t))
         return obs.get["rows"]
 
