@@ -63,3 +63,32 @@ def test_stream_first_seen_within_watermark(spark):
     W.run_to_table(W.stream_first_seen(keyed, "ts", "1000 days").drop("ts"), out, ck)
     got = spark.read.parquet(out)
     assert got.count() == got.distinct().count() == ev.select("event_type", "user_id").distinct().count()
+
+
+def test_crawl_stream_restart_processes_only_new_pages(spark):
+    from webcorpus.plans import crawl as CR
+    from webcorpus.plans import render as RD
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    pages = RD.article_pages(orders)
+    src = scratch_path(spark, "t_crawl_src")
+    pages.where(F.col("page_id") % 2 == 0).coalesce(1).write.parquet(f"{src}/a")
+    base = scratch_path(spark, "t_crawl")
+    paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
+    ck, vpath = base + "/ck", base + "/visited"
+    CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, ck, vpath)
+    first = spark.read.parquet(paths.articles).count()
+    # new pages arrive (including every old one again): only unseen keys are processed
+    pages.coalesce(1).write.parquet(f"{src}/b")
+    CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, ck, vpath)
+    stored = spark.read.parquet(paths.articles)
+    batch_ok = X.article_detail(pages).where("reject_reason IS NULL")
+    assert stored.count() == batch_ok.count() > first
+    assert stored.select("url").distinct().count() == stored.count()   # no page stored twice
+    assert spark.read.parquet(vpath).count() == stored.count()
+    # a rejected page is never marked visited, so it is tried again when it arrives again
+    rejects = spark.read.parquet(paths.rejects)
+    bad_all = X.article_detail(pages).where("reject_reason IS NOT NULL")
+    bad_even = bad_all.where(F.col("page_id") % 2 == 0)
+    assert rejects.count() == bad_all.count() + bad_even.count()
+    assert rejects.select("url").distinct().count() == bad_all.count()

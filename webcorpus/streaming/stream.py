@@ -55,6 +55,9 @@ def stream_first_seen(keyed_stream: DataFrame, event_time: str | None = None,
     after its last arrival (``dropDuplicatesWithinWatermark``), which
     bounds the state."""
     if event_time and within:
+        if dict(keyed_stream.dtypes)[event_time] == "timestamp_ntz":
+            # watermarks need TIMESTAMP; wall-clock values are read in the session zone (UTC)
+            keyed_stream = keyed_stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
         return keyed_stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["meta", "key"])
     return keyed_stream.dropDuplicates(["meta", "key"])
 
