@@ -34,10 +34,15 @@ class CrawlPaths:
     retry: str      # challenged pages to fetch again (append)
 
 
-def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPaths,
+def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPaths, batch_id: str,
                    marker: str = R.CHALLENGE_MARKER, max_attempts: int = 3, meta: str = "blog") -> DataFrame:
-    """Process one batch of fetched article pages; returns the new
-    visited set (old members plus the keys of the records written)."""
+    """Process one batch of fetched article pages.
+
+    Records go to partition ``batch=<batch_id>`` of the article table;
+    the keys to mark are read back from that partition only (partition
+    pruning), so the cost is that of the batch, not of everything stored.
+    Returns the *new* visited keys (K3: only keys whose record is stored).
+    """
     routed = R.challenge_split(pages, marker, max_attempts)
     routed.where(F.col("route") == "retry").select("page_id", "url", F.col("next_attempt").alias("attempt")) \
         .write.mode("append").parquet(paths.retry)
@@ -50,31 +55,32 @@ def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPath
     extracted = X.article_detail(fresh.select("page_id", "url", "html")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ok, _ = X.split_rejects(extracted)
-        ok.select(*X.ARTICLE_COLUMNS).to(ARTICLE_SCHEMA).write.mode("append").parquet(paths.articles)
+        (ok.select(*X.ARTICLE_COLUMNS).to(ARTICLE_SCHEMA).withColumn("batch", F.lit(batch_id))
+           .write.mode("append").partitionBy("batch").parquet(paths.articles))
         R.rejects_table(extracted, "article").unionByName(challenged_out) \
             .write.mode("append").parquet(paths.rejects)
     finally:
         extracted.unpersist()
-    stored = pages.sparkSession.read.parquet(paths.articles)
-    written = V.keyed(stored.select("url"), "url", meta).select(*V.SET_COLS).distinct()
-    return written if visited is None else V.mark(visited, written)
+    stored_now = pages.sparkSession.read.parquet(paths.articles).where(F.col("batch") == batch_id)
+    return V.keyed(stored_now.select("url"), "url", meta).select(*V.SET_COLS).distinct()
 
 
 def crawl_articles_stream(spark: SparkSession, page_stream: DataFrame, paths: CrawlPaths,
-                          checkpoint: str, visited_path: str, meta: str = "blog") -> None:
+                          checkpoint: str, visited_path: str, meta: str = "blog",
+                          trigger: dict | None = None) -> None:
     """The same step per micro-batch.  The visited set is read fresh
-    from its table at every batch (stream-static join on current data) and
-    written back as a new version once the batch's records are stored."""
+    at every batch (stream-static anti join on current data); the batch's
+    new keys are appended to it once its records are stored -- the set is
+    never rewritten, so a batch costs the batch plus one read of the set.
+    A replayed epoch writes the same ``batch`` partition again."""
     def step(batch: DataFrame, epoch: int):
         try:
-            visited = spark.read.parquet(visited_path)
-        except Exception:
+            visited = spark.read.parquet(visited_path).select(*V.SET_COLS)
+        except Exception:  # no set yet: first batch
             visited = None
-        new = crawl_articles(batch, visited, paths, meta=meta)
-        new.write.mode("overwrite").parquet(f"{visited_path}.next")
-        spark.read.parquet(f"{visited_path}.next").write.mode("overwrite").parquet(visited_path)
-
-    q = (page_stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-                    .trigger(availableNow=True).start())
-    q.awaitTermination()
+        new = crawl_articles(batch, visited, paths, batch_id=str(epoch), meta=meta)
+        new.withColumn("batch", F.lit(str(epoch))).write.mode("append").partitionBy("batch").parquet(visited_path)
 
+    w = page_stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
+    w.start().awaitTermination()

@@ -68,7 +68,8 @@ def wholetext_scan(spark, sf_dir):
     row per file (file name + whole text)."""
     docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, "text_files")
-    docs.repartition(8, "doc_id").select("text").write.mode("overwrite").text(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs.repartition(n, "doc_id").select("text").write.mode("overwrite").text(path)
     return S.read_text_files(spark, path)
 
 
@@ -408,15 +409,16 @@ def _crawl(spark, sf_dir):
                     .select(RD.article_url("o_custkey", "o_orderkey").alias("url")), "url", "blog")
     base = scratch_path(spark, "crawl")
     paths = CR.CrawlPaths(base + "/article_info", base + "/rejects", base + "/retry")
-    visited = CR.crawl_articles(RD.article_pages(o), seen.select("meta", "key"), paths)
-    return paths, visited
+    seen = seen.select("meta", "key")
+    new = CR.crawl_articles(RD.article_pages(o), seen, paths, batch_id="0")
+    return paths, V.mark(seen, new)
 
 
 def crawl_articles(spark, sf_dir):
     """E1 RT: article pages of orders not yet visited (the finished ones
     are), extracted and stored; returns the stored records."""
     paths, _ = _crawl(spark, sf_dir)
-    return spark.read.parquet(paths.articles)
+    return spark.read.parquet(paths.articles).drop("batch")
 
 
 def crawl_visited(spark, sf_dir):
