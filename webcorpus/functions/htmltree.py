@@ -116,9 +116,11 @@ class _Tree:
                     break
 
     def start(self, tag, attrs, at, raw_len, self_closing=False):
-        self._implied(tag, at)
+        """``attrs``: a dict of name -> value ("" when the value is missing)."""
+        if tag in IMPLIED_END or tag in BLOCK_CLOSES_P:
+            self._implied(tag, at)
         parent = self.stack[-1]
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent, at, at + raw_len)
+        node = Node(tag, attrs, parent, at, at + raw_len)
         parent.children.append(node)
         if self_closing or tag in VOID:
             node.inner_end = node.end = at + raw_len
@@ -149,6 +151,10 @@ class _Tree:
         return self.root
 
 
+def _as_dict(attrs):
+    return {k: (v if v is not None else "") for k, v in attrs}
+
+
 class _StdlibDriver(HTMLParser):
     """Feeds ``html.parser`` events to a ``_Tree`` (reference path)."""
 
@@ -167,10 +173,10 @@ class _StdlibDriver(HTMLParser):
         return self.line_starts[line - 1] + col
 
     def handle_starttag(self, tag, attrs):
-        self.tree.start(tag, attrs, self._offset(), len(self.get_starttag_text() or ""))
+        self.tree.start(tag, _as_dict(attrs), self._offset(), len(self.get_starttag_text() or ""))
 
     def handle_startendtag(self, tag, attrs):
-        self.tree.start(tag, attrs, self._offset(), len(self.get_starttag_text() or ""), True)
+        self.tree.start(tag, _as_dict(attrs), self._offset(), len(self.get_starttag_text() or ""), True)
 
     def handle_endtag(self, tag):
         at = self._offset()
@@ -191,8 +197,6 @@ def parse_stdlib(source: str) -> Node:
 
 
 _CDATA_END = {t: re.compile(r"</\s*%s\s*>" % t, re.I) for t in ("script", "style")}
-# attribute-free tags such as <p>, </li>: same result as the general path
-_SIMPLE_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
 
 
 class _Rare(Exception):
@@ -200,101 +204,134 @@ class _Rare(Exception):
     bogus markup, marked sections): the page is parsed by the stdlib."""
 
 
+# The common case in one C-level match: text, or a tag with a plain name
+# and space-separated standard attributes.  Anything else ('<!', '<?', odd
+# names or attribute syntax) matches the last alternative and is handled
+# by ``_construct``.
+_MASTER = re.compile(r"""
+    ([^<]+)                                                     # 1 text
+  | <(/?)([a-zA-Z][a-zA-Z0-9]*)                                 # 2 end mark, 3 name
+     ((?:\s+[a-zA-Z_:][-a-zA-Z0-9_:.]*
+        (?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+))?)*)        # 4 attributes
+     \s*(/?)>                                                   # 5 self-closing mark
+  | (<)                                                         # 6 anything else
+""", re.X)
+_ATTR = re.compile(r"""([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+
+
 def _tokenize(src: str, tree: _Tree) -> None:
-    """Tag events straight from the text, using ``html.parser``'s own
-    start-tag, attribute and end-tag patterns; ``str.find`` jumps from
-    ``<`` to ``<``.  Only well-formed constructs are handled here; any other
-    raises ``_Rare`` so the page gets the stdlib's exact treatment."""
+    """Tag events straight from the text.  Well-formed constructs are
+    handled here with ``html.parser``'s own semantics; any other raises
+    ``_Rare`` so the page gets the stdlib's exact treatment."""
     n = len(src)
-    i = 0
-    while i < n:
-        j = src.find("<", i)
-        if j < 0:
-            t = src[i:]
-            tree.data(unescape(t) if "&" in t else t)
-            return
-        if j > i:
-            t = src[i:j]
-            tree.data(unescape(t) if "&" in t else t)
-        i = j
-        m = _SIMPLE_TAG.match(src, i)
-        if m is not None:
-            tag = m.group(2).lower()
-            if m.group(1):
-                tree.end(tag, i, m.end())
-                i = m.end()
+    pos = 0
+    data, start, end = tree.data, tree.start, tree.end
+    while pos < n:
+        restart = None
+        for m in _MASTER.finditer(src, pos):
+            text, endmark, name, blob, slash, other = m.groups()
+            if text is not None:
+                data(unescape(text) if "&" in text else text)
                 continue
-            i = m.end()
-            tree.start(tag, (), j, i - j)
-            if tag in _CDATA_END:
-                cm = _CDATA_END[tag].search(src, i)
-                if not cm:
-                    raise _Rare()
-                tree.data(src[i:cm.start()])
-                tree.end(tag, cm.start(), cm.end())
-                i = cm.end()
-            continue
-        nxt = src[i + 1:i + 2]
-        if nxt.isascii() and nxt.isalpha():                       # start tag
-            k = _hp.locatestarttagend_tolerant.match(src, i).end()
-            c = src[k:k + 1]
-            if c == ">":
-                endpos = k + 1
-            elif src.startswith("/>", k):
-                endpos = k + 2
-            else:
-                raise _Rare()
-            tm = _hp.tagfind_tolerant.match(src, i + 1)
-            tag = tm.group(1).lower()
-            k = tm.end()
-            attrs = []
-            while k < endpos:
-                am = _hp.attrfind_tolerant.match(src, k)
-                if not am:
+            if other is not None:
+                restart = _construct(src, m.start(), tree)
+                break
+            name = name.lower()
+            if endmark:                                          # end tag
+                if blob or slash:
+                    restart = _construct(src, m.start(), tree)
                     break
-                name, rest, val = am.group(1, 2, 3)
-                if not rest:
-                    val = None
-                elif val[:1] == "'" == val[-1:] or val[:1] == '"' == val[-1:]:
-                    val = val[1:-1]
-                if val:
-                    val = unescape(val)
-                attrs.append((name.lower(), val))
-                k = am.end()
-            end = src[k:endpos].strip()
-            if end not in (">", "/>"):
-                raise _Rare()
-            closing = end.endswith("/>")
-            tree.start(tag, attrs, i, endpos - i, closing)
-            i = endpos
-            if not closing and tag in _CDATA_END:                  # raw text up to its end tag
-                cm = _CDATA_END[tag].search(src, i)
+                end(name, m.start(), m.end())
+                continue
+            at = m.start()
+            start(name, _std_attrs(blob) if blob else {}, at, m.end() - at, bool(slash))
+            if not slash and name in _CDATA_END:                 # raw text up to its end tag
+                cm = _CDATA_END[name].search(src, m.end())
                 if not cm:
                     raise _Rare()
-                tree.data(src[i:cm.start()])
-                tree.end(tag, cm.start(), cm.end())
-                i = cm.end()
-        elif nxt == "/":                                          # end tag
-            m = _hp.endtagfind.match(src, i)
-            if not m:
-                raise _Rare()
-            tree.end(m.group(1).lower(), i, m.end())
-            i = m.end()
-        elif src.startswith("<!--", i):                            # comment
-            cm = _hp.commentclose.search(src, i + 4)
+                data(src[m.end():cm.start()])
+                end(name, cm.start(), cm.end())
+                restart = cm.end()
+                break
+        else:
+            return
+        pos = restart
+
+
+def _std_attrs(blob):
+    """Attributes of a standard-form tag as ``html.parser`` reports them
+    (lower-case names, quotes removed, entities decoded).  A missing value
+    and an empty one are the same ``""`` in the tree."""
+    out = {}
+    for name, dq, sq, bare in _ATTR.findall(blob):
+        v = dq or sq or bare
+        out[name.lower()] = unescape(v) if "&" in v else v
+    return out
+
+
+def _construct(src: str, i: int, tree: _Tree) -> int:
+    """One construct at ``src[i] == '<'`` that the master pattern left
+    alone; returns the position after it."""
+    n = len(src)
+    nxt = src[i + 1:i + 2]
+    if nxt.isascii() and nxt.isalpha():                           # start tag, general form
+        k = _hp.locatestarttagend_tolerant.match(src, i).end()
+        if src[k:k + 1] == ">":
+            endpos = k + 1
+        elif src.startswith("/>", k):
+            endpos = k + 2
+        else:
+            raise _Rare()
+        tm = _hp.tagfind_tolerant.match(src, i + 1)
+        tag = tm.group(1).lower()
+        k = tm.end()
+        attrs = []
+        while k < endpos:
+            am = _hp.attrfind_tolerant.match(src, k)
+            if not am:
+                break
+            name, rest, val = am.group(1, 2, 3)
+            if not rest:
+                val = None
+            elif val[:1] == "'" == val[-1:] or val[:1] == '"' == val[-1:]:
+                val = val[1:-1]
+            if val:
+                val = unescape(val)
+            attrs.append((name.lower(), val))
+            k = am.end()
+        end = src[k:endpos].strip()
+        if end not in (">", "/>"):
+            raise _Rare()
+        closing = end.endswith("/>")
+        tree.start(tag, _as_dict(attrs), i, endpos - i, closing)
+        if not closing and tag in _CDATA_END:
+            cm = _CDATA_END[tag].search(src, endpos)
             if not cm:
                 raise _Rare()
-            i = cm.end()
-        elif src[i:i + 9].lower() == "<!doctype":
-            gt = src.find(">", i + 9)
-            if gt < 0:
-                raise _Rare()
-            i = gt + 1
-        elif i + 1 < n and nxt not in ("!", "?"):                  # a lone '<' is text
-            tree.data("<")
-            i += 1
-        else:
+            tree.data(src[endpos:cm.start()])
+            tree.end(tag, cm.start(), cm.end())
+            return cm.end()
+        return endpos
+    if nxt == "/":                                                # end tag, general form
+        m = _hp.endtagfind.match(src, i)
+        if not m:
+            raise _Rare()
+        tree.end(m.group(1).lower(), i, m.end())
+        return m.end()
+    if src.startswith("<!--", i):                                 # comment
+        cm = _hp.commentclose.search(src, i + 4)
+        if not cm:
+            raise _Rare()
+        return cm.end()
+    if src[i:i + 9].lower() == "<!doctype":
+        gt = src.find(">", i + 9)
+        if gt < 0:
             raise _Rare()
+        return gt + 1
+    if i + 1 < n and nxt not in ("!", "?"):                       # a lone '<' is text
+        tree.data("<")
+        return i + 1
+    raise _Rare()
 
 
 def parse(source: str) -> Node:
