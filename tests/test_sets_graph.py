@@ -117,3 +117,11 @@ def test_write_per_file(spark):
     C.write_per_file(df, path)
     back = S.read_text_files(spark, path + "/file_name=a.txt")
     assert [r.text for r in back.collect()] == ["x\n"]
+
+
+def test_write_sinks_one_pass(spark):
+    ev = spark.createDataFrame([(1, "error"), (2, "view"), (3, "click")], "id int, level string")
+    path = scratch_path(spark, "t_sinks")
+    R.write_sinks(R.severity_route(ev), path)
+    assert sorted(r.id for r in spark.read.parquet(path + "/sink=error").collect()) == [1]
+    assert sorted(r.id for r in spark.read.parquet(path + "/sink=main").collect()) == [2, 3]

@@ -46,6 +46,12 @@ def severity_route(records: DataFrame, level_col: str = "level", error_value: st
     return routed
 
 
+def write_sinks(routed: DataFrame, path: str, mode: str = "append") -> None:
+    """Every sink in one pass -- ``sink=<name>`` folders under
+    ``path`` (the error log and the main log are read from their folders)."""
+    routed.write.mode(mode).partitionBy("sink").parquet(path)
+
+
 def write_then_mark(records: DataFrame, table_path: str, visited: DataFrame | None,
                     meta: str, url_col: str = "url", mode: str = "append"):
     """K3: write the records, then mark as visited the keys of the rows the

@@ -188,6 +188,14 @@ SELECT doc_id, sent_no, regexp_replace(regexp_replace(sentence, '[ \\t\\r\\n]+',
     "nav_links": f"WITH {NAV_CTE} SELECT page_id, url, pos, label, href, CAST(NULL AS VARCHAR) AS reject_reason, "
                  "target FROM navl",
     "link_edges": f"WITH {NAV_CTE} SELECT url AS src_url, target AS dst_url, 'category' AS kind FROM navl",
+    "site_link_edges": f"""WITH ok AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderkey % 9 <> 0),
+prof AS (SELECT url, page_count FROM ({PROFILE}) WHERE reject_reason IS NULL),
+pl AS (SELECT url, unnest(range(1, page_count + 1)) AS i FROM prof)
+SELECT '{BLOG}/list/' || (k // 20) AS src_url, '{BLOG}/u' || c || '/article/details/' || k AS dst_url, 'article' AS kind FROM ok
+UNION ALL SELECT '{BLOG}/list/' || (k // 20), '{BLOG}/u' || c, 'author' FROM ok
+UNION ALL SELECT '{BLOG}/list/' || (k // 20), '{BLOG}/u' || c, 'follow' FROM ok
+UNION ALL SELECT '{BLOG}/list/' || (k // 20), '{BLOG}/u' || c || '/article/details/' || k, 'article' FROM ok
+UNION ALL SELECT url, url || '/article/list/' || i, 'list' FROM pl""",
     "article_titles": f"SELECT page_id, url, CAST(0 AS INTEGER) AS pos, "
                       f"{TITLE} AS title, "
                       "CAST(NULL AS VARCHAR) AS reject_reason FROM pages",

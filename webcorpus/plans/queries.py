@@ -168,6 +168,17 @@ def link_edges(spark, sf_dir):
     return G.nav_edges(X.nav_links(_t(spark, sf_dir, "pages"), nav_id=None))
 
 
+def site_link_edges(spark, sf_dir):
+    """G2 RT: the whole edge table of a crawl -- feed, follow, article-list
+    and list-page edges from pages rendered from orders and customers."""
+    o = _t(spark, sf_dir, "orders")
+    return G.link_edges(
+        G.feed_edges(X.feed_links(RD.feed_pages(o))),
+        G.followee_edges(X.followee_links(RD.followee_pages(o))),
+        G.article_list_edges(X.article_list_links(RD.article_list_pages(o))),
+        G.list_page_edges(X.user_profile(RD.profile_pages(_t(spark, sf_dir, "customer")))))
+
+
 def article_titles(spark, sf_dir):
     """X7 title rule on the driver pages."""
     return X.article_titles(_t(spark, sf_dir, "pages"))
@@ -460,8 +471,8 @@ def stream_left_anti(spark, sf_dir):
         .select(F.col("c_custkey").alias("user_id"))
     fresh = W.stream_left_anti(s.select("event_id", "user_id", F.col("event_type").alias("level")), stored, ["user_id"])
     out, ck = W.new_locations(spark, "stream_left_anti")
-    W.run_to_table(fresh, out, ck, batch_fn=lambda b, _: R.severity_route(b))
-    return spark.read.parquet(out)
+    W.run_to_table(fresh, out, ck, batch_fn=lambda b, _: R.severity_route(b), partition_by=["sink"])
+    return spark.read.parquet(out).select("event_id", "user_id", "level", "sink")
 
 
 QUERIES = {
@@ -482,6 +493,7 @@ QUERIES = {
     "char_tokens": char_tokens,
     "nav_links": nav_links,
     "link_edges": link_edges,
+    "site_link_edges": site_link_edges,
     "article_titles": article_titles,
     "feed_links": feed_links,
     "user_profile": user_profile,

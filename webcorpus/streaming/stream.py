@@ -29,19 +29,26 @@ def read_stream(spark: SparkSession, path_glob: str, schema: T.StructType,
 
 def run_to_table(stream: DataFrame, out_path: str, checkpoint: str,
                  batch_fn: Callable[[DataFrame, int], DataFrame] | None = None,
-                 output_mode: str = "append") -> None:
-    """Process everything available now into a parquet table.
-
-    ``batch_fn`` may transform each micro-batch (e.g. write two sinks);
-    the write per batch is an append, so a replayed batch after a crash is
-    deduplicated by the checkpointed offsets."""
+                 output_mode: str = "append", partition_by: list[str] | None = None,
+                 trigger: dict | None = None) -> None:
+    """Process the stream into a parquet table.
+
+    ``batch_fn`` may transform each micro-batch; with ``partition_by``
+    (e.g. ``["sink"]``) one write fills several sinks, one folder each.
+    Progress is in the checkpoint, so a restart resumes after the last
+    committed batch.  ``trigger`` defaults to ``availableNow`` (process
+    what is there, then stop); pass e.g. ``{"processingTime": "1 minute"}``
+    for a long-running query."""
     def sink(batch: DataFrame, epoch: int):
         out = batch_fn(batch, epoch) if batch_fn else batch
-        out.write.mode("append").parquet(out_path)
-
-    q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
-               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+        w = out.write.mode("append")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(out_path)
+
+    w = stream.writeStream.foreachBatch(sink).outputMode(output_mode).option("checkpointLocation", checkpoint)
+    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
+    w.start().awaitTermination()
 
 
 def stream_first_seen(keyed_stream: DataFrame, event_time: str | None = None,
