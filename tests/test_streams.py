@@ -34,12 +34,12 @@ def test_stream_first_seen_batches_and_restart(spark):
     # first run sees two of the four folders, one file per micro-batch
     s1 = W.read_stream(spark, f"{base}/part[01]/*.parquet", schema, max_files_per_trigger=1)
     W.run_to_table(W.stream_first_seen(keyed(s1)), out, ck)
-    first = spark.read.parquet(out).count()
+    first = spark.read.parquet(out).drop("batch_id").count()
     # restart on the same checkpoint over all folders: old files are not re-read
     s2 = W.read_stream(spark, f"{base}/part[01]/*.parquet", schema, max_files_per_trigger=1)
     W.run_to_table(W.stream_first_seen(keyed(s2)), out, ck)
-    assert spark.read.parquet(out).count() == first
-    got = spark.read.parquet(out)
+    assert spark.read.parquet(out).drop("batch_id").count() == first
+    got = spark.read.parquet(out).drop("batch_id")
     assert got.count() == got.distinct().count()
     expect = keyed(ev.where(F.col("event_id") % 4 < 2)).distinct()
     assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
@@ -50,7 +50,7 @@ def test_stream_extract_equals_batch(spark):
     out, ck = W.new_locations(spark, "t_stream_x")
     W.run_to_table(X.article_titles(s), out, ck)
     batch = X.article_titles(spark.read.parquet(f"{SF}/pages.parquet"))
-    got = spark.read.parquet(out)
+    got = spark.read.parquet(out).drop("batch_id")
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
 
@@ -61,7 +61,7 @@ def test_stream_first_seen_within_watermark(spark):
     keyed = s.select("ts", F.col("event_type").alias("meta"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("key"))
     out, ck = W.new_locations(spark, "t_stream_wm_out")
     W.run_to_table(W.stream_first_seen(keyed, "ts", "1000 days").drop("ts"), out, ck)
-    got = spark.read.parquet(out)
+    got = spark.read.parquet(out).drop("batch_id")
     assert got.count() == got.distinct().count() == ev.select("event_type", "user_id").distinct().count()
 
 
@@ -92,3 +92,16 @@ def test_crawl_stream_restart_processes_only_new_pages(spark):
     bad_even = bad_all.where(F.col("page_id") % 2 == 0)
     assert rejects.count() == bad_all.count() + bad_even.count()
     assert rejects.select("url").distinct().count() == bad_all.count()
+
+
+def test_replayed_batch_is_not_doubled(spark):
+    from webcorpus.plans import crawl as CR
+    from webcorpus.plans import render as RD
+
+    pages = RD.article_pages(spark.read.parquet(f"{SF}/orders.parquet"))
+    base = scratch_path(spark, "t_replay")
+    paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
+    CR.crawl_articles(pages, None, paths, batch_id="7")
+    once = (spark.read.parquet(paths.articles).count(), spark.read.parquet(paths.rejects).count())
+    CR.crawl_articles(pages, None, paths, batch_id="7")       # the same epoch again, as after a restart
+    assert (spark.read.parquet(paths.articles).count(), spark.read.parquet(paths.rejects).count()) == once

@@ -38,14 +38,16 @@ def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPath
                    marker: str = R.CHALLENGE_MARKER, max_attempts: int = 3, meta: str = "blog") -> DataFrame:
     """Process one batch of fetched article pages.
 
-    Records go to partition ``batch=<batch_id>`` of the article table;
+    Records, rejects and retries go to partition ``batch=<batch_id>`` of
+    their tables (dynamic overwrite: re-running a batch replaces it);
     the keys to mark are read back from that partition only (partition
     pruning), so the cost is that of the batch, not of everything stored.
     Returns the *new* visited keys (K3: only keys whose record is stored).
     """
     routed = R.challenge_split(pages, marker, max_attempts)
     routed.where(F.col("route") == "retry").select("page_id", "url", F.col("next_attempt").alias("attempt")) \
-        .write.mode("append").parquet(paths.retry)
+        .withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("batch").parquet(paths.retry)
     challenged_out = routed.where(F.col("route") == "reject").select(
         "url", F.lit("fetch").alias("stage"), F.lit("challenge page").alias("reason"),
         F.col("next_attempt").alias("attempt"))
@@ -56,9 +58,11 @@ def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPath
     try:
         ok, _ = X.split_rejects(extracted)
         (ok.select(*X.ARTICLE_COLUMNS).to(ARTICLE_SCHEMA).withColumn("batch", F.lit(batch_id))
-           .write.mode("append").partitionBy("batch").parquet(paths.articles))
-        R.rejects_table(extracted, "article").unionByName(challenged_out) \
-            .write.mode("append").parquet(paths.rejects)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("batch").parquet(paths.articles))
+        (R.rejects_table(extracted, "article").unionByName(challenged_out).withColumn("batch", F.lit(batch_id))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("batch").parquet(paths.rejects))
     finally:
         extracted.unpersist()
     stored_now = pages.sparkSession.read.parquet(paths.articles).where(F.col("batch") == batch_id)
@@ -72,14 +76,16 @@ def crawl_articles_stream(spark: SparkSession, page_stream: DataFrame, paths: Cr
     at every batch (stream-static anti join on current data); the batch's
     new keys are appended to it once its records are stored -- the set is
     never rewritten, so a batch costs the batch plus one read of the set.
-    A replayed epoch writes the same ``batch`` partition again."""
+    Every table is written per ``batch`` partition with dynamic overwrite,
+    so an epoch replayed after a restart replaces its own output."""
     def step(batch: DataFrame, epoch: int):
         try:
             visited = spark.read.parquet(visited_path).select(*V.SET_COLS)
         except Exception:  # no set yet: first batch
             visited = None
         new = crawl_articles(batch, visited, paths, batch_id=str(epoch), meta=meta)
-        new.withColumn("batch", F.lit(str(epoch))).write.mode("append").partitionBy("batch").parquet(visited_path)
+        (new.withColumn("batch", F.lit(str(epoch))).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(visited_path))
 
     w = page_stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)

@@ -447,7 +447,7 @@ def stream_extract(spark, sf_dir):
     s = W.read_stream(spark, f"{sf_dir}/pages*.parquet", S.PAGE_SCHEMA)
     out, ck = W.new_locations(spark, "stream_extract")
     W.run_to_table(X.article_titles(s), out, ck)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch_id")
 
 
 def stream_first_seen(spark, sf_dir):
@@ -458,7 +458,7 @@ def stream_first_seen(spark, sf_dir):
     keyed = s.select(F.col("event_type").alias("meta"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("key"))
     out, ck = W.new_locations(spark, "stream_first_seen")
     W.run_to_table(W.stream_first_seen(keyed), out, ck)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch_id")
 
 
 def stream_left_anti(spark, sf_dir):

@@ -36,15 +36,16 @@ def run_to_table(stream: DataFrame, out_path: str, checkpoint: str,
     ``batch_fn`` may transform each micro-batch; with ``partition_by``
     (e.g. ``["sink"]``) one write fills several sinks, one folder each.
     Progress is in the checkpoint, so a restart resumes after the last
-    committed batch.  ``trigger`` defaults to ``availableNow`` (process
+    committed batch; each batch lands in its own ``batch_id`` partition,
+    written with dynamic overwrite, so a replayed batch is not doubled.  ``trigger`` defaults to ``availableNow`` (process
     what is there, then stop); pass e.g. ``{"processingTime": "1 minute"}``
     for a long-running query."""
     def sink(batch: DataFrame, epoch: int):
-        out = batch_fn(batch, epoch) if batch_fn else batch
-        w = out.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(out_path)
+        out = (batch_fn(batch, epoch) if batch_fn else batch).withColumn("batch_id", F.lit(epoch))
+        # idempotent per epoch: a batch replayed after a restart replaces
+        # its own partition instead of appending a second copy
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id", *(partition_by or [])).parquet(out_path))
 
     w = stream.writeStream.foreachBatch(sink).outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
