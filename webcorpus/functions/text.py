@@ -7,16 +7,20 @@ flags: ``(?d)`` (UNIX_LINES) makes ``.``, ``^`` and ``$`` treat only
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's rules.
+# Fixed values that must equal the original cleaning and parsing rules.
 DISPLAY_MATH = r'<span\s+class="katex--display">.*?</span><br/>'
 TAG = r"<.*?>"
 READ_COUNT_LABEL = "阅读数"
+
+# Our explicit sentence rule (the original used a trained model).
 CJK_STOPS = "。！？"
 LATIN_STOPS = ".!?"
-BLANK_CHARS = " \t\r\n"
+_BLANK_CLASS = r" \t\r\n"
 
 
 def _c(c) -> Column:
@@ -90,16 +94,17 @@ def sentences(c) -> Column:
     trimmed of blank space and empty pieces are dropped, so positions are
     dense.  Returns ``ARRAY<STRING>``."""
     x = _c(c)
+    blank = f"[{_BLANK_CLASS}]"
     marked = F.regexp_replace(x, f"([{CJK_STOPS}])", "$1\u0001")
-    marked = F.regexp_replace(marked, r"([.!?])[ \t\r\n]+", "$1\u0001")
+    marked = F.regexp_replace(marked, f"([{re.escape(LATIN_STOPS)}]){blank}+", "$1\u0001")
     parts = F.split(marked, "\u0001")
-    trimmed = F.transform(parts, lambda s: F.regexp_replace(s, r"^[ \t\r\n]+|[ \t\r\n]+$", ""))
+    trimmed = F.transform(parts, lambda s: F.regexp_replace(s, f"^{blank}+|{blank}+$", ""))
     return F.filter(trimmed, lambda s: s != "")
 
 
 def char_line(c) -> Column:
     """Every non-blank character of a sentence followed by one space."""
-    return F.regexp_replace(F.regexp_replace(_c(c), r"[ \t\r\n]+", ""), "(.)", "$1 ")
+    return F.regexp_replace(F.regexp_replace(_c(c), f"[{_BLANK_CLASS}]+", ""), "(?s)(.)", "$1 ")
 
 
 def kv_map(c) -> Column:
