@@ -105,3 +105,8 @@ def test_trim_first_char_join(spark):
 def test_read_count(spark):
     df = spark.createDataFrame([("阅读数 123",), ("阅读数",), ("阅读 5",), ("x阅读数  42 y",)], "s string")
     assert [r[0] for r in df.select(TX.read_count("s")).collect()] == ["123", "", None, "42"]
+
+
+def test_preview_is_ordered_top_n(spark):
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
+    assert [r.k for r in C.preview(df, ["k"]).collect()] == [1, 2]

@@ -81,5 +81,11 @@ def write_json_corpus(df: DataFrame, path: str, mode: str = "overwrite", compres
        .option("maxRecordsPerFile", max_records_per_file).json(path))
 
 
+def preview(df: DataFrame, order_cols: list[str], n: int = 2) -> DataFrame:
+    """A3: the first ``n`` rows in an explicit order (a top-n, so the limit
+    is the feature; Spark plans it as TakeOrderedAndProject)."""
+    return df.orderBy(*order_cols).limit(n)
+
+
 def read_json_corpus(spark, path: str, schema: T.StructType = CORPUS_SCHEMA) -> DataFrame:
     return spark.read.schema(schema).json(path)

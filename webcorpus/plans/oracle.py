@@ -271,6 +271,13 @@ r(node, depth) USING KEY (node) AS (
   SELECT DISTINCT e.dst, r.depth + 1 FROM r JOIN e ON r.node = e.src
   WHERE NOT EXISTS (SELECT 1 FROM recurring.r AS s WHERE s.node = e.dst))
 SELECT node, CAST(depth AS INTEGER) AS depth FROM r""",
+    "corpus_tokens": f"""WITH d AS (SELECT doc_id, text FROM (SELECT doc_id, {STRIP_MARKUP('text')} AS text FROM documents)
+  WHERE text IS NOT NULL AND trim(text) <> ''),
+s AS (SELECT doc_id, {SENTENCES('text')} AS lst FROM d),
+e AS (SELECT doc_id, CAST(generate_subscripts(lst, 1) - 1 AS INTEGER) AS sent_no, unnest(lst) AS sentence FROM s)
+SELECT doc_id, sent_no, regexp_replace(regexp_replace(sentence, '[ \\t\\r\\n]+', '', 'g'), '(?s)(.)', '\\1 ', 'g') AS line FROM e""",
+    "visited_refresh": "SELECT DISTINCT 'blog' AS meta, 'd' || doc_id AS key FROM documents "
+                       "WHERE doc_id IN (SELECT doc_id FROM labels)",
     "crawl_articles": f"SELECT title, create_time, read_count, nature, content, praises, comments, url, user_name "
                       f"FROM ({ARTICLE}) WHERE reject_reason IS NULL AND page_id NOT IN "
                       "(SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')",

@@ -23,6 +23,7 @@ from ..operators import visited as V
 from ..session import apply_runtime_conf, scratch_path
 from ..sources import tables as S
 from ..streaming import stream as W
+from . import corpus_build as CB
 from . import crawl as CR
 from . import render as RD
 
@@ -439,6 +440,25 @@ def crawl_visited(spark, sf_dir):
     return visited
 
 
+# -- corpus build (E2) and visited-set maintenance (E3) ----------------------
+
+def corpus_tokens(spark, sf_dir):
+    """Documents cleaned (T1-T3, P6), written as JSON Lines, then
+    tokenised to character lines from the written corpus."""
+    base = scratch_path(spark, "corpus")
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    _, tokens = CB.build_corpus(docs, CB.CorpusPaths(base + "/json", base + "/tokens"))
+    return tokens
+
+
+def visited_refresh(spark, sf_dir):
+    """The document-key set reconciled with the labelled (stored)
+    articles; returns the new version of the set as written."""
+    path, _ = CB.refresh_visited(_doc_keys(spark, sf_dir).select("meta", "key"), _label_urls(spark, sf_dir),
+                                 "blog", scratch_path(spark, "visited_versions"), "1")
+    return spark.read.parquet(path).select("meta", "key")
+
+
 # -- streams --------------------------------------------------------------------
 
 def stream_extract(spark, sf_dir):
@@ -521,6 +541,8 @@ QUERIES = {
     "rekey_visited": rekey_visited,
     "frontier_union": frontier_union,
     "crawl_closure": crawl_closure,
+    "corpus_tokens": corpus_tokens,
+    "visited_refresh": visited_refresh,
     "crawl_articles": crawl_articles,
     "crawl_visited": crawl_visited,
     "stream_extract": stream_extract,
