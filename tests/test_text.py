@@ -110,3 +110,11 @@ def test_read_count(spark):
 def test_preview_is_ordered_top_n(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
     assert [r.k for r in C.preview(df, ["k"]).collect()] == [1, 2]
+
+
+def test_read_count_unicode_classes_like_python(spark):
+    import re as pyre
+    vals = ["阅读数　１２", "阅读数 7", "阅读数  3"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(TX.read_count("s")).collect()]
+    assert got == [pyre.search(r"(?<=阅读数)\s*(\d*)", v).group(1) for v in vals]

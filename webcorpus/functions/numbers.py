@@ -14,7 +14,7 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def lenient_int(c, default: int = 0) -> Column:
+def lenient_int(c, default: int | None = 0) -> Column:
     """M1: ``int(text)`` or ``default`` when the text is not an integer.
 
     Accepted like Python's ``int``: blank space around, a sign, ASCII or
@@ -24,7 +24,7 @@ def lenient_int(c, default: int = 0) -> Column:
     x = F.translate(F.btrim(_c(c), F.lit(" \t\n\r\f\u000b")), FULL_WIDTH_DIGITS, ASCII_DIGITS)
     ok = x.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$")
     val = F.when(ok, F.replace(x, F.lit("_"), F.lit("")).try_cast("bigint"))
-    return F.coalesce(val, F.lit(default).cast("bigint"))
+    return val if default is None else F.coalesce(val, F.lit(default).cast("bigint"))
 
 
 def ceil_div(total, size) -> Column:

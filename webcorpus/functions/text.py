@@ -84,7 +84,8 @@ def read_count(c) -> Column:
     """T5: digits after the read-count label; ``""`` when the label is
     followed by no digits; null when the label is missing (reject)."""
     x = _c(c)
-    pat = "(?<=" + READ_COUNT_LABEL + r")\s*(\d*)"
+    # (?U): \s and \d are Unicode-aware, as in Python 3 (U+3000, full-width digits)
+    pat = "(?U)(?<=" + READ_COUNT_LABEL + r")\s*(\d*)"
     return F.when(x.rlike(pat), F.regexp_extract(x, pat, 1))
 
 

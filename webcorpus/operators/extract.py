@@ -250,18 +250,20 @@ def user_profile(pages: DataFrame) -> DataFrame:
 
 
 def finish_profile(raw: DataFrame) -> DataFrame:
-    total = F.regexp_extract("page_script", r"(?d)(?<=listTotal).*?(\d+) *;", 1)
-    size = F.regexp_extract("page_script", r"(?d)(?<=pageSize).*?(\d+) *;", 1)
-    has_total = F.col("page_script").rlike(r"(?d)(?<=listTotal).*?(\d+) *;")
-    has_size = F.col("page_script").rlike(r"(?d)(?<=pageSize).*?(\d+) *;")
+    # (?U): \d is Unicode-aware as in Python 3; int() then reads those digits too
+    pat_total, pat_size = r"(?dU)(?<=listTotal).*?(\d+) *;", r"(?dU)(?<=pageSize).*?(\d+) *;"
+    total = N.lenient_int(F.regexp_extract("page_script", pat_total, 1), None)
+    size = N.lenient_int(F.regexp_extract("page_script", pat_size, 1), None)
+    has_total = F.col("page_script").rlike(pat_total)
+    has_size = F.col("page_script").rlike(pat_size)
     df = raw.select(
         "page_id", "url", "reject_reason",
         TX.trim_chars("name_raw").alias("name"), "creates", "fans", "praises", "comments",
         "visits", TX.first_char("grade_title").alias("grade"),
         N.lenient_int("credits_raw").alias("credits"), N.lenient_int("ranks_raw").alias("ranks"),
         TX.join_titles("badge_titles").alias("badges"),
-        F.when(has_total, total.try_cast("bigint")).alias("list_total"),
-        F.when(has_size, size.try_cast("bigint")).alias("page_size"))
+        F.when(has_total, total).alias("list_total"),
+        F.when(has_size, size).alias("page_size"))
     df = df.withColumn("page_count", N.ceil_div("list_total", "page_size"))
     reason = (F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
               .when(F.col("grade").isNull(), F.lit("empty grade"))
