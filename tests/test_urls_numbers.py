@@ -41,7 +41,7 @@ def py_int(s, default=0):
 
 
 def test_lenient_int_against_python(spark):
-    vals = ["18万+", " 12 ", "1_000", "１２", "12.0", "", "99999999999999999999", "-7", "+3", "1__0", "_1",
+    vals = ["18万+", " 12 ", "1_000", "１２", "12.0", "", "99999999999999999999", "-7", "+3", "1__0", "_1", "\u3000８\u3000",
             "0x10", "١٢", "12a", "\t5\n", None]
     rnd = random.Random(3)
     vals += ["".join(rnd.choice("0123456789 _+-.a") for _ in range(rnd.randint(0, 6))) for _ in range(300)]

@@ -21,7 +21,8 @@ def lenient_int(c, default: int | None = 0) -> Column:
     full-width digits, single ``_`` between digits.  Not accepted:
     ``12.0``, ``18万+``, empty.  Values outside BIGINT give ``default``.
     """
-    x = F.translate(F.btrim(_c(c), F.lit(" \t\n\r\f\u000b")), FULL_WIDTH_DIGITS, ASCII_DIGITS)
+    trimmed = F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")  # Unicode blank space, as int() strips
+    x = F.translate(trimmed, FULL_WIDTH_DIGITS, ASCII_DIGITS)
     ok = x.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$")
     val = F.when(ok, F.replace(x, F.lit("_"), F.lit("")).try_cast("bigint"))
     return val if default is None else F.coalesce(val, F.lit(default).cast("bigint"))

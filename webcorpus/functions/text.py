@@ -2,7 +2,8 @@
 
 Every function takes and returns a ``Column``.  Patterns use Java regex
 flags: ``(?d)`` (UNIX_LINES) makes ``.``, ``^`` and ``$`` treat only
-``\\n`` as a line break, which is how a line-by-line Python loop sees text.
+``\\n`` as a line break, which is how a line-by-line Python loop sees text;
+``(?U)`` makes ``\\s`` and ``\\d`` Unicode-aware, as they are in Python 3.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def normalize_newlines(c) -> Column:
 
 def remove_display_math(c) -> Column:
     """Drop ``<span class="katex--display">…</span><br/>`` within a line."""
-    return F.regexp_replace(_c(c), "(?d)" + DISPLAY_MATH, "")
+    return F.regexp_replace(_c(c), "(?dU)" + DISPLAY_MATH, "")
 
 
 def strip_tags(c) -> Column:
@@ -113,5 +114,5 @@ def kv_map(c) -> Column:
     ``;`` with blank space around it removed, each on its first ``=``;
     a repeated key keeps its last value (session policy LAST_WIN)."""
     x = F.btrim(_c(c), F.lit("\n\t ;"))
-    return F.str_to_map(F.regexp_replace(x, r"\s*;\s*", ";"), F.lit(";"), F.lit("="))
+    return F.str_to_map(F.regexp_replace(x, r"(?U)\s*;\s*", ";"), F.lit(";"), F.lit("="))
 
