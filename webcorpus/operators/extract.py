@@ -57,8 +57,10 @@ def output_schema(rule: Rule) -> T.StructType:
 
 
 def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str = "url",
-            html_col: str = "html") -> DataFrame:
-    """Run ``rule`` over every page; one Arrow batch in, one batch out."""
+            html_col: str = "html", spread_input: bool = True) -> DataFrame:
+    """Run ``rule`` over every page; one Arrow batch in, one batch out.
+    ``spread_input=False`` when the caller already spread the rows over
+    the cores (see ``parallel.spread``)."""
     schema = output_schema(rule)
     names = [f.name for f in rule.fields.fields]
     cols = ["page_id", "url", "pos"] + names + ["reject_reason"]
@@ -94,7 +96,7 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
 
     src = pages.select(F.col(id_col).cast("long").alias("page_id"),
                        F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return spread(src).mapInPandas(run, schema)
+    return (spread(src) if spread_input else src).mapInPandas(run, schema)
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -142,12 +144,12 @@ def _nav_rule(nav_id):
 NAV_FIELDS = T.StructType([T.StructField("label", T.StringType()), T.StructField("href", T.StringType())])
 
 
-def nav_links(pages: DataFrame, nav_id: str | None = "nav") -> DataFrame:
+def nav_links(pages: DataFrame, nav_id: str | None = "nav", **kw) -> DataFrame:
     """Category links of ``//nav[@id=nav_id]//ul/li`` (first skipped,
     ``watchers`` dropped); ``target`` resolved against the page URL unless
     the href names one of the unresolved sections.  ``nav_id=None`` takes
     every ``nav``."""
-    df = extract(pages, Rule("nav", NAV_FIELDS, _nav_rule(nav_id)))
+    df = extract(pages, Rule("nav", NAV_FIELDS, _nav_rule(nav_id)), **kw)
     return df.withColumn("target", F.when(F.col("reject_reason").isNull(),
                                           U.nav_target(F.col("url"), F.col("href"))))
 
@@ -173,10 +175,10 @@ FEED_FIELDS = T.StructType([T.StructField("article_href", T.StringType()),
                             T.StructField("user_href", T.StringType())])
 
 
-def feed_links(pages: DataFrame) -> DataFrame:
+def feed_links(pages: DataFrame, **kw) -> DataFrame:
     """(article, author) link pair of every feed item; a malformed item
     is rejected alone."""
-    return extract(pages, Rule("feed", FEED_FIELDS, _feed_parse))
+    return extract(pages, Rule("feed", FEED_FIELDS, _feed_parse), **kw)
 
 
 def _profile_parse(url, root, html):
@@ -241,11 +243,11 @@ USER_COLUMNS = ["name", "creates", "fans", "praises", "comments", "visits", "gra
                 "credits", "ranks", "badges", "url"]
 
 
-def user_profile(pages: DataFrame) -> DataFrame:
+def user_profile(pages: DataFrame, **kw) -> DataFrame:
     """X3 + X4: the author record plus its article page count.  A missing
     node, an empty grade, a badge without title or a page size of 0
     rejects the whole record."""
-    raw = extract(pages, Rule("profile", PROFILE_FIELDS, _profile_parse))
+    raw = extract(pages, Rule("profile", PROFILE_FIELDS, _profile_parse), **kw)
     return finish_profile(raw)
 
 
@@ -296,10 +298,10 @@ def _followee_parse(url, root, html):
 HREF_FIELDS = T.StructType([T.StructField("href", T.StringType())])
 
 
-def followee_links(pages: DataFrame, literal: bool = False) -> DataFrame:
+def followee_links(pages: DataFrame, literal: bool = False, **kw) -> DataFrame:
     """Followed authors; ``user_url`` is the ``blog`` form of the
     ``me`` link (host label only; ``literal=True`` replaces every ``me``)."""
-    df = extract(pages, Rule("followees", HREF_FIELDS, _followee_parse))
+    df = extract(pages, Rule("followees", HREF_FIELDS, _followee_parse), **kw)
     user = (F.replace(F.col("href"), F.lit("me"), F.lit("blog")) if literal
             else F.regexp_replace("href", r"^([A-Za-z][A-Za-z0-9+.\-]*://)me\.", "$1blog."))
     return df.withColumn("user_url", user)
@@ -317,9 +319,9 @@ def _article_list_parse(url, root, html):
         yield {"_pos": i, "href": href}
 
 
-def article_list_links(pages: DataFrame) -> DataFrame:
+def article_list_links(pages: DataFrame, **kw) -> DataFrame:
     """Article links of a list page, in page order."""
-    return extract(pages, Rule("article_list", HREF_FIELDS, _article_list_parse))
+    return extract(pages, Rule("article_list", HREF_FIELDS, _article_list_parse), **kw)
 
 
 def _article_parse(url, root, html):
@@ -352,11 +354,11 @@ ARTICLE_COLUMNS = ["title", "create_time", "read_count", "nature", "content", "p
                    "comments", "url", "user_name"]
 
 
-def article_detail(pages: DataFrame) -> DataFrame:
+def article_detail(pages: DataFrame, **kw) -> DataFrame:
     """X7 + X8: the article record; ``content`` is the markup of the body
     node, sliced verbatim from the page.  A missing node or read count
     rejects the whole record."""
-    raw = extract(pages, Rule("article", ARTICLE_FIELDS, _article_parse))
+    raw = extract(pages, Rule("article", ARTICLE_FIELDS, _article_parse), **kw)
     return finish_article(raw)
 
 
@@ -380,9 +382,9 @@ def _title_parse(url, root, html):
 TITLE_FIELDS = T.StructType([T.StructField("title", T.StringType())])
 
 
-def article_titles(pages: DataFrame) -> DataFrame:
+def article_titles(pages: DataFrame, **kw) -> DataFrame:
     """First direct text of the first ``h1`` of every page."""
-    return extract(pages, Rule("titles", TITLE_FIELDS, _title_parse))
+    return extract(pages, Rule("titles", TITLE_FIELDS, _title_parse), **kw)
 
 
 def _table_parse(url, root, html):
@@ -396,6 +398,6 @@ def _table_parse(url, root, html):
 TABLE_FIELDS = T.StructType([T.StructField("cells", T.ArrayType(T.StringType()))])
 
 
-def html_table_rows(pages: DataFrame) -> DataFrame:
+def html_table_rows(pages: DataFrame, **kw) -> DataFrame:
     """Every ``tr`` after the first as an array of its ``td`` texts."""
-    return extract(pages, Rule("table", TABLE_FIELDS, _table_parse))
+    return extract(pages, Rule("table", TABLE_FIELDS, _table_parse), **kw)

@@ -20,6 +20,7 @@ from ..operators import extract as X
 from ..operators import frontier as G
 from ..operators import routing as R
 from ..operators import visited as V
+from ..operators.parallel import spread
 from ..session import apply_runtime_conf, scratch_path
 from ..sources import tables as S
 from ..streaming import stream as W
@@ -192,7 +193,8 @@ def feed_links(spark, sf_dir):
 
 def user_profile(spark, sf_dir):
     """X3 + X4 RT on profiles rendered from customers."""
-    return X.user_profile(RD.profile_pages(_t(spark, sf_dir, "customer")))
+    # one page per row: spread the narrow rows first, so pages render in parallel
+    return X.user_profile(RD.profile_pages(spread(_t(spark, sf_dir, "customer"))), spread_input=False)
 
 
 def page_count(spark, sf_dir):
@@ -217,7 +219,8 @@ def article_list_links(spark, sf_dir):
 
 def article_detail(spark, sf_dir):
     """X7 + X8 + T5 + M3 RT on article pages rendered from orders."""
-    return X.article_detail(RD.article_pages(_t(spark, sf_dir, "orders")))
+    # one page per row: spread the narrow rows first, so pages render in parallel
+    return X.article_detail(RD.article_pages(spread(_t(spark, sf_dir, "orders"))), spread_input=False)
 
 
 def read_count(spark, sf_dir):
