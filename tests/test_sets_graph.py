@@ -125,3 +125,14 @@ def test_write_sinks_one_pass(spark):
     R.write_sinks(R.severity_route(ev), path)
     assert sorted(r.id for r in spark.read.parquet(path + "/sink=error").collect()) == [1]
     assert sorted(r.id for r in spark.read.parquet(path + "/sink=main").collect()) == [2, 3]
+
+
+def test_first_seen_rows_matches_first_seen(spark):
+    p = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    dup = p.unionByName(p.withColumn("page_id", F.col("page_id") + 100000))   # every key twice
+    cand = V.keyed(dup, "url", "blog")
+    visited = V.keyed(p.where(F.col("page_id") % 3 == 0).select("url"), "url", "blog").select("meta", "key")
+    wide = V.first_seen_rows(cand, visited, "page_id").select("meta", "key", "page_id", "html")
+    narrow = V.first_seen(cand.select("meta", "key", "page_id", "html"), visited, order_cols=("page_id",))
+    assert wide.exceptAll(narrow).count() == 0 and narrow.exceptAll(wide).count() == 0
+    assert wide.count() == narrow.count() > 0

@@ -44,6 +44,22 @@ def first_seen(candidates: DataFrame, visited: DataFrame | None = None,
     return first
 
 
+def first_seen_rows(candidates: DataFrame, visited: DataFrame | None = None,
+                    id_col: str = "page_id") -> DataFrame:
+    """D1 for wide rows (pages carrying their HTML): the same choice as
+    ``first_seen`` with ``order_cols=(id_col,)``, planned so the wide rows
+    are never sorted.  Winners are picked on the narrow ``(meta, key, id)``
+    projection (hash aggregate, combined map-side), anti-joined with the
+    set, and the winning rows are fetched with a shuffled hash join on
+    ``id_col`` (which must be unique per row): the HTML crosses one
+    shuffle and is streamed past a hash table of winner ids."""
+    c = candidates.where(F.col("key").isNotNull() & F.col("meta").isNotNull())
+    winners = c.select(*SET_COLS, id_col).groupBy(*SET_COLS).agg(F.min(id_col).alias(id_col))
+    if visited is not None:
+        winners = winners.join(visited.select(*SET_COLS).where(F.col("key").isNotNull()), SET_COLS, "left_anti")
+    return c.join(winners.select(id_col).hint("shuffle_hash"), id_col, "left_semi")
+
+
 def members(visited: DataFrame, meta: str) -> DataFrame:
     """S7 + T11: the distinct members of one named set; keys stored as
     bytes are decoded from UTF-8."""

@@ -53,7 +53,7 @@ def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPath
         F.col("next_attempt").alias("attempt"))
 
     content = routed.where(F.col("route") == "content").select("page_id", "url", "html")
-    fresh = V.first_seen(V.keyed(content, "url", meta), visited, order_cols=("page_id",))
+    fresh = V.first_seen_rows(V.keyed(content, "url", meta), visited, "page_id")
     extracted = X.article_detail(fresh.select("page_id", "url", "html")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ok, _ = X.split_rejects(extracted)
