@@ -53,11 +53,17 @@ def char_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def last_by_title(df: DataFrame, title_col: str = "title", content_col: str = "content",
                   order_col: str = "page_id") -> DataFrame:
     """K6: one file per title where equal titles overwrite each other -- the
-    last write (highest ``order_col``) wins.  ``max_by`` is a partial
-    aggregate, so a hot title is combined map-side before the shuffle."""
-    return (df.groupBy(title_col)
-              .agg(F.max_by(F.struct(F.col(order_col), F.col(content_col)), F.col(order_col)).alias("w"))
-              .select(title_col, F.col("w")[order_col].alias(order_col), F.col("w")[content_col].alias(content_col)))
+    last write (highest ``order_col``, unique per row) wins.
+
+    The winner per title is chosen on the narrow ``(title, order)``
+    projection (hash aggregate, combined map-side, so a hot title is one
+    row per partition before the shuffle); the winning rows are then
+    fetched by ``order_col`` with a shuffled hash join, so the wide content
+    is shuffled once and never sorted."""
+    winners = df.select(title_col, order_col).groupBy(title_col).agg(F.max(order_col).alias(order_col))
+    rows = df.select(title_col, order_col, content_col)
+    return rows.join(winners.select(order_col).hint("shuffle_hash"), order_col, "left_semi") \
+        .select(title_col, order_col, content_col)
 
 
 def write_per_file(df: DataFrame, path: str, name_col: str = "file_name", text_col: str = "text",
