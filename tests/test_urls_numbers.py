@@ -102,3 +102,20 @@ def test_nav_target_keeps_section_links(spark):
                                 ("https://x.net/r", "/java")], "b string, h string")
     got = [r[0] for r in df.select(U.nav_target("b", "h")).collect()]
     assert got == ["/main", "/cloud/x", "https://x.net/java"]  # 'ai' inside 'main' is a plain substring hit
+
+
+def test_url_rules_random_against_python(spark):
+    rnd = random.Random(5)
+    schemes = ["http://", "https://", "HTTP://", "ftp://", "", "https:"]
+    hosts = ["blog.a.net", "a.net", "me.b.org", "x.net.net", "blog.c.com"]
+    segs = ["", "u", "en", "853", "a.net", "blog", "x?y=1", "p#f", "a b"]
+    urls = []
+    for _ in range(400):
+        path = "/".join(rnd.choice(segs) for _ in range(rnd.randint(0, 3)))
+        urls.append(rnd.choice(schemes) + rnd.choice(hosts) + ("/" + path if rnd.random() < 0.9 else ""))
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = df.select(U.visit_key("url").alias("k"), U.follow_url("url").alias("f")).collect()
+    for u, r in zip(urls, got):
+        assert r.k == py_key(u), u
+        if u.lower().startswith(("http://", "https://")) and "/" in u.split("://", 1)[1]:
+            assert r.f == py_follow(u), u

@@ -67,17 +67,36 @@ def follow_url(url, literal: bool = False) -> Column:
 
     ``https://blog.h/a/u`` -> ``https://me.h/follow/u``: the ``blog`` host
     label becomes ``me``, the URL is split at its last ``/`` and
-    ``follow/<last>`` is resolved against the part before it (so the
-    second-to-last path segment is replaced).  ``literal=True`` replaces
-    every ``blog`` in the URL, as a plain ``str.replace`` would.
+    ``follow/<last>`` is resolved against the part before it (``urljoin``:
+    the second-to-last path segment is replaced, the scheme is reported in
+    lower case).  ``literal=True`` replaces every ``blog`` in the URL, as a
+    plain ``str.replace`` would.
+
+    Native for clean URLs; a URL with empty or dot segments in its path, or
+    a ``/`` inside its query, goes to ``urljoin`` itself (pandas UDF).
     """
     u = _c(url)
     me = (F.replace(u, F.lit("blog"), F.lit("me")) if literal
           else F.regexp_replace(u, r"^([A-Za-z][A-Za-z0-9+.\-]*://)blog\.", "$1me."))
+    seg = r"(?!\.\.?(?:/|$|[?#]))"
+    clean = me.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+(/" + seg + r"[^/?#]+)*/" + seg + r"[^/?#]*([?#][^/]*)?$")
     one_seg = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/]+)/([^/]*)$"
     many_seg = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/]+/(?:.*/)?)[^/]*/([^/]*)$"
-    return (F.when(me.rlike(one_seg), F.regexp_replace(me, one_seg, "$1/follow/$2"))
+    res = (F.when(me.rlike(one_seg), F.regexp_replace(me, one_seg, "$1/follow/$2"))
             .when(me.rlike(many_seg), F.regexp_replace(me, many_seg, "$1follow/$2")))
+    native = F.concat(F.lower(F.regexp_extract(res, r"^([^:]*:)", 1)), F.regexp_replace(res, r"^[^:]*:", ""))
+    return F.when(me.isNull(), F.lit(None).cast("string")).when(clean, native) \
+        .otherwise(_follow_udf(F.when(~clean, me)))
+
+
+@F.pandas_udf(T.StringType())
+def _follow_udf(me: pd.Series) -> pd.Series:
+    def one(x):
+        if x is None or "/" not in x:
+            return None
+        base, last = x.rsplit("/", 1)
+        return urljoin(base, "follow/" + last)
+    return pd.Series([one(x) for x in me], index=me.index, dtype=object)
 
 
 def origin(url) -> Column:

@@ -46,8 +46,9 @@ _MANY = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/]+/(?:.*/)?)[^/]*/([^/]*)$"
 
 def FOLLOW(u: str) -> str:
     me = rf"regexp_replace({u}, '^([A-Za-z][A-Za-z0-9+.\-]*://)blog\.', '\1me.')"
-    return (f"CASE WHEN regexp_matches({me}, '{_ONE}') THEN regexp_replace({me}, '{_ONE}', '\\1/follow/\\2') "
-            f"WHEN regexp_matches({me}, '{_MANY}') THEN regexp_replace({me}, '{_MANY}', '\\1follow/\\2') END")
+    res = (f"CASE WHEN regexp_matches({me}, '{_ONE}') THEN regexp_replace({me}, '{_ONE}', '\\1/follow/\\2') "
+           f"WHEN regexp_matches({me}, '{_MANY}') THEN regexp_replace({me}, '{_MANY}', '\\1follow/\\2') END")
+    return f"lower(regexp_extract({res}, '^([^:]*:)', 1)) || regexp_replace({res}, '^[^:]*:', '')"
 
 
 def LENIENT(x: str) -> str:
