@@ -119,3 +119,15 @@ def test_url_rules_random_against_python(spark):
         assert r.k == py_key(u), u
         if u.lower().startswith(("http://", "https://")) and "/" in u.split("://", 1)[1]:
             assert r.f == py_follow(u), u
+
+
+def test_resolve_url_random_against_urljoin(spark):
+    rnd = random.Random(9)
+    bases = ["https://a.net", "https://a.net/", "http://b.org/x/y", "HTTPS://C.com/d/e.html?q=1#f", "https://u@h:8/p;x/q",
+             "https://h/a//b/", "https://h/./a/../b"]
+    parts = ["/", "a", "b", "..", ".", "", "?q", "#f", ";p", "//h2", "http:", "https://z.org", "HTTP://Y", "x y", "%20", "é"]
+    rows = [(rnd.choice(bases), "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 4)))) for _ in range(600)]
+    df = spark.createDataFrame(rows, "base string, href string")
+    got = [r[0] for r in df.select(U.resolve_url("base", "href")).collect()]
+    diffs = [(b, h, g, urljoin(b, h)) for (b, h), g in zip(rows, got) if g != urljoin(b, h)]
+    assert not diffs, diffs[:5]
