@@ -106,6 +106,43 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
+# ---------------------------------------------------------------------------
+# The site layout the selectors name (ids, classes) and the
+# page-script patterns, which must equal the original's.  Match kinds:
+# "has" = substring of the class attribute (XPath contains), "starts" =
+# prefix, "is" = whole attribute equal.
+NAV_ID = "nav"                              # //nav[@id='nav']//ul/li
+FEED_LIST_CLASS_STARTS = "feedlist_mod"     # //*[starts-with(@class,'feedlist_mod')]/li
+FEED_ITEM_CLASS_IS = "clearfix"             #   li[@class='clearfix']
+FEED_BODY_CLASS_HAS = "list_con"            #   div[contains(@class,'list_con')]
+FEED_TITLE_CLASS_IS = "title"               #   div[@class='title']/h2/a/@href
+FEED_USERBAR_CLASS_IS = "list_userbar"      #   dl[@class='list_userbar']/dd[@class='name']/a/@href
+FEED_NAME_CLASS_IS = "name"
+PROFILE_ID = "asideProfile"                 # //*[@id='asideProfile']
+PROFILE_INTRO_CLASS_HAS = "profile-intro"   #   div[contains(@class,'profile-intro')]
+PROFILE_USER_CLASS_HAS = "user-info"        #     /div[contains(@class,'user-info')]//span/a/text()
+PROFILE_DATA_CLASS_HAS = "data-info"        #   div[contains(@class,'data-info')]/dl[n]/@title
+PROFILE_GRADE_CLASS_HAS = "grade-box"       #   div[contains(@class,'grade-box')]
+PROFILE_BADGES_CLASS_HAS = "badge-box"      #   .//div[contains(@class,'badge-box')]/div[2]
+BADGE_CLASS_IS = "icon-badge"               #     /div[@class='icon-badge']/@title
+PAGE_SCRIPT_POSITION = 6                    # /html/body/script[6]/text()
+LIST_TOTAL_PATTERN = r"(?<=listTotal).*?(\d+) *;"
+PAGE_SIZE_PATTERN = r"(?<=pageSize).*?(\d+) *;"
+FOLLOW_LIST_CLASS_HAS = "chanel_det_list"   # //*[contains(@class,'chanel_det_list')]/ul/li/a/@href
+ARTICLE_LIST_CLASS_IS = "article-list"      # //*[@class='article-list']
+ARTICLE_BOX_CLASS_HAS = "article-item-box"  #   /div[contains(@class,'article-item-box')]/h4/a/@href
+MAIN_BOX_ID = "mainBox"                     # //*[@id='mainBox']/main/div[1]
+ARTICLE_TYPE_CLASS_HAS = "article-type"     #   .../span[contains(@class,'article-type')]/text()
+TIME_CLASS_IS = "time"                      #   .../span[@class='time']/text()
+READ_COUNT_CLASS_IS = "read-count"          #   .../span[@class='read-count']/text()
+CONTENT_ID = "content_views"                #   article/div[1]/div[@id='content_views']
+TOOL_BOX_CLASS_STARTS = "tool-box"          # //*[starts-with(@class,'tool-box')]/ul
+
+
+def _cls(n):
+    return n.get("class") or ""
+
+
 # ---------------------------------------------------------------------------
 # Rules.  Paths follow the site's selectors: ``contains(@class, x)`` is a
 # substring test, ``starts-with`` a prefix test, ``@class='x'`` exact;
@@ -144,7 +181,7 @@ def _nav_rule(nav_id):
 NAV_FIELDS = T.StructType([T.StructField("label", T.StringType()), T.StructField("href", T.StringType())])
 
 
-def nav_links(pages: DataFrame, nav_id: str | None = "nav", **kw) -> DataFrame:
+def nav_links(pages: DataFrame, nav_id: str | None = NAV_ID, **kw) -> DataFrame:
     """Category links of ``//nav[@id=nav_id]//ul/li`` (first skipped,
     ``watchers`` dropped); ``target`` resolved against the page URL unless
     the href names one of the unresolved sections.  ``nav_id=None`` takes
@@ -155,15 +192,15 @@ def nav_links(pages: DataFrame, nav_id: str | None = "nav", **kw) -> DataFrame:
 
 
 def _feed_parse(url, root, html):
-    lists = H.find_all(root, None, lambda n: (n.get("class") or "").startswith("feedlist_mod"))
-    items = [li for ul in lists for li in ul.elements("li") if li.get("class") == "clearfix"]
+    lists = H.find_all(root, None, lambda n: _cls(n).startswith(FEED_LIST_CLASS_STARTS))
+    items = [li for ul in lists for li in ul.elements("li") if li.get("class") == FEED_ITEM_CLASS_IS]
     for i, li in enumerate(items):
         try:
-            div = need(H.child(li, "div", 1, lambda n: n.has_class("list_con")), "list_con")
-            a = need(H.path(div, ("div", 1, lambda n: n.get("class") == "title"), "h2", "a"), "title link")
+            div = need(H.child(li, "div", 1, lambda n: n.has_class(FEED_BODY_CLASS_HAS)), "list_con")
+            a = need(H.path(div, ("div", 1, lambda n: n.get("class") == FEED_TITLE_CLASS_IS), "h2", "a"), "title link")
             art = need(a.get("href"), "article href")
-            ua = need(H.path(div, ("dl", 1, lambda n: n.get("class") == "list_userbar"),
-                             ("dd", 1, lambda n: n.get("class") == "name"), "a"), "user link")
+            ua = need(H.path(div, ("dl", 1, lambda n: n.get("class") == FEED_USERBAR_CLASS_IS),
+                             ("dd", 1, lambda n: n.get("class") == FEED_NAME_CLASS_IS), "a"), "user link")
             usr = need(ua.get("href"), "user href")
         except Reject as e:
             yield _item_reject(i, e)
@@ -182,9 +219,9 @@ def feed_links(pages: DataFrame, **kw) -> DataFrame:
 
 
 def _profile_parse(url, root, html):
-    profile = need(H.find(root, None, lambda n: n.get("id") == "asideProfile"), "asideProfile")
-    intro = H.child(profile, "div", 1, lambda n: n.has_class("profile-intro"))
-    info = H.child(intro, "div", 1, lambda n: n.has_class("user-info"))
+    profile = need(H.find(root, None, lambda n: n.get("id") == PROFILE_ID), "asideProfile")
+    intro = H.child(profile, "div", 1, lambda n: n.has_class(PROFILE_INTRO_CLASS_HAS))
+    info = H.child(intro, "div", 1, lambda n: n.has_class(PROFILE_USER_CLASS_HAS))
     name = None
     for span in H.find_all(info, "span"):
         for a in span.elements("a"):
@@ -194,7 +231,7 @@ def _profile_parse(url, root, html):
         if name is not None:
             break
     need(name, "name")
-    data = need(H.child(profile, "div", 1, lambda n: n.has_class("data-info")), "data-info")
+    data = need(H.child(profile, "div", 1, lambda n: n.has_class(PROFILE_DATA_CLASS_HAS)), "data-info")
     dls = data.elements("dl")
 
     def dl_title(i, what):
@@ -203,7 +240,7 @@ def _profile_parse(url, root, html):
     rec = {"name_raw": name, "creates": dl_title(1, "creates"), "fans": dl_title(2, "fans"),
            "praises": dl_title(3, "praises"), "comments": dl_title(4, "comments"),
            "visits": dl_title(-1, "visits")}
-    grade = need(H.child(profile, "div", 1, lambda n: n.has_class("grade-box")), "grade-box")
+    grade = need(H.child(profile, "div", 1, lambda n: n.has_class(PROFILE_GRADE_CLASS_HAS)), "grade-box")
     gdls = grade.elements("dl")
     g = None
     for dd in need(H.nth(gdls, 1), "grade").elements("dd"):
@@ -222,13 +259,13 @@ def _profile_parse(url, root, html):
     rec["credits_raw"] = need(c, "credits")
     rec["ranks_raw"] = need(need(H.nth(gdls, -1), "ranks").attrs.get("title"), "ranks")
     titles = []
-    for box in H.find_all(profile, "div", lambda n: n.has_class("badge-box")):
+    for box in H.find_all(profile, "div", lambda n: n.has_class(PROFILE_BADGES_CLASS_HAS)):
         second = H.child(box, "div", 2)
         if second is not None:
-            titles += [b.attrs.get("title") for b in second.elements("div") if b.get("class") == "icon-badge"]
+            titles += [b.attrs.get("title") for b in second.elements("div") if b.get("class") == BADGE_CLASS_IS]
     rec["badge_titles"] = titles
     body = H.path(root, "html", "body") or H.find(root, "body")
-    script = H.child(body, "script", 6)
+    script = H.child(body, "script", PAGE_SCRIPT_POSITION)
     rec["page_script"] = need(H.first_text(script), "page script")
     yield rec
 
@@ -253,7 +290,7 @@ def user_profile(pages: DataFrame, **kw) -> DataFrame:
 
 def finish_profile(raw: DataFrame) -> DataFrame:
     # (?U): \d is Unicode-aware as in Python 3; int() then reads those digits too
-    pat_total, pat_size = r"(?dU)(?<=listTotal).*?(\d+) *;", r"(?dU)(?<=pageSize).*?(\d+) *;"
+    pat_total, pat_size = "(?dU)" + LIST_TOTAL_PATTERN, "(?dU)" + PAGE_SIZE_PATTERN
     total = N.lenient_int(F.regexp_extract("page_script", pat_total, 1), None)
     size = N.lenient_int(F.regexp_extract("page_script", pat_size, 1), None)
     has_total = F.col("page_script").rlike(pat_total)
@@ -284,7 +321,7 @@ def finish_profile(raw: DataFrame) -> DataFrame:
 
 
 def _followee_parse(url, root, html):
-    boxes = H.find_all(root, None, lambda n: n.has_class("chanel_det_list"))
+    boxes = H.find_all(root, None, lambda n: n.has_class(FOLLOW_LIST_CLASS_HAS))
     items = [li for b in boxes for ul in b.elements("ul") for li in ul.elements("li")]
     for i, li in enumerate(items):
         try:
@@ -308,8 +345,8 @@ def followee_links(pages: DataFrame, literal: bool = False, **kw) -> DataFrame:
 
 
 def _article_list_parse(url, root, html):
-    boxes = H.find_all(root, None, lambda n: n.get("class") == "article-list")
-    items = [d for b in boxes for d in b.elements("div") if d.has_class("article-item-box")]
+    boxes = H.find_all(root, None, lambda n: n.get("class") == ARTICLE_LIST_CLASS_IS)
+    items = [d for b in boxes for d in b.elements("div") if d.has_class(ARTICLE_BOX_CLASS_HAS)]
     for i, box in enumerate(items):
         try:
             href = need(need(H.path(box, "h4", "a"), "h4/a").get("href"), "href")
@@ -325,20 +362,21 @@ def article_list_links(pages: DataFrame, **kw) -> DataFrame:
 
 
 def _article_parse(url, root, html):
-    main_box = need(H.find(root, None, lambda n: n.get("id") == "mainBox"), "mainBox")
+    main_box = need(H.find(root, None, lambda n: n.get("id") == MAIN_BOX_ID), "mainBox")
     box = need(H.path(main_box, "main", ("div", 1)), "main box")
     header = need(H.child(box, "div", 1), "header")
     title_box = need(H.path(header, ("div", 1), ("div", 1)), "title box")
-    nature = need(H.first_text(H.child(title_box, "span", 1, lambda n: n.has_class("article-type"))), "article type")
+    nature = need(H.first_text(H.child(title_box, "span", 1, lambda n: n.has_class(ARTICLE_TYPE_CLASS_HAS))),
+                  "article type")
     title = need(H.first_text(H.child(title_box, "h1")), "h1")
     info = need(H.path(header, ("div", 1), ("div", 2)), "info box")
     line = H.child(info, "div", 1)
-    ctime = need(H.first_text(H.child(line, "span", 1, lambda n: n.get("class") == "time")), "time")
-    rc = need(H.first_text(H.child(line, "span", 1, lambda n: n.get("class") == "read-count")), "read count")
+    ctime = need(H.first_text(H.child(line, "span", 1, lambda n: n.get("class") == TIME_CLASS_IS)), "time")
+    rc = need(H.first_text(H.child(line, "span", 1, lambda n: n.get("class") == READ_COUNT_CLASS_IS)), "read count")
     uname = need(H.first_text(H.child(line, "a")), "user name")
-    body = need(H.path(box, "article", ("div", 1), ("div", 1, lambda n: n.get("id") == "content_views")),
+    body = need(H.path(box, "article", ("div", 1), ("div", 1, lambda n: n.get("id") == CONTENT_ID)),
                 "content_views")
-    menu = need(H.child(H.find(root, None, lambda n: (n.get("class") or "").startswith("tool-box")), "ul"),
+    menu = need(H.child(H.find(root, None, lambda n: _cls(n).startswith(TOOL_BOX_CLASS_STARTS)), "ul"),
                 "tool-box")
     praises = need(H.path(menu, ("li", 1), "button", "p"), "praises")
     comments = need(H.path(menu, ("li", 3), "a", "p"), "comments")
