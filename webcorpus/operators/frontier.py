@@ -18,8 +18,11 @@ from ..session import checkpoint_dir, scratch_path
 
 
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    """Both directions of every edge, from a single pass over the input
+    (a union of two projections would scan the source twice)."""
+    a, b = F.col(src), F.col(dst)
+    both = F.array(F.struct(a.alias("src"), b.alias("dst")), F.struct(b.alias("src"), a.alias("dst")))
+    return edges.select(F.explode(both).alias("e")).select("e.src", "e.dst")
 
 
 def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
