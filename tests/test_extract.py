@@ -166,3 +166,16 @@ def test_fast_tokenizer_equals_stdlib_parser():
     fuzz = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 25))) for _ in range(3000)]
     for src in pages + fuzz:
         assert _dump(H.parse(src)) == _dump(H.parse_stdlib(src)), src
+
+
+def test_location_paths_take_the_first_result_over_all_matches(spark):
+    # the first matching span has no text: XPath's (span[...]/text())[1] comes from the second
+    html = article().replace('<span class="article-type">原创</span>',
+                             '<span class="article-type"><i></i></span><span class="article-type">转载</span>')
+    r = X.article_detail(_pages(spark, [("https://x.net/a", html)])).first()
+    assert (r.nature, r.reject_reason) == ("转载", None)
+    prof = profile().replace('<div class="profile-intro">',
+                             '<div class="profile-intro"><div class="user-info"><span>no link</span></div></div>'
+                             '<div class="profile-intro">')
+    r = X.user_profile(_pages(spark, [("https://blog.x.net/u", prof)])).first()
+    assert (r.name, r.reject_reason) == ('Ann "Q"', None)

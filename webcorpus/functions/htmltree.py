@@ -367,6 +367,49 @@ def child(node, tag, i=1, pred=None):
     return nth(kids, i)
 
 
+def select(node, *steps):
+    """All nodes reached by a chain of child steps, in document order, as
+    an XPath location path selects them: each step is ``tag`` or ``(tag,
+    i)`` or ``(tag, i, pred)`` (``i`` 1-based among the matching children
+    of each parent, -1 = ``last()``, None = all)."""
+    cur = [] if node is None else [node]
+    for st in steps:
+        tag, i, pred = (st, None, None) if isinstance(st, str) else (tuple(st) + (None, None))[:3]
+        nxt = []
+        for n in cur:
+            kids = [k for k in n.elements(tag) if pred is None or pred(k)]
+            if i is None:
+                nxt.extend(kids)
+            else:
+                k = nth(kids, i)
+                if k is not None:
+                    nxt.append(k)
+        cur = nxt
+    return cur
+
+
+def first(nodes):
+    return nodes[0] if nodes else None
+
+
+def first_text_in(nodes):
+    """``(...)/text()[1]`` over a node list: the first direct text node of
+    any of them, in order."""
+    for n in nodes:
+        t = n.texts()
+        if t:
+            return t[0]
+    return None
+
+
+def first_attr(nodes, name):
+    """``(...)/@name[1]``: the attribute of the first node that has it."""
+    for n in nodes:
+        if name in n.attrs:
+            return n.attrs[name]
+    return None
+
+
 def path(node, *steps):
     """Follow ``(tag, i)`` or ``(tag, i, pred)`` child steps; None if any is missing."""
     for st in steps:

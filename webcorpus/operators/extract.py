@@ -197,11 +197,11 @@ def _feed_parse(url, root, html):
     for i, li in enumerate(items):
         try:
             div = need(H.child(li, "div", 1, lambda n: n.has_class(FEED_BODY_CLASS_HAS)), "list_con")
-            a = need(H.path(div, ("div", 1, lambda n: n.get("class") == FEED_TITLE_CLASS_IS), "h2", "a"), "title link")
-            art = need(a.get("href"), "article href")
-            ua = need(H.path(div, ("dl", 1, lambda n: n.get("class") == FEED_USERBAR_CLASS_IS),
-                             ("dd", 1, lambda n: n.get("class") == FEED_NAME_CLASS_IS), "a"), "user link")
-            usr = need(ua.get("href"), "user href")
+            art = need(H.first_attr(H.select(div, ("div", None, lambda n: n.get("class") == FEED_TITLE_CLASS_IS),
+                                             "h2", "a"), "href"), "title link")
+            usr = need(H.first_attr(H.select(div, ("dl", None, lambda n: n.get("class") == FEED_USERBAR_CLASS_IS),
+                                             ("dd", None, lambda n: n.get("class") == FEED_NAME_CLASS_IS), "a"),
+                                    "href"), "user link")
         except Reject as e:
             yield _item_reject(i, e)
             continue
@@ -220,17 +220,10 @@ def feed_links(pages: DataFrame, **kw) -> DataFrame:
 
 def _profile_parse(url, root, html):
     profile = need(H.find(root, None, lambda n: n.get("id") == PROFILE_ID), "asideProfile")
-    intro = H.child(profile, "div", 1, lambda n: n.has_class(PROFILE_INTRO_CLASS_HAS))
-    info = H.child(intro, "div", 1, lambda n: n.has_class(PROFILE_USER_CLASS_HAS))
-    name = None
-    for span in H.find_all(info, "span"):
-        for a in span.elements("a"):
-            name = H.first_text(a)
-            if name is not None:
-                break
-        if name is not None:
-            break
-    need(name, "name")
+    infos = H.select(profile, ("div", None, lambda n: n.has_class(PROFILE_INTRO_CLASS_HAS)),
+                     ("div", None, lambda n: n.has_class(PROFILE_USER_CLASS_HAS)))
+    spans = [sp for info in infos for sp in H.find_all(info, "span")]
+    name = need(H.first_text_in([a for sp in spans for a in sp.elements("a")]), "name")
     data = need(H.child(profile, "div", 1, lambda n: n.has_class(PROFILE_DATA_CLASS_HAS)), "data-info")
     dls = data.elements("dl")
 
@@ -325,7 +318,7 @@ def _followee_parse(url, root, html):
     items = [li for b in boxes for ul in b.elements("ul") for li in ul.elements("li")]
     for i, li in enumerate(items):
         try:
-            href = need(need(H.child(li, "a"), "a").get("href"), "href")
+            href = need(H.first_attr(H.select(li, "a"), "href"), "a")
         except Reject as e:
             yield _item_reject(i, e)
             continue
@@ -349,7 +342,7 @@ def _article_list_parse(url, root, html):
     items = [d for b in boxes for d in b.elements("div") if d.has_class(ARTICLE_BOX_CLASS_HAS)]
     for i, box in enumerate(items):
         try:
-            href = need(need(H.path(box, "h4", "a"), "h4/a").get("href"), "href")
+            href = need(H.first_attr(H.select(box, "h4", "a"), "href"), "h4/a")
         except Reject as e:
             yield _item_reject(i, e)
             continue
@@ -362,24 +355,27 @@ def article_list_links(pages: DataFrame, **kw) -> DataFrame:
 
 
 def _article_parse(url, root, html):
-    main_box = need(H.find(root, None, lambda n: n.get("id") == MAIN_BOX_ID), "mainBox")
-    box = need(H.path(main_box, "main", ("div", 1)), "main box")
-    header = need(H.child(box, "div", 1), "header")
-    title_box = need(H.path(header, ("div", 1), ("div", 1)), "title box")
-    nature = need(H.first_text(H.child(title_box, "span", 1, lambda n: n.has_class(ARTICLE_TYPE_CLASS_HAS))),
+    mains = [m for mb in H.find_all(root, None, lambda n: n.get("id") == MAIN_BOX_ID) for m in mb.elements("main")]
+    box = need(H.first([d for m in mains for d in H.select(m, ("div", 1))]), "main box")
+    header = need(H.first(H.select(box, ("div", 1))), "header")
+    title_box = need(H.first(H.select(header, ("div", 1), ("div", 1))), "title box")
+    nature = need(H.first_text_in(H.select(title_box, ("span", None, lambda n: n.has_class(ARTICLE_TYPE_CLASS_HAS)))),
                   "article type")
-    title = need(H.first_text(H.child(title_box, "h1")), "h1")
-    info = need(H.path(header, ("div", 1), ("div", 2)), "info box")
-    line = H.child(info, "div", 1)
-    ctime = need(H.first_text(H.child(line, "span", 1, lambda n: n.get("class") == TIME_CLASS_IS)), "time")
-    rc = need(H.first_text(H.child(line, "span", 1, lambda n: n.get("class") == READ_COUNT_CLASS_IS)), "read count")
-    uname = need(H.first_text(H.child(line, "a")), "user name")
-    body = need(H.path(box, "article", ("div", 1), ("div", 1, lambda n: n.get("id") == CONTENT_ID)),
+    title = need(H.first_text_in(H.select(title_box, "h1")), "h1")
+    info = need(H.first(H.select(header, ("div", 1), ("div", 2))), "info box")
+    line = H.select(info, ("div", 1))
+    ctime = need(H.first_text_in([sp for ln in line for sp in H.select(ln, ("span", None, lambda n: n.get("class") == TIME_CLASS_IS))]), "time")
+    rc = need(H.first_text_in([sp for ln in line
+                               for sp in H.select(ln, ("span", None, lambda n: n.get("class") == READ_COUNT_CLASS_IS))]),
+              "read count")
+    uname = need(H.first_text_in([a for ln in line for a in H.select(ln, "a")]), "user name")
+    body = need(H.first(H.select(box, "article", ("div", 1), ("div", None, lambda n: n.get("id") == CONTENT_ID))),
                 "content_views")
-    menu = need(H.child(H.find(root, None, lambda n: _cls(n).startswith(TOOL_BOX_CLASS_STARTS)), "ul"),
-                "tool-box")
-    praises = need(H.path(menu, ("li", 1), "button", "p"), "praises")
-    comments = need(H.path(menu, ("li", 3), "a", "p"), "comments")
+    menus = [ul for tb in H.find_all(root, None, lambda n: _cls(n).startswith(TOOL_BOX_CLASS_STARTS))
+             for ul in tb.elements("ul")]
+    menu = need(H.first(menus), "tool-box")
+    praises = need(H.first(H.select(menu, ("li", 1), "button", "p")), "praises")
+    comments = need(H.first(H.select(menu, ("li", 3), "a", "p")), "comments")
     yield {"title": title, "create_time": ctime, "read_count_text": rc, "nature": nature,
            "content": body.markup(html), "praises": praises.text, "comments_raw": need(comments.text, "comments text"),
            "user_name": uname}
