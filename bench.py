@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints ONE JSON line on stdout.
 
 Env: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8).  Every query runs to completion through the ``noop`` sink, so
+(default 8), ``BENCH_EVENT_LOG_DIR`` (optional: write Spark's event log
+there for stage and task times).  Every query runs to completion through the ``noop`` sink, so
 the full result is computed but nothing is collected to the driver.
 """
 
@@ -27,8 +28,11 @@ def main():
     from webcorpus.plans.queries import QUERIES
     from webcorpus.session import build_session
 
-    spark = build_session(f"local[{cpus}]", app="webcorpus-bench", shuffle_partitions=cpus,
-                          extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
+    extra = {"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # stage/task times, read offline (no UI)
+    if event_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+    spark = build_session(f"local[{cpus}]", app="webcorpus-bench", shuffle_partitions=cpus, extra=extra)
     # Untimed warm-up: every headline query once on the smallest tables
     # (different data, same code paths), so the timings below measure
     # steady-state throughput rather than JIT compilation and Python
