@@ -148,7 +148,7 @@ def article_list_pages(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     link = F.when(k % 9 == 0, F.lit("<h5>no link</h5>")).otherwise(
         F.concat(F.lit('<h4><a href="'), article_url("o_custkey", k), F.lit('">t</a></h4>')))
-    item = F.concat(F.lit('<div class="article-item-box csdn-tracking-statistics">'), link, F.lit("</div>"))
+    item = F.concat(F.lit('<div class="article-item-box tracked">'), link, F.lit("</div>"))
     return _grouped(orders, "o_orderkey", item, '<html><body><div class="article-list">', "</div></body></html>")
 
 
