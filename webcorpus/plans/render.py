@@ -98,9 +98,9 @@ def article_pages(orders: DataFrame) -> DataFrame:
         nature, F.lit("</span>"), h1, F.lit('</div><div class="article-info-box"><div class="article-bar-top">'
                                             '<span class="time">'),
         s(F.col("o_orderdate").cast("date")), F.lit('</span><span class="read-count">'), rc_label, s(k * 37 % 1000),
-        F.lit('</span><a class="follow-nickName" href="#">u'), s("o_custkey"), F.lit("</a></div></div></div></div>"),
-        F.lit('<article class="baidu_pl"><div class="article_content">'), content_markup(), F.lit("</div></article>"),
-        F.lit('</div></main></div><div class="tool-box vertical"><ul class="meau-list"><li><button><p>'),
+        F.lit('</span><a class="author" href="#">u'), s("o_custkey"), F.lit("</a></div></div></div></div>"),
+        F.lit('<article class="post"><div class="article_content">'), content_markup(), F.lit("</div></article>"),
+        F.lit('</div></main></div><div class="tool-box vertical"><ul class="menu-list"><li><button><p>'),
         s(F.col("o_custkey") % 100), F.lit("</p></button></li><li>x</li><li><a href=\"#\"><p>"), comments,
         F.lit("</p></a></li></ul></div></body></html>"))
     return orders.select(k.alias("page_id"), article_url("o_custkey", k).alias("url"), html.alias("html"))
