@@ -77,9 +77,9 @@ def wholetext_scan(spark, sf_dir):
 
 def sql_single_row(spark, sf_dir):
     """SQL pass-through that must return exactly one row."""
-    _t(spark, sf_dir, "pages").createOrReplaceTempView("pages")
+    _t(spark, sf_dir, "pages").createOrReplaceTempView("webcorpus_pages")
     return S.sql_single_row(spark, "SELECT count(*) AS n_pages, count(DISTINCT url) AS n_urls, "
-                                   "sum(length(html)) AS n_chars FROM pages")
+                                   "sum(length(html)) AS n_chars FROM webcorpus_pages")
 
 
 # -- URL, number and key-value rules ----------------------------------------
@@ -383,15 +383,22 @@ def rekey_visited(spark, sf_dir):
 
 
 def _frontier(spark, sf_dir):
-    p = _t(spark, sf_dir, "pages")
-    pages = p.select(F.lit("blog").alias("meta"), "url", (F.col("page_id") * 1000).alias("seq"))
-    follows = p.select(F.lit("user").alias("meta"), U.follow_url("url").alias("url"),
-                       (F.col("page_id") * 1000).alias("seq"))
-    links = p.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1))
-                     .alias("pos", "href"))
-    targets = links.select(F.lit("blog").alias("meta"), U.resolve_url("url", "href").alias("url"),
-                           (F.col("page_id") * 1000 + F.col("pos") + 1).alias("seq"))
-    return V.frontier_union(pages, follows, targets)
+    """Three producers from one scan of the pages: the page itself (set
+    ``blog``), its author's follow page (set ``user``) and every link
+    target (set ``blog``), each with an arrival order ``seq``."""
+    p = _t(spark, sf_dir, "pages").select("page_id", "url", "html")
+    seq = F.col("page_id") * 1000
+
+    def item(meta, kind, raw, order):
+        return F.struct(F.lit(meta).alias("meta"), F.lit(kind).alias("kind"), raw.alias("raw"), order.alias("seq"))
+    own = F.array(item("blog", "page", F.col("url"), seq), item("user", "follow", F.col("url"), seq))
+    links = F.transform(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1),
+                        lambda h, i: item("blog", "link", h, seq + i + 1))
+    items = p.select("url", F.explode(F.concat(own, links)).alias("it")).select("url", "it.*")
+    url = (F.when(F.col("kind") == "page", F.col("raw"))
+            .when(F.col("kind") == "follow", U.follow_url("raw"))
+            .otherwise(U.resolve_url("url", "raw")))
+    return V.frontier_union(items.select("meta", url.alias("url"), "seq"))
 
 
 def frontier_union(spark, sf_dir):
