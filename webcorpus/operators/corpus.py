@@ -20,7 +20,7 @@ CORPUS_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()),
 def strip_markup(df: DataFrame, text_col: str = "html", id_col: str = "page_id",
                  out_col: str = "text") -> DataFrame:
     """T1-T3 over whole documents (no line explode, so no ordering work)."""
-    return spread(df.select(id_col, text_col)).select(F.col(id_col), TX.strip_markup(text_col).alias(out_col))
+    return spread(df.select(id_col, text_col), id_col).select(F.col(id_col), TX.strip_markup(text_col).alias(out_col))
 
 
 def drop_blank(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -40,7 +40,7 @@ def drop_blank(df: DataFrame, text_col: str = "text") -> DataFrame:
 def sentence_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per sentence ``(id, sent_no, sentence)``, ``sent_no``
     dense from 0 in text order."""
-    return spread(df.select(id_col, text_col)).select(
+    return spread(df.select(id_col, text_col), id_col).select(
         F.col(id_col), F.posexplode(TX.sentences(text_col)).alias("sent_no", "sentence"))
 
 

@@ -96,7 +96,7 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
 
     src = pages.select(F.col(id_col).cast("long").alias("page_id"),
                        F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return (spread(src) if spread_input else src).mapInPandas(run, schema)
+    return (spread(src, "page_id") if spread_input else src).mapInPandas(run, schema)
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

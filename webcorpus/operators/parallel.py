@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give a CPU-bound stage at least one busy task per core.
 
     A big input (at least as many files as cores) keeps its scan
@@ -16,6 +16,7 @@ def spread(df: DataFrame) -> DataFrame:
     parsing work per row, and an explicit partition count is not coalesced
     away by AQE.  Streams are left as they are (micro-batches are bounded).
     ``inputFiles()`` only consults the file index; nothing is executed.
+    ``key``: a column unique per row (page or document id), if there is one.
 
     Trade-off: a mid-size input made of fewer (but large, multi-row-group)
     files than cores is spread too, costing one extra shuffle of it --
@@ -30,4 +31,9 @@ def spread(df: DataFrame) -> DataFrame:
         n_files = len(df.inputFiles())
     except Exception:
         return df
-    return df if n_files >= want else df.repartition(want)
+    if n_files >= want:
+        return df
+    # With a unique id the rows are hash-partitioned on it: balanced, and a
+    # retried task recomputes the same assignment without the per-row sort
+    # Spark puts before a round-robin repartition to make it deterministic.
+    return df.repartition(want, key) if key else df.repartition(want)

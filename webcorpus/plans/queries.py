@@ -194,7 +194,7 @@ def feed_links(spark, sf_dir):
 def user_profile(spark, sf_dir):
     """X3 + X4 RT on profiles rendered from customers."""
     # one page per row: spread the narrow rows first, so pages render in parallel
-    return X.user_profile(RD.profile_pages(spread(_t(spark, sf_dir, "customer"))), spread_input=False)
+    return X.user_profile(RD.profile_pages(spread(_t(spark, sf_dir, "customer"), "c_custkey")), spread_input=False)
 
 
 def page_count(spark, sf_dir):
@@ -220,7 +220,7 @@ def article_list_links(spark, sf_dir):
 def article_detail(spark, sf_dir):
     """X7 + X8 + T5 + M3 RT on article pages rendered from orders."""
     # one page per row: spread the narrow rows first, so pages render in parallel
-    return X.article_detail(RD.article_pages(spread(_t(spark, sf_dir, "orders"))), spread_input=False)
+    return X.article_detail(RD.article_pages(spread(_t(spark, sf_dir, "orders"), "o_orderkey")), spread_input=False)
 
 
 def read_count(spark, sf_dir):
