@@ -179,3 +179,13 @@ def test_location_paths_take_the_first_result_over_all_matches(spark):
                              '<div class="profile-intro">')
     r = X.user_profile(_pages(spark, [("https://blog.x.net/u", prof)])).first()
     assert (r.name, r.reject_reason) == ('Ann "Q"', None)
+
+
+def test_tag_probe_skips_only_pages_without_the_element(spark):
+    pages = [("u", "<p>no nav here</p>"), ("u", "<NAV\n><ul><li>x</li><li><a href='/a'>A</a></li></ul></nav>"),
+             ("u", "<navbar>not a nav</navbar>"), ("u", None), ("u", "<h1>t</h1>")]
+    nav = X.nav_links(_pages(spark, pages), nav_id=None).collect()
+    assert [(r.page_id, r.href) for r in nav] == [(1, "/a")]
+    titles = {r.page_id: (r.title, r.reject_reason) for r in X.article_titles(_pages(spark, pages)).collect()}
+    assert titles == {0: (None, "missing h1"), 1: (None, "missing h1"), 2: (None, "missing h1"),
+                      3: (None, "missing h1"), 4: ("t", None)}

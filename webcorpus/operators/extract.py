@@ -16,6 +16,7 @@ Catalyst cannot push predicates through ``mapInPandas``.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from typing import Callable, Iterable
 
@@ -46,6 +47,16 @@ class Rule:
     name: str
     fields: T.StructType
     parse: Callable[[str, H.Node, str], Iterable[dict]]
+    # An element the rule cannot do without: a page with no such start tag
+    # is not parsed at all -- it yields nothing, or the page-level reject
+    # ``missing_reason``.  Exact: tag names cannot be entity-encoded.
+    required_tag: str | None = None
+    missing_reason: str | None = None
+
+
+def _tag_probe(tag):
+    # a start tag as html.parser reads it: '<' + name + a name terminator
+    return re.compile(r"<%s[\t\n\r\f />\x00]" % re.escape(tag), re.I).search if tag else None
 
 
 def output_schema(rule: Rule) -> T.StructType:
@@ -65,6 +76,7 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
     names = [f.name for f in rule.fields.fields]
     cols = ["page_id", "url", "pos"] + names + ["reject_reason"]
     parse = rule.parse
+    probe, missing = _tag_probe(rule.required_tag), rule.missing_reason
 
     def run(batches):
         for pdf in batches:
@@ -80,6 +92,10 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
 
             for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
                 pid = None if pd.isna(pid) else int(pid)
+                if probe is not None and (html is None or probe(html) is None):
+                    if missing:
+                        emit(pid, url, None, None, missing)
+                    continue
                 try:
                     root = H.parse(html)
                     for pos, rec in enumerate(parse(url, root, html or "")):
@@ -186,7 +202,7 @@ def nav_links(pages: DataFrame, nav_id: str | None = NAV_ID, **kw) -> DataFrame:
     ``watchers`` dropped); ``target`` resolved against the page URL unless
     the href names one of the unresolved sections.  ``nav_id=None`` takes
     every ``nav``."""
-    df = extract(pages, Rule("nav", NAV_FIELDS, _nav_rule(nav_id)), **kw)
+    df = extract(pages, Rule("nav", NAV_FIELDS, _nav_rule(nav_id), required_tag="nav"), **kw)
     return df.withColumn("target", F.when(F.col("reject_reason").isNull(),
                                           U.nav_target(F.col("url"), F.col("href"))))
 
@@ -418,7 +434,7 @@ TITLE_FIELDS = T.StructType([T.StructField("title", T.StringType())])
 
 def article_titles(pages: DataFrame, **kw) -> DataFrame:
     """First direct text of the first ``h1`` of every page."""
-    return extract(pages, Rule("titles", TITLE_FIELDS, _title_parse), **kw)
+    return extract(pages, Rule("titles", TITLE_FIELDS, _title_parse, "h1", "missing h1"), **kw)
 
 
 def _table_parse(url, root, html):
@@ -434,4 +450,4 @@ TABLE_FIELDS = T.StructType([T.StructField("cells", T.ArrayType(T.StringType()))
 
 def html_table_rows(pages: DataFrame, **kw) -> DataFrame:
     """Every ``tr`` after the first as an array of its ``td`` texts."""
-    return extract(pages, Rule("table", TABLE_FIELDS, _table_parse), **kw)
+    return extract(pages, Rule("table", TABLE_FIELDS, _table_parse, required_tag="tr"), **kw)
