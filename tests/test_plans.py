@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 # queries whose functions run actions (writes, loops, streams) are left out
 ACTIONS = {"json_corpus", "wholetext_scan", "article_info_append", "user_info_append", "mark_after_write",
            "crawl_closure", "stream_extract", "stream_first_seen", "stream_left_anti", "crawl_articles",
-           "crawl_visited", "sql_single_row", "corpus_tokens", "visited_refresh"}
+           "crawl_visited", "sql_single_row", "corpus_tokens", "visited_refresh", "wholetext_lines"}
 
 
 def plan_of(df):

@@ -158,6 +158,8 @@ ORACLE = {
                   "WHERE text IS NOT NULL AND trim(text) <> ''",
     "json_corpus": f"SELECT doc_id, text FROM (SELECT doc_id, {STRIP_MARKUP('text')} AS text FROM documents) "
                    "WHERE text IS NOT NULL AND trim(text) <> ''",
+    "wholetext_lines": "SELECT unnest(string_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10))) AS line "
+                       "FROM documents",
     "sql_single_row": "SELECT count(*) AS n_pages, count(DISTINCT url) AS n_urls, "
                       "CAST(sum(length(html)) AS BIGINT) AS n_chars FROM pages",
     "visit_key": f"SELECT page_id, url, {KEY('url')} AS key FROM pages WHERE {ELIGIBLE('url')}",

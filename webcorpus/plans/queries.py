@@ -75,6 +75,20 @@ def wholetext_scan(spark, sf_dir):
     return S.read_text_files(spark, path)
 
 
+def wholetext_lines(spark, sf_dir):
+    """S5/S6 check: the text files written from ``documents`` read back
+    whole and split into lines.  However the documents were grouped into
+    files, the multiset of lines equals that of all documents' lines."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "text_lines")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs.repartition(n, "doc_id").select("text").write.mode("overwrite").text(path)
+    files = S.read_text_files(spark, path)
+    # every file ends with the writer's newline: drop it, then split
+    body = F.regexp_replace("text", r"\n\z", "")
+    return files.where(F.col("text") != "").select(F.explode(F.split(body, "\n")).alias("line"))
+
+
 def sql_single_row(spark, sf_dir):
     """SQL pass-through that must return exactly one row."""
     _t(spark, sf_dir, "pages").createOrReplaceTempView("webcorpus_pages")
@@ -512,6 +526,7 @@ QUERIES = {
     "drop_blank": drop_blank,
     "json_corpus": json_corpus,
     "wholetext_scan": wholetext_scan,
+    "wholetext_lines": wholetext_lines,
     "sql_single_row": sql_single_row,
     "visit_key": visit_key,
     "follow_url": follow_url,
