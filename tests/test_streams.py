@@ -1,7 +1,6 @@
 """Streams: same result as batch, several micro-batches, restart from the
 checkpoint without duplicates."""
 
-import os
 
 from pyspark.sql import functions as F
 

@@ -5,7 +5,6 @@ import io
 import random
 import re
 
-from pyspark.sql import functions as F
 
 from webcorpus.functions import text as TX
 from webcorpus.operators import corpus as C
