@@ -12,8 +12,10 @@ from __future__ import annotations
 # -- shared fragments -----------------------------------------------------------
 
 def UNESC(x: str) -> str:
-    return (f"replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), "
-            f"'&quot;', '\"'), '&#39;', ''''), '&amp;', '&')")
+    # HTML5 decoding: these references are also read without their ';'
+    return (f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, "
+            f"'&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '\"', 'g'), '&#39;?', '''', 'g'), "
+            f"'&amp;?', '&', 'g')")
 
 
 def ORIGIN(u: str) -> str:
