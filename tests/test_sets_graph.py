@@ -158,3 +158,20 @@ def test_skewed_inputs_stay_exact(spark):
                                  "title string, page_id int, content string")
     last = {r.title: (r.page_id, r.content) for r in C.last_by_title(docs).collect()}
     assert last["same"] == (999, "c999") and len(last) == 2001
+
+
+def test_list_pages_in_bounded_chunks(spark):
+    from webcorpus.functions import urls as U
+    df = spark.createDataFrame([("u", 25_003), ("v", 0), ("w", 1), ("x", None), ("y", 3)], "url string, n long")
+    rows = G.list_pages(df, "url", "n", chunk=1000).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.url, []).append(r.page_no)
+    assert sorted(got["u"]) == list(range(1, 25_004)) and "v" not in got and "x" not in got
+    assert sorted(got["y"]) == [1, 2, 3] and got["w"] == [1]
+    assert all(r.list_url == f"{r.url}/article/list/{r.page_no}" for r in rows)
+    excl = G.list_pages(df, "url", "n", include_last=False, chunk=1000)
+    small = df.where("n < 100").select("url", F.explode(U.list_page_urls("url", "n", include_last=False)).alias("list_url"))
+    assert excl.where("n < 100").select("url", "list_url").exceptAll(small).count() == 0
+    assert small.exceptAll(excl.where("n < 100").select("url", "list_url")).count() == 0
+    assert excl.where("url = 'u'").count() == 25_002

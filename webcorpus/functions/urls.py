@@ -145,8 +145,10 @@ def nav_target(base, href) -> Column:
 
 def list_page_urls(user_url, page_count, include_last: bool = True) -> Column:
     """``user_url/article/list/i`` for i in 1..n (``include_last``) or
-    1..n-1 (the reference's loop).  Returns ``ARRAY<STRING>``; empty when
-    there are no pages.  ``sequence(1, 0)`` counts down in Spark, hence the
+    1..n-1 (the original loop).  Returns ``ARRAY<STRING>``; empty when
+    there are no pages.  The whole array lives in one row: for unbounded
+    counts use ``operators.frontier.list_pages``, which expands in
+    bounded chunks spread over tasks.  ``sequence(1, 0)`` counts down in Spark, hence the
     ``greatest`` guard and the filter."""
     n = _c(page_count)
     hi = n if include_last else n - 1

@@ -121,13 +121,37 @@ def article_list_edges(lists: DataFrame) -> DataFrame:
                              F.lit("article").alias("kind"))
 
 
+def list_pages(df: DataFrame, url_col: str, count_col: str, include_last: bool = True,
+               chunk: int = 10_000) -> DataFrame:
+    """X10 as rows: ``df`` plus ``page_no`` (1..n, or 1..n-1 without the
+    last page) and ``list_url`` = ``<url>/article/list/<page_no>``.
+
+    Expanded in two levels so no row ever holds more than ``chunk`` page
+    numbers: first one row per chunk of page numbers, hash-distributed so
+    the chunks of one huge author spread over many tasks, then each chunk
+    expands to its pages.  (``sequence(1, n)`` in one row would put an
+    author holding a third of all articles into one array in one task.)"""
+    n = F.col(count_col).cast("long")
+    hi = F.greatest(F.coalesce(n if include_last else n - 1, F.lit(0)), F.lit(0))
+    n_chunks = F.ceil(hi / F.lit(chunk)).cast("long")
+    chunk_ids = F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(n_chunks - 1, F.lit(0).cast("long"))),
+                         lambda c: c < n_chunks)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = (df.withColumn("_hi", hi).withColumn("_chunk", F.explode(chunk_ids))
+                .repartition(parts, F.col(url_col), F.col("_chunk")))
+    lo = F.col("_chunk") * chunk + 1
+    top = F.least(F.col("_chunk") * chunk + chunk, F.col("_hi"))
+    pages = chunks.withColumn("page_no", F.explode(F.sequence(lo, top)))
+    return (pages.withColumn("list_url", F.concat(F.col(url_col), F.lit("/article/list/"),
+                                                  F.col("page_no").cast("string")))
+                 .drop("_hi", "_chunk"))
+
+
 def list_page_edges(profiles: DataFrame, include_last: bool = True) -> DataFrame:
     """G2 + X10: author page -> each of its article list pages."""
-    from ..functions.urls import list_page_urls
-    ok = _ok(profiles)
-    return ok.select(F.col("url").alias("src_url"),
-                     F.explode(list_page_urls("url", "page_count", include_last)).alias("dst_url"),
-                     F.lit("list").alias("kind"))
+    ok = _ok(profiles).select("url", "page_count")
+    return list_pages(ok, "url", "page_count", include_last).select(
+        F.col("url").alias("src_url"), F.col("list_url").alias("dst_url"), F.lit("list").alias("kind"))
 
 
 def link_edges(*parts: DataFrame) -> DataFrame:

@@ -144,10 +144,10 @@ def list_page_urls(spark, sf_dir):
     """M2 + X10: article list pages of every author (orders per customer,
     ``c_nationkey % 10`` per page, 0 -> no pages), last page included."""
     c = _orders_per_customer(spark, sf_dir)
-    pc = N.ceil_div("n_orders", F.col("c_nationkey") % 10)
-    urls = U.list_page_urls(RD.user_url("c_custkey"), F.coalesce(pc, F.lit(0)))
-    return c.select("c_custkey", F.posexplode(urls).alias("page_no", "list_url")) \
-        .withColumn("page_no", (F.col("page_no") + 1).cast("int"))
+    authors = c.select("c_custkey", RD.user_url("c_custkey").alias("user_url"),
+                       F.coalesce(N.ceil_div("n_orders", F.col("c_nationkey") % 10), F.lit(0)).alias("n_pages"))
+    return G.list_pages(authors, "user_url", "n_pages").select(
+        "c_custkey", F.col("page_no").cast("int").alias("page_no"), "list_url")
 
 
 def kv_map(spark, sf_dir):
