@@ -1,9 +1,9 @@
 """URL rules: visit keys, eligibility, follow-page URLs, resolution.
 
-Everything is a native expression except ``resolve_url``'s general case,
-which calls stdlib ``urljoin`` through an Arrow-batched pandas UDF.  Rows
-the native fast path can answer are sent to the UDF as nulls, so the
-Python side does no work for them.
+Everything is a native expression except the unusual cases of
+``resolve_url`` and ``follow_url``, which call stdlib ``urljoin`` through
+an Arrow-batched pandas UDF.  Rows the native fast path can answer are
+sent to the UDF as nulls, so the Python side does no work for them.
 """
 
 from __future__ import annotations
@@ -148,8 +148,8 @@ def list_page_urls(user_url, page_count, include_last: bool = True) -> Column:
     1..n-1 (the original loop).  Returns ``ARRAY<STRING>``; empty when
     there are no pages.  The whole array lives in one row: for unbounded
     counts use ``operators.frontier.list_pages``, which expands in
-    bounded chunks spread over tasks.  ``sequence(1, 0)`` counts down in Spark, hence the
-    ``greatest`` guard and the filter."""
+    bounded chunks spread over tasks.  ``sequence(1, 0)`` counts down in
+    Spark, hence the ``greatest`` guard and the filter."""
     n = _c(page_count)
     hi = n if include_last else n - 1
     seq = F.sequence(F.lit(1), F.greatest(hi, F.lit(1)))
