@@ -116,9 +116,10 @@ def resolve_url(spark, sf_dir):
     p = _t(spark, sf_dir, "pages")
     links = p.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1))
                      .alias("pos", "href"))
-    both = links.select("page_id", "url", "pos", F.lit("rooted").alias("form"), "href").unionByName(
-        links.select("page_id", "url", "pos", F.lit("relative").alias("form"),
-                     F.regexp_replace("href", "^/", "").alias("href")))
+    # both forms from one scan of the pages (a union would read the HTML twice)
+    forms = F.array(F.struct(F.lit("rooted").alias("form"), F.col("href").alias("href")),
+                    F.struct(F.lit("relative").alias("form"), F.regexp_replace("href", "^/", "").alias("href")))
+    both = links.select("page_id", "url", "pos", F.explode(forms).alias("f")).select("page_id", "url", "pos", "f.*")
     return both.withColumn("resolved", U.resolve_url("url", "href"))
 
 
