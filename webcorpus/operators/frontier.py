@@ -102,11 +102,11 @@ def _ok(df: DataFrame) -> DataFrame:
 
 def feed_edges(feed: DataFrame) -> DataFrame:
     """Feed page -> article and feed page -> author."""
-    ok = _ok(feed)
-    return (ok.select(F.col("url").alias("src_url"), F.col("article_href").alias("dst_url"),
-                      F.lit("article").alias("kind"))
-              .unionByName(ok.select(F.col("url").alias("src_url"), F.col("user_href").alias("dst_url"),
-                                     F.lit("author").alias("kind"))))
+    # both edges of an item from one pass (a union would run the extraction twice)
+    both = F.array(F.struct(F.col("article_href").alias("dst_url"), F.lit("article").alias("kind")),
+                   F.struct(F.col("user_href").alias("dst_url"), F.lit("author").alias("kind")))
+    return _ok(feed).select(F.col("url").alias("src_url"), F.explode(both).alias("e")) \
+        .select("src_url", "e.dst_url", "e.kind")
 
 
 def followee_edges(followees: DataFrame) -> DataFrame:

@@ -40,10 +40,11 @@ def severity_route(records: DataFrame, level_col: str = "level", error_value: st
     gives the reference's actual wiring, where the main sink also receives
     the error records (one extra row per error)."""
     is_err = F.coalesce(F.col(level_col).rlike("(?i)^\\Q" + error_value + "\\E$"), F.lit(False))
-    routed = records.withColumn("sink", F.when(is_err, F.lit("error")).otherwise(F.lit("main")))
-    if tee_all:
-        routed = routed.unionByName(records.where(is_err).withColumn("sink", F.lit("main")))
-    return routed
+    if not tee_all:
+        return records.withColumn("sink", F.when(is_err, F.lit("error")).otherwise(F.lit("main")))
+    # error records go to both sinks, in one pass over the input
+    sinks = F.when(is_err, F.array(F.lit("error"), F.lit("main"))).otherwise(F.array(F.lit("main")))
+    return records.withColumn("sink", F.explode(sinks))
 
 
 def write_sinks(routed: DataFrame, path: str, mode: str = "append") -> None:

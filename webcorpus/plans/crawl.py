@@ -6,9 +6,10 @@
 
 First-seen and the challenge test run *before* the parse: Catalyst cannot
 push filters through ``mapInPandas``, so only new content pages reach the
-Python stage.  The extraction output feeds two sinks, so it is persisted
-(memory and disk) for the two writes and released afterwards; a lost
-executor's blocks are recomputed from lineage.  One shuffle, at D1.
+Python stage.  The routed batch and the extraction output each feed more
+than one sink, so both are persisted (memory and disk) for the writes and
+released afterwards: the pages are read and parsed once.  A lost
+executor's blocks are recomputed from lineage.
 """
 
 from __future__ import annotations
@@ -44,18 +45,20 @@ def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPath
     pruning), so the cost is that of the batch, not of everything stored.
     Returns the *new* visited keys (K3: only keys whose record is stored).
     """
-    routed = R.challenge_split(pages, marker, max_attempts)
-    routed.where(F.col("route") == "retry").select("page_id", "url", F.col("next_attempt").alias("attempt")) \
-        .withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("batch").parquet(paths.retry)
-    challenged_out = routed.where(F.col("route") == "reject").select(
-        "url", F.lit("fetch").alias("stage"), F.lit("challenge page").alias("reason"),
-        F.col("next_attempt").alias("attempt"))
-
-    content = routed.where(F.col("route") == "content").select("page_id", "url", "html")
-    fresh = V.first_seen_rows(V.keyed(content, "url", meta), visited, "page_id")
-    extracted = X.article_detail(fresh.select("page_id", "url", "html")).persist(StorageLevel.MEMORY_AND_DISK)
+    # the batch feeds three writes (retries, records, rejects): read it once
+    routed = R.challenge_split(pages, marker, max_attempts).persist(StorageLevel.MEMORY_AND_DISK)
+    extracted = None
     try:
+        routed.where(F.col("route") == "retry").select("page_id", "url", F.col("next_attempt").alias("attempt")) \
+            .withColumn("batch", F.lit(batch_id)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(paths.retry)
+        challenged_out = routed.where(F.col("route") == "reject").select(
+            "url", F.lit("fetch").alias("stage"), F.lit("challenge page").alias("reason"),
+            F.col("next_attempt").alias("attempt"))
+
+        content = routed.where(F.col("route") == "content").select("page_id", "url", "html")
+        fresh = V.first_seen_rows(V.keyed(content, "url", meta), visited, "page_id")
+        extracted = X.article_detail(fresh.select("page_id", "url", "html")).persist(StorageLevel.MEMORY_AND_DISK)
         ok, _ = X.split_rejects(extracted)
         (ok.select(*X.ARTICLE_COLUMNS).to(ARTICLE_SCHEMA).withColumn("batch", F.lit(batch_id))
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -64,7 +67,9 @@ def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPath
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("batch").parquet(paths.rejects))
     finally:
-        extracted.unpersist()
+        if extracted is not None:
+            extracted.unpersist()
+        routed.unpersist()
     stored_now = pages.sparkSession.read.parquet(paths.articles).where(F.col("batch") == batch_id)
     return V.keyed(stored_now.select("url"), "url", meta).select(*V.SET_COLS).distinct()
 
