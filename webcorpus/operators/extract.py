@@ -116,7 +116,9 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good records without the reason column, rejects(url, stage, reason))."""
+    """(good records without the reason column, reject rows).  Both come
+    from the same extraction: persist ``df`` first when writing both, or
+    the pages are parsed twice (``plans.crawl`` does)."""
     ok = df.where(F.col("reject_reason").isNull()).drop("reject_reason")
     bad = df.where(F.col("reject_reason").isNotNull())
     return ok, bad
