@@ -175,3 +175,27 @@ def test_list_pages_in_bounded_chunks(spark):
     assert excl.where("n < 100").select("url", "list_url").exceptAll(small).count() == 0
     assert small.exceptAll(excl.where("n < 100").select("url", "list_url")).count() == 0
     assert excl.where("url = 'u'").count() == 25_002
+
+
+def test_documented_error_paths(spark):
+    import pytest
+    from pyspark.sql import types as T
+    from webcorpus.plans.queries import enforce_schema
+    from webcorpus.sources import tables as S
+    spark.createDataFrame([(1,), (2,)], "x int").createOrReplaceTempView("t_two_rows")
+    with pytest.raises(ValueError):
+        S.sql_single_row(spark, "SELECT x FROM t_two_rows")          # S8: more than one row
+    with pytest.raises(ValueError):
+        S.sql_single_row(spark, "SELECT x FROM t_two_rows WHERE x > 5")  # S8: none
+    assert S.sql_single_row(spark, "SELECT max(x) AS m FROM t_two_rows").first().m == 2
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    with pytest.raises(ValueError):
+        enforce_schema(spark.createDataFrame([("1",)], "a string"), schema)            # R3: missing column
+    with pytest.raises(ValueError):
+        enforce_schema(spark.createDataFrame([("1", "2", "3")], "a string, b string, c string"), schema)  # unknown
+    assert enforce_schema(spark.createDataFrame([("2", "1")], "b string, a string"), schema).columns == ["a", "b"]
+    sets = spark.createDataFrame([("blog", "k")], SET)
+    base = scratch_path(spark, "t_versions")
+    V.snapshot(sets, base, "1")
+    with pytest.raises(Exception):
+        V.snapshot(sets, base, "1")                                   # K7: a version is never overwritten
