@@ -392,9 +392,10 @@ def reconcile_visited(spark, sf_dir):
 def rekey_visited(spark, sf_dir):
     """A set holding full page URLs and bare keys, re-keyed."""
     p = _t(spark, sf_dir, "pages")
-    full = p.select(F.lit("blog").alias("meta"), F.col("url").alias("key"))
-    bare = V.keyed(p.select("url"), "url", "blog").select("meta", "key")
-    return V.rekey(full.unionByName(bare))
+    # every page URL as a member, plus its bare key when it has one: one pass
+    members = F.filter(F.array(F.col("url"), U.visit_key("url")), lambda k: k.isNotNull())
+    visited = p.select(F.lit("blog").alias("meta"), F.explode(members).alias("key"))
+    return V.rekey(visited)
 
 
 def _frontier(spark, sf_dir):
