@@ -9,7 +9,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webcorpus.llm import decontamination
+from webcorpus.llm import decontamination, neardup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +20,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link_components(_table(spark, sf_dir, "documents"), shingle=4)
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_minhash_neardup": op3_minhash_neardup,
 }
 
 #: DuckDB SQL where it can express a query's result.
