@@ -9,7 +9,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webcorpus.llm import decontamination, neardup
+from webcorpus.llm import decontamination, labelled, neardup, quality, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +24,22 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link_components(_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, ["doc_id"]).withColumn("held_out", labelled.held_out("doc_id"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return rules.judge(docs, rules.fit(docs, _table(spark, sf_dir, "labels")), ["doc_id"])
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_minhash_neardup": op3_minhash_neardup,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 #: DuckDB SQL where it can express a query's result.

@@ -202,3 +202,33 @@ def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, dtype=np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
+class HashIndex:
+    """Places of distinct 64-bit keys, looked up for whole arrays at a time (open addressing)."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.mask = (1 << max(4, int(4 * len(keys)).bit_length())) - 1
+        self.slots = np.full(self.mask + 1, -1, dtype=np.int32)
+        left, at = np.arange(len(keys)), (keys & U64(self.mask)).astype(np.int64)
+        while len(left):
+            free = np.flatnonzero(self.slots[at] < 0)
+            _, one = np.unique(at[free], return_index=True)
+            self.slots[at[free[one]]] = left[free[one]]
+            rest = self.slots[at] != left
+            left, at = left[rest], (at[rest] + 1) & self.mask
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Place of each wanted key, -1 where there is none."""
+        at = (wanted & U64(self.mask)).astype(np.int64)
+        out = self.slots[at]
+        if not len(self.keys):
+            return out
+        open_ = np.flatnonzero((out >= 0) & (self.keys[out] != wanted))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            got = self.slots[at[open_]]
+            out[open_] = got
+            open_ = open_[(got >= 0) & (self.keys[got] != wanted[open_])]
+        return out
