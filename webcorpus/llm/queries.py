@@ -8,8 +8,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from webcorpus.llm import decontamination, labelled, neardup, quality, rules
+from webcorpus.llm import decontamination, labelled, neardup, packing, quality, rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,11 +36,23 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, rules.fit(docs, _table(spark, sf_dir, "labels")), ["doc_id"])
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scorer = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, scorer, ["doc_id"]).withColumn("held_out", labelled.held_out("doc_id"))
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_minhash_neardup": op3_minhash_neardup,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
+    "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB SQL where it can express a query's result.
