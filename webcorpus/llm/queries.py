@@ -10,13 +10,20 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import decontamination, labelled, neardup, packing, quality, rules, toxicity
+from webcorpus.llm import chat, decontamination, labelled, neardup, packing, quality, rules, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(_table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", sharding.row_size().alias("size"),
+                         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+                         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
 
@@ -31,6 +38,13 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, ["doc_id"]).withColumn("held_out", labelled.held_out("doc_id"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.read_back(chat.format_turns(turns.unionByName(extra)))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return rules.judge(docs, rules.fit(docs, _table(spark, sf_dir, "labels")), ["doc_id"])
@@ -47,9 +61,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
     "op3_minhash_neardup": op3_minhash_neardup,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
