@@ -10,13 +10,17 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat, decontamination, labelled, neardup, packing, quality, rules, sharding, toxicity
+from webcorpus.llm import chat, decontamination, labelled, neardup, packing, quality, rules, secrets, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(_table(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", sharding.row_size().alias("size"),
@@ -32,6 +36,13 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link_components(_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"), ["doc_id"])
+    count = {k: F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{k}") for k in secrets.STRONG}
+    return found.select("doc_id", *count.values(), F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
@@ -64,6 +75,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
     "op3_minhash_neardup": op3_minhash_neardup,
+    "op4_secret_scans": op4_secret_scans,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
