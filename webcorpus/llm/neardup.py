@@ -9,9 +9,10 @@
    soon as the posterior probability of reaching the similarity falls below
    ``miss``.  Survivors are verified on the full sets.
 3. Buckets in which nodes of different components are left go through a
-   second, complete step: every pair of nodes from different components is
-   compared, so no link is lost to the choice of the first step's centres.
-   Inside one component nothing more is compared.
+   second, complete step, so no link is lost to the choice of the first
+   step's centres: nodes of which enough occurs in other components at all
+   are compared with those components' nodes in the join, which yields
+   links only.  Inside one component nothing more is compared.
 4. Components are found by label propagation with pointer jumping.
 
 Defined results: words are blank-separated, A-Z lower-cased; a text with
@@ -220,22 +221,8 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     labels = components(links)
     rest = _across(star.join(first, ["a", "b"], "left_anti"), labels)
     labels = components(_saved(_verified(rest, sets, similarity), spark, "links"), labels)
-    # the complete step: pairs of different components in one bucket
-    named = (shared.withColumnRenamed("b", "node").select("key", "node").join(labels, "node", "left")
-             .select("key", "node", F.coalesce("label", "node").alias("label"))
-             .join(nodes.select("node", "n", "b0"), "node"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-    named = named.join(mixed, "key")
-    x = named.select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "b0")])
-    y = named.select("key", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", "n", "b0")])
-    percent = round(similarity * 100)
-    more = (x.join(y, (x["key"] == y["key"]) & (F.col("x_label") < F.col("y_label"))
-                   & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
-                   & (64 - F.bit_count(F.col("x_b0").bitwiseXOR(F.col("y_b0"))) >= least_matches(64, similarity, miss)))
-            .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
-    more = more.join(star.select("a", "b"), ["a", "b"], "left_anti")
-    more = _pruned(more, nodes, similarity, miss)
-    labels = components(_saved(_verified(more, sets, similarity), spark, "links"), labels)
+    more = _complete(shared.withColumnRenamed("b", "node").select("key", "node"), nodes, sets, labels, similarity, miss)
+    labels = components(_saved(more, spark, "links"), labels)
     named = sig.select("id", "n", "node").join(labels, "node", "left").select("id", "n", F.coalesce("label", "node").alias("root"))
     named = _saved(named, spark, "named")
     least = named.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
@@ -245,6 +232,44 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _mixed(buckets: DataFrame) -> DataFrame:
+    """Rows (key, node, label) of the buckets that hold more than one label."""
+    keys = buckets.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
+    return buckets.join(keys, "key", "left_semi")
+
+
+def _complete(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, similarity: float, miss: float) -> DataFrame:
+    """Links (a, b) between all nodes of different components that share a bucket.
+
+    A linked node shares the wanted part of its set with one node of another
+    component.  So nodes of which too few members occur in any other
+    component are left out first, by counting and without pairs; in a large
+    group of loose copies, whose changed passages are their own, those are
+    nearly all.  For the rest the join itself tests sizes, bits and full
+    sets, and yields links only.
+    """
+    spark, percent = nodes.sparkSession, round(similarity * 100)
+    named = _mixed(buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
+    named = _saved(named, spark, "mixed")
+    member = (named.select("node", "label").distinct().join(sets, "node")
+              .select("node", "label", F.size("members").alias("size"), F.explode("members").alias("member")))
+    common = member.groupBy("member").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("member")
+    able = (member.join(common, "member", "left_semi").groupBy("node", "size").agg(F.count("*").alias("found"))
+            .where(100 * F.col("found") >= percent * F.col("size")).select("node"))
+    bits = [f"b{i}" for i in range(BATCHES)]
+    rows = _saved(_mixed(named.join(able, "node", "left_semi")), spark, "able")
+    rows = rows.join(nodes.select("node", "n", *bits), "node").join(sets, "node")
+    x, y = (rows.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "label", "n", *bits, "members")]) for s in "xy")
+    ok = (F.col("x_label") < F.col("y_label")) & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+    equal = F.lit(0)
+    for i, c in enumerate(bits):
+        equal = equal + 64 - F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")))
+        ok = ok & (equal >= least_matches(64 * (i + 1), similarity, miss))
+    both = F.size(F.array_intersect("x_members", "y_members"))
+    ok = ok & (100 * both >= percent * (F.col("x_n") + F.col("y_n") - both))
+    return x.join(y, (x["key"] == y["key"]) & ok).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes that are not in one component yet."""
     la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
