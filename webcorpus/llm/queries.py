@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat, decontamination, labelled, neardup, packing, quality, rules, secrets, sharding, toxicity
+from webcorpus.llm import chat, decontamination, labelled, neardup, packing, passages, quality, rules, secrets, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, ["doc_id"]).withColumn("held_out", labelled.held_out("doc_id"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.report(_table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -77,6 +81,7 @@ QUERIES = {
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
