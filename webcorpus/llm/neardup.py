@@ -297,3 +297,9 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
         return sets
     got = W.annotate(texts, "text", [], fields, make, CHUNK_BYTES).where("node is not null")
     return got.groupBy("node").agg(F.first("members").alias("members"))
+
+
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """All columns of the documents that are the smallest of their group; rows with a null id stay."""
+    gone = link_components(docs, id_col=id_col, **options).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
+    return docs.join(gone, W.quoted(id_col) == F.col("__gone"), "left_anti")
