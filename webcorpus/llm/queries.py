@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.llm import chat, decontamination, labelled, neardup, packing, passages, quality, rules, secrets, sharding, toxicity
+from webcorpus.llm.oracle import ORACLE  # noqa: F401  registered beside the queries
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +30,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+    found = decontamination.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +89,3 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
-
-#: DuckDB SQL where it can express a query's result.
-ORACLE: dict[str, str] = {}
