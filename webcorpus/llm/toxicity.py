@@ -79,20 +79,23 @@ def _counted(rows: DataFrame) -> DataFrame:
 class KneserNey:
     """The log-likelihood ratios of both models as arrays over the sample's vocabulary."""
 
-    def __init__(self, words, stem_of, word_n, stems, stem_n, word_shared, stem_shared, pairs, history_n):
-        """``word_n``, ``stem_n``: continuation counts, one row ordinary, one toxic; ``pairs``: (before, word, n of both),
-        ``history_n``: occurrences of each distinct ``before`` of the pairs, in sorted order, of both."""
+    def __init__(self, words, stem_of, word_n, word_mass, stems, stem_n, stem_mass, word_shared, stem_shared, pairs, history_n):
+        """``word_n``, ``stem_n``: continuation counts, one row ordinary, one toxic, of the units that keep a count
+        after discounting; ``..._mass``: (sum of counts, sum of discounts) of either kind over all units.
+        ``pairs``: (before, word, n of both), ``history_n``: occurrences of each distinct ``before`` of the
+        pairs, in sorted order, of both."""
         d = DISCOUNT
         shared = (stem_shared + 0.5) / (stem_shared.sum() + 0.5 * len(stems) + 0.5)
         within = (word_shared + 0.5) / np.maximum(np.bincount(stem_of, word_shared + 0.5, len(stems))[stem_of], 1e-9) if len(words) else word_shared
         uni, self.rest = [], 0.0
         stem_p = []
         for c in (0, 1):
-            total = max(1.0, stem_n[c].sum())
-            back = max(1e-9, np.minimum(stem_n[c], d).sum() / total) if len(stems) else 1.0
-            stem_p.append(np.maximum(stem_n[c] - d, 0) / total + back * shared)
-            total_w = max(1.0, word_n[c].sum())
-            back_w = max(1e-9, np.minimum(word_n[c], d).sum() / total_w) if len(words) else 1.0
+            total, gone = stem_mass[c]
+            back = max(1e-9, gone / max(1.0, total))
+            stem_p.append(np.maximum(stem_n[c] - d, 0) / max(1.0, total) + back * shared)
+            total_w, gone_w = word_mass[c]
+            total_w = max(1.0, total_w)
+            back_w = max(1e-9, gone_w / total_w)
             uni.append(np.maximum(word_n[c] - d, 0) / total_w + back_w * stem_p[c][stem_of] * within)
             sign = 1 if c else -1
             self.rest += sign * np.log(back * back_w)
@@ -106,7 +109,7 @@ class KneserNey:
         history, of = np.unique(before, return_inverse=True)
         place = self.word_index.find(word)
         ratio = np.zeros(len(word))
-        self.history_index, hist = W.HashIndex(history), np.zeros(len(history))
+        hist = np.zeros(len(history))
         for c in (0, 1):
             seen = history_n[c]
             kept = np.maximum(n[c] - d, 0)
@@ -230,24 +233,28 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col:
     pairs.write.parquet(path)
     pairs = spark.read.schema(pairs.schema).parquet(path)
 
-    def two(unit: str):
+    def counts(unit: str):
+        """Continuation counts of the units that keep some after discounting, and the masses of all."""
         p = pairs if unit == "word" else pairs.groupBy("label", "stem", "before").agg(F.sum("n").alias("n"))
-        more = [F.min("stem").alias("stem")] if unit == "word" else []
-        return p.groupBy(unit).agg(F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("c0"),
-                                   F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("c1"), *more).orderBy(unit).toPandas()
+        c = [F.sum(F.when(F.col("label") == k, 1).otherwise(0)).alias(f"c{k}") for k in (0, 1)]
+        every = p.groupBy(unit).agg(*c, *([F.min("stem").alias("stem")] if unit == "word" else []))
+        mass = every.agg(*[f(f"c{k}") for k in (0, 1) for f in (F.sum, lambda x: F.sum(F.least(F.col(x).cast("double"), F.lit(DISCOUNT))))]).first()
+        return every.where(F.greatest("c0", "c1") > DISCOUNT).orderBy(unit).toPandas(), [(float(mass[0] or 0), float(mass[1] or 0)), (float(mass[2] or 0), float(mass[3] or 0))]
 
-    w, s = two("word"), two("stem")
+    (w, word_mass), (s, stem_mass) = counts("word"), counts("stem")
     words, stems = w["word"].to_numpy().view(U64), s["stem"].to_numpy().view(U64)
     often = (pairs.groupBy("before", "word").agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("n0"),
                                                  F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1"))
-             .where((F.col("n0") >= KEPT_PAIRS) | (F.col("n1") >= KEPT_PAIRS)).orderBy("before", "word").toPandas())
-    totals = pairs.groupBy("before").agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("n0"),
+             .where((F.col("n0") >= KEPT_PAIRS) | (F.col("n1") >= KEPT_PAIRS)))
+    totals = pairs.join(often.select("before").distinct(), "before", "left_semi").groupBy("before").agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("n0"),
                                          F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1")).toPandas()
+    often = often.orderBy("before", "word").toPandas()
+    often = often[W.HashIndex(words).find(often["word"].to_numpy().view(U64)) >= 0]  # words after one predecessor only back off
     word_shared, stem_shared = _sketches(docs, text_col, words, stems)
     stem_of = W.HashIndex(stems).find(w["stem"].to_numpy().view(U64))
     at = W.HashIndex(totals["before"].to_numpy().view(U64)).find(np.unique(often["before"].to_numpy().view(U64)))
-    model = KneserNey(words, stem_of, w[["c0", "c1"]].to_numpy(dtype=np.float64).T, stems, s[["c0", "c1"]].to_numpy(dtype=np.float64).T,
-                      word_shared, stem_shared, (often["before"].to_numpy().view(U64), often["word"].to_numpy().view(U64),
+    model = KneserNey(words, stem_of, w[["c0", "c1"]].to_numpy(dtype=np.float64).T, word_mass,
+                      stems, s[["c0", "c1"]].to_numpy(dtype=np.float64).T, stem_mass, word_shared, stem_shared, (often["before"].to_numpy().view(U64), often["word"].to_numpy().view(U64),
                                                  often[["n0", "n1"]].to_numpy(dtype=np.float64).T),
                       totals[["n0", "n1"]].to_numpy(dtype=np.float64).T[:, at])
     held = spark.sparkContext.broadcast(model)
