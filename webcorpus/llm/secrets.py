@@ -40,9 +40,9 @@ STRONG = {
 }
 #: weak candidates by the part of a credential that they are; the group must reach the length
 WEAK = {
-    "identifier": (rf"(?:(?i:\b(?:user(?:_?name)?|login|client_?id|account|access_?key_?id)){_SET}([A-Za-z0-9@+/_.=-]+)|\b(?:ASIA|AIDA|AROA|AGPA)[A-Z0-9]+)", 0),
-    "secret": (rf"(?i:\b(?:pwd|pass|pin|passphrase|private_?key|client_?key)){_SET}({_VALUE})", 4),
-    "endpoint": (r"(?i:\b(?:https?|ftps?|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?)://)([A-Za-z0-9.-]+(?::[0-9]+)?)", 3),
+    "identifier": (rf"(?:(?i:(?:user(?:_?name)?|login|client_?id|account|access_?key_?id)){_SET}([A-Za-z0-9@+/_.=-]+)|(?:ASIA|AIDA|AROA|AGPA)[A-Z0-9]{{8,}})", 0),
+    "secret": (rf"(?i:(?:pwd|pass|pin|passphrase|private_?key|client_?key)){_SET}({_VALUE})", 4),
+    "endpoint": (r"(?i:(?:https?|ftps?|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?)://)([A-Za-z0-9.-]+(?::[0-9]+)?)", 3),
 }
 #: the part that a strong match plays; a short assigned value is a weak secret
 PART = {"assign": "secret", "access": "identifier", "hex": "secret"}
