@@ -2,17 +2,17 @@
 
 1. Every window of ``window`` words has an anchor, the least hash among its
    short word runs.  One pass emits each document's anchors (some 5 per 100
-   words) and counts its words; anchors of one document only cannot lie in
-   a repeated window.
+   words) and counts its words; anchors of one text only cannot lie in a
+   repeated window.  Whole copies of a smaller document are settled here.
 2. The windows around recurring anchors are confirmed: counted by hash, with
    the first document and place.  Neighbouring confirmed windows of one
    first document form a passage.
 3. Documents with recurring anchors are dealt to shards of bounded text.
    A shard gets the passages that some window of its documents belongs to,
    compiles phrases of them, at least one in each window, into automata of
-   bounded size, and streams its documents through.  Each hit is extended verbatim;
-   a match of at least a window marks words whose passage starts in a
-   smaller document.
+   bounded size, and streams its documents through.  Each hit is extended
+   verbatim; a match of at least a window marks words whose passage starts
+   in a smaller document.
 
 Since a passage is compared word by word, an accidental equal hash can only
 cost work, never a wrong removal.
@@ -65,7 +65,7 @@ def _saved(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
 
 
 def _summaries(docs: DataFrame, window: int) -> DataFrame:
-    """Of each (id, mark, text): one row (id, mark, n_words, kept_sha256), and one row (id, anchor) per anchor."""
+    """Of each (id, mark, text): one row (id, mark, n_words, kept_sha256), and one row (id, mark, anchor) per anchor."""
     out = T.StructType([T.StructField("id", T.LongType()), T.StructField("mark", T.LongType()), T.StructField("n_words", T.LongType()),
                         T.StructField("kept_sha256", T.StringType()), T.StructField("anchor", T.LongType())])
 
@@ -85,7 +85,7 @@ def _summaries(docs: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(off)), pa.array(digests, pa.string()),
                                               pa.nulls(n, pa.int64())], names=out.names)
             if m:
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc[new])), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(doc[new])) for i in (0, 1)), pa.nulls(m, pa.int64()),
                                                   pa.nulls(m, pa.string()), pa.array(anchors[new].view(np.int64))], names=out.names)
 
     return docs.select("id", "mark", "text").mapInArrow(run, out)
@@ -212,10 +212,16 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", win
     src = docs.select(W.quoted(id_col).cast("long").alias("id"), F.coalesce(W.quoted(text_col).cast("string"), F.lit("")).alias("text"))
     src = src.withColumn("mark", F.xxhash64("text"))
     seen = _saved(_summaries(src, window), spark, "seen")
-    anchors = seen.where("anchor is not null and id is not null").select("id", "anchor")
-    recurring = anchors.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
-    lists = anchors.join(recurring, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
-    candidates = _saved(src.join(lists, "id"), spark, "candidates")
+    rows = seen.where("anchor is null").select("id", "mark", "n_words", "kept_sha256")
+    # a whole copy of a smaller document needs no passages: all its windows start there
+    whole = rows.where((F.col("n_words") >= window) & F.col("id").isNotNull())
+    firsts = whole.groupBy("kept_sha256").agg(F.min("id").alias("first"))
+    copies = _saved(whole.join(firsts, "kept_sha256").where("id > first").select("id", "mark", "n_words").distinct(), spark, "copies")
+    anchors = seen.where("anchor is not null and id is not null").select("id", "mark", "anchor")
+    recurring = anchors.groupBy("anchor").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo < hi").select("anchor")
+    lists = anchors.join(recurring, "anchor").groupBy("id", "mark").agg(F.collect_set("anchor").alias("anchors"))
+    lists = lists.join(copies, ["id", "mark"], "left_anti")
+    candidates = _saved(src.join(lists, ["id", "mark"]), spark, "candidates")
     size = candidates.select(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n_shards = max(1, -(-size // shard_bytes))
     shard = F.pmod(F.xxhash64("id"), F.lit(n_shards))
@@ -230,7 +236,9 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", win
     stream, out = _streamer(window)
     lost = (candidates.select(shard.alias("shard"), "id", "mark", "text").groupBy("shard")
             .cogroup(passages.groupBy("shard")).applyInArrow(stream, out))
-    return seen.where("anchor is null").select("id", "mark", "n_words", "kept_sha256"), _saved(lost.dropDuplicates(["id", "mark"]), spark, "lost")
+    nothing = F.lit(b"")
+    lost = lost.unionByName(copies.select("id", "mark", F.col("n_words").alias("n_removed"), F.sha2(nothing, 256).alias("left_sha256"), nothing.alias("kept")))
+    return rows, _saved(lost.dropDuplicates(["id", "mark"]), spark, "lost")
 
 
 def report(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
