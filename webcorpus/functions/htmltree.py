@@ -1,8 +1,7 @@
 """A small HTML tree for per-page extraction inside Spark tasks.
 
-Tokenised with ``html.parser``'s own patterns (a fast path for
-well-formed markup, the stdlib parser itself for anything else).  It repairs
-what page selectors need: void elements, implied ends of ``p``/``li``/
+Built from the events of the stdlib's ``HTMLParser``.  It repairs what page
+selectors need: void elements, implied ends of ``p``/``li``/
 ``dd``/``dt``/``tr``/``td``/``th``, stray end tags, and keeps source
 offsets so a node's markup can be sliced from the page verbatim.
 Entities are decoded in text and attribute values.
@@ -10,9 +9,6 @@ Entities are decoded in text and attribute values.
 
 from __future__ import annotations
 
-import html.parser as _hp
-import re
-from html import unescape
 from html.parser import HTMLParser
 
 # HTML void elements and implied-end rules.
@@ -155,8 +151,8 @@ def _as_dict(attrs):
     return {k: (v if v is not None else "") for k, v in attrs}
 
 
-class _StdlibDriver(HTMLParser):
-    """Feeds ``html.parser`` events to a ``_Tree`` (reference path)."""
+class _Builder(HTMLParser):
+    """Feeds parser events, with their places in the source, to a ``_Tree``."""
 
     def __init__(self, tree):
         super().__init__(convert_charrefs=True)
@@ -187,164 +183,12 @@ class _StdlibDriver(HTMLParser):
         self.tree.data(data)
 
 
-def parse_stdlib(source: str) -> Node:
-    """Parse with ``html.parser`` (the slower reference tokenizer)."""
-    tree = _Tree(source or "")
-    d = _StdlibDriver(tree)
-    d.feed(source or "")
-    d.close()
-    return tree.finish()
-
-
-_CDATA_END = {t: re.compile(r"</\s*%s\s*>" % t, re.I) for t in ("script", "style")}
-
-
-class _Rare(Exception):
-    """A construct the fast path leaves to ``html.parser`` (incomplete or
-    bogus markup, marked sections): the page is parsed by the stdlib."""
-
-
-# The common case in one C-level match: text, or a tag with a plain name
-# and space-separated standard attributes.  Anything else ('<!', '<?', odd
-# names or attribute syntax) matches the last alternative and is handled
-# by ``_construct``.
-_MASTER = re.compile(r"""
-    ([^<]+)                                                     # 1 text
-  | <(/?)([a-zA-Z][a-zA-Z0-9]*)                                 # 2 end mark, 3 name
-     ((?:\s+[a-zA-Z_:][-a-zA-Z0-9_:.]*
-        (?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+))?)*)        # 4 attributes
-     \s*(/?)>                                                   # 5 self-closing mark
-  | (<)                                                         # 6 anything else
-""", re.X)
-_ATTR = re.compile(r"""([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
-
-
-def _tokenize(src: str, tree: _Tree) -> None:
-    """Tag events straight from the text.  Well-formed constructs are
-    handled here with ``html.parser``'s own semantics; any other raises
-    ``_Rare`` so the page gets the stdlib's exact treatment."""
-    n = len(src)
-    pos = 0
-    data, start, end = tree.data, tree.start, tree.end
-    while pos < n:
-        restart = None
-        for m in _MASTER.finditer(src, pos):
-            text, endmark, name, blob, slash, other = m.groups()
-            if text is not None:
-                data(unescape(text) if "&" in text else text)
-                continue
-            if other is not None:
-                restart = _construct(src, m.start(), tree)
-                break
-            name = name.lower()
-            if endmark:                                          # end tag
-                if blob or slash:
-                    restart = _construct(src, m.start(), tree)
-                    break
-                end(name, m.start(), m.end())
-                continue
-            at = m.start()
-            start(name, _std_attrs(blob) if blob else {}, at, m.end() - at, bool(slash))
-            if not slash and name in _CDATA_END:                 # raw text up to its end tag
-                cm = _CDATA_END[name].search(src, m.end())
-                if not cm:
-                    raise _Rare()
-                data(src[m.end():cm.start()])
-                end(name, cm.start(), cm.end())
-                restart = cm.end()
-                break
-        else:
-            return
-        pos = restart
-
-
-def _std_attrs(blob):
-    """Attributes of a standard-form tag as ``html.parser`` reports them
-    (lower-case names, quotes removed, entities decoded).  A missing value
-    and an empty one are the same ``""`` in the tree."""
-    out = {}
-    for name, dq, sq, bare in _ATTR.findall(blob):
-        v = dq or sq or bare
-        out[name.lower()] = unescape(v) if "&" in v else v
-    return out
-
-
-def _construct(src: str, i: int, tree: _Tree) -> int:
-    """One construct at ``src[i] == '<'`` that the master pattern left
-    alone; returns the position after it."""
-    n = len(src)
-    nxt = src[i + 1:i + 2]
-    if nxt.isascii() and nxt.isalpha():                           # start tag, general form
-        k = _hp.locatestarttagend_tolerant.match(src, i).end()
-        if src[k:k + 1] == ">":
-            endpos = k + 1
-        elif src.startswith("/>", k):
-            endpos = k + 2
-        else:
-            raise _Rare()
-        tm = _hp.tagfind_tolerant.match(src, i + 1)
-        tag = tm.group(1).lower()
-        k = tm.end()
-        attrs = []
-        while k < endpos:
-            am = _hp.attrfind_tolerant.match(src, k)
-            if not am:
-                break
-            name, rest, val = am.group(1, 2, 3)
-            if not rest:
-                val = None
-            elif val[:1] == "'" == val[-1:] or val[:1] == '"' == val[-1:]:
-                val = val[1:-1]
-            if val:
-                val = unescape(val)
-            attrs.append((name.lower(), val))
-            k = am.end()
-        end = src[k:endpos].strip()
-        if end not in (">", "/>"):
-            raise _Rare()
-        closing = end.endswith("/>")
-        tree.start(tag, _as_dict(attrs), i, endpos - i, closing)
-        if not closing and tag in _CDATA_END:
-            cm = _CDATA_END[tag].search(src, endpos)
-            if not cm:
-                raise _Rare()
-            tree.data(src[endpos:cm.start()])
-            tree.end(tag, cm.start(), cm.end())
-            return cm.end()
-        return endpos
-    if nxt == "/":                                                # end tag, general form
-        m = _hp.endtagfind.match(src, i)
-        if not m:
-            raise _Rare()
-        tree.end(m.group(1).lower(), i, m.end())
-        return m.end()
-    if src.startswith("<!--", i):                                 # comment
-        cm = _hp.commentclose.search(src, i + 4)
-        if not cm:
-            raise _Rare()
-        return cm.end()
-    if src[i:i + 9].lower() == "<!doctype":
-        gt = src.find(">", i + 9)
-        if gt < 0:
-            raise _Rare()
-        return gt + 1
-    if i + 1 < n and nxt not in ("!", "?"):                       # a lone '<' is text
-        tree.data("<")
-        return i + 1
-    raise _Rare()
-
-
 def parse(source: str) -> Node:
-    """Parse a page into a tree rooted at a ``#document`` node.
-
-    Same tree as ``parse_stdlib`` (the fast path falls back to it on any
-    construct it does not handle itself), at a fraction of the cost."""
-    src = source or ""
-    tree = _Tree(src)
-    try:
-        _tokenize(src, tree)
-    except _Rare:
-        return parse_stdlib(src)
+    """Parse a page into a tree rooted at a ``#document`` node."""
+    tree = _Tree(source or "")
+    builder = _Builder(tree)
+    builder.feed(source or "")
+    builder.close()
     return tree.finish()
 
 

@@ -1,8 +1,8 @@
 """URL rules: visit keys, eligibility, follow-page URLs, resolution.
 
 Everything is a native expression except the unusual cases of
-``resolve_url`` and ``follow_url``, which call stdlib ``urljoin`` through
-an Arrow-batched pandas UDF.  Rows the native fast path can answer are
+``resolve_url``, which calls stdlib ``urljoin`` through an Arrow-batched
+pandas UDF.  Rows the native fast path can answer are
 sent to the UDF as nulls, so the Python side does no work for them.
 """
 
@@ -30,11 +30,6 @@ def _lit_regex(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in s)
 
 
-def scheme(url) -> Column:
-    """Lower-case scheme, null when the text is not a URL."""
-    return F.lower(F.try_parse_url(_c(url), F.lit("PROTOCOL")))
-
-
 def has_http_scheme(url) -> Column:
     """Scheme is http or https, any case (``urlparse`` lower-cases it)."""
     return _c(url).rlike("^(?i)https?:")
@@ -72,31 +67,20 @@ def follow_url(url, literal: bool = False) -> Column:
     lower case).  ``literal=True`` replaces every ``blog`` in the URL, as a
     plain ``str.replace`` would.
 
-    Native for clean URLs; a URL with empty or dot segments in its path, or
-    a ``/`` inside its query, goes to ``urljoin`` itself (pandas UDF).
+    Null for a text without any ``/``.
     """
+    base, href = follow_parts(url, literal)
+    return resolve_url(base, href)
+
+
+def follow_parts(url, literal: bool = False) -> tuple[Column, Column]:
+    """U4 as the (base, relative reference) whose resolution is the follow URL."""
     u = _c(url)
     me = (F.replace(u, F.lit("blog"), F.lit("me")) if literal
           else F.regexp_replace(u, r"^([A-Za-z][A-Za-z0-9+.\-]*://)blog\.", "$1me."))
-    seg = r"(?!\.\.?(?:/|$|[?#]))"
-    clean = me.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+(/" + seg + r"[^/?#]+)*/" + seg + r"[^/?#]*([?#][^/]*)?$")
-    one_seg = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/]+)/([^/]*)$"
-    many_seg = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/]+/(?:.*/)?)[^/]*/([^/]*)$"
-    res = (F.when(me.rlike(one_seg), F.regexp_replace(me, one_seg, "$1/follow/$2"))
-            .when(me.rlike(many_seg), F.regexp_replace(me, many_seg, "$1follow/$2")))
-    native = F.concat(F.lower(F.regexp_extract(res, r"^([^:]*:)", 1)), F.regexp_replace(res, r"^[^:]*:", ""))
-    return F.when(me.isNull(), F.lit(None).cast("string")).when(clean, native) \
-        .otherwise(_follow_udf(F.when(~clean, me)))
-
-
-@F.pandas_udf(T.StringType())
-def _follow_udf(me: pd.Series) -> pd.Series:
-    def one(x):
-        if x is None or "/" not in x:
-            return None
-        base, last = x.rsplit("/", 1)
-        return urljoin(base, "follow/" + last)
-    return pd.Series([one(x) for x in me], index=me.index, dtype=object)
+    last = F.substring_index(me, "/", -1)
+    base = F.when(me.contains("/"), F.substring(me, F.lit(1), F.length(me) - F.length(last) - 1))
+    return base, F.concat(F.lit("follow/"), last)
 
 
 def origin(url) -> Column:
@@ -115,7 +99,8 @@ def resolve_url(base, href) -> Column:
 
     Native fast paths: an absolute http(s) href with no dot segments is
     returned as is; a root-relative href (``/x``, not ``//x``) with no dot
-    segments becomes origin + href.  All other rows go to ``urljoin``.
+    segments becomes origin + href; a plain relative path takes the place of
+    the base's last segment.  All other rows go to ``urljoin``.
     """
     b, h = _c(base), _c(href)
     # Fast paths only where urljoin's re-serialisation changes nothing:
@@ -125,10 +110,14 @@ def resolve_url(base, href) -> Column:
     absolute = h.rlike(r"^https?://[^/?#;\s]+(/[^?#;\s]*)?" + tail) & ~dots
     rooted = (h.rlike(r"^(/|/[^/?#;\s][^?#;\s]*)" + tail) & ~dots
               & b.rlike(r"^https?://[^/?#;\s]+([/?#]|$)"))
-    slow = h.isNotNull() & b.isNotNull() & ~absolute & ~rooted
+    plain = r"[A-Za-z0-9_~%@!$&'()*+,=\-][A-Za-z0-9_~%@!$&'()*+,=.\-]*"
+    relative = h.rlike(rf"^{plain}(/{plain})*" + tail) & b.rlike(rf"^https?://[^/?#;\s]+(/{plain})*/?$") & ~rooted
+    parent = F.when(b.rlike(r"^https?://[^/]+$"), F.concat(b, F.lit("/"))).otherwise(F.regexp_replace(b, r"[^/]*$", ""))
+    slow = h.isNotNull() & b.isNotNull() & ~absolute & ~rooted & ~relative
     return (F.when(h.isNull() | b.isNull(), F.lit(None).cast("string"))
             .when(absolute, h)
             .when(rooted, F.concat(origin(b), h))
+            .when(relative, F.concat(parent, h))
             .otherwise(_urljoin_udf(F.when(slow, b), F.when(slow, h))))
 
 
@@ -141,18 +130,3 @@ def nav_target(base, href) -> Column:
         t = h.contains(w)
         keep = t if keep is None else (keep | t)
     return F.when(keep, h).otherwise(resolve_url(base, h))
-
-
-def list_page_urls(user_url, page_count, include_last: bool = True) -> Column:
-    """``user_url/article/list/i`` for i in 1..n (``include_last``) or
-    1..n-1 (the original loop).  Returns ``ARRAY<STRING>``; empty when
-    there are no pages.  The whole array lives in one row: for unbounded
-    counts use ``operators.frontier.list_pages``, which expands in
-    bounded chunks spread over tasks.  ``sequence(1, 0)`` counts down in
-    Spark, hence the ``greatest`` guard and the filter."""
-    n = _c(page_count)
-    hi = n if include_last else n - 1
-    seq = F.sequence(F.lit(1), F.greatest(hi, F.lit(1)))
-    nums = F.filter(seq, lambda i: i <= hi)
-    base = F.concat(_c(user_url), F.lit("/article/list/"))
-    return F.transform(nums, lambda i: F.concat(base, i.cast("string")))

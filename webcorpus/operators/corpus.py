@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
-from .parallel import spread
+from .parallel import partitioned
 
 CORPUS_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()),
                               T.StructField("text", T.StringType())])
@@ -20,7 +20,7 @@ CORPUS_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()),
 def strip_markup(df: DataFrame, text_col: str = "html", id_col: str = "page_id",
                  out_col: str = "text") -> DataFrame:
     """T1-T3 over whole documents (no line explode, so no ordering work)."""
-    return spread(df.select(id_col, text_col), id_col).select(F.col(id_col), TX.strip_markup(text_col).alias(out_col))
+    return partitioned(df.select(id_col, text_col), id_col).select(F.col(id_col), TX.strip_markup(text_col).alias(out_col))
 
 
 def drop_blank(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -29,8 +29,7 @@ def drop_blank(df: DataFrame, text_col: str = "text") -> DataFrame:
     Written as a 0-or-1-row generator rather than ``where``: a filter on a
     computed text would be inlined by Catalyst (plus an inferred
     ``isnotnull``) and pushed below the projection, evaluating the whole
-    markup-stripping chain two more times -- before the spread, in a
-    single task.  A generator's output cannot be pushed down, so the
+    markup-stripping chain two more times.  A generator's output cannot be pushed down, so the
     chain runs once per document."""
     keep = F.explode(F.filter(F.array(F.col(text_col)), TX.is_not_blank))
     cols = [F.col(c) if c != text_col else keep.alias(text_col) for c in df.columns]
@@ -40,7 +39,7 @@ def drop_blank(df: DataFrame, text_col: str = "text") -> DataFrame:
 def sentence_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per sentence ``(id, sent_no, sentence)``, ``sent_no``
     dense from 0 in text order."""
-    return spread(df.select(id_col, text_col), id_col).select(
+    return partitioned(df.select(id_col, text_col), id_col).select(
         F.col(id_col), F.posexplode(TX.sentences(text_col)).alias("sent_no", "sentence"))
 
 

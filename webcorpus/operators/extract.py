@@ -29,7 +29,7 @@ from ..functions import htmltree as H
 from ..functions import numbers as N
 from ..functions import text as TX
 from ..functions import urls as U
-from .parallel import spread
+from .parallel import partitioned
 
 
 class Reject(Exception):
@@ -68,10 +68,10 @@ def output_schema(rule: Rule) -> T.StructType:
 
 
 def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str = "url",
-            html_col: str = "html", spread_input: bool = True) -> DataFrame:
+            html_col: str = "html", repartition: bool = True) -> DataFrame:
     """Run ``rule`` over every page; one Arrow batch in, one batch out.
-    ``spread_input=False`` when the caller already spread the rows over
-    the cores (see ``parallel.spread``)."""
+    ``repartition=False`` when the caller has already dealt the rows out
+    (see ``parallel.partitioned``)."""
     schema = output_schema(rule)
     names = [f.name for f in rule.fields.fields]
     cols = ["page_id", "url", "pos"] + names + ["reject_reason"]
@@ -112,7 +112,7 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
 
     src = pages.select(F.col(id_col).cast("long").alias("page_id"),
                        F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return (spread(src, "page_id") if spread_input else src).mapInPandas(run, schema)
+    return (partitioned(src, "page_id") if repartition else src).mapInPandas(run, schema)
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

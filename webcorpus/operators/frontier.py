@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
 
+BROADCAST_HUBS = 100_000    # rows of (node, number of salts); more are joined instead
+
 
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Both directions of every edge, from a single pass over the input
@@ -26,7 +28,8 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 
 
 def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
-                  max_depth: int | None = None, buckets: int | None = None, salts: int = 16) -> DataFrame:
+                  max_depth: int | None = None, buckets: int | None = None, hub_edges: int = 1_000_000,
+                  symmetric: bool = False) -> DataFrame:
     """G1: every node reachable from ``seeds`` with its BFS depth.
 
     ``edges``: ``(src, dst)``; ``seeds``: ``(node)``.  Stops when a level
@@ -34,29 +37,37 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     each node once, with its smallest depth.
 
     Storage, both in the shared checkpoint folder:
-      * edges, written once, bucketed by ``(src, salt)`` where
-        ``salt = pmod(hash(dst), salts)``: the out-edges of a hub node (even
-        a third of all edges) are spread over ``salts`` buckets and tasks;
+      * edges, written once, bucketed by ``(src, salt)``.  Out-degrees are
+        counted first; a node with more than ``hub_edges`` edges gets one salt
+        per ``hub_edges`` of them, so a hub's edges (even a third of all) lie
+        in as many buckets as its size asks for, and every other node's in one;
       * seen nodes, one ``depth=<d>`` partition per level, bucketed by
         ``node``.
-    Per level, the frontier is replicated once per salt (it is the small
-    side) and shuffled to the edge buckets; the edge table is read bucket
-    by bucket and never shuffled.  The new nodes are made distinct (partial
-    aggregation first, so a node reached from many places is combined
-    map-side) and anti-joined with the seen table, again bucket-wise.  Each
-    level is one written job, which cuts the lineage: a lost executor is
-    recovered from files.
+    Per level, the frontier's hubs are copied once per salt of theirs, the
+    other nodes not at all, and shuffled to the edge buckets; the edge table
+    is read bucket by bucket and never shuffled.  The new nodes are made
+    distinct (partial aggregation first, so a node reached from many places
+    is combined map-side) and anti-joined with the seen table, again
+    bucket-wise.  With ``symmetric`` edges (every edge in both directions) a
+    level's neighbours lie in the levels next to it, so only the last two
+    are read and a long chain costs its length.  Each level is one written
+    job, which cuts the lineage: a lost executor is recovered from files.
+    The edge table is dropped at the end; the levels are the result.
     """
     checkpoint_dir(spark)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tag = uuid.uuid4().hex[:12]
     edges_t, seen_t = f"closure_edges_{tag}", f"closure_seen_{tag}"
     base = scratch_path(spark, "closure")
-    (edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
-          .withColumn("salt", F.pmod(F.hash("dst"), F.lit(salts)))
-          .repartition(n, "src", "salt").write.bucketBy(n, "src", "salt")
-          .option("path", f"{base}/edges").saveAsTable(edges_t))
-    salt_range = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    pairs = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    hubs = pairs.groupBy("src").agg(F.count("*").alias("degree")).where(F.col("degree") > hub_edges) \
+        .select("src", F.ceil(F.col("degree") / hub_edges).cast("int").alias("salts"))
+    hubs.write.parquet(f"{base}/hubs")
+    hubs = spark.read.schema(hubs.schema).parquet(f"{base}/hubs")
+    hubs = F.broadcast(hubs) if hubs.count() <= BROADCAST_HUBS else hubs
+    salted = pairs.join(hubs, "src", "left").select("src", "dst", F.pmod(F.hash("dst"), F.coalesce("salts", F.lit(1))).alias("salt"))
+    # dealt out by (src, salt) first: the duplicates fall away in the same partitions
+    (salted.repartition(n, "src", "salt").distinct().write.bucketBy(n, "src", "salt").saveAsTable(edges_t))
 
     def write_level(df: DataFrame, d: int) -> int:
         """Append one level; its row count is observed during the write
@@ -75,7 +86,11 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
         depth = 0
         while max_depth is None or depth < max_depth:
             seen = spark.table(seen_t)
-            level = seen.where(F.col("depth") == depth).select("node", salt_range.alias("salt"))
+            if symmetric:
+                seen = seen.where(F.col("depth") >= depth - 1)
+            level = seen.where(F.col("depth") == depth).select("node")
+            level = level.join(hubs.withColumnRenamed("src", "node"), "node", "left").select(
+                "node", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
             on = (level["node"] == e["src"]) & (level["salt"] == e["salt"])
             nxt = (level.join(e, on).select(F.col("dst").alias("node"))
                         .distinct().join(seen.select("node"), "node", "left_anti"))
@@ -134,8 +149,13 @@ def list_pages(df: DataFrame, url_col: str, count_col: str, include_last: bool =
     n = F.col(count_col).cast("long")
     hi = F.greatest(F.coalesce(n if include_last else n - 1, F.lit(0)), F.lit(0))
     n_chunks = F.ceil(hi / F.lit(chunk)).cast("long")
-    chunk_ids = F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(n_chunks - 1, F.lit(0).cast("long"))),
-                         lambda c: c < n_chunks)
+    # chunks, too, are numbered in blocks of at most ``chunk``: three levels reach chunk ** 3 pages
+    blocks = F.ceil(n_chunks / F.lit(chunk)).cast("long")
+    block_ids = F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(F.least(blocks, F.lit(chunk).cast("long")) - 1, F.lit(0).cast("long"))),
+                         lambda b: b < blocks)
+    too_many = F.when(blocks > chunk, F.raise_error(F.lit("more list pages than chunk ** 3")))
+    df = df.withColumn("_block", F.explode(F.coalesce(too_many.cast("array<bigint>"), block_ids)))
+    chunk_ids = F.sequence(F.col("_block") * chunk, F.least((F.col("_block") + 1) * chunk, n_chunks) - 1)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (df.withColumn("_hi", hi).withColumn("_chunk", F.explode(chunk_ids))
                 .repartition(parts, F.col(url_col), F.col("_chunk")))
@@ -144,7 +164,7 @@ def list_pages(df: DataFrame, url_col: str, count_col: str, include_last: bool =
     pages = chunks.withColumn("page_no", F.explode(F.sequence(lo, top)))
     return (pages.withColumn("list_url", F.concat(F.col(url_col), F.lit("/article/list/"),
                                                   F.col("page_no").cast("string")))
-                 .drop("_hi", "_chunk"))
+                 .drop("_hi", "_chunk", "_block"))
 
 
 def list_page_edges(profiles: DataFrame, include_last: bool = True) -> DataFrame:

@@ -1,39 +1,23 @@
-"""Parallelism for CPU-bound stages (regex-heavy text, HTML parsing)."""
+"""Partitions of CPU-bound stages (regex-heavy text, HTML parsing)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+STAGE_PARTITIONS = "webcorpus.stage.partitions"
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Give a CPU-bound stage at least one busy task per core.
 
-    A big input (at least as many files as cores) keeps its scan
-    partitions: no shuffle is added.  A small one -- a few files whose
-    single row group makes one non-empty split, or a small rendered
-    table -- is spread round-robin over ``defaultParallelism`` partitions
-    first.  That shuffle moves a few MB, against milliseconds of regex or
-    parsing work per row, and an explicit partition count is not coalesced
-    away by AQE.  Streams are left as they are (micro-batches are bounded).
-    ``inputFiles()`` only consults the file index; nothing is executed.
-    ``key``: a column unique per row (page or document id), if there is one.
+def partitioned(df: DataFrame, key: str | None = None) -> DataFrame:
+    """``df`` as it is, or hashed on ``key`` into the number of partitions
+    that the caller has set in the session's ``webcorpus.stage.partitions``.
 
-    Trade-off: a mid-size input made of fewer (but large, multi-row-group)
-    files than cores is spread too, costing one extra shuffle of it --
-    about 3% of the time an HTML parse of the same bytes takes, more for a
-    cheap regex stage.  Tables at the target scale have far more files
-    than cores and are never spread.
+    Unset (the default) adds no exchange: the scan's splits
+    (``spark.sql.files.maxPartitionBytes``) are the tasks, whatever the
+    number of files.  A caller whose table is one unsplittable file (one
+    row group) may set it to keep several cores busy.  Streams are never
+    repartitioned; their batches are bounded.
     """
-    if df.isStreaming:
+    n = None if df.isStreaming else df.sparkSession.conf.get(STAGE_PARTITIONS, None)
+    if not n:
         return df
-    want = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:
-        return df
-    if n_files >= want:
-        return df
-    # With a unique id the rows are hash-partitioned on it: balanced, and a
-    # retried task recomputes the same assignment without the per-row sort
-    # Spark puts before a round-robin repartition to make it deterministic.
-    return df.repartition(want, key) if key else df.repartition(want)
+    return df.repartition(int(n), key) if key else df.repartition(int(n))

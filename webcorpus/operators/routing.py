@@ -3,9 +3,14 @@ and marking keys visited only after their records were written."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import urls as U
+from ..session import path_exists
 from . import visited as V
 
 # Fixed value: the marker of an access-challenge page instead of content.
@@ -26,6 +31,20 @@ def challenge_split(pages: DataFrame, marker: str = CHALLENGE_MARKER, max_attemp
         F.when(hit, att + 1).otherwise(att).cast("int").alias("next_attempt"))
 
 
+def ineligible_rejects(pages: DataFrame, attempt_col: str = "attempt") -> DataFrame:
+    """K8 + P4: the log rows of pages whose URL no visit key can be made of."""
+    attempt = F.coalesce(F.col(attempt_col), F.lit(0)) if attempt_col in pages.columns else F.lit(0)
+    return pages.where(F.coalesce(~U.is_eligible("url"), F.lit(True))).select(
+        "url", F.lit("url").alias("stage"), F.lit("ineligible URL").alias("reason"), attempt.cast("int").alias("attempt"))
+
+
+def with_attempts(pages: DataFrame, retries: DataFrame) -> DataFrame:
+    """Fetched pages with the attempt number that the retry table holds
+    for their URL (its highest), 0 for pages that were never sent back."""
+    last = retries.groupBy("url").agg(F.max("attempt").alias("attempt"))
+    return pages.drop("attempt").join(last, "url", "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)).cast("int"))
+
+
 def rejects_table(extracted: DataFrame, stage: str, attempt: int = 0) -> DataFrame:
     """K8: ``rejects(url, stage, reason, attempt)`` from an extract output."""
     return extracted.where(F.col("reject_reason").isNotNull()).select(
@@ -55,13 +74,27 @@ def write_sinks(routed: DataFrame, path: str, mode: str = "append") -> None:
 
 def write_then_mark(records: DataFrame, table_path: str, visited: DataFrame | None,
                     meta: str, url_col: str = "url", mode: str = "append"):
-    """K3: write the records, then mark as visited the keys of the rows the
-    table now holds -- a key never counts as visited unless its record was
-    stored.  Re-running is idempotent: keys already in ``visited`` are not
-    added twice.  Returns ``(stored table, new visited set)``."""
-    records.write.mode(mode).parquet(table_path)
-    stored = records.sparkSession.read.parquet(table_path)
-    written = V.keyed(stored.select(url_col), url_col, meta).select(*V.SET_COLS).distinct()
+    """K3: store the records whose key the table does not hold yet, then mark
+    as visited the keys of the rows just stored -- a key never counts as
+    visited unless its record was stored.
+
+    Each call writes one ``write=<n>`` partition and reads back that one, so
+    running the same records again stores nothing and costs the batch, not
+    the table.  Of records with one key the smallest row is stored; records
+    without a key are not (log them with :func:`ineligible_rejects`).
+    Returns ``(stored table, new visited set)``."""
+    spark = records.sparkSession
+    schema = T.StructType([*records.schema.fields, T.StructField("write", T.StringType())])
+    rows = V.keyed(records, url_col, meta)
+    rows = rows.groupBy(*V.SET_COLS).agg(F.min(F.struct(*[F.col(c) for c in records.columns])).alias("r"))
+    if path_exists(spark, table_path):
+        held = V.keyed(spark.read.schema(schema).parquet(table_path).select(url_col), url_col, meta).select(*V.SET_COLS).distinct()
+        rows = rows.join(held, V.SET_COLS, "left_anti")
+    write = uuid.uuid4().hex
+    (rows.select("r.*").withColumn("write", F.lit(write)).write.mode(mode).partitionBy("write").parquet(table_path))
+    table = spark.read.schema(schema).parquet(table_path)
+    written = V.keyed(table.where(F.col("write") == write).select(url_col), url_col, meta).select(*V.SET_COLS).distinct()
+    stored = table.drop("write")
     if visited is None:
         return stored, written
     return stored, V.mark(visited, written)

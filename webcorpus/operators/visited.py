@@ -9,7 +9,9 @@ task; large anti/semi joins are sort-merge joins with AQE's skew split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
@@ -31,19 +33,48 @@ def keyed(df: DataFrame, url_col: str = "url", meta: str | None = None,
 def first_seen(candidates: DataFrame, visited: DataFrame | None = None,
                order_cols: tuple[str, ...] = ("seq",)) -> DataFrame:
     """The first arrival of every ``(meta, key)`` that is not yet in
-    ``visited``.  "First" is the smallest ``order_cols`` tuple, so the
-    survivor is deterministic.  Null keys are not candidates."""
-    cols = [c for c in candidates.columns if c not in SET_COLS]
-    c = candidates.where(F.col("key").isNotNull() & F.col("meta").isNotNull())
-    first = (c.groupBy(*SET_COLS)
-              .agg(F.min(F.struct(*[F.col(o) for o in order_cols],
-                                  *[F.col(x) for x in cols if x not in order_cols])).alias("_f"))
-              .select(*SET_COLS, "_f.*"))
+    ``visited``, as ``(meta, key, *order_cols)``.  "First" is the smallest
+    ``order_cols`` (one or two columns of whole numbers, dates or
+    timestamps, unique together), so the survivor is deterministic.  Null
+    keys are not candidates.
+
+    The order is one fixed-width number, so the minimum is taken in a hash
+    aggregate on either side of the shuffle and no row is sorted.  Fetch
+    other columns by the order columns (``with_rows``)."""
+    order = order_number(candidates, order_cols)
+    c = candidates.where(F.col("key").isNotNull() & F.col("meta").isNotNull()).withColumn("_order", order)
+    first = c.groupBy(*SET_COLS).agg(*[F.min_by(o, "_order").alias(o) for o in order_cols])
     if visited is not None:
         first = first.join(visited.select(*SET_COLS).where(F.col("key").isNotNull()), SET_COLS, "left_anti")
     return first
 
 
+def order_number(df: DataFrame, cols: tuple[str, ...]) -> Column:
+    """One or two columns as one number with the same order (two 64-bit
+    numbers side by side in a decimal; beyond +-5e18 the first overflows
+    and raises)."""
+    kinds = dict(df.dtypes)
+
+    def number(c: str) -> Column:
+        x = F.col(c)
+        if kinds[c].startswith("timestamp"):
+            x = F.unix_micros(x.cast("timestamp"))
+        elif kinds[c] == "date":
+            x = F.unix_date(x)
+        return x.cast("bigint")
+    if len(cols) == 1:
+        return number(cols[0])
+    a, b = cols
+    wide = number(a).cast("decimal(19,0)") * F.lit(2 * 10**18).cast("decimal(19,0)")
+    return (wide * F.lit(10).cast("decimal(2,0)")).cast("decimal(38,0)") + number(b).cast("decimal(20,0)")
+
+
+def with_rows(first: DataFrame, candidates: DataFrame, order_cols: tuple[str, ...]) -> DataFrame:
+    """The candidate rows that :func:`first_seen` chose, all columns."""
+    on = [*SET_COLS, *order_cols]
+    return candidates.join(first.select(*on).hint("shuffle_hash"), on, "left_semi")
+
+
 def first_seen_rows(candidates: DataFrame, visited: DataFrame | None = None,
                     id_col: str = "page_id") -> DataFrame:
     """D1 for wide rows (pages carrying their HTML): the same choice as
@@ -51,13 +82,15 @@ def first_seen_rows(candidates: DataFrame, visited: DataFrame | None = None,
     are never sorted.  Winners are picked on the narrow ``(meta, key, id)``
     projection (hash aggregate, combined map-side), anti-joined with the
     set, and the winning rows are fetched with a shuffled hash join on
-    ``id_col`` (which must be unique per row): the HTML crosses one
-    shuffle and is streamed past a hash table of winner ids."""
+    ``id_col``: the HTML crosses one shuffle and is streamed past a hash
+    table of winner ids.  Rows that share an id (one page fetched twice in a
+    batch) come out once."""
     c = candidates.where(F.col("key").isNotNull() & F.col("meta").isNotNull())
     winners = c.select(*SET_COLS, id_col).groupBy(*SET_COLS).agg(F.min(id_col).alias(id_col))
     if visited is not None:
         winners = winners.join(visited.select(*SET_COLS).where(F.col("key").isNotNull()), SET_COLS, "left_anti")
-    return c.join(winners.select(id_col).hint("shuffle_hash"), id_col, "left_semi")
+    chosen = c.join(winners.hint("shuffle_hash"), [*SET_COLS, id_col], "left_semi")
+    return chosen.dropDuplicates([id_col])
 
 
 def members(visited: DataFrame, meta: str) -> DataFrame:
@@ -78,6 +111,51 @@ def snapshot(visited: DataFrame, base_path: str, version: str) -> str:
     return path
 
 
+class VisitedTable:
+    """A visited set stored in buckets of ``(meta, key)``.
+
+    An anti-join against it shuffles the batch only: the stored history is
+    read bucket by bucket.  New keys are appended (a key stored twice is
+    still one member); ``compact`` rewrites the set under the next name once
+    appends have left many files, and readers go over to it when it is whole.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
+        self.spark, self.name = spark, name
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _current(self) -> str | None:
+        names = [t.name for t in self.spark.catalog.listTables() if re.fullmatch(rf"{self.name}_v\d+", t.name)]
+        return max(names, key=lambda n: int(n.rsplit("_v", 1)[1])) if names else None
+
+    def read(self) -> DataFrame | None:
+        """The members, or None if nothing has been stored yet."""
+        name = self._current()
+        return self.spark.table(name).select(*SET_COLS) if name else None
+
+    def _write(self, keys: DataFrame, name: str, mode: str) -> None:
+        (keys.select(*SET_COLS).repartition(self.buckets, *SET_COLS).write.mode(mode)
+             .bucketBy(self.buckets, *SET_COLS).saveAsTable(name))
+
+    def append(self, keys: DataFrame) -> None:
+        self._write(keys, self._current() or f"{self.name}_v0", "append")
+
+    def compact(self) -> None:
+        old = self._current()
+        if old:
+            version = int(old.rsplit("_v", 1)[1])
+            # made under another name first: a half-written set is never current
+            fresh = f"{self.name}_next"
+            self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+            self._write(self.spark.table(old).distinct(), fresh, "errorifexists")
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {self.name}_v{version + 1}")
+            self.spark.sql(f"DROP TABLE {old}")
+
+    def drop(self) -> None:
+        while name := self._current():
+            self.spark.sql(f"DROP TABLE {name}")
+
+
 def mark(visited: DataFrame, new_keys: DataFrame) -> DataFrame:
     """Add keys to a set (idempotent): the union, distinct on (meta, key)."""
     return visited.select(*SET_COLS).unionByName(new_keys.select(*SET_COLS)).distinct()

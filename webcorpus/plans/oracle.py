@@ -42,15 +42,12 @@ def STRIP_KEY(k: str) -> str:
     return f"CASE WHEN len(string_split({k}, '.net/')) = 2 THEN string_split({k}, '.net/')[2] ELSE {k} END"
 
 
-_ONE = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/]+)/([^/]*)$"
-_MANY = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/]+/(?:.*/)?)[^/]*/([^/]*)$"
-
-
 def FOLLOW(u: str) -> str:
-    me = rf"regexp_replace({u}, '^([A-Za-z][A-Za-z0-9+.\-]*://)blog\.', '\1me.')"
-    res = (f"CASE WHEN regexp_matches({me}, '{_ONE}') THEN regexp_replace({me}, '{_ONE}', '\\1/follow/\\2') "
-           f"WHEN regexp_matches({me}, '{_MANY}') THEN regexp_replace({me}, '{_MANY}', '\\1follow/\\2') END")
-    return f"lower(regexp_extract({res}, '^([^:]*:)', 1)) || regexp_replace({res}, '^[^:]*:', '')"
+    """By list operations: the host's first label, and the last two path parts."""
+    p = f"string_split({u}, '/')"
+    host = f"CASE WHEN starts_with({p}[3], 'blog.') THEN 'me.' || substr({p}[3], 6) ELSE {p}[3] END"
+    return (f"lower({p}[1]) || '//' || {host} || '/' || array_to_string(list_concat("
+            f"CASE WHEN len({p}) > 5 THEN {p}[4:len({p}) - 2] ELSE [] END, ['follow', {p}[len({p})]]), '/')")
 
 
 def LENIENT(x: str) -> str:
@@ -67,6 +64,13 @@ def SENTENCES(x: str) -> str:
             r"lambda s: regexp_replace(s, '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g')), lambda s: s <> '')")
 
 
+# the rows that ``render.planted_pages`` and ``planted_documents`` change, by the same keys
+PAGES = """(SELECT page_id, url, CASE WHEN page_id % 7 = 0 THEN
+  'a  <span class="katex--display">x<b>y</b></span><br/>  b' || chr(13) || '  c <i>d</i>' || chr(13) || chr(10) ELSE '' END ||
+  CASE WHEN page_id % 5 = 0 THEN replace(html, '</ul></nav>', '<li><a href="/watchers/x">w</a></li></ul></nav>') ELSE html END AS html FROM pages)"""
+DOCS = """(SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN '   ' WHEN doc_id % 10 = 0 THEN chr(10)
+  WHEN doc_id % 6 = 0 THEN '你好。今天天气很好！是吗？好' || text WHEN doc_id % 4 = 0 THEN '<p>tagged</p> ' || text ELSE text END AS text FROM documents)"""
+
 BLOG = "https://blog.example.net"
 TITLE = UNESC("regexp_extract(html, '<h1[^>]*>([^<]*)', 1)")
 ME = "https://me.example.net"
@@ -155,13 +159,16 @@ FROM orders"""
 ORACLE = {
     "page_scan": "SELECT page_id, url, html FROM pages",
     "content_projection": "SELECT html AS content FROM pages",
-    "strip_markup": f"SELECT page_id, {STRIP_MARKUP('html')} AS text FROM pages",
-    "drop_blank": f"SELECT doc_id, text FROM (SELECT doc_id, {STRIP_MARKUP('text')} AS text FROM documents) "
+    "strip_markup": f"SELECT page_id, {STRIP_MARKUP('html')} AS text FROM {PAGES}",
+    "drop_blank": f"SELECT doc_id, text FROM (SELECT doc_id, {STRIP_MARKUP('text')} AS text FROM {DOCS}) "
                   "WHERE text IS NOT NULL AND trim(text) <> ''",
-    "json_corpus": f"SELECT doc_id, text FROM (SELECT doc_id, {STRIP_MARKUP('text')} AS text FROM documents) "
+    "json_corpus": f"SELECT doc_id, text FROM (SELECT doc_id, {STRIP_MARKUP('text')} AS text FROM {DOCS}) "
                    "WHERE text IS NOT NULL AND trim(text) <> ''",
+    "wholetext_scan": "SELECT regexp_replace(text, '\\r\\n?', chr(10), 'g') AS text FROM documents",
     "wholetext_lines": "SELECT unnest(string_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10))) AS line "
                        "FROM documents",
+    "per_file_outputs": "SELECT 'd' || doc_id AS file_name, regexp_replace(text, '\\r\\n?', chr(10), 'g') AS text FROM documents",
+    "set_members": "SELECT DISTINCT event_type AS meta, 'u' || user_id AS key FROM events WHERE event_type = 'error'",
     "sql_single_row": "SELECT count(*) AS n_pages, count(DISTINCT url) AS n_urls, "
                       "CAST(sum(length(html)) AS BIGINT) AS n_chars FROM pages",
     "visit_key": f"SELECT page_id, url, {KEY('url')} AS key FROM pages WHERE {ELIGIBLE('url')}",
@@ -185,12 +192,12 @@ e AS (SELECT c_custkey, unnest(range(1, coalesce(pc, 0) + 1)) AS i FROM p)
 SELECT c_custkey, CAST(i AS INTEGER) AS page_no, '{BLOG}/u' || c_custkey || '/article/list/' || i AS list_url FROM e""",
     "kv_map": "SELECT c_custkey, c_name AS name, c_mktsegment AS seg, 'a=b' AS note, "
               "CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS bal, CAST(4 AS INTEGER) AS n_keys FROM customer",
-    "sentence_split": f"""WITH s AS (SELECT doc_id, {SENTENCES('text')} AS lst FROM documents)
+    "sentence_split": f"""WITH s AS (SELECT doc_id, {SENTENCES('text')} AS lst FROM {DOCS})
 SELECT doc_id, CAST(generate_subscripts(lst, 1) - 1 AS INTEGER) AS sent_no, unnest(lst) AS sentence FROM s""",
-    "char_tokens": f"""WITH s AS (SELECT doc_id, {SENTENCES('text')} AS lst FROM documents),
+    "char_tokens": f"""WITH s AS (SELECT doc_id, {SENTENCES('text')} AS lst FROM {DOCS}),
 e AS (SELECT doc_id, CAST(generate_subscripts(lst, 1) - 1 AS INTEGER) AS sent_no, unnest(lst) AS sentence FROM s)
 SELECT doc_id, sent_no, regexp_replace(regexp_replace(sentence, '[ \\t\\r\\n]+', '', 'g'), '(?s)(.)', '\\1 ', 'g') AS line FROM e""",
-    "nav_links": f"WITH {NAV_CTE} SELECT page_id, url, pos, label, href, CAST(NULL AS VARCHAR) AS reject_reason, "
+    "nav_links": f"WITH {NAV_CTE.replace('FROM pages', 'FROM ' + PAGES)} SELECT page_id, url, pos, label, href, CAST(NULL AS VARCHAR) AS reject_reason, "
                  "target FROM navl",
     "link_edges": f"WITH {NAV_CTE} SELECT url AS src_url, target AS dst_url, 'category' AS kind FROM navl",
     "site_link_edges": f"""WITH ok AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderkey % 9 <> 0),
@@ -242,7 +249,7 @@ FROM orders""",
                        "CAST(CASE WHEN html LIKE '%spam-farm%' THEN 1 ELSE 0 END AS INTEGER) AS next_attempt FROM pages",
     "severity_route": "SELECT event_id, event_type AS level, CASE WHEN lower(event_type) = 'error' THEN 'error' "
                       "ELSE 'main' END AS sink FROM events",
-    "mark_after_write": f"SELECT DISTINCT 'blog' AS meta, {KEY('url')} AS key FROM pages WHERE {ELIGIBLE('url')}",
+    "mark_after_write": f"SELECT DISTINCT 'blog' AS meta, {KEY('url')} AS key, CAST(1 AS BIGINT) AS n_stored FROM pages WHERE {ELIGIBLE('url')}",
     "last_by_title": """SELECT title, page_id, content FROM (
   SELECT regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, page_id, html AS content,
     row_number() OVER (PARTITION BY regexp_extract(html, '<title>([^<]*)</title>', 1) ORDER BY page_id DESC) AS rn
@@ -260,16 +267,16 @@ EXCEPT SELECT event_type, 'u' || user_id FROM events WHERE event_type = 'error'
     "rekey_visited": f"SELECT DISTINCT 'blog' AS meta, {STRIP_KEY('url')} AS key FROM pages",
     "frontier_union": f"""WITH {HREFS_CTE},
 f AS (
-  SELECT 'blog' AS meta, url, page_id * 1000 AS seq FROM pages
-  UNION ALL SELECT 'user', {FOLLOW('url')}, page_id * 1000 FROM pages
-  UNION ALL SELECT 'blog', {ORIGIN('url')} || href, page_id * 1000 + pos + 1 FROM hrefs),
-k AS (SELECT meta, url, seq, {KEY('url')} AS key FROM f WHERE url IS NOT NULL AND url <> '' AND {ELIGIBLE('url')})
+  SELECT 'blog' AS meta, url, page_id, -2 AS pos FROM pages
+  UNION ALL SELECT 'user', {FOLLOW('url')}, page_id, -1 FROM pages
+  UNION ALL SELECT 'blog', {ORIGIN('url')} || href, page_id, pos FROM hrefs),
+k AS (SELECT meta, url, page_id, pos, {KEY('url')} AS key FROM f WHERE url IS NOT NULL AND url <> '' AND {ELIGIBLE('url')})
 SELECT meta, key, url FROM (
-  SELECT meta, key, url, row_number() OVER (PARTITION BY meta, key ORDER BY seq, url) AS rn FROM k) WHERE rn = 1""",
+  SELECT meta, key, url, row_number() OVER (PARTITION BY meta, key ORDER BY page_id, pos) AS rn FROM k) WHERE rn = 1""",
     "crawl_closure": """WITH RECURSIVE
-e0 AS (SELECT DISTINCT 's' || l_suppkey AS a, 'p' || l_partkey AS b FROM lineitem WHERE l_quantity <= 2),
+e0 AS (SELECT DISTINCT 's' || l_suppkey AS a, 'p' || l_partkey AS b FROM lineitem),
 e AS (SELECT a AS src, b AS dst FROM e0 UNION SELECT b, a FROM e0),
-seed AS (SELECT min(src) AS node FROM e WHERE src LIKE 's%'),
+seed AS (SELECT 's' || min(l_suppkey) AS node FROM lineitem),
 r(node, depth) USING KEY (node) AS (
   SELECT node, 0 FROM seed
   UNION
@@ -298,3 +305,27 @@ SELECT 'blog', string_split(url, '.net/')[2] FROM ({ARTICLE}) WHERE reject_reaso
   CASE WHEN lower(event_type) = 'error' THEN 'error' ELSE 'main' END AS sink
 FROM events e WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_mktsegment = 'BUILDING' AND c.c_custkey = e.user_id)""",
 }
+
+ORACLE["site_closure"] = f"""WITH RECURSIVE
+e AS (SELECT DISTINCT src_url AS src, dst_url AS dst FROM ({ORACLE['site_link_edges']})),
+r(node, depth) USING KEY (node) AS (
+  SELECT '{BLOG}/list/1', 0
+  UNION
+  SELECT DISTINCT e.dst, r.depth + 1 FROM r JOIN e ON r.node = e.src
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.r AS s WHERE s.node = e.dst))
+SELECT node AS url, CAST(depth AS INTEGER) AS depth FROM r"""
+
+ORACLE["append_twice"] = f"""SELECT CASE WHEN o_orderstatus = 'F' THEN '0' ELSE '1' END AS batch, url, title
+FROM ({ARTICLE}) JOIN orders ON page_id = o_orderkey WHERE reject_reason IS NULL"""
+
+ORACLE["crawl_rejects"] = f"""SELECT CASE WHEN page_id % 19 = 0 THEN 'ftp' || substr(url, 6) ELSE url END AS url,
+  CASE WHEN page_id % 19 = 0 THEN 'url' WHEN page_id % 23 = 0 THEN 'fetch' ELSE 'article' END AS stage,
+  CASE WHEN page_id % 19 = 0 THEN 'ineligible URL' WHEN page_id % 23 = 0 THEN 'challenge page' ELSE reject_reason END AS reason,
+  CAST(CASE WHEN page_id % 23 = 0 THEN 1 ELSE 0 END AS INTEGER) AS attempt
+FROM ({ARTICLE}) WHERE page_id % 19 = 0 OR page_id % 23 = 0 OR reject_reason IS NOT NULL"""
+
+ORACLE["retry_rounds"] = """SELECT CAST(1 AS INTEGER) AS round, page_id, CASE WHEN page_id % 4 < 2 THEN 'retry' ELSE 'content' END AS route,
+  CAST(CASE WHEN page_id % 4 < 2 THEN 1 ELSE 0 END AS INTEGER) AS next_attempt FROM pages
+UNION ALL SELECT 2, page_id, CASE WHEN page_id % 4 = 0 THEN 'retry' ELSE 'content' END, CASE WHEN page_id % 4 = 0 THEN 2 ELSE 1 END
+FROM pages WHERE page_id % 4 < 2
+UNION ALL SELECT 3, page_id, 'reject', 3 FROM pages WHERE page_id % 4 = 0"""

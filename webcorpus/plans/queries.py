@@ -20,7 +20,7 @@ from ..operators import extract as X
 from ..operators import frontier as G
 from ..operators import routing as R
 from ..operators import visited as V
-from ..operators.parallel import spread
+from ..operators.parallel import partitioned
 from ..session import apply_runtime_conf, scratch_path
 from ..sources import tables as S
 from ..streaming import stream as W
@@ -48,45 +48,45 @@ def content_projection(spark, sf_dir):
 
 def strip_markup(spark, sf_dir):
     """T1-T3 on every page (flagship)."""
-    return C.strip_markup(_t(spark, sf_dir, "pages"))
+    return C.strip_markup(RD.planted_pages(_t(spark, sf_dir, "pages")))
 
 
 def drop_blank(spark, sf_dir):
     """P6 after T1-T3: documents that are not only spaces."""
-    docs = C.strip_markup(_t(spark, sf_dir, "documents"), "text", "doc_id")
+    docs = C.strip_markup(RD.planted_documents(_t(spark, sf_dir, "documents")), "text", "doc_id")
     return C.drop_blank(docs)
 
 
 def json_corpus(spark, sf_dir):
     """The cleaned corpus written as JSON Lines, read back."""
-    docs = C.drop_blank(C.strip_markup(_t(spark, sf_dir, "documents"), "text", "doc_id"))
+    docs = C.drop_blank(C.strip_markup(RD.planted_documents(_t(spark, sf_dir, "documents")), "text", "doc_id"))
     path = scratch_path(spark, "json_corpus")
     C.write_json_corpus(docs, path)
     return C.read_json_corpus(spark, path)
 
 
 def wholetext_scan(spark, sf_dir):
-    """Documents written as a folder of text files, read back one
-    row per file (file name + whole text)."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    """Every document written as a file of its own, read back one row
+    per file with its line ends normalised."""
+    docs = _t(spark, sf_dir, "documents").select("text")
     path = scratch_path(spark, "text_files")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs.repartition(n, "doc_id").select("text").write.mode("overwrite").text(path)
-    return S.read_text_files(spark, path)
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    # the writer ends every text with a newline
+    return S.read_text_files(spark, path).select(F.regexp_replace("text", r"\n\z", "").alias("text"))
 
 
 def wholetext_lines(spark, sf_dir):
-    """S5/S6 check: the text files written from ``documents`` read back
-    whole and split into lines.  However the documents were grouped into
-    files, the multiset of lines equals that of all documents' lines."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    path = scratch_path(spark, "text_lines")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs.repartition(n, "doc_id").select("text").write.mode("overwrite").text(path)
-    files = S.read_text_files(spark, path)
-    # every file ends with the writer's newline: drop it, then split
-    body = F.regexp_replace("text", r"\n\z", "")
-    return files.where(F.col("text") != "").select(F.explode(F.split(body, "\n")).alias("line"))
+    """The lines of the files read whole."""
+    return wholetext_scan(spark, sf_dir).select(F.explode(F.split("text", "\n")).alias("line"))
+
+
+def per_file_outputs(spark, sf_dir):
+    """K5: one output per document, under its file name, read back by name."""
+    docs = _t(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("file_name"), "text")
+    path = scratch_path(spark, "per_file")
+    C.write_per_file(docs, path)
+    back = spark.read.text(path, wholetext=True)
+    return back.select("file_name", F.regexp_replace(F.regexp_replace("value", r"\r\n?", "\n"), r"\n\z", "").alias("text"))
 
 
 def sql_single_row(spark, sf_dir):
@@ -165,19 +165,19 @@ def kv_map(spark, sf_dir):
 
 def sentence_split(spark, sf_dir):
     """T8 on every document."""
-    return C.sentence_rows(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return C.sentence_rows(RD.planted_documents(_t(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def char_tokens(spark, sf_dir):
     """T8 + T9: one line of space-separated characters per sentence."""
-    return C.char_tokens(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return C.char_tokens(RD.planted_documents(_t(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 # -- page extraction ----------------------------------------------------------
 
 def nav_links(spark, sf_dir):
     """X1 on the driver pages (their ``nav`` has no id, so every nav)."""
-    return X.nav_links(_t(spark, sf_dir, "pages"), nav_id=None)
+    return X.nav_links(RD.planted_pages(_t(spark, sf_dir, "pages")), nav_id=None)
 
 
 def link_edges(spark, sf_dir):
@@ -208,8 +208,8 @@ def feed_links(spark, sf_dir):
 
 def user_profile(spark, sf_dir):
     """X3 + X4 RT on profiles rendered from customers."""
-    # one page per row: spread the narrow rows first, so pages render in parallel
-    return X.user_profile(RD.profile_pages(spread(_t(spark, sf_dir, "customer"), "c_custkey")), spread_input=False)
+    # one page per row: the narrow rows are dealt out, if at all, so pages render in parallel
+    return X.user_profile(RD.profile_pages(partitioned(_t(spark, sf_dir, "customer"), "c_custkey")), repartition=False)
 
 
 def page_count(spark, sf_dir):
@@ -234,8 +234,8 @@ def article_list_links(spark, sf_dir):
 
 def article_detail(spark, sf_dir):
     """X7 + X8 + T5 + M3 RT on article pages rendered from orders."""
-    # one page per row: spread the narrow rows first, so pages render in parallel
-    return X.article_detail(RD.article_pages(spread(_t(spark, sf_dir, "orders"), "o_orderkey")), spread_input=False)
+    # one page per row: the narrow rows are dealt out, if at all, so pages render in parallel
+    return X.article_detail(RD.article_pages(partitioned(_t(spark, sf_dir, "orders"), "o_orderkey")), repartition=False)
 
 
 def read_count(spark, sf_dir):
@@ -287,11 +287,16 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def article_info_append(spark, sf_dir):
-    """K2 RT: good article records appended to ``article_info``."""
-    ok, _ = X.split_rejects(article_detail(spark, sf_dir))
-    path = scratch_path(spark, "article_info")
-    enforce_schema(ok.drop("page_id"), ARTICLE_SCHEMA).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    """K2 RT: article records appended to ``article_info`` in two batches,
+    the second over all pages: a key the history holds is not stored again.
+    Every stored row has a surrogate id."""
+    pages = RD.article_pages(_t(spark, sf_dir, "orders"))
+    base = scratch_path(spark, "article_info")
+    paths = CR.CrawlPaths(base + "/article_info", base + "/rejects", base + "/retry")
+    new = CR.crawl_articles(pages.where(F.col("page_id") % 3 == 0), None, paths, batch_id="0")
+    CR.crawl_articles(pages, new, paths, batch_id="1")
+    stored = CR.read_table(spark, paths.articles, CR.ARTICLE_SCHEMA)
+    return stored.where(F.col("id") == CR.surrogate_id()).select(*X.ARTICLE_COLUMNS)
 
 
 def schema_enforce(spark, sf_dir):
@@ -301,13 +306,18 @@ def schema_enforce(spark, sf_dir):
 
 
 def user_info_append(spark, sf_dir):
-    """K1 RT: author records appended when first seen in set ``user``."""
+    """K1 RT: author records with their surrogate id, appended when first
+    seen in set ``user``: a first batch is history, the second holds all."""
     ok, _ = X.split_rejects(user_profile(spark, sf_dir))
     cand = V.keyed(ok.select(*X.USER_COLUMNS, "page_id"), "url", "user")
-    first = V.first_seen(cand, None, order_cols=("page_id",))
-    path = scratch_path(spark, "user_info")
-    enforce_schema(first.select(*X.USER_COLUMNS), USER_SCHEMA).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    path, schema = scratch_path(spark, "user_info"), T.StructType([T.StructField("id", T.LongType()), *USER_SCHEMA.fields])
+    visited = None
+    for batch in (cand.where(F.col("page_id") % 2 == 0), cand):
+        first = V.with_rows(V.first_seen(batch, visited, order_cols=("page_id",)), batch, ("page_id",))
+        enforce_schema(first.select(CR.surrogate_id().alias("id"), *X.USER_COLUMNS), schema).write.mode("append").parquet(path)
+        stored = spark.read.schema(schema).parquet(path)
+        visited = V.keyed(stored.select("url"), "url", "user").select("meta", "key")
+    return stored.where(F.col("id") == CR.surrogate_id()).select(*X.USER_COLUMNS)
 
 
 def article_rejects(spark, sf_dir):
@@ -331,11 +341,14 @@ def severity_route(spark, sf_dir):
 
 
 def mark_after_write(spark, sf_dir):
-    """K3: keys marked visited only from the rows the sink holds."""
+    """K3: keys marked visited only from the rows the sink holds; the second
+    run of the same records stores nothing more."""
     recs = _t(spark, sf_dir, "pages").select("page_id", "url")
     path = scratch_path(spark, "marked")
     _, visited = R.write_then_mark(recs, path, None, "blog")
-    return visited
+    stored, visited = R.write_then_mark(recs, path, visited, "blog")
+    times = V.keyed(stored.select("url"), "url", "blog").groupBy("meta", "key").agg(F.count("*").alias("n_stored"))
+    return visited.join(times, ["meta", "key"], "left").select("meta", "key", "n_stored")
 
 
 def last_by_title(spark, sf_dir):
@@ -360,6 +373,12 @@ def first_seen(spark, sf_dir):
         .select("meta", "key", F.col("event_id").alias("first_event_id"))
 
 
+def set_members(spark, sf_dir):
+    """S7 + T11: the distinct members of one named set, stored as bytes."""
+    stored = _event_keys(spark, sf_dir).select("meta", F.encode("key", "UTF-8").alias("key"))
+    return V.members(stored, "error")
+
+
 def forget_keys(spark, sf_dir):
     """Pairs with a large error event forgotten from the set."""
     k = _event_keys(spark, sf_dir)
@@ -401,42 +420,50 @@ def rekey_visited(spark, sf_dir):
 def _frontier(spark, sf_dir):
     """Three producers from one scan of the pages: the page itself (set
     ``blog``), its author's follow page (set ``user``) and every link
-    target (set ``blog``), each with an arrival order ``seq``."""
+    target (set ``blog``), each with its page and its place in it."""
     p = _t(spark, sf_dir, "pages").select("page_id", "url", "html")
-    seq = F.col("page_id") * 1000
+    base, href = U.follow_parts("url")
 
-    def item(meta, kind, raw, order):
-        return F.struct(F.lit(meta).alias("meta"), F.lit(kind).alias("kind"), raw.alias("raw"), order.alias("seq"))
-    own = F.array(item("blog", "page", F.col("url"), seq), item("user", "follow", F.col("url"), seq))
+    def item(meta, base, href, pos):
+        return F.struct(F.lit(meta).alias("meta"), base.alias("base"), href.alias("href"), pos.alias("pos"))
+    own = F.array(item("blog", F.lit(None).cast("string"), F.col("url"), F.lit(-2)), item("user", base, href, F.lit(-1)))
     links = F.transform(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1),
-                        lambda h, i: item("blog", "link", h, seq + i + 1))
-    items = p.select("url", F.explode(F.concat(own, links)).alias("it")).select("url", "it.*")
-    url = (F.when(F.col("kind") == "page", F.col("raw"))
-            .when(F.col("kind") == "follow", U.follow_url("raw"))
-            .otherwise(U.resolve_url("url", "raw")))
-    return V.frontier_union(items.select("meta", url.alias("url"), "seq"))
+                        lambda h, i: item("blog", F.col("url"), h, i))
+    items = p.select("page_id", F.explode(F.concat(own, links)).alias("it")).select("page_id", "it.*")
+    url = F.when(F.col("base").isNull(), F.when(F.col("meta") == "blog", F.col("href"))).otherwise(U.resolve_url("base", "href"))
+    # a generator's output is computed once, however often it is looked at
+    items = items.select("meta", "page_id", "pos", F.explode(F.array(url)).alias("url"))
+    return V.frontier_union(items)
 
 
 def frontier_union(spark, sf_dir):
     """D6 + P7 + D1: pages, follow pages and link targets into one frontier,
-    first arrival per (meta, key)."""
-    f = V.keyed(_frontier(spark, sf_dir), "url")
-    return V.first_seen(f, None, order_cols=("seq",)).select("meta", "key", "url")
+    first arrival (page, then place in it) per (meta, key)."""
+    f = _frontier(spark, sf_dir)
+    f = f.select("meta", "page_id", "pos", "url", F.explode(F.array(U.visit_key("url"))).alias("key")).where(F.col("key").isNotNull())
+    path = scratch_path(spark, "frontier")
+    f.write.parquet(path)
+    f = spark.read.schema(f.schema).parquet(path)
+    order = ("page_id", "pos")
+    return V.with_rows(V.first_seen(f, None, order_cols=order), f, order).select("meta", "key", "url")
 
 
-def _closure_edges(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem").where(F.col("l_quantity") <= 2)
-    e = li.select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("src"),
-                  F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"))
-    return G.undirected(e)
+def crawl_closure(spark, sf_dir):
+    """G1: nodes reachable from the first supplier over all lineitem links
+    between suppliers and parts, with their BFS depth."""
+    li = _t(spark, sf_dir, "lineitem")
+    edges = G.undirected(li.select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("src"),
+                                   F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")))
+    seeds = li.select(F.concat(F.lit("s"), F.min("l_suppkey").cast("string")).alias("node"))
+    return G.crawl_closure(spark, edges, seeds, symmetric=True)
 
 
-def crawl_closure(spark, sf_dir):
-    """G1: nodes reachable from the first supplier over small-quantity
-    lineitem links, with their BFS depth."""
-    edges = _closure_edges(spark, sf_dir)
-    seeds = edges.where(F.col("src").startswith("s")).agg(F.min("src").alias("node"))
-    return G.crawl_closure(spark, edges, seeds)
+def site_closure(spark, sf_dir):
+    """G1 on G2 RT: everything reachable from one list page over the links
+    extracted from feeds, follow lists, article lists and profiles."""
+    edges = site_link_edges(spark, sf_dir).select(F.col("src_url").alias("src"), F.col("dst_url").alias("dst"))
+    seed = spark.createDataFrame([(RD.BLOG + "/list/1",)], "node string")
+    return G.crawl_closure(spark, edges, seed).withColumnRenamed("node", "url")
 
 
 # -- the crawl step (E1) ------------------------------------------------------
@@ -452,11 +479,55 @@ def _crawl(spark, sf_dir):
     return paths, V.mark(seen, new)
 
 
+def append_twice(spark, sf_dir):
+    """E1 + K2 + K3 RT: finished orders as history, then all orders, then the
+    same batch again under another name; every record is stored once."""
+    o = _t(spark, sf_dir, "orders")
+    base = scratch_path(spark, "append_twice")
+    paths = CR.CrawlPaths(base + "/article_info", base + "/rejects", base + "/retry")
+    visited = None
+    for batch, pages in enumerate((RD.article_pages(o.where(F.col("o_orderstatus") == "F")), RD.article_pages(o), RD.article_pages(o))):
+        new = CR.crawl_articles(pages, visited, paths, batch_id=str(batch))
+        visited = new if visited is None else V.mark(visited, new)
+        visited.write.parquet(f"{base}/visited{batch}")
+        visited = spark.read.schema(visited.schema).parquet(f"{base}/visited{batch}")
+    stored = CR.read_table(spark, paths.articles, CR.ARTICLE_SCHEMA)
+    return stored.select("batch", "url", "title")
+
+
+def crawl_rejects(spark, sf_dir):
+    """K8 + P1 + P4 RT: the reject log of a batch with ineligible URLs,
+    challenge pages and broken articles."""
+    base = scratch_path(spark, "crawl_rejects")
+    paths = CR.CrawlPaths(base + "/article_info", base + "/rejects", base + "/retry")
+    CR.crawl_articles(RD.faulty_article_pages(_t(spark, sf_dir, "orders")), None, paths, batch_id="0", max_attempts=1)
+    return CR.read_table(spark, paths.rejects, CR.REJECT_SCHEMA).drop("batch")
+
+
+def retry_rounds(spark, sf_dir):
+    """Three rounds of fetching.  Pages with id % 4 = 0 are challenged
+    every time, those with % 4 = 1 once; the retry table carries the attempts."""
+    pages = _t(spark, sf_dir, "pages").select("page_id", "url", "html")
+    base = scratch_path(spark, "retry_rounds")
+    retries, out = spark.createDataFrame([], CR.RETRY_SCHEMA), None
+    fetch = pages
+    for n in (1, 2, 3):
+        again = (F.col("page_id") % 4 == 0) | ((F.col("page_id") % 4 == 1) & F.lit(n == 1))
+        got = fetch.withColumn("html", F.when(again, F.lit("<html>arg1</html>")).otherwise(F.replace("html", F.lit("arg1"), F.lit(""))))
+        routed = R.challenge_split(R.with_attempts(got, retries)).select(F.lit(n).alias("round"), "page_id", "url", "route", "next_attempt")
+        routed.write.parquet(f"{base}/routed{n}")
+        routed = spark.read.schema(routed.schema).parquet(f"{base}/routed{n}")
+        out = routed if out is None else out.unionByName(routed)
+        retries = routed.where(F.col("route") == "retry").select("page_id", "url", F.col("next_attempt").alias("attempt"))
+        fetch = pages.join(retries.select("page_id"), "page_id", "left_semi")
+    return out.drop("url")
+
+
 def crawl_articles(spark, sf_dir):
     """E1 RT: article pages of orders not yet visited (the finished ones
     are), extracted and stored; returns the stored records."""
     paths, _ = _crawl(spark, sf_dir)
-    return spark.read.parquet(paths.articles).drop("batch")
+    return CR.read_table(spark, paths.articles, CR.ARTICLE_SCHEMA).drop("batch", "id")
 
 
 def crawl_visited(spark, sf_dir):
@@ -529,6 +600,7 @@ QUERIES = {
     "json_corpus": json_corpus,
     "wholetext_scan": wholetext_scan,
     "wholetext_lines": wholetext_lines,
+    "per_file_outputs": per_file_outputs,
     "sql_single_row": sql_single_row,
     "visit_key": visit_key,
     "follow_url": follow_url,
@@ -562,15 +634,20 @@ QUERIES = {
     "mark_after_write": mark_after_write,
     "last_by_title": last_by_title,
     "first_seen": first_seen,
+    "set_members": set_members,
     "forget_keys": forget_keys,
     "is_member": is_member,
     "reconcile_visited": reconcile_visited,
     "rekey_visited": rekey_visited,
     "frontier_union": frontier_union,
     "crawl_closure": crawl_closure,
+    "site_closure": site_closure,
     "corpus_tokens": corpus_tokens,
     "visited_refresh": visited_refresh,
     "crawl_articles": crawl_articles,
+    "append_twice": append_twice,
+    "crawl_rejects": crawl_rejects,
+    "retry_rounds": retry_rounds,
     "crawl_visited": crawl_visited,
     "stream_extract": stream_extract,
     "stream_first_seen": stream_first_seen,

@@ -47,6 +47,30 @@ def article_url(custkey, orderkey) -> Column:
     return F.concat(user_url(custkey), F.lit("/article/details/"), s(orderkey))
 
 
+# -- rules that no row of the driver tables reaches, planted by key -----------
+
+DISPLAY_MATH = 'a  <span class="katex--display">x<b>y</b></span><br/>  b\r  c <i>d</i>\r\n'
+WATCHERS_ITEM = '<li><a href="/watchers/x">w</a></li>'
+CJK = "你好。今天天气很好！是吗？好"
+
+
+def planted_pages(pages: DataFrame) -> DataFrame:
+    """Pages with display math and carriage returns (id % 7 = 0) and a
+    ``watchers`` link at the end of the navigation (id % 5 = 0)."""
+    k, html = F.col("page_id"), F.col("html")
+    html = F.when(k % 5 == 0, F.replace(html, F.lit("</ul></nav>"), F.lit(WATCHERS_ITEM + "</ul></nav>"))).otherwise(html)
+    return pages.withColumn("html", F.when(k % 7 == 0, F.concat(F.lit(DISPLAY_MATH), html)).otherwise(html))
+
+
+def planted_documents(docs: DataFrame) -> DataFrame:
+    """Documents that are blank (id % 9 = 0) or one newline (% 10 = 0), begin
+    with sentences of another script (% 6 = 0) or hold tags (% 4 = 0)."""
+    k, text = F.col("doc_id"), F.col("text")
+    return docs.withColumn("text", F.when(k % 9 == 0, F.lit("   ")).when(k % 10 == 0, F.lit("\n"))
+                           .when(k % 6 == 0, F.concat(F.lit(CJK), text))
+                           .when(k % 4 == 0, F.concat(F.lit("<p>tagged</p> "), text)).otherwise(text))
+
+
 # -- author profile pages (customer) -----------------------------------------
 
 def profile_pages(customer: DataFrame) -> DataFrame:
@@ -106,6 +130,15 @@ def article_pages(orders: DataFrame) -> DataFrame:
     return orders.select(k.alias("page_id"), article_url("o_custkey", k).alias("url"), html.alias("html"))
 
 
+def faulty_article_pages(orders: DataFrame) -> DataFrame:
+    """Article pages of which key % 19 = 0 have a URL that is not http(s) and
+    key % 23 = 0 hold the marker of a challenge page."""
+    k, pages = F.col("page_id"), article_pages(orders)
+    url = F.when(k % 19 == 0, F.concat(F.lit("ftp"), F.substring_index("url", "https", -1))).otherwise(F.col("url"))
+    html = F.when(k % 23 == 0, F.concat(F.lit("<p>arg1</p>"), F.col("html"))).otherwise(F.col("html"))
+    return pages.select("page_id", url.alias("url"), html.alias("html"))
+
+
 def content_markup() -> Column:
     """The body node of an article page, exactly as rendered."""
     return F.concat(F.lit('<div id="content_views" class="markdown_views"><p>'), esc("o_orderpriority"),

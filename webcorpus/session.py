@@ -8,9 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings applied to sessions this package builds.  On a cluster the
-# submitter's values win: ``builder.config`` never overrides a value that
-# ``getOrCreate`` finds already set on a running session.
+# Settings for sessions this package builds, and (the SQL ones) for sessions
+# it is handed.  A value that the caller or submitter has set wins.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -35,6 +34,9 @@ DEFAULT_CONF = {
 }
 
 
+SEMANTIC_CONF = ("spark.sql.session.timeZone", "spark.sql.mapKeyDedupPolicy")
+
+
 def build_session(master: str | None = None, app: str = "webcorpus",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -44,19 +46,32 @@ def build_session(master: str | None = None, app: str = "webcorpus",
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
+    active = SparkSession.getActiveSession()
+    for k, v in {**conf, **(extra or {})}.items():
+        # a running session keeps what it was given; only explicit extras change it
+        if active is None or k in (extra or {}):
+            b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_runtime_conf(spark)
     return spark
 
 
+def _given(spark: SparkSession, key: str) -> bool:
+    """Whether the session or its launcher has set ``key`` (not just Spark's default)."""
+    return spark.sparkContext.getConf().contains(key) or spark._jsparkSession.sessionState().conf().contains(key)
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """SQL settings the operators depend on for their semantics."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    """Give a session the SQL settings of :data:`DEFAULT_CONF` that it has none for.
+
+    Two are set in any case, as results depend on them: the time zone and
+    the rule for repeated map keys."""
+    for k in SEMANTIC_CONF:
+        spark.conf.set(k, DEFAULT_CONF[k])
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql.") and k not in SEMANTIC_CONF and not _given(spark, k):
+            spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -86,5 +101,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists; any other trouble with the store is raised."""
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table under the shared scratch folder, and nothing elsewhere."""
+    base = checkpoint_dir(spark).rstrip("/") + "/"
+    if not path.startswith(base):
+        raise ValueError(f"{path} is not under {base}")
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -13,6 +13,10 @@ PAGE_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()),
                             T.StructField("html", T.StringType())])
 
 
+# a page as a crawl step gets it: with the number of failed attempts so far
+FETCHED_SCHEMA = T.StructType([*PAGE_SCHEMA.fields, T.StructField("attempt", T.IntegerType())])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A parquet table; select columns afterwards and the scan reads only
     those (``ReadSchema``), filters reach it as ``PushedFilters``."""
@@ -34,30 +38,23 @@ def read_text_files(spark: SparkSession, path: str) -> DataFrame:
                      F.regexp_replace("value", r"\r\n?", "\n").alias("text"))
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str] | None = None,
-              partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
-              num_partitions: int | None = None, properties: dict | None = None) -> DataFrame:
+def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, lower: int, upper: int,
+              num_partitions: int, columns: list[str] | None = None, properties: dict | None = None) -> DataFrame:
     """S3: a stored table over JDBC, read in parallel ranges of
-    ``partition_column`` and fetched 6,000 rows at a time."""
+    ``partition_column`` and fetched 6,000 rows at a time.  Without a range
+    column the whole table would come through one task, so it is demanded."""
     props = {"fetchsize": "6000", **(properties or {})}
-    if partition_column:
-        df = spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper,
-                             numPartitions=num_partitions, properties=props)
-    else:
-        df = spark.read.jdbc(url, table, properties=props)
+    df = spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper,
+                         numPartitions=num_partitions, properties=props)
     return df.select(*columns) if columns else df
 
 
-def sql_rows(spark: SparkSession, sql: str) -> DataFrame:
-    """SQL pass-through over registered views."""
-    return spark.sql(sql)
-
-
 def sql_single_row(spark: SparkSession, sql: str) -> DataFrame:
     """S8 (single-row form): the statement must return exactly one row;
-    anything else raises.  At most two rows are fetched to check."""
+    anything else raises.  It runs once: at most two rows are fetched, and
+    the result is made of the row that was checked."""
     df = spark.sql(sql)
-    n = len(df.limit(2).collect())
-    if n != 1:
-        raise ValueError(f"expected exactly one row, got {'none' if n == 0 else 'more than one'}")
-    return df
+    rows = df.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"expected exactly one row, got {'none' if not rows else 'more than one'}")
+    return spark.createDataFrame(rows, df.schema)
