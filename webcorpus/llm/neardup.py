@@ -11,8 +11,9 @@
 3. Buckets in which nodes of different components are left go through a
    second, complete step, so no link is lost to the choice of the first
    step's centres: nodes of which enough occurs in other components at all
-   are compared with those components' nodes in the join, which yields
-   links only.  Inside one component nothing more is compared.
+   are compared with those components' nodes, first with further centres,
+   then with all, by joins that yield links only.  Inside one component
+   nothing more is compared.
 4. Components are found by label propagation with pointer jumping.
 
 Defined results: words are blank-separated, A-Z lower-cased; a text with
@@ -36,6 +37,7 @@ from webcorpus.session import scratch_path
 
 BANDS, ROWS = 28, 5             # at similarity 0.8 a linked pair shares no band with probability 1.5e-5
 BATCHES = 3                     # of 64 one-bit minhashes
+ROUNDS = 3                      # of further centres before buckets of several components are compared whole
 MISS = 1e-6                     # chance, under a uniform prior, that a pruned pair is a link
 CHUNK_BYTES = 2 << 20
 U64, U32 = np.uint64, np.uint32
@@ -221,8 +223,7 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     labels = components(links)
     rest = _across(star.join(first, ["a", "b"], "left_anti"), labels)
     labels = components(_saved(_verified(rest, sets, similarity), spark, "links"), labels)
-    more = _complete(shared.withColumnRenamed("b", "node").select("key", "node"), nodes, sets, labels, similarity, miss)
-    labels = components(_saved(more, spark, "links"), labels)
+    labels = _completed(shared.withColumnRenamed("b", "node").select("key", "node"), nodes, sets, labels, similarity, miss)
     named = sig.select("id", "n", "node").join(labels, "node", "left").select("id", "n", F.coalesce("label", "node").alias("root"))
     named = _saved(named, spark, "named")
     least = named.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
@@ -238,36 +239,55 @@ def _mixed(buckets: DataFrame) -> DataFrame:
     return buckets.join(keys, "key", "left_semi")
 
 
-def _complete(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, similarity: float, miss: float) -> DataFrame:
-    """Links (a, b) between all nodes of different components that share a bucket.
+def _completed(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, similarity: float, miss: float) -> DataFrame:
+    """The labels after all nodes of different components that share a bucket have been compared.
 
     A linked node shares the wanted part of its set with one node of another
     component.  So nodes of which too few members occur in any other
     component are left out first, by counting and without pairs; in a large
     group of loose copies, whose changed passages are their own, those are
-    nearly all.  For the rest the join itself tests sizes, bits and full
-    sets, and yields links only.
+    nearly all.  Of the rest, some rounds compare each bucket with one node
+    of it, another each time, so that what belongs together joins one
+    component; then the few buckets that still hold several are compared
+    whole.  The joins test sizes, bits and full sets, and yield links only.
     """
     spark, percent = nodes.sparkSession, round(similarity * 100)
-    named = _mixed(buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
-    named = _saved(named, spark, "mixed")
-    member = (named.select("node", "label").distinct().join(sets, "node")
+
+    def named(rows: DataFrame) -> DataFrame:
+        return _mixed(rows.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
+
+    first = _saved(named(buckets), spark, "mixed")
+    member = (first.select("node", "label").distinct().join(sets, "node")
               .select("node", "label", F.size("members").alias("size"), F.explode("members").alias("member")))
     common = member.groupBy("member").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("member")
     able = (member.join(common, "member", "left_semi").groupBy("node", "size").agg(F.count("*").alias("found"))
             .where(100 * F.col("found") >= percent * F.col("size")).select("node"))
+    able = _saved(first.select("key", "node").join(able, "node", "left_semi"), spark, "able")
     bits = [f"b{i}" for i in range(BATCHES)]
-    rows = _saved(_mixed(named.join(able, "node", "left_semi")), spark, "able")
-    rows = rows.join(nodes.select("node", "n", *bits), "node").join(sets, "node")
-    x, y = (rows.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "label", "n", *bits, "members")]) for s in "xy")
-    ok = (F.col("x_label") < F.col("y_label")) & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
-    equal = F.lit(0)
-    for i, c in enumerate(bits):
-        equal = equal + 64 - F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")))
-        ok = ok & (equal >= least_matches(64 * (i + 1), similarity, miss))
-    both = F.size(F.array_intersect("x_members", "y_members"))
-    ok = ok & (100 * both >= percent * (F.col("x_n") + F.col("y_n") - both))
-    return x.join(y, (x["key"] == y["key"]) & ok).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+    for turn in range(ROUNDS + 1):
+        rows = _saved(named(able), spark, "open")
+        if rows.isEmpty():
+            break
+        full = rows.join(nodes.select("node", "n", *bits), "node").join(sets, "node")
+        y = full
+        if turn < ROUNDS:
+            rank = F.xxhash64(F.lit(turn), F.col("node"))
+            centres = rows.groupBy("key").agg(F.min_by("node", rank).alias("node"))
+            y = full.join(centres, ["key", "node"], "left_semi")
+        x, y = (f.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "label", "n", *bits, "members")]) for s, f in (("x", full), ("y", y)))
+        ok = F.col("x_label") != F.col("y_label") if turn < ROUNDS else F.col("x_label") < F.col("y_label")
+        ok = ok & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+        equal = F.lit(0)
+        for i, c in enumerate(bits):
+            equal = equal + 64 - F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")))
+            ok = ok & (equal >= least_matches(64 * (i + 1), similarity, miss))
+        both = F.size(F.array_intersect("x_members", "y_members"))
+        ok = ok & (100 * both >= percent * (F.col("x_n") + F.col("y_n") - both))
+        links = x.join(y, (x["key"] == y["key"]) & ok).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+        links = _saved(links, spark, "links")
+        if not links.isEmpty():
+            labels = components(links, labels)
+    return labels
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
