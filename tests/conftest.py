@@ -16,7 +16,8 @@ def spark():
     from webcorpus.session import build_session
 
     s = build_session("local[*]", app="webcorpus-tests", shuffle_partitions=8,
-                      extra={"spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.ui.showConsoleProgress": "false",
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="webcorpus-test-warehouse-")})
     # tests may set their own checkpoint folder, only where none is configured
     if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="webcorpus-test-ckpt-"))

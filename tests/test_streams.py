@@ -5,6 +5,7 @@ checkpoint without duplicates."""
 from pyspark.sql import functions as F
 
 from webcorpus.operators import extract as X
+from webcorpus.operators.visited import VisitedTable
 from webcorpus.session import scratch_path
 from webcorpus.sources.tables import PAGE_SCHEMA
 from webcorpus.streaming import stream as W
@@ -74,17 +75,19 @@ def test_crawl_stream_restart_processes_only_new_pages(spark):
     pages.where(F.col("page_id") % 2 == 0).coalesce(1).write.parquet(f"{src}/a")
     base = scratch_path(spark, "t_crawl")
     paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
-    ck, vpath = base + "/ck", base + "/visited"
-    CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, ck, vpath)
+    ck, visited = base + "/ck", VisitedTable(spark, "t_crawl_visited")
+    visited.drop()
+    CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, ck, visited)
     first = spark.read.parquet(paths.articles).count()
     # new pages arrive (including every old one again): only unseen keys are processed
     pages.coalesce(1).write.parquet(f"{src}/b")
-    CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, ck, vpath)
+    CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, ck, visited)
     stored = spark.read.parquet(paths.articles)
     batch_ok = X.article_detail(pages).where("reject_reason IS NULL")
     assert stored.count() == batch_ok.count() > first
     assert stored.select("url").distinct().count() == stored.count()   # no page stored twice
-    assert spark.read.parquet(vpath).count() == stored.count()
+    assert visited.read().count() == visited.read().distinct().count() == stored.count()
+    visited.drop()
     # a rejected page is never marked visited, so it is tried again when it arrives again
     rejects = spark.read.parquet(paths.rejects)
     bad_all = X.article_detail(pages).where("reject_reason IS NOT NULL")
@@ -104,3 +107,55 @@ def test_replayed_batch_is_not_doubled(spark):
     once = (spark.read.parquet(paths.articles).count(), spark.read.parquet(paths.rejects).count())
     CR.crawl_articles(pages, None, paths, batch_id="7")       # the same epoch again, as after a restart
     assert (spark.read.parquet(paths.articles).count(), spark.read.parquet(paths.rejects).count()) == once
+
+
+def test_first_batch_that_stores_nothing(spark):
+    """Only challenge pages and odd URLs: every table can be read, later pages go on."""
+    from webcorpus.plans import crawl as CR
+    from webcorpus.plans import render as RD
+    from webcorpus.sources.tables import FETCHED_SCHEMA
+
+    src, base = scratch_path(spark, "t_empty_src"), scratch_path(spark, "t_empty")
+    rows = [(1, "https://x.net/a", "arg1", 0), (2, "ftp://x.net/b", "<p>x</p>", None), (3, "https://x.net/c", "arg1", 2), (4, None, None, None)]
+    spark.createDataFrame(rows, FETCHED_SCHEMA).coalesce(1).write.parquet(f"{src}/a")
+    paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
+    visited = VisitedTable(spark, "t_empty_visited")
+    visited.drop()
+    for _ in range(2):
+        CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", FETCHED_SCHEMA), paths, base + "/ck", visited)
+    assert CR.read_table(spark, paths.articles, CR.ARTICLE_SCHEMA).count() == 0 and visited.read().count() == 0
+    assert [tuple(r)[:3] for r in CR.read_table(spark, paths.retry, CR.RETRY_SCHEMA).collect()] == [(1, "https://x.net/a", 1)]
+    rejects = CR.read_table(spark, paths.rejects, CR.REJECT_SCHEMA).collect()
+    assert sorted((str(r.url), r.stage, r.attempt) for r in rejects) == [("None", "url", 0), ("ftp://x.net/b", "url", 0), ("https://x.net/c", "fetch", 3)]
+    pages = RD.article_pages(spark.read.parquet(f"{SF}/orders.parquet")).withColumn("attempt", F.lit(0))
+    pages.limit(50).coalesce(1).write.parquet(f"{src}/b")
+    CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", FETCHED_SCHEMA), paths, base + "/ck", visited)
+    assert CR.read_table(spark, paths.articles, CR.ARTICLE_SCHEMA).count() == visited.read().count() > 30
+    visited.drop()
+
+
+def test_page_fetched_twice_in_a_batch_is_one_record(spark):
+    from webcorpus.plans import crawl as CR
+    from webcorpus.plans import render as RD
+
+    pages = RD.article_pages(spark.read.parquet(f"{SF}/orders.parquet").where("o_orderkey < 60"))
+    base = scratch_path(spark, "t_twice")
+    paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
+    new = CR.crawl_articles(pages.unionByName(pages), None, paths, batch_id="0")
+    stored = CR.read_table(spark, paths.articles, CR.ARTICLE_SCHEMA)
+    assert stored.count() == stored.select("id").distinct().count() == new.count() > 0
+
+
+def test_a_broken_visited_set_fails_the_batch(spark):
+    import pytest
+
+    class Broken(VisitedTable):
+        def read(self):
+            raise OSError("no permission")
+
+    src, base = scratch_path(spark, "t_broken_src"), scratch_path(spark, "t_broken")
+    spark.createDataFrame([(1, "https://x.net/a", "<p>x</p>")], PAGE_SCHEMA).coalesce(1).write.parquet(f"{src}/a")
+    from webcorpus.plans import crawl as CR
+    paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
+    with pytest.raises(Exception):
+        CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, base + "/ck", Broken(spark, "t_none"))

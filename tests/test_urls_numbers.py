@@ -1,7 +1,7 @@
 """URL and number rules against Python models."""
 
 import random
-from urllib.parse import urljoin, urlparse
+from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
@@ -9,27 +9,17 @@ from webcorpus.functions import numbers as N
 from webcorpus.functions import urls as U
 
 
-def py_key(url):
-    """Eligibility + key of the URL filter: http(s) and exactly one suffix."""
-    if url is None:
-        return None
-    try:
-        assert urlparse(url).scheme in ["http", "https"]
-        _, key = url.split(".net/")
-    except Exception:
-        return None
-    return key
+KEYS = {  # literal expectations: http(s) in any case, and exactly one ".net/"
+    "https://blog.x.net/a/b?q=1#f": "a/b?q=1#f", "https://x.org/a": None, "https://a.net/b.net/c": None, "ftp://x.net/a": None,
+    "HTTPS://X.net/a": "a", "https://one.x.net/p": "p", "https://two.x.net/p": "p", "https://x.net/p?q=2": "p?q=2",
+    "http://x.net/": "", "x.net/a": None, "https:x.net/a": "a", "https://x.net": None, "http://x.NET/a": None,
+    "https://x.net/a.net": "a.net", "https://h/x.net/y z": "y z", "mailto:x.net/a": None, "": None,
+}
 
 
-def test_visit_key_edge_cases(spark):
-    urls = ["https://blog.x.net/a/b?q=1#f", "https://x.org/a", "https://a.net/b.net/c", "ftp://x.net/a",
-            "HTTPS://X.net/a", "https://one.x.net/p", "https://two.x.net/p", "https://x.net/p?q=2",
-            None, "http://x.net/", "x.net/a", "https:x.net/a"]
-    df = spark.createDataFrame([(u,) for u in urls], "url string")
-    got = [r[0] for r in df.select(U.visit_key("url")).collect()]
-    assert got == [py_key(u) for u in urls]
-    # same path on two sub-domains -> one key; different query -> two keys
-    assert got[5] == got[6] == "p" and got[7] == "p?q=2"
+def test_visit_key(spark):
+    df = spark.createDataFrame([(u,) for u in [*KEYS, None]], "url string")
+    assert [r[0] for r in df.select(U.visit_key("url")).collect()] == [*KEYS.values(), None]
 
 
 def py_int(s, default=0):
@@ -60,27 +50,25 @@ def test_ceil_div_and_blank_to_zero(spark):
     assert [r[0] for r in df2.select(N.blank_to_zero("c")).collect()] == ["0", "7", "0"]
 
 
-def test_list_page_urls(spark):
-    df = spark.createDataFrame([("u", 0), ("u", 1), ("u", 3), ("u", None)], "u string, n long")
-    inc = [r[0] for r in df.select(U.list_page_urls("u", "n")).collect()]
-    exc = [r[0] for r in df.select(U.list_page_urls("u", "n", include_last=False)).collect()]
-    assert inc[0] == [] and inc[1] == ["u/article/list/1"] and len(inc[2]) == 3
-    # the reference loop range(1, n): last page never produced, one-page author yields none
-    assert exc[1] == [] and exc[2] == ["u/article/list/1", "u/article/list/2"]
-
-
-def py_follow(url):
-    me = url.replace("blog", "me", 1) if url.split("://", 1)[1].startswith("blog.") else url
-    scheme, path = me.rsplit("/", 1)
-    return urljoin(scheme, "follow/" + path)
+FOLLOW = {  # literal expectations
+    "https://blog.h.net/u": "https://me.h.net/follow/u",
+    "https://blog.h.net/a/u": "https://me.h.net/follow/u",
+    "http://blog.h.net/a/b/u?x=1": "http://me.h.net/a/follow/u?x=1",
+    "https://h.net/u": "https://h.net/follow/u",
+    "https://blog.h.net/en/853/": "https://me.h.net/en/follow/",
+    "https://h.net/blog/u": "https://h.net/follow/u",
+    "HTTP://blog.h.net/a/u": "http://me.h.net/follow/u",
+    "https://blog.h.net/a/../b/u": "https://me.h.net/follow/u",
+    "https://blog.h.net/a/u#f": "https://me.h.net/follow/u#f",
+    "https://blog.h.net//u": "https://me.h.net/follow/u",
+    "no slash": None, None: None,
+}
 
 
 def test_follow_url(spark):
-    urls = ["https://blog.h.net/u", "https://blog.h.net/a/u", "http://blog.h.net/a/b/u?x=1", "https://h.net/u",
-            "https://blog.h.net/en/853/"]
-    df = spark.createDataFrame([(u,) for u in urls], "url string")
-    got = [r[0] for r in df.select(U.follow_url("url")).collect()]
-    assert got == [py_follow(u) for u in urls]
+    df = spark.createDataFrame([(u,) for u in FOLLOW], "url string")
+    got = dict(zip(FOLLOW, [r[0] for r in df.select(U.follow_url("url")).collect()]))
+    assert got == FOLLOW
     lit = df.select(U.follow_url(F.lit("https://blog.h.net/blogger"), literal=True)).first()[0]
     assert lit == "https://me.h.net/follow/meger"
 
@@ -104,28 +92,12 @@ def test_nav_target_keeps_section_links(spark):
     assert got == ["/main", "/cloud/x", "https://x.net/java"]  # 'ai' inside 'main' is a plain substring hit
 
 
-def test_url_rules_random_against_python(spark):
-    rnd = random.Random(5)
-    schemes = ["http://", "https://", "HTTP://", "ftp://", "", "https:"]
-    hosts = ["blog.a.net", "a.net", "me.b.org", "x.net.net", "blog.c.com"]
-    segs = ["", "u", "en", "853", "a.net", "blog", "x?y=1", "p#f", "a b"]
-    urls = []
-    for _ in range(400):
-        path = "/".join(rnd.choice(segs) for _ in range(rnd.randint(0, 3)))
-        urls.append(rnd.choice(schemes) + rnd.choice(hosts) + ("/" + path if rnd.random() < 0.9 else ""))
-    df = spark.createDataFrame([(u,) for u in urls], "url string")
-    got = df.select(U.visit_key("url").alias("k"), U.follow_url("url").alias("f")).collect()
-    for u, r in zip(urls, got):
-        assert r.k == py_key(u), u
-        if u.lower().startswith(("http://", "https://")) and "/" in u.split("://", 1)[1]:
-            assert r.f == py_follow(u), u
-
-
 def test_resolve_url_random_against_urljoin(spark):
     rnd = random.Random(9)
     bases = ["https://a.net", "https://a.net/", "http://b.org/x/y", "HTTPS://C.com/d/e.html?q=1#f", "https://u@h:8/p;x/q",
              "https://h/a//b/", "https://h/./a/../b"]
-    parts = ["/", "a", "b", "..", ".", "", "?q", "#f", ";p", "//h2", "http:", "https://z.org", "HTTP://Y", "x y", "%20", "é"]
+    bases += ["https://h/a/b", "https://h/a/b/", "https://h/a.b/c", "https://h.net/~u/x=1", "https://h/.a/b"]
+    parts = ["/", "a", "b", "..", ".x", "y.z/w", "c=1&d", ".", "", "?q", "#f", ";p", "//h2", "http:", "https://z.org", "HTTP://Y", "x y", "%20", "é"]
     rows = [(rnd.choice(bases), "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 4)))) for _ in range(600)]
     df = spark.createDataFrame(rows, "base string, href string")
     got = [r[0] for r in df.select(U.resolve_url("base", "href")).collect()]

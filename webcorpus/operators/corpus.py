@@ -76,12 +76,13 @@ def write_per_file(df: DataFrame, path: str, name_col: str = "file_name", text_c
     df.select(name_col, body).repartition(name_col).write.mode(mode).partitionBy(name_col).text(path)
 
 
-def write_json_corpus(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip",
+def write_json_corpus(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none",
                       max_records_per_file: int = 1_000_000) -> None:
     """JSON Lines, UTF-8 kept (no \\u escapes), written by the
     executors in parallel -- the corpus never passes through the driver.
-    Files are compressed and capped in size, so a large corpus becomes
-    many moderate files that later jobs can read in parallel."""
+    JSON Lines can be split at any line only while they are not compressed,
+    so that is the default; a file holds at most ``max_records_per_file``
+    documents for the sake of readers that take whole files."""
     (df.write.mode(mode).option("compression", compression)
        .option("maxRecordsPerFile", max_records_per_file).json(path))
 

@@ -83,14 +83,13 @@ def first_seen_rows(candidates: DataFrame, visited: DataFrame | None = None,
     projection (hash aggregate, combined map-side), anti-joined with the
     set, and the winning rows are fetched with a shuffled hash join on
     ``id_col``: the HTML crosses one shuffle and is streamed past a hash
-    table of winner ids.  Rows that share an id (one page fetched twice in a
-    batch) come out once."""
+    table of winner ids.  Rows that share key and id (one page fetched twice in a
+    batch) come out together; drop all but one where they are narrow."""
     c = candidates.where(F.col("key").isNotNull() & F.col("meta").isNotNull())
     winners = c.select(*SET_COLS, id_col).groupBy(*SET_COLS).agg(F.min(id_col).alias(id_col))
     if visited is not None:
         winners = winners.join(visited.select(*SET_COLS).where(F.col("key").isNotNull()), SET_COLS, "left_anti")
-    chosen = c.join(winners.hint("shuffle_hash"), [*SET_COLS, id_col], "left_semi")
-    return chosen.dropDuplicates([id_col])
+    return c.join(winners.hint("shuffle_hash"), [*SET_COLS, id_col], "left_semi")
 
 
 def members(visited: DataFrame, meta: str) -> DataFrame:
@@ -131,7 +130,10 @@ class VisitedTable:
     def read(self) -> DataFrame | None:
         """The members, or None if nothing has been stored yet."""
         name = self._current()
-        return self.spark.table(name).select(*SET_COLS) if name else None
+        if name is None:
+            return None
+        self.spark.catalog.refreshTable(name)  # micro-batches append from a session of their own
+        return self.spark.table(name).select(*SET_COLS)
 
     def _write(self, keys: DataFrame, name: str, mode: str) -> None:
         (keys.select(*SET_COLS).repartition(self.buckets, *SET_COLS).write.mode(mode)

@@ -59,7 +59,7 @@ def build_session(master: str | None = None, app: str = "webcorpus",
 
 def _given(spark: SparkSession, key: str) -> bool:
     """Whether the session or its launcher has set ``key`` (not just Spark's default)."""
-    return spark.sparkContext.getConf().contains(key) or spark._jsparkSession.sessionState().conf().contains(key)
+    return spark.conf.get(key, None) is not None
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
