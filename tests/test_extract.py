@@ -180,3 +180,70 @@ def test_tag_probe_skips_only_pages_without_the_element(spark):
     titles = {r.page_id: (r.title, r.reject_reason) for r in X.article_titles(_pages(spark, pages)).collect()}
     assert titles == {0: (None, "missing h1"), 1: (None, "missing h1"), 2: (None, "missing h1"),
                       3: (None, "missing h1"), 4: ("t", None)}
+
+
+def test_native_and_tree_paths_agree(spark):
+    """Rendered pages, the driver's pages and pages with one thing out of the ordinary."""
+    import random
+
+    from webcorpus.operators import flat as FL
+
+    rnd = random.Random(3)
+    nav = '<nav><ul><li>x</li>{}</ul></nav>'
+    odd = ["<!-- c -->", "&eacute;", "&amp;", "<b>b</b>", "<ul><li>n</li></ul>", "'", "\n", " ", "<script>'<li>'</script>", "<li>", "</li>",
+           "<LI>", "<a href='/q'>q</a>", '<a class="k" href="/k">k</a>', "</ul>", "<br>", "<!doctype html>", "<p>", "&lt;nav&gt;", "\u0001", "<h1>h</h1>",
+           "<td>t</td>", "<title>a</title>", "<textarea><nav></textarea>", "<nav>", "<h1>", '<h1 id="t">one</h1>', "<tr><td>1</td></tr>"]
+    full = {
+        "nav": lambda i: '<nav><ul><li><a href="/0">0</a></li><li><a href="/a&amp;b">A &lt; B</a></li>%s<li><a href="/watchers">w</a></li></ul></nav>' % i,
+        "feed": lambda i: '<ul class="feedlist_mod x">' + feed_item("/a1") + i + feed_item("/a2", False) + "</ul>",
+        "follow": lambda i: '<div class="a chanel_det_list"><ul><li><a href="https://me.x.net/u">u</a></li>%s<li><span>s</span></li></ul></div>' % i,
+        "list": lambda i: '<div class="article-list"><div class="article-item-box x"><h4><a href="/d/1">t</a></h4></div>%s<div class="article-item-box"><h5>n</h5></div></div>' % i,
+        "table": lambda i: "<table><tr><th>h</th></tr><tr><td>1 &amp; 2</td><td></td></tr>%s<tr><td>&lt;td&gt;</td></tr></table>" % i,
+        "title": lambda i: "<h1>T &quot;q&quot;</h1>" + i,
+    }
+    pages = [f("") for f in full.values()]
+    for f in full.values():
+        for o in odd:
+            pages += [f(o), o + f(""), f("") + o]
+    for _ in range(300):
+        pages.append("".join(rnd.choice([rnd.choice(odd), rnd.choice(list(full.values()))("")]) for _ in range(rnd.randint(1, 4))))
+    df = _pages(spark, [(f"https://blog.x.net/{i}", h) for i, h in enumerate(pages + [None, ""])])
+    driver = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rules = [lambda p: X.nav_links(p, nav_id=None), X.feed_links, X.followee_links, X.article_list_links, X.html_table_rows, X.article_titles]
+    whole = FL.extract
+    for source in (df.unionByName(driver.select("page_id", "url", "html").selectExpr("page_id + 100000 as page_id", "url", "html")),):
+        for rule in rules:
+            native = rule(source)
+            FL.extract = lambda pages, flat, n, first, record, tree, reason=None: tree(pages)
+            try:
+                tree = rule(source)
+            finally:
+                FL.extract = whole
+            cols = native.columns
+            a, b = native.select(cols), tree.select(cols)
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_regular_pages_take_the_native_path(spark):
+    from webcorpus.operators import flat as FL
+    from webcorpus.plans import render as RD
+
+    seen = []
+    whole = FL.regular
+
+    def spy(flat, html="html"):
+        seen.append(flat)
+        return whole(flat, html)
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    pages = {"feed": (RD.feed_pages(orders), X.feed_links), "follow": (RD.followee_pages(orders), X.followee_links),
+             "list": (RD.article_list_pages(orders), X.article_list_links),
+             "table": (RD.table_pages(spark.read.parquet("/root/testdata/sf0.001/supplier.parquet")), X.html_table_rows),
+             "nav": (spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), lambda p: X.nav_links(p, nav_id=None)),
+             "title": (spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), X.article_titles)}
+    FL.regular = spy
+    try:
+        for name, (df, rule) in pages.items():
+            rule(df)
+            assert df.where(~whole(seen[-1])).count() == 0, name
+    finally:
+        FL.regular = whole

@@ -29,6 +29,7 @@ from ..functions import htmltree as H
 from ..functions import numbers as N
 from ..functions import text as TX
 from ..functions import urls as U
+from . import flat as FL
 from .parallel import partitioned
 
 
@@ -204,7 +205,13 @@ def nav_links(pages: DataFrame, nav_id: str | None = NAV_ID, **kw) -> DataFrame:
     ``watchers`` dropped); ``target`` resolved against the page URL unless
     the href names one of the unresolved sections.  ``nav_id=None`` takes
     every ``nav``."""
-    df = extract(pages, Rule("nav", NAV_FIELDS, _nav_rule(nav_id), required_tag="nav"), **kw)
+    rule = Rule("nav", NAV_FIELDS, _nav_rule(nav_id), required_tag="nav")
+    own = rf'\s+id="{re.escape(nav_id)}"' if nav_id else FL.ATTRS
+    form = FL.Flat(rf'<li{FL.ATTRS}>\s*+<a\s+href="([^"<>]*+)"\s*+>([^<]*+)</a>\s*+</li>\s*+',
+                   rf"<nav{own}>\s*+<ul{FL.ATTRS}>\s*+{FL.MARK}*+</ul>\s*+</nav>", "(?i)<nav")
+    df = FL.extract(pages, form, 2, 1, lambda g: {"label": F.when(g["g2"] != "", FL.unescape(g["g2"])), "href": FL.unescape(g["g1"])},
+                    lambda p: extract(p, rule, **kw))
+    df = df.where(F.col("reject_reason").isNotNull() | ~F.col("href").contains(U.SKIP_HREF_WORD))
     return df.withColumn("target", F.when(F.col("reject_reason").isNull(),
                                           U.nav_target(F.col("url"), F.col("href"))))
 
@@ -233,7 +240,15 @@ FEED_FIELDS = T.StructType([T.StructField("article_href", T.StringType()),
 def feed_links(pages: DataFrame, **kw) -> DataFrame:
     """(article, author) link pair of every feed item; a malformed item
     is rejected alone."""
-    return extract(pages, Rule("feed", FEED_FIELDS, _feed_parse), **kw)
+    link = r'<a\s+href="([^"<>]++)"\s*+>[^<]*+</a>\s*+'
+    form = FL.Flat(rf'<li\s+class="{FEED_ITEM_CLASS_IS}"\s*+>\s*+<div\s+class="[^"<>]*{FEED_BODY_CLASS_HAS}[^"<>]*"\s*+>\s*+'
+                   rf'<div\s+class="{FEED_TITLE_CLASS_IS}"\s*+>\s*+<h2\s*+>\s*+{link}</h2>\s*+</div>\s*+'
+                   rf'(?:<dl\s+class="{FEED_USERBAR_CLASS_IS}"\s*+>\s*+<dd\s+class="{FEED_NAME_CLASS_IS}"\s*+>\s*+{link}</dd>\s*+</dl>\s*+)?'
+                   rf'</div>\s*+</li>\s*+',
+                   rf'<ul\s+class="{FEED_LIST_CLASS_STARTS}[^"<>]*+"\s*+>\s*+{FL.MARK}*+</ul>', FEED_LIST_CLASS_STARTS)
+    return FL.extract(pages, form, 2, 0, lambda g: {"article_href": FL.unescape(g["g1"]), "user_href": FL.unescape(g["g2"])},
+                      lambda p: extract(p, Rule("feed", FEED_FIELDS, _feed_parse), **kw),
+                      lambda g: F.when(g["g2"] == "", F.lit("missing user link")))
 
 
 def _profile_parse(url, root, html):
@@ -349,7 +364,11 @@ HREF_FIELDS = T.StructType([T.StructField("href", T.StringType())])
 def followee_links(pages: DataFrame, literal: bool = False, **kw) -> DataFrame:
     """Followed authors; ``user_url`` is the ``blog`` form of the
     ``me`` link (host label only; ``literal=True`` replaces every ``me``)."""
-    df = extract(pages, Rule("followees", HREF_FIELDS, _followee_parse), **kw)
+    form = FL.Flat(r'<li\s*+>\s*+(?:<a\s+href="([^"<>]++)"\s*+>[^<]*+</a>|<span\s*+>[^<]*+</span>)\s*+</li>\s*+',
+                   rf'<div\s+class="[^"<>]*{FOLLOW_LIST_CLASS_HAS}[^"<>]*"\s*+>\s*+<ul\s*+>\s*+{FL.MARK}*+</ul>\s*+</div>', FOLLOW_LIST_CLASS_HAS)
+    df = FL.extract(pages, form, 1, 0, lambda g: {"href": FL.unescape(g["g1"])},
+                    lambda p: extract(p, Rule("followees", HREF_FIELDS, _followee_parse), **kw),
+                    lambda g: F.when(g["g1"] == "", F.lit("missing a")))
     user = (F.replace(F.col("href"), F.lit("me"), F.lit("blog")) if literal
             else F.regexp_replace("href", r"^([A-Za-z][A-Za-z0-9+.\-]*://)me\.", "$1blog."))
     return df.withColumn("user_url", user)
@@ -369,7 +388,12 @@ def _article_list_parse(url, root, html):
 
 def article_list_links(pages: DataFrame, **kw) -> DataFrame:
     """Article links of a list page, in page order."""
-    return extract(pages, Rule("article_list", HREF_FIELDS, _article_list_parse), **kw)
+    form = FL.Flat(rf'<div\s+class="[^"<>]*{ARTICLE_BOX_CLASS_HAS}[^"<>]*"\s*+>\s*+(?:<h4\s*+>\s*+<a\s+href="([^"<>]++)"\s*+>[^<]*+</a>\s*+</h4>'
+                   rf'|<h5\s*+>[^<]*+</h5>)\s*+</div>\s*+',
+                   rf'<div\s+class="{ARTICLE_LIST_CLASS_IS}"\s*+>\s*+{FL.MARK}*+</div>', ARTICLE_LIST_CLASS_IS)
+    return FL.extract(pages, form, 1, 0, lambda g: {"href": FL.unescape(g["g1"])},
+                      lambda p: extract(p, Rule("article_list", HREF_FIELDS, _article_list_parse), **kw),
+                      lambda g: F.when(g["g1"] == "", F.lit("missing h4/a")))
 
 
 def _article_parse(url, root, html):
@@ -436,7 +460,10 @@ TITLE_FIELDS = T.StructType([T.StructField("title", T.StringType())])
 
 def article_titles(pages: DataFrame, **kw) -> DataFrame:
     """First direct text of the first ``h1`` of every page."""
-    return extract(pages, Rule("titles", TITLE_FIELDS, _title_parse, "h1", "missing h1"), **kw)
+    rule = Rule("titles", TITLE_FIELDS, _title_parse, "h1", "missing h1")
+    # one plain heading and no other
+    form = FL.Flat(rf"<h1{FL.ATTRS}>([^<]++)</h1>", FL.MARK, "(?i)<h1", least=1)
+    return FL.extract(pages, form, 1, 0, lambda g: {"title": FL.unescape(g["g1"])}, lambda p: extract(p, rule, **kw))
 
 
 def _table_parse(url, root, html):
@@ -452,4 +479,6 @@ TABLE_FIELDS = T.StructType([T.StructField("cells", T.ArrayType(T.StringType()))
 
 def html_table_rows(pages: DataFrame, **kw) -> DataFrame:
     """Every ``tr`` after the first as an array of its ``td`` texts."""
-    return extract(pages, Rule("table", TABLE_FIELDS, _table_parse, required_tag="tr"), **kw)
+    form = FL.Flat(r"<tr\s*+>((?:\s*+<t[dh]\s*+>[^<]*+</t[dh]>)*+)\s*+</tr>\s*+", rf"{FL.MARK}++", "(?i)<t[rdh][\\s/>]")
+    return FL.extract(pages, form, 1, 1, lambda g: {"cells": F.transform(F.regexp_extract_all(g["g1"], F.lit("<td\\s*+>([^<]*+)</td>"), F.lit(1)), FL.unescape)},
+                      lambda p: extract(p, Rule("table", TABLE_FIELDS, _table_parse, required_tag="tr"), **kw))
