@@ -11,7 +11,7 @@
 3. Buckets in which nodes of different components are left go through a
    second, complete step, so no link is lost to the choice of the first
    step's centres: nodes of which enough occurs in other components at all
-   are compared with those components' nodes, first with further centres,
+   are compared with those components' nodes, first with the best centre,
    then with all, by joins that yield links only.  Inside one component
    nothing more is compared.
 4. Components are found by label propagation with pointer jumping.
@@ -25,19 +25,18 @@ documents have null ids.  An empty table gives no rows.
 
 from __future__ import annotations
 
-from math import exp, log
+import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webcorpus.llm import textwords as W
-from webcorpus.session import scratch_path
+from webcorpus.llm.scratch import Scratch
 
 BANDS, ROWS = 28, 5             # at similarity 0.8 a linked pair shares no band with probability 1.5e-5
 BATCHES = 3                     # of 64 one-bit minhashes
-ROUNDS = 3                      # of further centres before buckets of several components are compared whole
 MISS = 1e-6                     # chance, under a uniform prior, that a pruned pair is a link
 CHUNK_BYTES = 2 << 20
 U64, U32 = np.uint64, np.uint32
@@ -135,12 +134,6 @@ def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return W.annotate(docs, text_col, [id_col], FIELDS, lambda: _signer(shingle, seed), CHUNK_BYTES).withColumnRenamed(id_col, "id")
 
 
-def _saved(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    path = scratch_path(spark, f"neardup-{name}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _pruned(pairs: DataFrame, nodes: DataFrame, similarity: float, miss: float) -> DataFrame:
     """Pairs (a, b) whose sizes and batches of bits allow the similarity, with the larger batches read later."""
     bits = ["n", *[f"b{i}" for i in range(BATCHES)]]
@@ -165,7 +158,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
             .where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
 
 
-def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def components(links: DataFrame, labels: DataFrame | None = None, store: Scratch | None = None) -> DataFrame:
     """(node, label): the smallest node reachable, for every node of ``links`` (a, b).
 
     Each round takes the smallest label among the neighbours and then the
@@ -173,59 +166,60 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     changes.  Every round is a written table in the shared folder.  Labels
     of an earlier run can be carried on: links then join whole components.
     """
-    spark = links.sparkSession
+    store = store or Scratch(links.sparkSession, "components")
     if labels is not None:  # links between components only
         lab = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         lbb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
         joined = links.join(lab, "a", "left").join(lbb, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-        roots = components(joined.where("a != b"))
+        roots = components(joined.where("a != b"), store=store)
         new = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels.select("node"), "node", "left_anti").withColumn("label", F.col("node"))
         every = labels.unionByName(new)
-        return _saved(every.join(roots.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
-                      .select("node", F.coalesce("root", "label").alias("label")), spark, "labels")
+        return store.save(every.join(roots.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+                      .select("node", F.coalesce("root", "label").alias("label")), "labels")
     edges = links.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
                                            F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("e")).select("e.x", "e.y").distinct()
-    edges = _saved(edges, spark, "edges")
-    now = _saved(edges.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("y")).select("node", F.least("node", "y").alias("label")), spark, "labels")
+    edges = store.save(edges, "edges")
+    now = store.save(edges.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("y")).select("node", F.least("node", "y").alias("label")), "labels")
     while True:
         best = (edges.join(now.select(F.col("node").alias("y"), F.col("label").alias("ly")), "y")
                 .groupBy(F.col("x").alias("node")).agg(F.min("ly").alias("seen")))
         hop = now.join(best, "node").select("node", "label", F.least("label", "seen").alias("near"))
         far = now.select(F.col("node").alias("near"), F.col("label").alias("jump"))
         step = hop.join(far, "near", "left").select("node", F.least("near", F.coalesce("jump", "near")).alias("label"), "label", "near")
-        step = _saved(step.toDF("node", "label", "old", "near"), spark, "labels")
-        moved = step.where("label != old").limit(1).count()
-        now = step.select("node", "label")
-        if not moved:
+        changes = Observation(f"labels-{uuid.uuid4().hex}")
+        step = step.toDF("node", "label", "old", "near").observe(changes, F.count_if(F.col("label") != F.col("old")).alias("moved"))
+        now = store.save(step, "labels").select("node", "label")
+        if not changes.get["moved"]:
             return now
 
 
 def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     similarity: float = 0.8, miss: float = MISS, seed: int = 7) -> DataFrame:
     """One row per document: ``id_col``, n_shingles, component_id (smallest id reachable), kept."""
-    spark = docs.sparkSession
-    sig = _saved(signatures(docs, id_col=id_col, text_col=text_col, shingle=shingle, seed=seed), spark, "signatures")
+    store = Scratch(docs.sparkSession, "neardup")
+    sig = store.save(signatures(docs, id_col=id_col, text_col=text_col, shingle=shingle, seed=seed), "signatures")
     bits = [f"b{i}" for i in range(BATCHES)]
-    nodes = _saved(sig.where("node is not null").groupBy("node", "n", *bits)
-                   .agg(F.min("id").alias("id"), F.first("bands").alias("bands")), spark, "nodes")
+    nodes = store.save(sig.where("node is not null").groupBy("node", "n", *bits)
+                   .agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("key"))
     centre = buckets.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a != z").select("key", "a")
-    shared = _saved(buckets.join(centre, "key").withColumnRenamed("node", "b"), spark, "shared")
+    shared = store.save(buckets.join(centre, "key").withColumnRenamed("node", "b"), "shared")
     star = shared.where("a != b").groupBy("a", "b").agg(F.count("*").alias("bands"))
-    star = _saved(_pruned(star, nodes, similarity, miss), spark, "pairs")
+    star = store.save(_pruned(star, nodes, similarity, miss), "pairs")
     # full sets of all nodes that share a bucket
     wanted = nodes.join(shared.select(F.col("b").alias("node")).distinct(), "node", "left_semi").select(F.col("id").alias("wanted")).distinct()
     texts = docs.select(W.quoted(id_col).alias("id"), W.quoted(text_col).alias("text")).join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = _saved(_sets(texts, shingle), spark, "sets")
+    sets = store.save(_sets(texts, shingle), "sets")
     # each node's likeliest centre first: most of the other pairs then lie within one component
     first = star.groupBy("b").agg(F.max_by("a", F.struct("bands", "a")).alias("a")).select("a", "b")
-    links = _saved(_verified(first, sets, similarity), spark, "links")
-    labels = components(links)
+    links = store.save(_verified(first, sets, similarity), "links")
+    labels = components(links, store=store)
     rest = _across(star.join(first, ["a", "b"], "left_anti"), labels)
-    labels = components(_saved(_verified(rest, sets, similarity), spark, "links"), labels)
-    labels = _completed(shared.withColumnRenamed("b", "node").select("key", "node"), nodes, sets, labels, similarity, miss)
+    labels = components(store.save(_verified(rest, sets, similarity), "links"), labels, store)
+    labels = _completed(shared.withColumnRenamed("b", "node").select("key", "node"), nodes, sets, labels, similarity, miss, store)
     named = sig.select("id", "n", "node").join(labels, "node", "left").select("id", "n", F.coalesce("label", "node").alias("root"))
-    named = _saved(named, spark, "named")
+    named = store.save(named, "named", keep=True)
+    store.clear()
     least = named.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
     out = named.join(least, "root", "left").select(
         F.col("id"), F.col("n").alias("n_shingles"),
@@ -239,43 +233,44 @@ def _mixed(buckets: DataFrame) -> DataFrame:
     return buckets.join(keys, "key", "left_semi")
 
 
-def _completed(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, similarity: float, miss: float) -> DataFrame:
+def _completed(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, similarity: float, miss: float,
+               store: Scratch) -> DataFrame:
     """The labels after all nodes of different components that share a bucket have been compared.
 
     A linked node shares the wanted part of its set with one node of another
     component.  So nodes of which too few members occur in any other
     component are left out first, by counting and without pairs; in a large
     group of loose copies, whose changed passages are their own, those are
-    nearly all.  Of the rest, some rounds compare each bucket with one node
-    of it, another each time, so that what belongs together joins one
-    component; then the few buckets that still hold several are compared
-    whole.  The joins test sizes, bits and full sets, and yield links only.
+    nearly all.  Of the rest, each bucket is compared with the node of which
+    the most occurs elsewhere, the likeliest to be linked with the others, so
+    that what belongs together joins one component; then the few buckets that
+    still hold several are compared whole.  The joins test sizes, bits and
+    full sets, and yield links only.
     """
-    spark, percent = nodes.sparkSession, round(similarity * 100)
+    percent = round(similarity * 100)
 
     def named(rows: DataFrame) -> DataFrame:
-        return _mixed(rows.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
+        return _mixed(rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
 
-    first = _saved(named(buckets), spark, "mixed")
+    first = store.save(named(buckets), "mixed")
     member = (first.select("node", "label").distinct().join(sets, "node")
               .select("node", "label", F.size("members").alias("size"), F.explode("members").alias("member")))
     common = member.groupBy("member").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("member")
     able = (member.join(common, "member", "left_semi").groupBy("node", "size").agg(F.count("*").alias("found"))
-            .where(100 * F.col("found") >= percent * F.col("size")).select("node"))
-    able = _saved(first.select("key", "node").join(able, "node", "left_semi"), spark, "able")
+            .where(100 * F.col("found") >= percent * F.col("size")).select("node", (F.col("found") / F.col("size")).alias("part")))
+    able = store.save(first.select("key", "node").join(able, "node"), "able")
     bits = [f"b{i}" for i in range(BATCHES)]
-    for turn in range(ROUNDS + 1):
-        rows = _saved(named(able), spark, "open")
+    for whole in (False, True):
+        rows = store.save(named(able), "open")
         if rows.isEmpty():
             break
         full = rows.join(nodes.select("node", "n", *bits), "node").join(sets, "node")
         y = full
-        if turn < ROUNDS:
-            rank = F.xxhash64(F.lit(turn), F.col("node"))
-            centres = rows.groupBy("key").agg(F.min_by("node", rank).alias("node"))
+        if not whole:
+            centres = rows.groupBy("key").agg(F.max_by("node", "part").alias("node"))
             y = full.join(centres, ["key", "node"], "left_semi")
         x, y = (f.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "label", "n", *bits, "members")]) for s, f in (("x", full), ("y", y)))
-        ok = F.col("x_label") != F.col("y_label") if turn < ROUNDS else F.col("x_label") < F.col("y_label")
+        ok = F.col("x_label") < F.col("y_label") if whole else F.col("x_label") != F.col("y_label")
         ok = ok & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
         equal = F.lit(0)
         for i, c in enumerate(bits):
@@ -284,9 +279,9 @@ def _completed(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: Da
         both = F.size(F.array_intersect("x_members", "y_members"))
         ok = ok & (100 * both >= percent * (F.col("x_n") + F.col("y_n") - both))
         links = x.join(y, (x["key"] == y["key"]) & ok).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-        links = _saved(links, spark, "links")
+        links = store.save(links, "links")
         if not links.isEmpty():
-            labels = components(links, labels)
+            labels = components(links, labels, store)
     return labels
 
 

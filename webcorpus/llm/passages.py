@@ -28,12 +28,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webcorpus.llm import textwords as W
-from webcorpus.session import scratch_path
+from webcorpus.llm.scratch import Scratch
 
 WINDOW = 50
 RUN = 10                    # words of an anchor
@@ -58,12 +58,6 @@ def _anchors_of(words: np.ndarray, off: np.ndarray, window: int) -> tuple[np.nda
     return at, least[at]
 
 
-def _saved(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    path = scratch_path(spark, f"passages-{name}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _summaries(docs: DataFrame, window: int) -> DataFrame:
     """Of each (id, mark, text): one row (id, mark, n_words, kept_sha256), and one row (id, mark, anchor) per anchor."""
     out = T.StructType([T.StructField("id", T.LongType()), T.StructField("mark", T.LongType()), T.StructField("n_words", T.LongType()),
@@ -208,20 +202,20 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", win
          shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """Two tables: (id, mark, n_words, kept_sha256) of every row as it is, and (id, mark, n_removed,
     left_sha256, kept) of the texts that lose words; ``mark`` tells texts of one id apart."""
-    spark = docs.sparkSession
+    store = Scratch(docs.sparkSession, "passages")
     src = docs.select(W.quoted(id_col).cast("long").alias("id"), F.coalesce(W.quoted(text_col).cast("string"), F.lit("")).alias("text"))
     src = src.withColumn("mark", F.xxhash64("text"))
-    seen = _saved(_summaries(src, window), spark, "seen")
+    seen = store.save(_summaries(src, window), "seen", keep=True)
     rows = seen.where("anchor is null").select("id", "mark", "n_words", "kept_sha256")
     # a whole copy of a smaller document needs no passages: all its windows start there
     whole = rows.where((F.col("n_words") >= window) & F.col("id").isNotNull())
     firsts = whole.groupBy("kept_sha256").agg(F.min("id").alias("first"))
-    copies = _saved(whole.join(firsts, "kept_sha256").where("id > first").select("id", "mark", "n_words").distinct(), spark, "copies")
+    copies = store.save(whole.join(firsts, "kept_sha256").where("id > first").select("id", "mark", "n_words").distinct(), "copies")
     anchors = seen.where("anchor is not null and id is not null").select("id", "mark", "anchor")
     recurring = anchors.groupBy("anchor").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo < hi").select("anchor")
     lists = anchors.join(recurring, "anchor").groupBy("id", "mark").agg(F.collect_set("anchor").alias("anchors"))
     lists = lists.join(copies, ["id", "mark"], "left_anti")
-    candidates = _saved(src.join(lists, ["id", "mark"]), spark, "candidates")
+    candidates = store.save(src.join(lists, ["id", "mark"]), "candidates")
     size = candidates.select(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n_shards = max(1, -(-size // shard_bytes))
     shard = F.pmod(F.xxhash64("id"), F.lit(n_shards))
@@ -238,7 +232,9 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", win
             .cogroup(passages.groupBy("shard")).applyInArrow(stream, out))
     nothing = F.lit(b"")
     lost = lost.unionByName(copies.select("id", "mark", F.col("n_words").alias("n_removed"), F.sha2(nothing, 256).alias("left_sha256"), nothing.alias("kept")))
-    return rows, _saved(lost.dropDuplicates(["id", "mark"]), spark, "lost")
+    lost = store.save(lost.dropDuplicates(["id", "mark"]), "lost", keep=True)
+    store.clear()
+    return rows, lost
 
 
 def report(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:

@@ -24,13 +24,13 @@ Repeated rows get equal scores.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webcorpus.llm import labelled
 from webcorpus.llm import textwords as W
-from webcorpus.session import scratch_path
+from webcorpus.llm.scratch import Scratch
 
 SAMPLE_ROWS = 16_000
 THRESHOLD = 0.5
@@ -221,17 +221,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col:
     """Both models and the calibration; the sample's vocabulary and counts are all that reaches the driver."""
     spark = docs.sparkSession
     sample = labelled.sample(docs, labels, label_col, sample_rows, id_col=id_col, text_col=text_col, per_class=True)
-    path = scratch_path(spark, "toxicity-sample")
+    store = Scratch(spark, "toxicity")
     sample = sample.dropDuplicates(["id"]).withColumn("later", F.pmod(F.xxhash64(F.lit(99), F.col("id").cast("string")), F.lit(4)) == 0)
-    sample.write.parquet(path)
-    sample = spark.read.schema(sample.schema).parquet(path)
+    sample = store.save(sample, "sample")
     kinds = {r["y"] for r in sample.where("not later").select((F.col("label") != 0).alias("y")).distinct().collect()}
     if len(kinds) < 2:
         return Scorer(None)
-    pairs = _counted(sample.where("not later"))
-    path = scratch_path(spark, "toxicity-pairs")
-    pairs.write.parquet(path)
-    pairs = spark.read.schema(pairs.schema).parquet(path)
+    pairs = store.save(_counted(sample.where("not later")), "pairs")
 
     def counts(unit: str):
         """Continuation counts of the units that keep some after discounting, and the masses of all."""
@@ -269,6 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col:
         return run
 
     got = W.annotate(sample.where("later"), "text", ["id", "label"], fields, make, CHUNK_BYTES).toPandas().sort_values("id", kind="stable")
+    store.clear()
     y = got["label"].to_numpy() != 0
     if not len(y) or y.all() or not y.any():  # too few to calibrate: the ratio itself, at even odds
         return Scorer(model, (np.array([1.0, 1.0, 1.0, 0.0, -1.0]), np.zeros(4), np.ones(4)))
