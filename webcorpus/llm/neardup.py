@@ -244,8 +244,8 @@ def _completed(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: Da
     nearly all.  Of the rest, each bucket is compared with the node of which
     the most occurs elsewhere, the likeliest to be linked with the others, so
     that what belongs together joins one component; then the few buckets that
-    still hold several are compared whole.  The joins test sizes, bits and
-    full sets, and yield links only.
+    still hold several are compared whole.  The joins test sizes, the counts,
+    bits and full sets, and yield links only.
     """
     percent = round(similarity * 100)
 
@@ -257,7 +257,7 @@ def _completed(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: Da
               .select("node", "label", F.size("members").alias("size"), F.explode("members").alias("member")))
     common = member.groupBy("member").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("member")
     able = (member.join(common, "member", "left_semi").groupBy("node", "size").agg(F.count("*").alias("found"))
-            .where(100 * F.col("found") >= percent * F.col("size")).select("node", (F.col("found") / F.col("size")).alias("part")))
+            .where(100 * F.col("found") >= percent * F.col("size")).select("node", "found", (F.col("found") / F.col("size")).alias("part")))
     able = store.save(first.select("key", "node").join(able, "node"), "able")
     bits = [f"b{i}" for i in range(BATCHES)]
     for whole in (False, True):
@@ -269,9 +269,11 @@ def _completed(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, labels: Da
         if not whole:
             centres = rows.groupBy("key").agg(F.max_by("node", "part").alias("node"))
             y = full.join(centres, ["key", "node"], "left_semi")
-        x, y = (f.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "label", "n", *bits, "members")]) for s, f in (("x", full), ("y", y)))
+        x, y = (f.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "label", "n", "found", *bits, "members")]) for s, f in (("x", full), ("y", y)))
         ok = F.col("x_label") < F.col("y_label") if whole else F.col("x_label") != F.col("y_label")
         ok = ok & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+        # the intersection is at most what of either set occurs elsewhere
+        ok = ok & ((100 + percent) * F.least("x_found", "y_found") >= percent * (F.col("x_n") + F.col("y_n")))
         equal = F.lit(0)
         for i, c in enumerate(bits):
             equal = equal + 64 - F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")))
