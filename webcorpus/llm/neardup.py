@@ -1,7 +1,7 @@
 """Near-duplicate documents: banded MinHash candidates, sequential Bayesian pruning, exact links.
 
 1. One pass over the texts gives each document its shingle-set size, a
-   128-bit digest of the set, band keys and one-bit minhash batches of 64.
+   digest of the set (64 bits of two 64-bit sums), band keys and one-bit minhash batches of 64.
    Documents with equal sets become one node.
 2. Nodes that share a band key are candidates.  Every node is paired with
    the smallest node of its bucket, never with all of them.  Batches of
@@ -69,18 +69,28 @@ def document_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.nda
     """Sorted distinct shingle hashes of all texts, and their offsets."""
     starts, ends, off = W.find_words(data, offsets, W.BLANK_SEPARATED)
     words = W.hash_words(W.LOWER[data], starts, ends)
-    shingles, ok = W.window_hashes(words, k), W.window_starts(off, k)
+    shingles = W.window_hashes(words, k)
     sets = []
     for lo, hi in zip(off[:-1], off[1:]):
         if hi - lo >= k:
             sets.append(np.unique(shingles[lo:hi - k + 1]))
         else:
             sets.append(W.window_hashes(words[lo:hi], hi - lo) if hi > lo else words[:0])
-    del ok
     sizes = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int64)
     return (np.concatenate(sets) if sets else words[:0]), sizes
 
 
+def node_ids(hashes: np.ndarray, off: np.ndarray) -> list[int | None]:
+    """One id per set, equal for equal sets: two independent sums over the mixed members and the size; null if empty."""
+    size = np.diff(off)
+    sums = np.zeros((2, len(hashes) + 1), dtype=U64)
+    np.cumsum(W.mix(hashes), out=sums[0, 1:])
+    np.cumsum(W.mix(hashes ^ U64(0xA5A5A5A5A5A5A5A5)), out=sums[1, 1:])
+    both = sums[:, off[1:]] - sums[:, off[:-1]]
+    ids = W.mix(both[0] ^ W.mix(both[1] + size.astype(U64))).view(np.int64)
+    return [int(x) if s else None for x, s in zip(ids, size)]
+
+
 def _signer(k: int, seed: int):
     rng = np.random.default_rng(seed)
     n = max(BANDS * ROWS, 64 * BATCHES)
@@ -118,13 +128,7 @@ def _signer(k: int, seed: int):
         for i, d in enumerate(full):
             bands[d] = keys[i]
         out["bands"] = bands
-        # equal sets, equal nodes: two independent sums over the mixed members
-        sums = np.zeros((2, len(hashes) + 1), dtype=U64)
-        np.cumsum(W.mix(hashes), out=sums[0, 1:])
-        np.cumsum(W.mix(hashes ^ U64(0xA5A5A5A5A5A5A5A5)), out=sums[1, 1:])
-        both = sums[:, off[1:]] - sums[:, off[:-1]]
-        node = W.mix(both[0] ^ W.mix(both[1] + size.astype(U64))).view(np.int64)
-        out["node"] = [int(x) if s else None for x, s in zip(node, size)]
+        out["node"] = node_ids(hashes, off)
         return out
     return sign
 
@@ -302,15 +306,9 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     def make():
         def sets(data, offsets):
             hashes, off = document_sets(data, offsets, shingle)
-            size = np.diff(off)
-            sums = np.zeros((2, len(hashes) + 1), dtype=U64)
-            np.cumsum(W.mix(hashes), out=sums[0, 1:])
-            np.cumsum(W.mix(hashes ^ U64(0xA5A5A5A5A5A5A5A5)), out=sums[1, 1:])
-            both = sums[:, off[1:]] - sums[:, off[:-1]]
-            node = W.mix(both[0] ^ W.mix(both[1] + size.astype(U64))).view(np.int64)
-            members = np.empty(len(size), dtype=object)
-            members[:] = [hashes[lo:hi].view(np.int64) for lo, hi in zip(off[:-1], off[1:])] if len(size) else []
-            return {"node": [int(x) if s else None for x, s in zip(node, size)], "members": members}
+            members = np.empty(len(off) - 1, dtype=object)
+            members[:] = [hashes[lo:hi].view(np.int64) for lo, hi in zip(off[:-1], off[1:])]
+            return {"node": node_ids(hashes, off), "members": members}
         return sets
     got = W.annotate(texts, "text", [], fields, make, CHUNK_BYTES).where("node is not null")
     return got.groupBy("node").agg(F.first("members").alias("members"))
