@@ -46,6 +46,13 @@ def test_loose_group_around_a_base_is_linked_exactly(frame):
     assert 1 < len({c for _, c in expected.values()}) < len(docs)
 
 
+def test_sets_of_one_size(frame):
+    words = [f"w{i}" for i in range(40)]
+    docs = [(3, " ".join(words)), (5, " ".join(["x", *words[1:]])), (8, " ".join(["y", *words[1:]]))]
+    got = N.link_components(frame(docs, "doc_id long, text string").coalesce(1), shingle=4).collect()
+    assert {x.doc_id: x.component_id for x in got} == {3: 3, 5: 3, 8: 3}
+
+
 def test_chain_of_links(frame):
     words = [f"c{i}" for i in range(400)]
     docs = [(100 - i, " ".join(words[i * 4:i * 4 + 120])) for i in range(40)]

@@ -123,8 +123,7 @@ def _signer(k: int, seed: int):
         for r in range(ROWS):
             keys = W.mix(keys * U64(31) + wide[r:BANDS * ROWS:ROWS])
         keys = W.mix(keys + np.arange(1, BANDS + 1, dtype=U64)[:, None]).view(np.int64).T
-        bands = np.empty(n_docs, dtype=object)
-        bands[:] = [None] * n_docs
+        bands: list[np.ndarray | None] = [None] * n_docs
         for i, d in enumerate(full):
             bands[d] = keys[i]
         out["bands"] = bands
@@ -306,9 +305,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     def make():
         def sets(data, offsets):
             hashes, off = document_sets(data, offsets, shingle)
-            members = np.empty(len(off) - 1, dtype=object)
-            members[:] = [hashes[lo:hi].view(np.int64) for lo, hi in zip(off[:-1], off[1:])]
-            return {"node": node_ids(hashes, off), "members": members}
+            return {"node": node_ids(hashes, off), "members": [hashes[lo:hi].view(np.int64) for lo, hi in zip(off[:-1], off[1:])]}
         return sets
     got = W.annotate(texts, "text", [], fields, make, CHUNK_BYTES).where("node is not null")
     return got.groupBy("node").agg(F.first("members").alias("members"))
