@@ -1,8 +1,8 @@
 """Near-duplicate documents: banded MinHash candidates, sequential Bayesian pruning, exact links.
 
 1. One pass over the texts gives each document its shingle-set size, a
-   digest of the set (64 bits of two 64-bit sums), band keys and one-bit minhash batches of 64.
-   Documents with equal sets become one node.
+   digest of the set (64 bits of two 64-bit sums), band keys and one-bit
+   minhash batches of 64.  Documents with equal sets become one node.
 2. Nodes that share a band key are candidates.  Every node is paired with
    the smallest node of its bucket, never with all of them.  Batches of
    signature bits are compared one after the other; a pair is dropped as
