@@ -63,8 +63,8 @@ def test_weak_parts_are_reported_only_together(frame):
 def test_redaction_masks_spans_and_keeps_the_rest(frame):
     data = rows()
     df = frame([(d, t, len(t or ""), "k") for d, t in data], "doc_id long, text string, n_chars long, spans string")
-    out = S.redact(df.withColumnRenamed("spans", "other"))
-    assert out.columns == ["doc_id", "text", "n_chars", "other"]
+    out = S.redact(df)
+    assert out.columns == df.columns
     spans = {r.doc_id: r.spans for r in scanned(frame, data)}
     for r in out.collect():
         text, expected, at = dict(data)[r.doc_id], "", 0
@@ -74,7 +74,7 @@ def test_redaction_masks_spans_and_keeps_the_rest(frame):
                 expected += (text or "")[at:a] + S.MASK
             at = max(at, b)
         expected += (text or "")[at:]
-        assert r.text == (None if text is None else expected) and r.n_chars == len(expected) and r.other == "k"
+        assert r.text == (None if text is None else expected) and r.n_chars == len(expected) and r.spans == "k"
 
 
 def test_no_python_in_the_plan(frame):

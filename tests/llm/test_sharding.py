@@ -9,11 +9,11 @@ def texts(n, seed=1):
     return [(i, None if i % 17 == 0 else "é" * r.randint(0, 300) if i % 5 else "same text", f"s{i % 3}") for i in range(n)]
 
 
-SCHEMA = "doc_id long, text string, shard string"
+SCHEMA = "doc_id long, text string, bucket string"
 
 
 def placed(df, k, **options):
-    return sorted(tuple(r) for r in S.shard(df.withColumnRenamed("shard", "source"), k, **options).collect())
+    return sorted(tuple(r) for r in S.shard(df, k, **options).collect())
 
 
 def test_every_row_once_counts_one_apart_and_slots_gapless(frame):
@@ -44,9 +44,9 @@ def test_order_is_shuffled_across_and_within_buckets(frame):
 
 def test_fewer_rows_than_shards_repeats_nulls_and_empty(frame):
     df = frame([(1, "a", "x"), (1, "a", "x"), (None, None, None)], SCHEMA)
-    got = S.shard(df.withColumnRenamed("shard", "k"), 24).collect()
+    got = S.shard(df.withColumn("shard", df.bucket), 24).collect()
     assert len(got) == 3 and {r.slot for r in got} == {0} and len({r["shard"] for r in got}) == 3
-    assert S.shard(df.withColumnRenamed("shard", "k").limit(0), 24).count() == 0
+    assert S.shard(df.limit(0), 24).count() == 0
 
 
 def test_size_counts_utf8_bytes(frame):

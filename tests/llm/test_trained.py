@@ -100,7 +100,7 @@ def test_without_labels_of_both_kinds(frame, labels):
 
 
 def test_empty_documents_and_clashing_columns(frame):
-    docs = frame([(i, "some text of words " * (i % 9), "x", 1.0, 2) for i in range(40)], "doc_id long, text string, label string, score double, predicted int")
+    docs = frame([(i, "some text of words " * (i % 9), "x", 1.0, 2) for i in range(40)], "doc_id long, text string, accepted string, score double, predicted int")
     labels = frame([(i, i % 2, i % 3 == 0) for i in range(40)], "doc_id long, quality int, toxic boolean")
     model = quality.fit(docs, labels)
     out = quality.score(docs, model, docs.columns, accepted_only=True)

@@ -150,10 +150,10 @@ def score(docs: DataFrame, model: AdditiveModel, keep: list[str], *, text_col: s
 
         def run(data, offsets):
             s = model.score(_features(data, offsets))
-            return {"score": s, "predicted": (s >= threshold).astype(np.int32), "accepted": s >= threshold}
+            return {"score": s, "predicted": (s >= threshold).astype(np.int32), "__accepted": s >= threshold}
         return run
 
     if accepted_only:
-        fields = T.StructType([T.StructField("accepted", T.BooleanType())])
-        return W.annotate(docs, text_col, keep, fields, make, CHUNK_BYTES, keep_if="accepted").select(*[W.quoted(c) for c in keep])
+        fields = T.StructType([T.StructField("__accepted", T.BooleanType())])
+        return W.annotate(docs, text_col, keep, fields, make, CHUNK_BYTES, keep_if="__accepted").select(*[W.quoted(c) for c in keep])
     return W.annotate(docs, text_col, keep, FIELDS, make, CHUNK_BYTES)

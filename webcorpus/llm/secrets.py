@@ -115,12 +115,13 @@ def _spans(scanned: DataFrame, scope: int) -> DataFrame:
     return every.groupBy("row").agg(F.sort_array(F.collect_list(F.when(F.col("base"), span))).alias("base"), F.sort_array(F.collect_list(span)).alias("spans"))
 
 
-def scan(docs: DataFrame, keep: list[str], *, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """Columns ``keep`` with ``base`` and ``spans`` for every document: arrays of (start, rank, kind, end, past), maybe empty."""
+def scan(docs: DataFrame, keep: list[str], *, text_col: str = "text", scope: int = SCOPE,
+         names: tuple[str, str] = ("base", "spans")) -> DataFrame:
+    """Columns ``keep`` with ``base`` and ``spans`` (or ``names``) for every document: arrays of (start, rank, kind, end, past), maybe empty."""
     scanned = _scanned(docs, keep, text_col)
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,past:bigint>>")
     out = scanned.select("row", *[f"c{i}" for i in range(len(keep))]).join(_spans(scanned, scope), "row", "left")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], *[F.coalesce(F.col(c), none).alias(n) for c, n in zip(("base", "spans"), names)])
 
 
 def joined(spans: Column) -> Column:
@@ -131,22 +132,22 @@ def joined(spans: Column) -> Column:
 def redact(docs: DataFrame, *, text_col: str = "text", count_col: str | None = "n_chars", scope: int = SCOPE, mask: str = MASK) -> DataFrame:
     """All documents, all columns, with every span of their texts masked and ``count_col`` (if there) set anew."""
     columns = docs.columns
-    got = scan(docs, columns, text_col=text_col, scope=scope)
+    got = scan(docs, columns, text_col=text_col, scope=scope, names=("__base", "__spans"))
     text = W.quoted(text_col)
     # a span that overlaps earlier ones only extends their mask
-    piece = F.transform("spans", lambda s: F.concat(
+    piece = F.transform("__spans", lambda s: F.concat(
         F.substring(text, (s["past"] + 1).cast("int"), F.greatest(s["start"] - s["past"], F.lit(0)).cast("int")),
         F.when(s["start"] >= s["past"], F.lit(mask)).otherwise(F.lit(""))))
-    done = F.array_max(F.transform("spans", lambda s: s["end"]))
+    done = F.array_max(F.transform("__spans", lambda s: s["end"]))
     tail = F.substring(text, (done + 1).cast("int"), F.lit(2147483647))
-    masked = F.when(F.size("spans") > 0, F.concat(F.array_join(piece, ""), tail)).otherwise(text)
+    masked = F.when(F.size("__spans") > 0, F.concat(F.array_join(piece, ""), tail)).otherwise(text)
     out = got.withColumn("__masked", masked)
     cols = []
     for c in columns:
         if c == text_col:
             cols.append(F.col("__masked").alias(c))
         elif c == count_col:
-            cols.append(F.when(F.size("spans") > 0, F.char_length("__masked").cast(docs.schema[c].dataType)).otherwise(W.quoted(c)).alias(c))
+            cols.append(F.when(F.size("__spans") > 0, F.char_length("__masked").cast(docs.schema[c].dataType)).otherwise(W.quoted(c)).alias(c))
         else:
             cols.append(W.quoted(c))
     return out.select(*cols)
