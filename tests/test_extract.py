@@ -229,21 +229,21 @@ def test_regular_pages_take_the_native_path(spark):
     from webcorpus.plans import render as RD
 
     seen = []
-    whole = FL.regular
+    whole = FL.judged
 
-    def spy(flat, html="html"):
+    def spy(pages, flat):
         seen.append(flat)
-        return whole(flat, html)
+        return whole(pages, flat)
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     pages = {"feed": (RD.feed_pages(orders), X.feed_links), "follow": (RD.followee_pages(orders), X.followee_links),
              "list": (RD.article_list_pages(orders), X.article_list_links),
              "table": (RD.table_pages(spark.read.parquet("/root/testdata/sf0.001/supplier.parquet")), X.html_table_rows),
              "nav": (spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), lambda p: X.nav_links(p, nav_id=None)),
              "title": (spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), X.article_titles)}
-    FL.regular = spy
+    FL.judged = spy
     try:
         for name, (df, rule) in pages.items():
             rule(df)
-            assert df.where(~whole(seen[-1])).count() == 0, name
+            assert whole(df, seen[-1]).where("not _regular").count() == 0, name
     finally:
-        FL.regular = whole
+        FL.judged = whole

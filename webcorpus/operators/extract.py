@@ -210,7 +210,7 @@ def nav_links(pages: DataFrame, nav_id: str | None = NAV_ID, **kw) -> DataFrame:
     form = FL.Flat(rf'<li{FL.ATTRS}>\s*+<a\s+href="([^"<>]*+)"\s*+>([^<]*+)</a>\s*+</li>\s*+',
                    rf"<nav{own}>\s*+<ul{FL.ATTRS}>\s*+{FL.MARK}*+</ul>\s*+</nav>", "(?i)<nav")
     df = FL.extract(pages, form, 2, 1, lambda g: {"label": F.when(g["g2"] != "", FL.unescape(g["g2"])), "href": FL.unescape(g["g1"])},
-                    lambda p: extract(p, rule, **kw))
+                    lambda p: extract(p, rule, repartition=False, **kw))
     df = df.where(F.col("reject_reason").isNotNull() | ~F.col("href").contains(U.SKIP_HREF_WORD))
     return df.withColumn("target", F.when(F.col("reject_reason").isNull(),
                                           U.nav_target(F.col("url"), F.col("href"))))
@@ -247,7 +247,7 @@ def feed_links(pages: DataFrame, **kw) -> DataFrame:
                    rf'</div>\s*+</li>\s*+',
                    rf'<ul\s+class="{FEED_LIST_CLASS_STARTS}[^"<>]*+"\s*+>\s*+{FL.MARK}*+</ul>', FEED_LIST_CLASS_STARTS)
     return FL.extract(pages, form, 2, 0, lambda g: {"article_href": FL.unescape(g["g1"]), "user_href": FL.unescape(g["g2"])},
-                      lambda p: extract(p, Rule("feed", FEED_FIELDS, _feed_parse), **kw),
+                      lambda p: extract(p, Rule("feed", FEED_FIELDS, _feed_parse), repartition=False, **kw),
                       lambda g: F.when(g["g2"] == "", F.lit("missing user link")))
 
 
@@ -367,7 +367,7 @@ def followee_links(pages: DataFrame, literal: bool = False, **kw) -> DataFrame:
     form = FL.Flat(r'<li\s*+>\s*+(?:<a\s+href="([^"<>]++)"\s*+>[^<]*+</a>|<span\s*+>[^<]*+</span>)\s*+</li>\s*+',
                    rf'<div\s+class="[^"<>]*{FOLLOW_LIST_CLASS_HAS}[^"<>]*"\s*+>\s*+<ul\s*+>\s*+{FL.MARK}*+</ul>\s*+</div>', FOLLOW_LIST_CLASS_HAS)
     df = FL.extract(pages, form, 1, 0, lambda g: {"href": FL.unescape(g["g1"])},
-                    lambda p: extract(p, Rule("followees", HREF_FIELDS, _followee_parse), **kw),
+                    lambda p: extract(p, Rule("followees", HREF_FIELDS, _followee_parse), repartition=False, **kw),
                     lambda g: F.when(g["g1"] == "", F.lit("missing a")))
     user = (F.replace(F.col("href"), F.lit("me"), F.lit("blog")) if literal
             else F.regexp_replace("href", r"^([A-Za-z][A-Za-z0-9+.\-]*://)me\.", "$1blog."))
@@ -392,7 +392,7 @@ def article_list_links(pages: DataFrame, **kw) -> DataFrame:
                    rf'|<h5\s*+>[^<]*+</h5>)\s*+</div>\s*+',
                    rf'<div\s+class="{ARTICLE_LIST_CLASS_IS}"\s*+>\s*+{FL.MARK}*+</div>', ARTICLE_LIST_CLASS_IS)
     return FL.extract(pages, form, 1, 0, lambda g: {"href": FL.unescape(g["g1"])},
-                      lambda p: extract(p, Rule("article_list", HREF_FIELDS, _article_list_parse), **kw),
+                      lambda p: extract(p, Rule("article_list", HREF_FIELDS, _article_list_parse), repartition=False, **kw),
                       lambda g: F.when(g["g1"] == "", F.lit("missing h4/a")))
 
 
@@ -463,7 +463,7 @@ def article_titles(pages: DataFrame, **kw) -> DataFrame:
     rule = Rule("titles", TITLE_FIELDS, _title_parse, "h1", "missing h1")
     # one plain heading and no other
     form = FL.Flat(rf"<h1{FL.ATTRS}>([^<]++)</h1>", FL.MARK, "(?i)<h1", least=1)
-    return FL.extract(pages, form, 1, 0, lambda g: {"title": FL.unescape(g["g1"])}, lambda p: extract(p, rule, **kw))
+    return FL.extract(pages, form, 1, 0, lambda g: {"title": FL.unescape(g["g1"])}, lambda p: extract(p, rule, repartition=False, **kw))
 
 
 def _table_parse(url, root, html):
@@ -481,4 +481,4 @@ def html_table_rows(pages: DataFrame, **kw) -> DataFrame:
     """Every ``tr`` after the first as an array of its ``td`` texts."""
     form = FL.Flat(r"<tr\s*+>((?:\s*+<t[dh]\s*+>[^<]*+</t[dh]>)*+)\s*+</tr>\s*+", rf"{FL.MARK}++", "(?i)<t[rdh][\\s/>]")
     return FL.extract(pages, form, 1, 1, lambda g: {"cells": F.transform(F.regexp_extract_all(g["g1"], F.lit("<td\\s*+>([^<]*+)</td>"), F.lit(1)), FL.unescape)},
-                      lambda p: extract(p, Rule("table", TABLE_FIELDS, _table_parse, required_tag="tr"), **kw))
+                      lambda p: extract(p, Rule("table", TABLE_FIELDS, _table_parse, required_tag="tr"), repartition=False, **kw))

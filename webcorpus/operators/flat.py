@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .parallel import partitioned
+
 MARK, GAP = "\u0001", "\u0002"
 ATTRS = r'(?:\s+[a-zA-Z][a-zA-Z0-9\-]*="[^"<>]*+")*+\s*+'
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|title|textarea)\b[^>]*+>.*?</\1\s*+>"
@@ -47,35 +49,38 @@ def unescape(x: Column) -> Column:
     return x
 
 
-def regular(flat: Flat, html: str = "html") -> Column:
-    """Whether all of the rule's items on the page are of the regular form; false for null pages."""
-    cut = F.regexp_replace(visible(html), flat.item, MARK)
-    bare = F.regexp_replace(cut, flat.container, "")
-    items = F.array_join(F.regexp_extract_all(visible(html), F.lit(flat.item), F.lit(0)), "")
-    found = F.size(F.regexp_extract_all(cut, F.lit(flat.container), F.lit(0)))
-    ok = ~F.col(html).rlike(_ODD) & ~bare.contains(MARK) & ~bare.rlike(flat.trace) & ~items.rlike(_ENTITY + "|" + GAP) \
-        & ~bare.rlike(r"(?i)<(?:script|style|title|textarea)\b") & found.between(flat.least, 1)
-    return F.coalesce(ok, F.lit(False))
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a computed column; a generator's output is computed once a row, however often it is looked at."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def groups(flat: Flat, n: int, html: str = "html") -> Column:
-    """The items as an array of structs g1..gn, in page order, as written; an absent group is empty."""
-    parts = [F.regexp_extract_all(visible(html), F.lit(flat.item), F.lit(i)).alias(f"g{i}") for i in range(1, n + 1)]
-    return F.arrays_zip(*parts)
+def judged(pages: DataFrame, flat: Flat) -> DataFrame:
+    """Pages with ``_items``, the markup of the rule's items, and ``_regular``: whether all of them are of the regular form."""
+    df = _once(pages, "_seen", F.when(~F.col("html").rlike(_ODD), visible()))
+    df = _once(df, "_items", F.regexp_extract_all("_seen", F.lit(flat.item), F.lit(0)))
+    df = _once(df, "_cut", F.regexp_replace("_seen", flat.item, MARK))
+    df = _once(df, "_bare", F.regexp_replace("_cut", flat.container, ""))
+    found = F.size(F.regexp_extract_all("_cut", F.lit(flat.container), F.lit(0)))
+    ok = ~F.col("_bare").contains(MARK) & ~F.col("_bare").rlike(flat.trace) & ~F.col("_bare").rlike(r"(?i)<(?:script|style|title|textarea)\b") \
+        & ~F.array_join("_items", "").rlike(_ENTITY + "|" + GAP) & found.between(flat.least, 1)
+    return _once(df, "_regular", F.coalesce(ok, F.lit(False))).drop("_seen", "_cut", "_bare")
 
 
 def extract(pages: DataFrame, flat: Flat, n: int, first: int, record, tree, reason=None) -> DataFrame:
     """Rows of regular pages natively, of the others by ``tree(pages)``.
 
-    ``record(g)``: output columns of an item; ``reason(g)``: why an item is
-    rejected, or null; ``first``: the position of the first item that counts.
-    Streams take the tree path (a page would be read twice).
+    ``record(g)``: output columns of an item from its groups ``g1``..; an
+    absent group is empty.  ``reason(g)``: why an item is rejected, or null.
+    ``first``: the position of the first item that counts.  Streams take the
+    tree path (a page would be read twice).
     """
     if pages.isStreaming:
         return tree(pages)
-    src = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    items = src.where(regular(flat)).select("page_id", "url", F.posexplode(groups(flat, n)).alias("pos", "g")).where(F.col("pos") >= first)
+    src = partitioned(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), "page_id")
+    src = judged(src, flat)
+    items = src.where("_regular").select("page_id", "url", F.posexplode("_items").alias("pos", "item")).where(F.col("pos") >= first)
+    items = items.select("page_id", "url", "pos", F.struct(*[F.regexp_extract("item", flat.item, i).alias(f"g{i}") for i in range(1, n + 1)]).alias("g"))
     why = reason(F.col("g")) if reason else F.lit(None).cast("string")
     native = items.select("page_id", "url", F.col("pos").cast("int").alias("pos"),
                           *[F.when(why.isNull(), c).alias(name) for name, c in record(F.col("g")).items()], why.alias("reject_reason"))
-    return native.unionByName(tree(src.where(~regular(flat))))
+    return native.unionByName(tree(src.where("not _regular").select("page_id", "url", "html")))

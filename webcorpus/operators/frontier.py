@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, remove_scratch, scratch_path
 
 BROADCAST_HUBS = 100_000    # rows of (node, number of salts); more are joined instead
 
@@ -59,7 +59,9 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     tag = uuid.uuid4().hex[:12]
     edges_t, seen_t = f"closure_edges_{tag}", f"closure_seen_{tag}"
     base = scratch_path(spark, "closure")
-    pairs = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    # read twice below: an extraction behind the edges must not run twice
+    edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()).write.parquet(f"{base}/pairs")
+    pairs = spark.read.schema(edges.select("src", "dst").schema).parquet(f"{base}/pairs")
     hubs = pairs.groupBy("src").agg(F.count("*").alias("degree")).where(F.col("degree") > hub_edges) \
         .select("src", F.ceil(F.col("degree") / hub_edges).cast("int").alias("salts"))
     hubs.write.parquet(f"{base}/hubs")
@@ -100,6 +102,8 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
         # read the levels back as plain files: the result outlives the tables
         return spark.read.parquet(f"{base}/seen").select("node", F.col("depth").cast("int").alias("depth"))
     finally:
+        remove_scratch(spark, f"{base}/pairs")
+        remove_scratch(spark, f"{base}/hubs")
         spark.sql(f"DROP TABLE IF EXISTS {edges_t}")
         spark.sql(f"DROP TABLE IF EXISTS {seen_t}")
 
