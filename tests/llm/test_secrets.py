@@ -60,6 +60,22 @@ def test_weak_parts_are_reported_only_together(frame):
     assert [s.split(":")[0] for s in got[7].split(",")] == ["linked_identifier", "linked_endpoint", "linked_secret"]
 
 
+def test_parts_longer_than_the_scope_are_linked(spark, frame, table_dir):
+    long, host = "token=" + "x" * 1000, "https://db.example.com"
+    data = [(1, f"{long} login=joe {host}"), (2, f"login=joe {host} {long}"), (3, f"{'ab' * 800} user=joe {host}"),
+            (4, f"login={'j' * 900} pwd=abcd https://{'h' * 1500}.com"), (5, f"{long}{' ' * 241}login=joe {host}"), (6, f"{long}{' ' * 239}login=joe {host}")]
+    got = {r.doc_id: r.spans for r in scanned(frame, data)}
+    assert got[1] == "assign:0:1006,linked_identifier:1007:1016,linked_endpoint:1017:1039"
+    assert [got[i].count("linked") for i in (2, 3, 4, 5, 6)] == [2, 2, 3, 0, 1]
+    out = {r.doc_id: r.text for r in S.redact(frame(data, "doc_id long, text string")).collect()}
+    assert out[1] == f"{S.MASK} {S.MASK} {S.MASK}"
+    path = table_dir(documents=frame(data, "doc_id long, text string"))
+    con = duck("/root/testdata/sf0.001")
+    con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{path}/documents.parquet/*.parquet')")
+    problems, *_ = compare(Q.op4_secret_scans(spark, path), con, Q.ORACLE["op4_secret_scans"])
+    assert not problems, problems
+
+
 def test_redaction_masks_spans_and_keeps_the_rest(frame):
     data = rows()
     df = frame([(d, t, len(t or ""), "k") for d, t in data], "doc_id long, text string, n_chars long, spans string")

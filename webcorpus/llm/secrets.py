@@ -5,10 +5,11 @@ they stand.  Weak candidates - account names, short or loosely named
 secrets, endpoints - say little alone; one is reported only if parts of
 both other kinds (strong ones included) lie within its scope, ``SCOPE``
 code points on either side.  The link is an interval join: parts are
-summarised per document and bin of one scope's width, and a candidate's
-interval meets the few bins that it reaches into.  The summary keeps the
-least start and the greatest end of a bin, which decides overlap exactly,
-as an interval is wider than a bin; so dense documents do not multiply.
+summarised per document and every bin of one scope's width that they
+cover, and a candidate's interval meets the bins that it reaches into.
+The summary keeps the least start and the greatest end inside the bin,
+which decides overlap exactly, as an interval is wider than a bin; so
+dense documents do not multiply.
 
 Positions come without any Python: a pattern's matches and the pieces
 between them (``split``) alternate, and running sums of their lengths give
@@ -89,9 +90,11 @@ def _linked(matches: DataFrame, scope: int) -> DataFrame:
     part = F.coalesce(*[F.when(F.col("kind") == k, p) for k, p in PART.items()], F.col("kind"))
     least = F.coalesce(*[F.when(F.col("kind") == k, n) for k, (_, n) in WEAK.items()], F.lit(4))
     parts = matches.withColumn("strong", strong).withColumn("part", part).where(F.col("strong") | (F.col("value") >= least))
-    bins = parts.groupBy("row", "part", F.expr(f"start div {scope}").alias("bin")).agg(F.min("start").alias("lo"), F.max("end").alias("hi"))
+    covered = parts.withColumn("bin", F.explode(F.expr(f"sequence(start div {scope}, (end - 1) div {scope})")))
+    bins = covered.groupBy("row", "part", "bin").agg(F.min(F.greatest("start", F.col("bin") * scope)).alias("lo"),
+                                                     F.max(F.least("end", (F.col("bin") + 1) * scope)).alias("hi"))
     weak = (parts.where("not strong").select("row", F.col("part").alias("kind"), "start", "end")
-            .withColumn("bin", F.explode(F.expr(f"sequence(greatest(start - 2 * {scope}, 0) div {scope}, (end + {scope}) div {scope})"))))
+            .withColumn("bin", F.explode(F.expr(f"sequence(greatest(start - {scope}, 0) div {scope}, (end + {scope}) div {scope})"))))
     near = (weak.join(bins, ["row", "bin"]).where((F.col("part") != F.col("kind")) & (F.col("lo") < F.col("end") + scope) & (F.col("hi") > F.col("start") - scope))
             .groupBy("row", "kind", "start", "end").agg(*[F.max(F.when(F.col("part") == p, 1).otherwise(0)).alias(p) for p in WEAK]))
     others = sum((F.col(p) for p in WEAK), F.lit(0))
