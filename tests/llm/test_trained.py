@@ -89,6 +89,22 @@ def test_toxicity_learns_expressions_and_leaves_clean_text(frame):
     assert got[1000].predicted == got[1001].predicted == got[1002].predicted == 0
 
 
+def test_toxicity_shared_counts_of_the_whole_corpus_do_not_saturate(frame, monkeypatch):
+    seen, init = {}, toxicity.KneserNey.__init__
+
+    def spy(self, *args):
+        seen.update(zip(args[0].tolist(), args[7].tolist()))
+        init(self, *args)
+
+    monkeypatch.setattr(toxicity.KneserNey, "__init__", spy)
+    docs = [(d, "small large other small other large") for d in range(40)]
+    docs += [(100 + i, f"x{i} large" + (f" x{i} small" if i % 8 == 0 else "")) for i in range(4000)]  # no labels
+    toxicity.fit(frame(docs, DOC), frame([(d, d % 2) for d in range(40)], "doc_id long, toxic int"))
+    raw = np.frombuffer(b"small large", dtype=np.uint8)
+    small, large = (seen[h] for h in W.hash_words(raw, np.array([0, 6]), np.array([5, 11])).tolist())
+    assert abs(large / 4002 - 1) < 0.2 and abs(small / 502 - 1) < 0.2
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, 0), (2, 0)], [(None, 1), (3, None)]])
 def test_without_labels_of_both_kinds(frame, labels):
     docs = frame([(1, "a b"), (2, "c"), (3, None)], DOC)

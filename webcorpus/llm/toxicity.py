@@ -4,9 +4,10 @@ One model of toxic and one of ordinary text, both with absolute
 discounting: a word after its predecessor backs off to the word by its
 continuation count (distinct predecessors), the word to its stem (first
 bytes), and the stem to counts that both classes share.  The shared counts
-are gathered from the whole corpus: per word and stem a 64-bit sketch of
-its predecessors, combined with OR, so they cover every document whatever
-the labels.  A text is scored by its length-normalised log-likelihood
+are gathered from the whole corpus: a written table of the distinct
+predecessors of every word and stem (HyperLogLog, standard error
+``SHARED_ERROR`` at any count), so they cover every document whatever the
+labels, and the words of unlabelled ones are part of the normaliser.  A text is scored by its length-normalised log-likelihood
 ratio: over all its words, and over its most toxic stretch of ``STRETCH``
 words, joined by a logistic that is calibrated on labelled documents the
 counts have not seen.
@@ -36,6 +37,7 @@ SAMPLE_ROWS = 16_000
 THRESHOLD = 0.5
 DISCOUNT = 1.5        # above 1: a word seen after one predecessor only tells nothing of its own
 STEM_BYTES = 6
+SHARED_ERROR = 0.05   # standard error of the corpus-wide counts
 STRETCH = 8
 STRONG = 1.5          # ratios above it are told apart from a text's many slight ones
 KEPT_PAIRS = 3        # a pair of words enters the models from so many occurrences in one class
@@ -79,14 +81,15 @@ def _counted(rows: DataFrame) -> DataFrame:
 class KneserNey:
     """The log-likelihood ratios of both models as arrays over the sample's vocabulary."""
 
-    def __init__(self, words, stem_of, word_n, word_mass, stems, stem_n, stem_mass, word_shared, stem_shared, pairs, history_n):
+    def __init__(self, words, stem_of, word_n, word_mass, stems, stem_n, stem_mass, word_shared, stem_shared, pairs, history_n, stem_words, shared_mass):
         """``word_n``, ``stem_n``: continuation counts, one row ordinary, one toxic, of the units that keep a count
         after discounting; ``..._mass``: (sum of counts, sum of discounts) of either kind over all units.
         ``pairs``: (before, word, n of both), ``history_n``: occurrences of each distinct ``before`` of the
-        pairs, in sorted order, of both."""
+        pairs, in sorted order, of both.  ``word_shared``, ``stem_shared``: the corpus-wide counts;
+        ``stem_words``: of all words of a stem, ``shared_mass``: of all stems, each with 0.5 a unit."""
         d = DISCOUNT
-        shared = (stem_shared + 0.5) / (stem_shared.sum() + 0.5 * len(stems) + 0.5)
-        within = (word_shared + 0.5) / np.maximum(np.bincount(stem_of, word_shared + 0.5, len(stems))[stem_of], 1e-9) if len(words) else word_shared
+        shared = (stem_shared + 0.5) / (shared_mass + 0.5)
+        within = (word_shared + 0.5) / np.maximum(stem_words[stem_of], 1e-9) if len(words) else word_shared
         uni, self.rest = [], 0.0
         stem_p = []
         for c in (0, 1):
@@ -184,36 +187,23 @@ class Scorer:
         return np.where(x[:, 3] == 0, np.minimum(s, 0.25), s)
 
 
-def _sketches(docs: DataFrame, text_col: str, words: np.ndarray, stems: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct predecessors over the whole corpus, estimated from OR-ed 64-bit sketches, per word and stem."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast((words, stems))  # the bounded sample's vocabulary
-    out = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("bits", T.LongType())])
+def _shared(docs: DataFrame, text_col: str) -> DataFrame:
+    """(unit, of, n): distinct predecessors of every word (``of``: its stem) and stem (``of``: itself) of the corpus."""
+    out = T.StructType([T.StructField(c, T.LongType()) for c in ("unit", "of", "before")])
 
     def run(batches):
         import pyarrow as pa
 
-        words, stems = held.value
-        index = [W.HashIndex(words), W.HashIndex(stems)]
-        bits = np.zeros(len(words) + len(stems), dtype=U64)
         for batch in W.regroup(batches, 0, CHUNK_BYTES):
-            w, s, before, _ = _tokens(*W.text_buffers(batch.column(0)))
-            flag = U64(1) << (W.mix(before) & U64(63))
-            for unit, ix, base in ((w, index[0], 0), (s, index[1], len(words))):
-                at = ix.find(unit)
-                known = at >= 0
-                np.bitwise_or.at(bits, at[known] + base, flag[known])
-        places = np.flatnonzero(bits)
-        for lo in range(0, len(places), 1 << 16):
-            p = places[lo:lo + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), pa.array(bits[p].view(np.int64))], names=out.names)
-
-    got = (docs.select(W.quoted(text_col).cast("string").alias("t")).mapInArrow(run, out)
-           .groupBy("place").agg(F.bit_count(F.bit_or("bits")).alias("ones")).toPandas())
-    ones = np.zeros(len(words) + len(stems))
-    ones[got["place"].to_numpy()] = got["ones"].to_numpy()
-    distinct = -64 * np.log(1 - np.minimum(ones, 63.5) / 64)
-    return distinct[:len(words)], distinct[len(words):]
+            words, stems, before, _ = _tokens(*W.text_buffers(batch.column(0)))
+            for unit in (words, stems):
+                _, at = np.unique(W.mix(unit + before * U64(3)), return_index=True)
+                for lo in range(0, len(at), 1 << 16):
+                    p = at[lo:lo + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x[p].view(np.int64)) for x in (unit, stems, before)], names=out.names)
+
+    return (docs.select(W.quoted(text_col).cast("string").alias("t")).mapInArrow(run, out)
+            .groupBy("unit", "of").agg(F.approx_count_distinct("before", SHARED_ERROR).alias("n")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
@@ -229,13 +219,20 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col:
         return Scorer(None)
     pairs = store.save(_counted(sample.where("not later")), "pairs")
 
+    shared = store.save(_shared(docs, text_col), "shared")
+    shared_words, shared_stems = shared.where("unit != of"), shared.where("unit = of")
+    mass = shared_stems.agg(F.sum(F.col("n") + 0.5)).first()[0]
+    counted = {"word": shared_words.select(F.col("unit").alias("word"), F.col("n").alias("shared")),
+                    "stem": shared_stems.select(F.col("unit").alias("stem"), F.col("n").alias("shared"))
+                    .join(shared_words.groupBy(F.col("of").alias("stem")).agg(F.sum(F.col("n") + 0.5).alias("words")), "stem")}
+
     def counts(unit: str):
         """Continuation counts of the units that keep some after discounting, and the masses of all."""
         p = pairs if unit == "word" else pairs.groupBy("label", "stem", "before").agg(F.sum("n").alias("n"))
         c = [F.sum(F.when(F.col("label") == k, 1).otherwise(0)).alias(f"c{k}") for k in (0, 1)]
         every = p.groupBy(unit).agg(*c, *([F.min("stem").alias("stem")] if unit == "word" else []))
         mass = every.agg(*[f(f"c{k}") for k in (0, 1) for f in (F.sum, lambda x: F.sum(F.least(F.col(x).cast("double"), F.lit(DISCOUNT))))]).first()
-        return every.where(F.greatest("c0", "c1") > DISCOUNT).orderBy(unit).toPandas(), [(float(mass[0] or 0), float(mass[1] or 0)), (float(mass[2] or 0), float(mass[3] or 0))]
+        return every.where(F.greatest("c0", "c1") > DISCOUNT).join(counted[unit], unit).orderBy(unit).toPandas(), [(float(mass[0] or 0), float(mass[1] or 0)), (float(mass[2] or 0), float(mass[3] or 0))]
 
     (w, word_mass), (s, stem_mass) = counts("word"), counts("stem")
     words, stems = w["word"].to_numpy().view(U64), s["stem"].to_numpy().view(U64)
@@ -246,13 +243,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col:
                                          F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1")).toPandas()
     often = often.orderBy("before", "word").toPandas()
     often = often[W.HashIndex(words).find(often["word"].to_numpy().view(U64)) >= 0]  # words after one predecessor only back off
-    word_shared, stem_shared = _sketches(docs, text_col, words, stems)
     stem_of = W.HashIndex(stems).find(w["stem"].to_numpy().view(U64))
     at = W.HashIndex(totals["before"].to_numpy().view(U64)).find(np.unique(often["before"].to_numpy().view(U64)))
     model = KneserNey(words, stem_of, w[["c0", "c1"]].to_numpy(dtype=np.float64).T, word_mass,
-                      stems, s[["c0", "c1"]].to_numpy(dtype=np.float64).T, stem_mass, word_shared, stem_shared, (often["before"].to_numpy().view(U64), often["word"].to_numpy().view(U64),
+                      stems, s[["c0", "c1"]].to_numpy(dtype=np.float64).T, stem_mass, w["shared"].to_numpy(dtype=np.float64), s["shared"].to_numpy(dtype=np.float64), (often["before"].to_numpy().view(U64), often["word"].to_numpy().view(U64),
                                                  often[["n0", "n1"]].to_numpy(dtype=np.float64).T),
-                      totals[["n0", "n1"]].to_numpy(dtype=np.float64).T[:, at])
+                      totals[["n0", "n1"]].to_numpy(dtype=np.float64).T[:, at], s["words"].to_numpy(dtype=np.float64), float(mass or 0))
     held = spark.sparkContext.broadcast(model)
     fields = T.StructType([T.StructField(n, T.DoubleType()) for n in ("mean", "stretch", "strong", "length")])
 
