@@ -66,6 +66,27 @@ def test_detects_templates_that_rewrite_history(frame):
         assert [r.rewrites for r in got] == marks, render
 
 
+def test_templates_that_look_far_back(frame):
+    def say(turns):
+        return "".join(f"{t['role']}: {t['text']}\n" for t in turns)
+
+    def first_answer_rewritten(turns):  # turn 1 is dropped from turn 8 on
+        return say([t for i, t in enumerate(turns) if i != 1 or len(turns) < 9])
+
+    def last_five(turns):
+        return say(turns[-5:])
+
+    def user_first(turns):
+        assert not turns or turns[0]["role"] == "user"
+        return say(turns)
+
+    data = frame([(1, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(10)], SCHEMA)
+    for render, marked in ((first_answer_rewritten, [8]), (last_five, [5, 6, 7, 8, 9]), (user_first, [])):
+        got = sorted(C.format_turns(data, render=render).collect(), key=lambda r: r.place)
+        assert [r.place for r in got if r.rewrites] == marked, render
+    assert not any(r.rewrites for r in C.format_turns(data, render=say, context=0).collect())
+
+
 def test_mask_of_another_template(frame):
     def render(turns):
         return "".join(f"### {t['role']}:\n{t['text']}\n\n" for t in turns)

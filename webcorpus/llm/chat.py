@@ -8,10 +8,12 @@ not a prefix of the longer one, the template rewrites history, and the
 conversation is marked.  Inside a span the text's place is found by
 rendering the same turn with a probe text.
 
-Turns stream through a task in order.  A turn is rendered after the
-``context`` turns before it, so a conversation of any length takes time in
-proportion to it and memory for a few turns; no conversation is gathered
-into a row.  The output has one row per turn, and a conversation's
+Turns stream through a task in order.  A turn is rendered after all turns
+before it, and the output is carried to the next, so that a turn takes one
+rendering and one with the probe; a task holds the turns and the output of
+one conversation, and none is gathered into a row.  For a template that is
+known to look back over few turns only, ``context`` bounds how many are
+rendered, which takes time in proportion to the conversation.  The output has one row per turn, and a conversation's
 formatted text is these rows' strings one after the other.
 
 Defined results: null texts and roles are empty; turns are ordered by turn
@@ -31,7 +33,6 @@ from pyspark.sql import types as T
 
 from webcorpus.llm import textwords as W
 
-CONTEXT = 3
 PROBE = "\ue000\ue001\ue000"
 
 # Control strings of common chat formats, kept out of texts by escaping.
@@ -68,13 +69,13 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [(_unrole(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
 
 
-def turn_span(render: Callable[[list[dict]], str], before: list[dict], turn: dict) -> tuple[str, int | None, int | None, bool]:
-    """What a turn adds to the rendering, where its text lies in that, and whether earlier output changed.
+def turn_span(render: Callable[[list[dict]], str], before: list[dict], turn: dict, old: str) -> tuple[str, str, int | None, int | None, bool]:
+    """The rendering (``old`` before the turn), what the turn adds to it, where its text lies in that, and whether earlier output changed.
 
     Of a template that rewrites history, the span starts where the outputs
     part.  The text's place is None where the probe cannot tell it.
     """
-    old, new = render(before), render([*before, turn])
+    new = render([*before, turn])
     rewrites = not new.startswith(old)
     shared = len(old)
     if rewrites:
@@ -83,17 +84,18 @@ def turn_span(render: Callable[[list[dict]], str], before: list[dict], turn: dic
     probed = render([*before, {**turn, "text": PROBE}])[shared:]
     head, found, tail = probed.partition(PROBE)
     if found and added.startswith(head) and added.endswith(tail) and len(added) >= len(head) + len(tail):
-        return added, len(head), len(added) - len(tail), rewrites
-    return added, None, None, rewrites
+        return new, added, len(head), len(added) - len(tail), rewrites
+    return new, added, None, None, rewrites
 
 
 def format_turns(conversations: DataFrame, *, render: Callable[[list[dict]], str] = template, learn: str = "assistant",
-                 context: int = CONTEXT, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+                 context: int | None = None, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text") -> DataFrame:
     """One row per turn: id, place, ``formatted``, the loss mask inside it (code points; null: no loss), ``rewrites``.
 
     Texts of the role ``learn`` are under the mask, exactly.  Rows of a
-    conversation are adjacent and in order.
+    conversation are adjacent and in order.  ``context``: turns that the
+    template looks back over; None: all.
     """
     src = conversations.select(W.quoted(id_col).alias("id"), W.quoted(turn_col).alias("turn"),
                                F.coalesce(W.quoted(role_col).cast("string"), F.lit("")).alias("role"),
@@ -108,22 +110,26 @@ def format_turns(conversations: DataFrame, *, render: Callable[[list[dict]], str
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(out)
-        current, place, before = object(), 0, []
+        current, place, before, old = object(), 0, [], ""
         for batch in W.regroup(batches, 3, 4 << 20):
             rows = []
             for conv, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
                 if conv != current:
-                    current, place, before = conv, 0, []
+                    current, place, before, old = conv, 0, [], render([])
                 turn = {"role": role, "text": text}
-                added, lo, hi, rewrites = turn_span(render, before, turn)
+                new, added, lo, hi, rewrites = turn_span(render, before, turn, old)
                 if not place:  # what the template writes ahead of all turns goes with the first
-                    ahead = render([]) if not rewrites else ""
+                    ahead = old if not rewrites else ""
                     added, lo, hi = ahead + added, lo if lo is None else lo + len(ahead), hi if hi is None else hi + len(ahead)
                 if role != learn:
                     lo = hi = None
                 rows.append((conv, place, added, lo, hi, rewrites))
                 place += 1
-                before = [*before, turn][-context:] if context else []
+                before.append(turn)
+                old = new
+                if context is not None and len(before) > context:
+                    before = before[len(before) - context:]
+                    old = render(before)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return src.mapInArrow(run, out).withColumnRenamed("id", id_col)
