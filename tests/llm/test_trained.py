@@ -89,6 +89,20 @@ def test_toxicity_learns_expressions_and_leaves_clean_text(frame):
     assert got[1000].predicted == got[1001].predicted == got[1002].predicted == 0
 
 
+def test_toxicity_keeps_fixed_expressions_of_ordinary_first_words(frame):
+    r = random.Random(3)
+    common = [f"w{i}" for i in range(60)]
+    docs, labels = [], []
+    for d in range(600):
+        toxic = int(d % 4 == 0)  # the second word follows the first only and ends the text
+        docs.append((d, " ".join(r.choices(common, k=r.randint(20, 40)) + ["w0", "zzgrobian" if toxic else "w1"])))
+        labels.append((d, toxic))
+    df = frame(docs, DOC)
+    scorer = toxicity.fit(df, frame(labels, "doc_id long, toxic int"))
+    got = {x.doc_id: x.predicted for x in toxicity.score(df, scorer, ["doc_id"]).collect()}
+    assert np.mean([got[d] == y for d, y in labels if held(d)]) > 0.97
+
+
 def test_toxicity_shared_counts_of_the_whole_corpus_do_not_saturate(frame, monkeypatch):
     seen, init = {}, toxicity.KneserNey.__init__
 

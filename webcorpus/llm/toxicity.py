@@ -40,7 +40,6 @@ STEM_BYTES = 6
 SHARED_ERROR = 0.05   # standard error of the corpus-wide counts
 STRETCH = 8
 STRONG = 1.5          # ratios above it are told apart from a text's many slight ones
-KEPT_PAIRS = 3        # a pair of words enters the models from so many occurrences in one class
 CHUNK_BYTES = 2 << 20
 U64 = np.uint64
 FIELDS = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
@@ -83,7 +82,7 @@ class KneserNey:
 
     def __init__(self, words, stem_of, word_n, word_mass, stems, stem_n, stem_mass, word_shared, stem_shared, pairs, history_n, stem_words, shared_mass):
         """``word_n``, ``stem_n``: continuation counts, one row ordinary, one toxic, of the units that keep a count
-        after discounting; ``..._mass``: (sum of counts, sum of discounts) of either kind over all units.
+        after discounting or end a pair; ``..._mass``: (sum of counts, sum of discounts) of either kind over all units.
         ``pairs``: (before, word, n of both), ``history_n``: occurrences of each distinct ``before`` of the
         pairs, in sorted order, of both.  ``word_shared``, ``stem_shared``: the corpus-wide counts;
         ``stem_words``: of all words of a stem, ``shared_mass``: of all stems, each with 0.5 a unit."""
@@ -226,23 +225,24 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col:
                     "stem": shared_stems.select(F.col("unit").alias("stem"), F.col("n").alias("shared"))
                     .join(shared_words.groupBy(F.col("of").alias("stem")).agg(F.sum(F.col("n") + 0.5).alias("words")), "stem")}
 
+    # every pair that keeps a count after discounting
+    n = [F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).cast("int").alias(f"n{k}") for k in (0, 1)]
+    often = store.save(pairs.groupBy("before", "word").agg(*n).where(F.greatest("n0", "n1") > DISCOUNT), "often")
+    ends = pairs.join(often.select("word").distinct(), "word", "left_semi").select("word", "stem").distinct()
+
     def counts(unit: str):
-        """Continuation counts of the units that keep some after discounting, and the masses of all."""
+        """Continuation counts of the units that keep some after discounting or end a pair, and the masses of all."""
         p = pairs if unit == "word" else pairs.groupBy("label", "stem", "before").agg(F.sum("n").alias("n"))
         c = [F.sum(F.when(F.col("label") == k, 1).otherwise(0)).alias(f"c{k}") for k in (0, 1)]
         every = p.groupBy(unit).agg(*c, *([F.min("stem").alias("stem")] if unit == "word" else []))
         mass = every.agg(*[f(f"c{k}") for k in (0, 1) for f in (F.sum, lambda x: F.sum(F.least(F.col(x).cast("double"), F.lit(DISCOUNT))))]).first()
-        return every.where(F.greatest("c0", "c1") > DISCOUNT).join(counted[unit], unit).orderBy(unit).toPandas(), [(float(mass[0] or 0), float(mass[1] or 0)), (float(mass[2] or 0), float(mass[3] or 0))]
+        every = every.join(ends.select(unit, F.lit(True).alias("ends")).distinct(), unit, "left")
+        return every.where((F.greatest("c0", "c1") > DISCOUNT) | F.col("ends")).drop("ends").join(counted[unit], unit).orderBy(unit).toPandas(), [(float(mass[0] or 0), float(mass[1] or 0)), (float(mass[2] or 0), float(mass[3] or 0))]
 
     (w, word_mass), (s, stem_mass) = counts("word"), counts("stem")
     words, stems = w["word"].to_numpy().view(U64), s["stem"].to_numpy().view(U64)
-    often = (pairs.groupBy("before", "word").agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("n0"),
-                                                 F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1"))
-             .where((F.col("n0") >= KEPT_PAIRS) | (F.col("n1") >= KEPT_PAIRS)))
-    totals = pairs.join(often.select("before").distinct(), "before", "left_semi").groupBy("before").agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("n0"),
-                                         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1")).toPandas()
+    totals = pairs.join(often.select("before").distinct(), "before", "left_semi").groupBy("before").agg(*n).toPandas()
     often = often.orderBy("before", "word").toPandas()
-    often = often[W.HashIndex(words).find(often["word"].to_numpy().view(U64)) >= 0]  # words after one predecessor only back off
     stem_of = W.HashIndex(stems).find(w["stem"].to_numpy().view(U64))
     at = W.HashIndex(totals["before"].to_numpy().view(U64)).find(np.unique(often["before"].to_numpy().view(U64)))
     model = KneserNey(words, stem_of, w[["c0", "c1"]].to_numpy(dtype=np.float64).T, word_mass,
