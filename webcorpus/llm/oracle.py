@@ -128,10 +128,37 @@ FROM doc LEFT JOIN told ON told.doc_id = doc.doc_id LEFT JOIN based ON based.doc
 """
 
 
+COLLOCATIONS = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_lower('text')}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+word AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM word GROUP BY lang),
+spot AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM word WHERE len(w) > 0),
+f AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+      FROM spot, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE i + size - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+candidate AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE size > 1),
+cut AS (SELECT lang, size, phrase, w, a, unnest(generate_series(1, size - 1)) AS k FROM candidate),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, x.f AS l, y.f AS r, n, k,
+         CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cut JOIN total USING (lang)
+  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_size AS (SELECT lang, w, size, a, unnest(generate_series(2, size - 1)) AS m FROM candidate WHERE size > 2),
+inside AS (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+           FROM (SELECT lang, w, m, a, unnest(generate_series(1, size - m + 1)) AS i FROM inner_size)),
+around AS (SELECT lang, phrase, max(a) AS a FROM inside GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN around USING (lang, phrase) WHERE around.a IS NULL OR 100 * around.a < 100 * lowest.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
 ORACLE = {
     "op2_decontamination": DECONTAMINATION,
     "op3_minhash_neardup": NEAR_DUPLICATES,
     "op4_secret_scans": _secrets(),
     "op6_substring_dedup": REPEATED_PASSAGES,
     "op7_chat_formatting": _chat(),
+    "op12_collocations": COLLOCATIONS,
 }
