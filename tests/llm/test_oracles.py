@@ -22,4 +22,4 @@ def test_query_covers_every_document(spark, key):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 14))
