@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat, collocations, decontamination, labelled, neardup, packing, passages, quality, rules, secrets, sharding, tokenalign, toxicity
+from webcorpus.llm import chat, collocations, decontamination, labelled, langid, neardup, packing, passages, quality, rules, secrets, sharding, tokenalign, toxicity
 from webcorpus.llm.oracle import ORACLE  # noqa: F401  registered beside the queries
 
 
@@ -77,6 +77,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, scorer, ["doc_id"]).withColumn("held_out", labelled.held_out("doc_id"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs), ["doc_id"]).withColumn("held_out", labelled.held_out("doc_id"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(_table(spark, sf_dir, "documents"))
 
@@ -96,6 +101,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_language_id": op11_language_id,
     "op12_collocations": op12_collocations,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
