@@ -103,3 +103,40 @@ def test_resolve_url_random_against_urljoin(spark):
     got = [r[0] for r in df.select(U.resolve_url("base", "href")).collect()]
     diffs = [(b, h, g, urljoin(b, h)) for (b, h), g in zip(rows, got) if g != urljoin(b, h)]
     assert not diffs, diffs[:5]
+
+
+def joined(base, href):
+    """``urljoin``, null where it raises."""
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return None
+
+
+def test_resolve_url_20000_pairs_without_python(spark):
+    rnd = random.Random(17)
+    pieces = ["/", "//", "a", "b.c", "..", ".", "...", ".x", "y;p=1", ";", "?", "?q=1", "#", "#f", "http:", "https://z.org", "HTTP://Y.Org", "ftp://f/x", "file:", "mailto:m@n",
+              "x y", "%20", "é", "日", "\t", "\n", " ", "\x01", "[::1]", "[", "]", "[v1.a]", "[1.2.3.4]", "℀", "：", "@", ":80", "+", "C", "//h2/", "\\", "&", "=", "1:2", "svn+ssh://s/t"]
+    bases = ["https://a.net", "https://a.net/", "http://b.org/x/y", "HTTPS://C.com/d/e.html?q=1#f", "https://u@h:8/p;x/q;r", "https://h/a//b/", "https://h/./a/../b", "file:///etc/x",
+             "", "a/b", "/r/s", "//n/p", "mailto:x@y", "http://[::1]:8/a/b", "http://[zz]/a", "https://h/a.b/c/"]
+    rows = []
+    for _ in range(20_000):
+        href = "".join(rnd.choices(pieces, k=rnd.randint(0, 6)))
+        rows.append((rnd.choice(bases) if rnd.random() < 0.7 else "http://h" + "".join(rnd.choices(pieces, k=rnd.randint(0, 5))), href))
+    df = spark.createDataFrame(rows, "base string, href string").select(U.resolve_url("base", "href").alias("u"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+    diffs = [(b, h, r[0], joined(b, h)) for (b, h), r in zip(rows, df.collect()) if r[0] != joined(b, h)]
+    assert not diffs, (len(diffs), diffs[:8])
+
+
+def test_resolve_url_of_100000_segments(spark):
+    n = 100_000
+    rows = [("https://a.net/x", "/seg" * n), ("https://a.net/x/y", "seg/" * n), ("https://a.net" + "/seg" * n, "rel"), ("https://a.net" + "/seg" * n, "../up?q#f"),
+            ("https://a.net/x", "../" * n + "z"), ("https://a.net" + "/s" * n, "../" * (n // 2) + "z"), ("https://a.net/x", "a/./../" * (n // 3) + "end"),
+            ("https://a.net/x", "?" + "q" * n), ("https://" + "h" * n + "/x", "/r"), ("https://a.net/x", "//" + "/" * n), ("https://a.net/" + "long" * n, "r;s")]
+    df = spark.createDataFrame(rows, "base string, href string")
+    assert [r[0] for r in df.select(U.resolve_url("base", "href")).collect()] == [urljoin(b, h) for b, h in rows]
+    urls = ["https://blog.h.net" + "/a" * n, "https://blog.h.net/" + "a" * n + "/u"]
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "url string").select(U.follow_url("url")).collect()]
+    assert got == ["https://me.h.net" + "/a" * (n - 2) + "/follow/a", "https://me.h.net/follow/u"]
