@@ -111,13 +111,13 @@ def test_first_seen_orders_by_two_columns(spark):
 def test_visited_table_reads_history_without_a_shuffle(spark):
     import contextlib
     import io
-    table = V.VisitedTable(spark, "t_visited", buckets=8)
+    table = V.VisitedTable(spark, scratch_path(spark, "t_visited"), buckets=8)
     try:
         assert table.read() is None
         keys = spark.createDataFrame([("blog", f"k{i}") for i in range(50)], SET)
         table.append(keys)
         table.append(keys.limit(10))
-        batch = spark.createDataFrame([("blog", f"k{i}", i) for i in range(40, 60)], "meta string, key string, seq int")
+        batch = V.keyed(spark.createDataFrame([(f"https://x.net/k{i}", i) for i in range(40, 60)], "url string, seq int"), "url", "blog")
         for _ in range(2):
             first = V.first_seen(batch, table.read())
             assert sorted(r.key for r in first.collect()) == [f"k{i}" for i in range(50, 60)]

@@ -75,8 +75,7 @@ def test_crawl_stream_restart_processes_only_new_pages(spark):
     pages.where(F.col("page_id") % 2 == 0).coalesce(1).write.parquet(f"{src}/a")
     base = scratch_path(spark, "t_crawl")
     paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
-    ck, visited = base + "/ck", VisitedTable(spark, "t_crawl_visited")
-    visited.drop()
+    ck, visited = base + "/ck", VisitedTable(spark, scratch_path(spark, "t_crawl_visited"))
     CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, ck, visited)
     first = spark.read.parquet(paths.articles).count()
     # new pages arrive (including every old one again): only unseen keys are processed
@@ -119,8 +118,7 @@ def test_first_batch_that_stores_nothing(spark):
     rows = [(1, "https://x.net/a", "arg1", 0), (2, "ftp://x.net/b", "<p>x</p>", None), (3, "https://x.net/c", "arg1", 2), (4, None, None, None)]
     spark.createDataFrame(rows, FETCHED_SCHEMA).coalesce(1).write.parquet(f"{src}/a")
     paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
-    visited = VisitedTable(spark, "t_empty_visited")
-    visited.drop()
+    visited = VisitedTable(spark, scratch_path(spark, "t_empty_visited"))
     for _ in range(2):
         CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", FETCHED_SCHEMA), paths, base + "/ck", visited)
     assert CR.read_table(spark, paths.articles, CR.ARTICLE_SCHEMA).count() == 0 and visited.read().count() == 0
@@ -158,4 +156,4 @@ def test_a_broken_visited_set_fails_the_batch(spark):
     from webcorpus.plans import crawl as CR
     paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
     with pytest.raises(Exception):
-        CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, base + "/ck", Broken(spark, "t_none"))
+        CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, base + "/ck", Broken(spark, scratch_path(spark, "t_none")))

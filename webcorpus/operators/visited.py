@@ -9,12 +9,16 @@ task; large anti/semi joins are sort-merge joins with AQE's skew split.
 
 from __future__ import annotations
 
-import re
+import hashlib
+import json
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
+from ..session import list_names, make_folder, qualified, read_text, remove_path, write_new
 
 SET_COLS = ["meta", "key"]
 
@@ -26,7 +30,9 @@ def keyed(df: DataFrame, url_col: str = "url", meta: str | None = None,
     any shuffle."""
     out = df.withColumn("key", U.visit_key(url_col, suffix))
     if meta is not None:
-        out = out.withColumn("meta", F.lit(meta))
+        # a name that the optimizer does not take for a constant: as one it would leave the join keys, and
+        # a set stored in buckets of (meta, key) would be shuffled
+        out = out.withColumn("meta", F.concat(F.substring("key", 1, 0), F.lit(meta)))
     return out.where(F.col("key").isNotNull())
 
 
@@ -111,51 +117,114 @@ def snapshot(visited: DataFrame, base_path: str, version: str) -> str:
 
 
 class VisitedTable:
-    """A visited set stored in buckets of ``(meta, key)``.
-
-    An anti-join against it shuffles the batch only: the stored history is
-    read bucket by bucket.  New keys are appended (a key stored twice is
-    still one member); ``compact`` rewrites the set under the next name once
-    appends have left many files, and readers go over to it when it is whole.
+    """A visited set in bucketed files under a folder, versions named by manifests.
+
+    Every write makes a new segment, ``data/seg=<id>``, bucketed by
+    ``(meta, key)``; it belongs to the set once the next manifest,
+    ``manifest/<version>``, names it.  A manifest is written whole under
+    another name and then renamed, which fails if that version exists, so
+    of two writers one sees the other's version and bases its own on it.
+    A job that dies between data and manifest leaves the old version, and
+    its files are never read.  Nothing else holds state: another process
+    that opens the folder finds the set, whatever its catalog.
+
+    An anti-join with the set shuffles the batch only: the history is read
+    bucket by bucket.  A key stored twice is still one member; ``compact``
+    rewrites the set as one segment, ``vacuum`` deletes the segments that no
+    kept version names.  ``versions`` and ``read(version)`` give earlier
+    states.  The number of buckets is the folder's, set by its first writer.
     """
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
-        self.spark, self.name = spark, name
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _current(self) -> str | None:
-        names = [t.name for t in self.spark.catalog.listTables() if re.fullmatch(rf"{self.name}_v\d+", t.name)]
-        return max(names, key=lambda n: int(n.rsplit("_v", 1)[1])) if names else None
-
-    def read(self) -> DataFrame | None:
-        """The members, or None if nothing has been stored yet."""
-        name = self._current()
-        if name is None:
+    def versions(self) -> list[int]:
+        """All committed versions, oldest first."""
+        return sorted(int(name) for name in list_names(self.spark, f"{self.path}/manifest") if name.isdigit())
+
+    def _manifest(self, version: int | None = None) -> dict | None:
+        known = self.versions()
+        if version is None:
+            if not known:
+                return None
+            version = known[-1]
+        elif version not in known:
+            raise ValueError(f"{self.path} has no version {version}")
+        return json.loads(read_text(self.spark, f"{self.path}/manifest/{version:010d}"))
+
+    def _commit(self, change: Callable[[list[str]], list[str]], buckets: int) -> int:
+        """The next version, its segments made of the current ones; tried again if another writer was faster."""
+        while True:
+            now = self._manifest()
+            version = now["version"] + 1 if now else 0
+            if now and now["buckets"] != buckets:
+                raise ValueError(f"{self.path} has {now['buckets']} buckets, the segment {buckets}")
+            body = json.dumps({"version": version, "buckets": buckets, "segments": change(now["segments"] if now else [])})
+            if write_new(self.spark, f"{self.path}/manifest/{version:010d}", body):
+                return version
+
+    def _table(self, buckets: int) -> str:
+        """Name of the folder in this session's catalog, which tells Spark its buckets and nothing else."""
+        where = qualified(self.spark, f"{self.path}/data")
+        name = "visited_" + hashlib.sha256(f"{where} {buckets}".encode()).hexdigest()[:24]
+        make_folder(self.spark, where)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (meta STRING, key STRING, seg STRING) USING parquet PARTITIONED BY (seg) "
+                       f"CLUSTERED BY (meta, key) INTO {buckets} BUCKETS LOCATION '{where}'")
+        return name
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The members of a version (None: the newest), or None if nothing has been stored yet."""
+        m = self._manifest(version)
+        if m is None:
+            return None
+        name = self._table(m["buckets"])
+        if m["segments"]:  # those that other processes have written are new to this catalog
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION (seg = '{seg}')" for seg in m["segments"]))
+            self.spark.catalog.refreshTable(name)
+        return self.spark.table(name).where(F.col("seg").isin(m["segments"])).select(*SET_COLS)
+
+    def _segment(self, keys: DataFrame, buckets: int) -> str:
+        seg = uuid.uuid4().hex
+        (keys.select(*SET_COLS).repartition(buckets, *SET_COLS).withColumn("seg", F.lit(seg)).write.mode("append").format("parquet")
+             .partitionBy("seg").bucketBy(buckets, *SET_COLS).saveAsTable(self._table(buckets)))
+        return seg
+
+    def append(self, keys: DataFrame) -> int:
+        """Store keys; the version that holds them."""
+        now = self._manifest()
+        buckets = now["buckets"] if now else self.buckets
+        seg = self._segment(keys, buckets)
+        return self._commit(lambda segments: [*segments, seg], buckets)
+
+    def compact(self) -> int | None:
+        """One segment without repeats in place of those there are; segments stored meanwhile stay."""
+        now = self._manifest()
+        if now is None:
             return None
-        self.spark.catalog.refreshTable(name)  # micro-batches append from a session of their own
-        return self.spark.table(name).select(*SET_COLS)
-
-    def _write(self, keys: DataFrame, name: str, mode: str) -> None:
-        (keys.select(*SET_COLS).repartition(self.buckets, *SET_COLS).write.mode(mode)
-             .bucketBy(self.buckets, *SET_COLS).saveAsTable(name))
-
-    def append(self, keys: DataFrame) -> None:
-        self._write(keys, self._current() or f"{self.name}_v0", "append")
-
-    def compact(self) -> None:
-        old = self._current()
-        if old:
-            version = int(old.rsplit("_v", 1)[1])
-            # made under another name first: a half-written set is never current
-            fresh = f"{self.name}_next"
-            self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-            self._write(self.spark.table(old).distinct(), fresh, "errorifexists")
-            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {self.name}_v{version + 1}")
-            self.spark.sql(f"DROP TABLE {old}")
+        old = set(now["segments"])
+        seg = self._segment(self.read(now["version"]).distinct(), now["buckets"])
+        return self._commit(lambda segments: [seg, *[s for s in segments if s not in old]], now["buckets"])
 
     def drop(self) -> None:
-        while name := self._current():
-            self.spark.sql(f"DROP TABLE {name}")
+        """Delete the set and its history."""
+        for m in filter(None, [self._manifest()]):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(m['buckets'])}")
+        remove_path(self.spark, self.path)
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete all but the ``keep`` newest versions and the segments that none of those names.
+
+        For a time without writers: a segment that awaits its manifest would go, too."""
+        known = self.versions()
+        if not known:
+            return
+        kept = {s for v in known[-keep:] for s in self._manifest(v)["segments"]}
+        for v in known[:-keep]:
+            remove_path(self.spark, f"{self.path}/manifest/{v:010d}")
+        for name in list_names(self.spark, f"{self.path}/data"):
+            if name.startswith("seg=") and name.removeprefix("seg=") not in kept:
+                remove_path(self.spark, f"{self.path}/data/{name}")
 
 
 def mark(visited: DataFrame, new_keys: DataFrame) -> DataFrame:

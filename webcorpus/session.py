@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings for sessions this package builds, and (the SQL ones) for sessions
@@ -112,6 +113,65 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store's scheme."""
+    fs, where = _file_system(spark, path)
+    return fs.makeQualified(where).toString()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, where = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.mkdirs(where)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, where = _file_system(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file so that it appears whole or not at all; False if it exists already.
+
+    The rename that makes it visible does not replace a file (HDFS, local
+    files; a store without such a rename needs one writer at a time)."""
+    fs, where = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(where.getParent(), f".{where.getName()}.{uuid.uuid4().hex}")
+    fs.mkdirs(where.getParent())
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(draft, where, spark._sc._gateway.new_array(hadoop.Options.Rename, 0))
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder."""
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table under the shared scratch folder, and nothing elsewhere."""
     base = checkpoint_dir(spark).rstrip("/") + "/"
