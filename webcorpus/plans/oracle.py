@@ -64,12 +64,13 @@ def SENTENCES(x: str) -> str:
             r"lambda s: regexp_replace(s, '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g')), lambda s: s <> '')")
 
 
-# the rows that ``render.planted_pages`` and ``planted_documents`` change, by the same keys
+# the rows that ``render.planted_pages`` and ``planted_documents`` change or add, by the same keys
 PAGES = """(SELECT page_id, url, CASE WHEN page_id % 7 = 0 THEN
   'a  <span class="katex--display">x<b>y</b></span><br/>  b' || chr(13) || '  c <i>d</i>' || chr(13) || chr(10) ELSE '' END ||
   CASE WHEN page_id % 5 = 0 THEN replace(html, '</ul></nav>', '<li><a href="/watchers/x">w</a></li></ul></nav>') ELSE html END AS html FROM pages)"""
-DOCS = """(SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN '   ' WHEN doc_id % 10 = 0 THEN chr(10)
-  WHEN doc_id % 6 = 0 THEN '你好。今天天气很好！是吗？好' || text WHEN doc_id % 4 = 0 THEN '<p>tagged</p> ' || text ELSE text END AS text FROM documents)"""
+DOCS = """(SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN '你好。今天天气很好！是吗？好' || text WHEN doc_id % 4 = 0 THEN '<p>tagged</p> ' || text ELSE text END AS text FROM documents
+  UNION ALL SELECT -2 * doc_id - 1, '   ' FROM documents WHERE doc_id % 9 = 0
+  UNION ALL SELECT -2 * doc_id - 2, chr(10) FROM documents WHERE doc_id % 10 = 0)"""
 
 BLOG = "https://blog.example.net"
 TITLE = UNESC("regexp_extract(html, '<h1[^>]*>([^<]*)', 1)")

@@ -63,12 +63,18 @@ def planted_pages(pages: DataFrame) -> DataFrame:
 
 
 def planted_documents(docs: DataFrame) -> DataFrame:
-    """Documents that are blank (id % 9 = 0) or one newline (% 10 = 0), begin
-    with sentences of another script (% 6 = 0) or hold tags (% 4 = 0)."""
+    """(doc_id, text) of every document, its whole text kept: some begin with
+    sentences of another script (id % 6 = 0) or a tag (% 4 = 0).  Blank
+    documents are rows of their own under negative ids: three spaces as
+    -(2 id + 1) for id % 9 = 0, one newline as -(2 id + 2) for id % 10 = 0."""
     k, text = F.col("doc_id"), F.col("text")
-    return docs.withColumn("text", F.when(k % 9 == 0, F.lit("   ")).when(k % 10 == 0, F.lit("\n"))
-                           .when(k % 6 == 0, F.concat(F.lit(CJK), text))
-                           .when(k % 4 == 0, F.concat(F.lit("<p>tagged</p> "), text)).otherwise(text))
+    whole = F.when(k % 6 == 0, F.concat(F.lit(CJK), text)).when(k % 4 == 0, F.concat(F.lit("<p>tagged</p> "), text)).otherwise(text)
+
+    def row(doc_id: Column, body: Column) -> Column:
+        return F.struct(doc_id.alias("doc_id"), body.alias("text"))
+
+    blanks = [F.when(k % 9 == 0, row(-2 * k - 1, F.lit("   "))), F.when(k % 10 == 0, row(-2 * k - 2, F.lit("\n")))]
+    return docs.select(F.inline(F.filter(F.array(row(k, whole), *blanks), lambda r: r.isNotNull())))
 
 
 # -- author profile pages (customer) -----------------------------------------
