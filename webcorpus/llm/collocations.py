@@ -36,8 +36,8 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 KEEP_PERCENT = 100             # a candidate goes if a longer one around it reaches this share of its count
-CHUNK_BYTES = 8 << 20
-WINDOW_BLOCK = 1 << 20         # windows built at a time
+CHUNK_BYTES = 2 << 20
+WINDOW_BLOCK = 1 << 18         # windows built at a time
 FILTER_BITS = 1 << 28          # the Bloom filter's largest size: 32 MB
 BLOCK_BYTES = 1 << 15          # of the filter, in the table it is gathered from
 U64 = np.uint64
@@ -66,9 +66,7 @@ class _Chunk:
         self.code = np.repeat(code.astype(np.int32), np.diff(off))
         self.tag = tags[self.code] if len(self.code) else np.zeros(0, dtype=U64)
         row = np.repeat(np.arange(len(off) - 1), np.diff(off))
-        breaks = np.zeros(len(data) + 1, dtype=np.int64)
-        np.cumsum(~_IN_PIECE[data], out=breaks[1:])
-        piece = breaks[self.starts]
+        piece = np.searchsorted(np.flatnonzero(~_IN_PIECE[data]), self.starts)
         self.followed = np.zeros(len(self.words), dtype=bool)
         self.followed[:-1] = (piece[1:] == piece[:-1]) & (row[1:] == row[:-1])
 
