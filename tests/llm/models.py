@@ -1,6 +1,7 @@
 """Plain models of the operators' contracts, for small inputs."""
 
 import collections
+import math
 import re
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
@@ -77,3 +78,52 @@ def rule_counts(text):
     n = collections.Counter(windows)
     repeated = {p for i, x in enumerate(windows) if n[x] > 1 for p in range(i, i + 3)}
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated)
+
+
+class KneserNey:
+    """log P(word | before, toxic) - log P(word | before, ordinary), from (text, label) rows and all texts of the corpus."""
+
+    def __init__(self, labelled, corpus, discount=1.5, stem_bytes=6):
+        self.d, self.stem_bytes = discount, stem_bytes
+        self.shared_word = collections.Counter(w for t in corpus for w in self.words(t))
+        self.shared_stem = collections.Counter()
+        for w, n in self.shared_word.items():
+            self.shared_stem[self.stem(w)] += n
+        self.mass = sum(n + 0.5 for n in self.shared_stem.values()) + 0.5
+        self.within = collections.Counter()
+        for w, n in self.shared_word.items():
+            self.within[self.stem(w)] += n + 0.5
+        self.pairs = [collections.Counter(), collections.Counter()]
+        for text, label in labelled:
+            w = self.words(text)
+            self.pairs[int(label != 0)].update(zip([None, *w], w))
+
+    @staticmethod
+    def words(text):
+        return PLAIN.findall(lower(text))
+
+    def stem(self, w):
+        return w.encode()[:self.stem_bytes]
+
+    def discounted(self, counts, unit, total):
+        """(discounted share of the unit, share left to the backoff)."""
+        left = sum(min(n, self.d) for n in counts.values()) / max(1, total)
+        return max(counts.get(unit, 0) - self.d, 0) / max(1, total), max(1e-9, left)
+
+    def p(self, c, before, word):
+        pairs, stem = self.pairs[c], self.stem(word)
+        stems = collections.Counter(s for s, _ in {(self.stem(w), b) for b, w in pairs})
+        words = collections.Counter(w for _, w in pairs)
+        own, left = self.discounted(stems, stem, sum(stems.values()))
+        p = own + left * (self.shared_stem[stem] + 0.5) / self.mass
+        own, left = self.discounted(words, word, sum(words.values()))
+        within = (self.shared_word[word] + 0.5) / self.within[stem] if self.within[stem] else 1
+        p = own + left * p * within
+        history = {w: n for (b, w), n in pairs.items() if b == before}
+        total = max(1, sum(history.values()))
+        kept = sum(max(n - self.d, 0) for n in history.values())
+        return max(history.get(word, 0) - self.d, 0) / total + min(1, max(1e-3, 1 - kept / total)) * p
+
+    def ratios(self, text):
+        w = self.words(text)
+        return [math.log(self.p(1, b, x) / self.p(0, b, x)) for b, x in zip([None, *w], w)]

@@ -1,12 +1,13 @@
 """Quality classifier, quality rules and toxicity: exact counts, held-out labels, edge cases."""
 
+import collections
 import random
 import zlib
 
 import numpy as np
 import pytest
 
-from models import rule_counts
+from models import KneserNey, rule_counts
 from webcorpus.llm import labelled, quality, rules, textstats, toxicity
 from webcorpus.llm import queries as Q
 from webcorpus.llm import textwords as W
@@ -103,20 +104,50 @@ def test_toxicity_keeps_fixed_expressions_of_ordinary_first_words(frame):
     assert np.mean([got[d] == y for d, y in labels if held(d)]) > 0.97
 
 
-def test_toxicity_shared_counts_of_the_whole_corpus_do_not_saturate(frame, monkeypatch):
-    seen, init = {}, toxicity.KneserNey.__init__
-
-    def spy(self, *args):
-        seen.update(zip(args[0].tolist(), args[7].tolist()))
-        init(self, *args)
-
-    monkeypatch.setattr(toxicity.KneserNey, "__init__", spy)
-    docs = [(d, "small large other small other large") for d in range(40)]
-    docs += [(100 + i, f"x{i} large" + (f" x{i} small" if i % 8 == 0 else "")) for i in range(4000)]  # no labels
-    toxicity.fit(frame(docs, DOC), frame([(d, d % 2) for d in range(40)], "doc_id long, toxic int"))
-    raw = np.frombuffer(b"small large", dtype=np.uint8)
-    small, large = (seen[h] for h in W.hash_words(raw, np.array([0, 6]), np.array([5, 11])).tolist())
-    assert abs(large / 4002 - 1) < 0.2 and abs(small / 502 - 1) < 0.2
+def test_toxicity_shared_counts_are_exact_and_cover_the_whole_corpus(frame, monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK_BYTES", 5000)
+    docs = [(d, "small large other small Other large") for d in range(40)]
+    docs += [(100 + i, f"x{i} large" + (f" x{i} smallish" if i % 8 == 0 else "")) for i in range(4000)]  # no labels
+    want = collections.Counter(w for _, t in docs for w in KneserNey.words(t))
+    got = toxicity._shared(frame(docs, DOC).repartition(3), "text").collect()
+    words = {w: h for w in want for h in toxicity._tokens(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0].view(np.int64).tolist()}
+    assert {r.word: r.n for r in got} == {words[w]: n for w, n in want.items()}
+    assert want["large"] == 4080 and len({r.stem for r in got if r.word in (words["small"], words["smallish"])}) == 2
+
+
+def test_toxicity_ratios_against_plain_kneser_ney(frame):
+    r = random.Random(8)
+    units = ["you", "are", "a", "stupid", "stupidly", "stupidest", "fine", "day", "grobian", "é", "x1"]
+    docs = [(d, " ".join(r.choices(units, weights=[9, 9, 9, 1 + 6 * (d % 3 == 0), 1, 1, 4, 4, 1 + 3 * (d % 3 == 0), 1, 1], k=r.randint(0, 14)))) for d in range(90)]
+    docs += [(1000, "stupidity unseen words you are"), (1001, None), (1002, "unknown")]
+    labels = [(d, int(d % 3 == 0)) for d in range(90)]
+    seen = {}
+
+    class Spy(toxicity.Scorer):
+        def __init__(self, model, weights=None):
+            seen["model"] = model
+            super().__init__(model, weights)
+
+    original, toxicity.Scorer = toxicity.Scorer, Spy
+    try:
+        df, told = frame(docs, DOC), frame(labels, "doc_id long, toxic int")
+        toxicity.fit(df, told)
+    finally:
+        toxicity.Scorer = original
+    later = {x.id for x in frame([(d,) for d, _ in labels], "id long").where("pmod(xxhash64(99, cast(id as string)), 4) = 0").collect()}
+    plain = KneserNey([(dict(docs)[d], y) for d, y in labels if not held(d) and d not in later], [t for _, t in docs])
+    for _, text in docs:
+        raw = (text or "").encode()
+        words, stems, before, _ = toxicity._tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert np.allclose(seen["model"].ratios(words, stems, before), plain.ratios(text), atol=1e-5)
+
+
+def test_toxicity_does_not_depend_on_partitions_with_repeated_ids(frame):
+    docs = [(d % 50, f"some words number {d} " + ("grobian lump " if d % 5 == 0 else "fine day ") * 3) for d in range(200)]
+    labels = frame([(d, int(d % 5 == 0)) for d in range(50)], "doc_id long, toxic int")
+    df = frame(docs, DOC)
+    one, two = (sorted((r.doc_id, round(r.score, 7)) for r in toxicity.score(df, toxicity.fit(x, labels), ["doc_id"]).collect()) for x in (df.repartition(7), df.coalesce(1)))
+    assert one == two
 
 
 @pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, 0), (2, 0)], [(None, 1), (3, None)]])

@@ -3,23 +3,27 @@
 One model of toxic and one of ordinary text, both with absolute
 discounting: a word after its predecessor backs off to the word by its
 continuation count (distinct predecessors), the word to its stem (first
-bytes), and the stem to counts that both classes share.  The shared counts
-are gathered from the whole corpus: a written table of the distinct
-predecessors of every word and stem (HyperLogLog, standard error
-``SHARED_ERROR`` at any count), so they cover every document whatever the
-labels, and the words of unlabelled ones are part of the normaliser.  A text is scored by its length-normalised log-likelihood
-ratio: over all its words, and over its most toxic stretch of ``STRETCH``
-words, joined by a logistic that is calibrated on labelled documents the
-counts have not seen.
+bytes) by the stem's, and the stem to counts that both classes share: how
+often every stem, and every word within it, occurs in the whole corpus,
+whatever the labels.  The shared counts are exact and grow with the corpus,
+in a written table.  A text is scored by its length-normalised
+log-likelihood ratio: over all its words, and over its most toxic stretch
+of ``STRETCH`` words, joined by a logistic that is calibrated on labelled
+documents the counts have not seen.
+
+All probabilities are computed in Spark.  The tasks get the logarithms of
+the ratios of those words, stems, predecessors and pairs that keep a count
+after discounting; all others have the ratio of what they back off to, so
+nothing is lost.  Their number is bounded by the sample.
 
 Labels are read from at most ``sample_rows`` documents that are not held
-out, half of either kind (a documented bound, which bounds the vocabulary
-that goes to the tasks, too); every document adds to the shared counts,
-and every whole text is scored.
+out, half of either kind (a documented bound); every document adds to the
+shared counts, and every whole text is scored.
 
 Defined results: a null or wordless text gets the score of a ratio of 0,
 below the threshold; without labels of both kinds all scores are 0.
-Repeated rows get equal scores.
+Repeated rows get equal scores.  Of sampled rows with one id and different
+texts each counts.
 """
 
 from __future__ import annotations
@@ -37,7 +41,6 @@ SAMPLE_ROWS = 16_000
 THRESHOLD = 0.5
 DISCOUNT = 1.5        # above 1: a word seen after one predecessor only tells nothing of its own
 STEM_BYTES = 6
-SHARED_ERROR = 0.05   # standard error of the corpus-wide counts
 STRETCH = 8
 STRONG = 1.5          # ratios above it are told apart from a text's many slight ones
 CHUNK_BYTES = 2 << 20
@@ -57,10 +60,14 @@ def _tokens(data: np.ndarray, offsets: np.ndarray):
     return words, stems, before, off
 
 
+def _pair_keys(words: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return W.mix(words + before * U64(3))
+
+
 def _counted(rows: DataFrame) -> DataFrame:
-    """(kind, label, fold, unit, before, n) of labelled texts: kind 0 words, 1 stems; summed over tasks."""
-    out = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("word", T.LongType()),
-                        T.StructField("stem", T.LongType()), T.StructField("before", T.LongType()), T.StructField("n", T.LongType())])
+    """(label, word, stem, before, pair, n): occurrences of words after predecessors in labelled texts, summed over tasks."""
+    names = ("word", "stem", "before", "pair", "n")
+    out = T.StructType([T.StructField("label", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in names]])
     src = rows.select("text", (F.col("label") != 0).cast("int").alias("label"))
 
     def run(batches):
@@ -69,70 +76,46 @@ def _counted(rows: DataFrame) -> DataFrame:
         for batch in W.regroup(batches, 0, 4 * CHUNK_BYTES):
             words, stems, before, off = _tokens(*W.text_buffers(batch.column(0)))
             label = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int32), np.diff(off))
-            key = W.mix(words + before * U64(3) + label.astype(U64))
-            _, at, n = np.unique(key, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(label[at]), pa.array(words[at].view(np.int64)), pa.array(stems[at].view(np.int64)),
-                                              pa.array(before[at].view(np.int64)), pa.array(n.astype(np.int64))], names=out.names)
+            pair = _pair_keys(words, before)
+            _, at, n = np.unique(pair ^ label.astype(U64), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(label[at]), *[pa.array(x[at].view(np.int64)) for x in (words, stems, before, pair)],
+                                              pa.array(n.astype(np.int64))], names=out.names)
 
-    return src.mapInArrow(run, out).groupBy("label", "word", "stem", "before").agg(F.sum("n").alias("n"))
+    return src.mapInArrow(run, out).groupBy("label", "word", "stem", "before", "pair").agg(F.sum("n").alias("n"))
 
 
 class KneserNey:
-    """The log-likelihood ratios of both models as arrays over the sample's vocabulary."""
-
-    def __init__(self, words, stem_of, word_n, word_mass, stems, stem_n, stem_mass, word_shared, stem_shared, pairs, history_n, stem_words, shared_mass):
-        """``word_n``, ``stem_n``: continuation counts, one row ordinary, one toxic, of the units that keep a count
-        after discounting or end a pair; ``..._mass``: (sum of counts, sum of discounts) of either kind over all units.
-        ``pairs``: (before, word, n of both), ``history_n``: occurrences of each distinct ``before`` of the
-        pairs, in sorted order, of both.  ``word_shared``, ``stem_shared``: the corpus-wide counts;
-        ``stem_words``: of all words of a stem, ``shared_mass``: of all stems, each with 0.5 a unit."""
-        d = DISCOUNT
-        shared = (stem_shared + 0.5) / (shared_mass + 0.5)
-        within = (word_shared + 0.5) / np.maximum(stem_words[stem_of], 1e-9) if len(words) else word_shared
-        uni, self.rest = [], 0.0
-        stem_p = []
-        for c in (0, 1):
-            total, gone = stem_mass[c]
-            back = max(1e-9, gone / max(1.0, total))
-            stem_p.append(np.maximum(stem_n[c] - d, 0) / max(1.0, total) + back * shared)
-            total_w, gone_w = word_mass[c]
-            total_w = max(1.0, total_w)
-            back_w = max(1e-9, gone_w / total_w)
-            uni.append(np.maximum(word_n[c] - d, 0) / total_w + back_w * stem_p[c][stem_of] * within)
-            sign = 1 if c else -1
-            self.rest += sign * np.log(back * back_w)
-            stem_p[c] = stem_p[c] * back_w
-        self.word_index, self.stem_index = W.HashIndex(words), W.HashIndex(stems)
-        self.word_ratio = np.log(uni[1] / uni[0])
-        self.stem_ratio = np.log(stem_p[1] / stem_p[0])
-        # pairs seen often enough: interpolated with what the discounts of the history leave
-        before, word, n = pairs
-        self.pair_index = W.HashIndex(W.mix(word + before * U64(3)))
-        history, of = np.unique(before, return_inverse=True)
-        place = self.word_index.find(word)
-        ratio = np.zeros(len(word))
-        hist = np.zeros(len(history))
-        for c in (0, 1):
-            seen = history_n[c]
-            kept = np.maximum(n[c] - d, 0)
-            left = np.clip(1 - np.bincount(of, kept, len(history)) / np.maximum(seen, 1), 1e-3, 1) if len(history) else hist
-            p = kept / np.maximum(seen[of], 1) + left[of] * uni[c][place] if len(word) else ratio
-            sign = 1 if c else -1
-            ratio = ratio + sign * np.log(np.maximum(p, 1e-300))
-        self.pair_ratio = ratio
+    """Log-likelihood ratios of both models by the keys of words, stems, predecessors and pairs."""
+
+    def __init__(self, tables: dict[str, tuple[np.ndarray, np.ndarray]], rest: float):
+        """``tables``: keys and ratios of each kind; ``rest``: the ratio of a word whose stem has none."""
+        self.tables, self.rest = tables, rest
+        self._index()
+
+    def _index(self) -> None:
+        self.index = {kind: W.HashIndex(keys) for kind, (keys, _) in self.tables.items()}
+
+    def __getstate__(self):
+        return self.tables, self.rest  # the indexes are made anew where the model is used
+
+    def __setstate__(self, state):
+        self.tables, self.rest = state
+        self._index()
+
+    def _look_up(self, kind: str, keys: np.ndarray, out: np.ndarray) -> None:
+        """Ratios of the keys that the table holds, into ``out``."""
+        at = self.index[kind].find(keys)
+        hit = np.flatnonzero(at >= 0)
+        out[hit] = self.tables[kind][1][at[hit]]
 
     def ratios(self, words, stems, before) -> np.ndarray:
         """log P(word | before, toxic) - log P(word | before, ordinary) of every word."""
-        at = self.word_index.find(words)
-        out = np.where(at >= 0, self.word_ratio[at] if len(self.word_ratio) else 0.0, self.rest)
-        new = np.flatnonzero(at < 0)
-        if len(new) and len(self.stem_ratio):
-            s = self.stem_index.find(stems[new])
-            out[new] = np.where(s >= 0, self.stem_ratio[s], self.rest)
-        if len(self.pair_ratio):
-            p = self.pair_index.find(W.mix(words + before * U64(3)))
-            hit = p >= 0
-            out[hit] = self.pair_ratio[p[hit]]
+        out, weight = np.full(len(words), self.rest), np.zeros(len(words))
+        self._look_up("stem", stems, out)
+        self._look_up("word", words, out)
+        self._look_up("before", before, weight)  # what the predecessor's discounts leave
+        out += weight
+        self._look_up("pair", _pair_keys(words, before), out)
         return out
 
     def evidence(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -187,68 +170,96 @@ class Scorer:
 
 
 def _shared(docs: DataFrame, text_col: str) -> DataFrame:
-    """(unit, of, n): distinct predecessors of every word (``of``: its stem) and stem (``of``: itself) of the corpus."""
-    out = T.StructType([T.StructField(c, T.LongType()) for c in ("unit", "of", "before")])
+    """(word, stem, n): occurrences of every word of the corpus."""
+    out = T.StructType([T.StructField(c, T.LongType()) for c in ("word", "stem", "n")])
 
     def run(batches):
         import pyarrow as pa
 
         for batch in W.regroup(batches, 0, CHUNK_BYTES):
-            words, stems, before, _ = _tokens(*W.text_buffers(batch.column(0)))
-            for unit in (words, stems):
-                _, at = np.unique(W.mix(unit + before * U64(3)), return_index=True)
-                for lo in range(0, len(at), 1 << 16):
-                    p = at[lo:lo + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x[p].view(np.int64)) for x in (unit, stems, before)], names=out.names)
+            words, stems, _, _ = _tokens(*W.text_buffers(batch.column(0)))
+            word, at, n = np.unique(words, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(stems[at].view(np.int64)), pa.array(n)], names=out.names)
 
     return (docs.select(W.quoted(text_col).cast("string").alias("t")).mapInArrow(run, out)
-            .groupBy("unit", "of").agg(F.approx_count_distinct("before", SHARED_ERROR).alias("n")))
+            .groupBy("word", "stem").agg(F.sum("n").alias("n")))
+
+
+def _of_class(value, c: int):
+    return F.sum(F.when(F.col("label") == c, value).otherwise(0))
+
+
+def _above(column, discount: float = DISCOUNT):
+    return F.greatest(F.col(column) - F.lit(discount), F.lit(0.0))
+
+
+def _log_ratio(p: list):
+    return F.log(F.greatest(p[1], F.lit(1e-300))) - F.log(F.greatest(p[0], F.lit(1e-300)))
+
+
+def _masses(counts: DataFrame) -> list[tuple[float, float]]:
+    """(continuation counts of all units, at least 1; share that discounting leaves to the backoff) of either class."""
+    got = counts.agg(*[f(f"c{c}") for c in (0, 1) for f in (F.sum, lambda x: F.sum(F.least(F.col(x).cast("double"), F.lit(DISCOUNT))))]).first()
+    total = [max(1.0, float(got[i] or 0)) for i in (0, 2)]
+    return [(t, max(1e-9, float(got[i] or 0) / t)) for t, i in zip(total, (1, 3))]
+
+
+def _ratios(pairs: DataFrame, shared: DataFrame, store: Scratch) -> tuple[dict[str, DataFrame], float]:
+    """(key, ratio) tables of the units that keep a count after discounting, and the ratio of all others."""
+    classes, d = (0, 1), DISCOUNT
+    stem_shared = shared.groupBy("stem").agg(F.sum("n").alias("shared"), F.sum(F.col("n") + 0.5).alias("of_words"))
+    mass = float(stem_shared.agg(F.sum(F.col("shared") + 0.5)).first()[0] or 0)
+
+    # one row of ``pairs`` is one predecessor of its word in a class; of a stem several words may share it
+    word_counts = pairs.groupBy("word", "stem").agg(*[_of_class(1, c).alias(f"c{c}") for c in classes])
+    stem_counts = pairs.select("label", "stem", "before").distinct().groupBy("stem").agg(*[_of_class(1, c).alias(f"c{c}") for c in classes])
+    word_mass, stem_mass = _masses(word_counts), _masses(stem_counts)
+
+    base = (F.col("shared") + 0.5) / F.lit(mass + 0.5)
+    stems = store.save(stem_counts.join(stem_shared, "stem").select(
+        "stem", "c0", "c1", "of_words", *[(_above(f"c{c}") / F.lit(stem_mass[c][0]) + F.lit(stem_mass[c][1]) * base).alias(f"s{c}") for c in classes]), "stems")
+    within = (F.col("n") + 0.5) / F.greatest(F.col("of_words"), F.lit(1e-9))
+    words = store.save(word_counts.join(shared, ["word", "stem"]).join(stems.drop("c0", "c1"), "stem").select(
+        "word", "c0", "c1", *[(_above(f"c{c}") / F.lit(word_mass[c][0]) + F.lit(word_mass[c][1]) * F.col(f"s{c}") * within).alias(f"u{c}") for c in classes]), "words")
+
+    seen = pairs.groupBy("pair", "before", "word").agg(*[_of_class(F.col("n"), c).alias(f"n{c}") for c in classes])
+    left = [F.greatest(F.lit(1e-3), F.least(F.lit(1.0), 1 - F.sum(_above(f"n{c}")) / F.greatest(F.sum(f"n{c}"), F.lit(1)))).alias(f"left{c}") for c in classes]
+    before = store.save(seen.groupBy("before").agg(*left, *[F.greatest(F.sum(f"n{c}"), F.lit(1)).alias(f"all{c}") for c in classes]), "before")
+    often = seen.where(F.greatest("n0", "n1") > d).join(before, "before").join(words.select("word", "u0", "u1"), "word")
+    p = [_above(f"n{c}") / F.col(f"all{c}") + F.col(f"left{c}") * F.col(f"u{c}") for c in classes]
+    kept = F.greatest("c0", "c1") > d
+    tables = {
+        "pair": often.select(F.col("pair").alias("key"), _log_ratio(p).alias("ratio")),
+        "before": before.where("left0 != left1").select(F.col("before").alias("key"), _log_ratio([F.col("left0"), F.col("left1")]).alias("ratio")),
+        "word": words.where(kept).select(F.col("word").alias("key"), _log_ratio([F.col("u0"), F.col("u1")]).alias("ratio")),
+        "stem": stems.where(kept).select(F.col("stem").alias("key"), _log_ratio([F.col(f"s{c}") * F.lit(word_mass[c][1]) for c in classes]).alias("ratio")),
+    }
+    rest = float(sum(s * np.log(stem_mass[c][1] * word_mass[c][1]) for c, s in ((1, 1), (0, -1))))
+    return tables, rest
+
+
+def _arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A table of ratios as keys and 32-bit floats, in Arrow batches."""
+    got = table.withColumn("ratio", F.col("ratio").cast("float")).toArrow()
+    return got["key"].to_numpy().view(U64), got["ratio"].to_numpy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
         sample_rows: int = SAMPLE_ROWS) -> Scorer:
-    """Both models and the calibration; the sample's vocabulary and counts are all that reaches the driver."""
+    """Both models and the calibration; the ratios of the sample's units are all that reaches the driver."""
     spark = docs.sparkSession
     sample = labelled.sample(docs, labels, label_col, sample_rows, id_col=id_col, text_col=text_col, per_class=True)
     store = Scratch(spark, "toxicity")
-    sample = sample.dropDuplicates(["id"]).withColumn("later", F.pmod(F.xxhash64(F.lit(99), F.col("id").cast("string")), F.lit(4)) == 0)
+    sample = sample.dropDuplicates(["id", "text"]).withColumn("later", F.pmod(F.xxhash64(F.lit(99), F.col("id").cast("string")), F.lit(4)) == 0)
     sample = store.save(sample, "sample")
     kinds = {r["y"] for r in sample.where("not later").select((F.col("label") != 0).alias("y")).distinct().collect()}
     if len(kinds) < 2:
+        store.clear()
         return Scorer(None)
     pairs = store.save(_counted(sample.where("not later")), "pairs")
-
     shared = store.save(_shared(docs, text_col), "shared")
-    shared_words, shared_stems = shared.where("unit != of"), shared.where("unit = of")
-    mass = shared_stems.agg(F.sum(F.col("n") + 0.5)).first()[0]
-    counted = {"word": shared_words.select(F.col("unit").alias("word"), F.col("n").alias("shared")),
-                    "stem": shared_stems.select(F.col("unit").alias("stem"), F.col("n").alias("shared"))
-                    .join(shared_words.groupBy(F.col("of").alias("stem")).agg(F.sum(F.col("n") + 0.5).alias("words")), "stem")}
-
-    # every pair that keeps a count after discounting
-    n = [F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).cast("int").alias(f"n{k}") for k in (0, 1)]
-    often = store.save(pairs.groupBy("before", "word").agg(*n).where(F.greatest("n0", "n1") > DISCOUNT), "often")
-    ends = pairs.join(often.select("word").distinct(), "word", "left_semi").select("word", "stem").distinct()
-
-    def counts(unit: str):
-        """Continuation counts of the units that keep some after discounting or end a pair, and the masses of all."""
-        p = pairs if unit == "word" else pairs.groupBy("label", "stem", "before").agg(F.sum("n").alias("n"))
-        c = [F.sum(F.when(F.col("label") == k, 1).otherwise(0)).alias(f"c{k}") for k in (0, 1)]
-        every = p.groupBy(unit).agg(*c, *([F.min("stem").alias("stem")] if unit == "word" else []))
-        mass = every.agg(*[f(f"c{k}") for k in (0, 1) for f in (F.sum, lambda x: F.sum(F.least(F.col(x).cast("double"), F.lit(DISCOUNT))))]).first()
-        every = every.join(ends.select(unit, F.lit(True).alias("ends")).distinct(), unit, "left")
-        return every.where((F.greatest("c0", "c1") > DISCOUNT) | F.col("ends")).drop("ends").join(counted[unit], unit).orderBy(unit).toPandas(), [(float(mass[0] or 0), float(mass[1] or 0)), (float(mass[2] or 0), float(mass[3] or 0))]
-
-    (w, word_mass), (s, stem_mass) = counts("word"), counts("stem")
-    words, stems = w["word"].to_numpy().view(U64), s["stem"].to_numpy().view(U64)
-    totals = pairs.join(often.select("before").distinct(), "before", "left_semi").groupBy("before").agg(*n).toPandas()
-    often = often.orderBy("before", "word").toPandas()
-    stem_of = W.HashIndex(stems).find(w["stem"].to_numpy().view(U64))
-    at = W.HashIndex(totals["before"].to_numpy().view(U64)).find(np.unique(often["before"].to_numpy().view(U64)))
-    model = KneserNey(words, stem_of, w[["c0", "c1"]].to_numpy(dtype=np.float64).T, word_mass,
-                      stems, s[["c0", "c1"]].to_numpy(dtype=np.float64).T, stem_mass, w["shared"].to_numpy(dtype=np.float64), s["shared"].to_numpy(dtype=np.float64), (often["before"].to_numpy().view(U64), often["word"].to_numpy().view(U64),
-                                                 often[["n0", "n1"]].to_numpy(dtype=np.float64).T),
-                      totals[["n0", "n1"]].to_numpy(dtype=np.float64).T[:, at], s["words"].to_numpy(dtype=np.float64), float(mass or 0))
+    tables, rest = _ratios(pairs, shared, store)
+    model = KneserNey({kind: _arrays(table) for kind, table in tables.items()}, rest)
     held = spark.sparkContext.broadcast(model)
     fields = T.StructType([T.StructField(n, T.DoubleType()) for n in ("mean", "stretch", "strong", "length")])
 
@@ -260,7 +271,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col:
             return {n: e[:, i] for i, n in enumerate(fields.names)}
         return run
 
-    got = W.annotate(sample.where("later"), "text", ["id", "label"], fields, make, CHUNK_BYTES).toPandas().sort_values("id", kind="stable")
+    got = W.annotate(sample.where("later"), "text", ["id", "label"], fields, make, CHUNK_BYTES).toPandas().sort_values(["id", *fields.names], kind="stable")
     store.clear()
     y = got["label"].to_numpy() != 0
     if not len(y) or y.all() or not y.any():  # too few to calibrate: the ratio itself, at even odds
