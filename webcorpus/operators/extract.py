@@ -16,12 +16,13 @@ Catalyst cannot push predicates through ``mapInPandas``.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 from typing import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,6 +117,42 @@ def extract(pages: DataFrame, rule: Rule, id_col: str = "page_id", url_col: str
     return (partitioned(src, "page_id") if repartition else src).mapInPandas(run, schema)
 
 
+def extract_record(pages: DataFrame, rule: Rule, native: Callable[[DataFrame], DataFrame], id_col: str = "page_id",
+                   url_col: str = "url", html_col: str = "html", repartition: bool = True) -> DataFrame:
+    """Rows of a rule that makes one record of a page: regular pages natively, the others by the tree.
+
+    ``native``: adds ``_rec`` to the pages, the struct of the rule's fields and
+    ``reject_reason``, or null where only the tree can tell.  One scan and one
+    judgement of each page; a page that the native part answers reaches the tree's
+    function as a null."""
+    names = [f.name for f in rule.fields.fields]
+    full = T.StructType([*rule.fields.fields, T.StructField("reject_reason", T.StringType())])
+    parse = rule.parse
+
+    @F.pandas_udf(T.StringType())
+    def tree(left: pd.Series, url: pd.Series, html: pd.Series) -> pd.Series:
+        out = [None] * len(left)
+        for i in left.to_numpy().nonzero()[0]:
+            rec, reason = {}, None
+            try:
+                rec = next(iter(parse(url[i], H.parse(html[i]), html[i] or "")))
+            except Reject as e:
+                reason = str(e)
+            except Exception as e:  # a broken page must not fail the job
+                reason = f"error {type(e).__name__}: {e}"
+            out[i] = json.dumps({**rec, "reject_reason": reason})
+        return pd.Series(out, dtype=object)
+
+    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    src = partitioned(src, "page_id") if repartition else src
+    src = native(src)
+    left = F.col("_rec").isNull()
+    src = FL._once(src, "_tree", tree(left, F.when(left, F.col("url")), F.when(left, F.col("html"))))
+    rec = F.coalesce(F.col("_rec"), F.from_json("_tree", full))
+    return src.select("page_id", "url", rec.alias("r")).select(
+        "page_id", "url", F.when(F.col("r.reject_reason").isNull(), F.lit(0)).alias("pos"), *[F.col(f"r.{n}").alias(n) for n in names], "r.reject_reason")
+
+
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good records without the reason column, reject rows).  Both come
     from the same extraction: persist ``df`` first when writing both, or
@@ -157,6 +194,8 @@ READ_COUNT_CLASS_IS = "read-count"          #   .../span[@class='read-count']/te
 CONTENT_ID = "content_views"                #   article/div[1]/div[@id='content_views']
 TOOL_BOX_CLASS_STARTS = "tool-box"          # //*[starts-with(@class,'tool-box')]/ul
 
+_ENDING = r"(?i)<(?:" + "|".join(sorted(H.IMPLIED_END)) + r")\b"
+
 
 def _cls(n):
     return n.get("class") or ""
@@ -296,6 +335,65 @@ def _profile_parse(url, root, html):
     yield rec
 
 
+def _required(values: dict[str, Column]) -> Column:
+    """``missing <name>`` of the first value that is null, in the order given; null if none is."""
+    return F.coalesce(*[F.when(value.isNull(), F.lit(f"missing {name}")) for name, value in values.items()])
+
+
+def _whole_profile() -> str:
+    """Pattern of the body of a regular profile page: name, counts, grades, badges and the sixth script are groups."""
+    leaf = rf"(?:{FL.tag('d[dt]')}[^<]*+(?:{FL.tag('a')}[^<]*+</a\s*+>)?+[^<]*+</d[dt]\s*+>{FL.TEXT})*+"
+    dls = rf"((?:{FL.element('dl', leaf)})++)"
+    name = rf"{FL.tag('span')}{FL.TEXT}{FL.tag('a')}([^<\x02]++)</a\s*+>{FL.TEXT}</span\s*+>{FL.TEXT}"
+    user = FL.element("div", rf"(?:{FL.tag('div')}{FL.TEXT}{name}</div\s*+>{FL.TEXT})", "class", PROFILE_USER_CLASS_HAS, "has")
+    badge = rf"((?:{FL.tag('div')}[^<]*+</div\s*+>{FL.TEXT})*+)"
+    parts = (FL.element("div", user, "class", PROFILE_INTRO_CLASS_HAS, "has") + FL.element("div", dls, "class", PROFILE_DATA_CLASS_HAS, "has")
+             + FL.element("div", dls, "class", PROFILE_GRADE_CLASS_HAS, "has")
+             + FL.element("div", FL.element("div", "") + FL.element("div", badge), "class", PROFILE_BADGES_CLASS_HAS, "has"))
+    return rf"{FL.tag('body')}{FL.TEXT}{FL.tag('aside')}{FL.TEXT}{FL.element('div', parts, 'id', PROFILE_ID)}</aside\s*+>([^<]*+)</body"
+
+
+def _profile_native(pages: DataFrame) -> DataFrame:
+    seen, hit, whole = F.col("_seen"), F.col("_hit"), _whole_profile()
+    # the scripts of a regular page stand behind the profile, one beside the other
+    scripts = r"(?s)</aside\s*+>((?:\s*+<script\s*+>[^<]*+</script\s*+>)*+)\s*+</body"
+    pages = FL._once(pages, "_seen", FL.plain())
+    words = (PROFILE_ID, PROFILE_INTRO_CLASS_HAS, PROFILE_USER_CLASS_HAS, PROFILE_DATA_CLASS_HAS, PROFILE_GRADE_CLASS_HAS, PROFILE_BADGES_CLASS_HAS, "<html", "<body", "</body")
+    single = F.lit(True)
+    for word in words:
+        single = single & FL.once(seen, word)
+    regular = single & ~seen.rlike(FL._ENTITY) & seen.startswith("<html") & ~seen.rlike(r"(?i)<(?:base|frameset|p|li|option)\b|<(?-i:[A-Z])") & F.col("html").rlike(scripts)
+    pages = FL._once(pages, "_hit", F.when(regular, F.regexp_extract(seen, whole, 0)))
+    pages = FL._once(pages, "_cell", F.when(hit != "", FL.groups(hit, whole, 4)))
+    cut = {n: F.get("_cell", i) for i, n in enumerate(("name", "data", "grades", "badges"))}
+    pages = FL._once(pages, "_part", F.when(F.col("_cell").isNotNull(), F.struct(
+        cut["name"].alias("name"), F.regexp_extract_all(cut["data"], F.lit("<dl[^<>]*+>"), F.lit(0)).alias("data"),
+        F.regexp_extract_all(cut["grades"], F.lit(r"(?s)<dl[^<>]*+>.*?</dl"), F.lit(0)).alias("grades"),
+        F.filter(F.regexp_extract_all(cut["badges"], F.lit("<div[^<>]*+>"), F.lit(0)), lambda t: FL.attr(t, "class").eqNullSafe(BADGE_CLASS_IS)).alias("badges"),
+        F.regexp_extract_all(F.regexp_extract("html", scripts, 1), F.lit(r"<script\s*+>([^<]*+)</script"), F.lit(1)).alias("scripts"))))
+    data, grades = F.col("_part.data"), F.col("_part.grades")
+
+    def own(dls, i):  # the start tag of the i-th list, the last for -1
+        return F.regexp_extract(F.get(dls, i - 1) if i > 0 else F.try_element_at(dls, F.lit(-1)), "^<dl[^<>]*+>", 0)
+
+    def inner(dls, i, pattern):  # the first title among the tags of the i-th list that match
+        return F.get(F.filter(F.transform(F.regexp_extract_all(F.get(dls, i - 1), F.lit(pattern), F.lit(1)), lambda t: FL.attr(t, "title")), lambda v: v.isNotNull()), 0)
+
+    script = F.get(F.col("_part.scripts"), PAGE_SCRIPT_POSITION - 1)
+    values = {"name_raw": FL.unescape(F.col("_part.name")), **{n: FL.attr(own(data, i), "title") for n, i in (("creates", 1), ("fans", 2), ("praises", 3), ("comments", 4), ("visits", -1))},
+              "grade_title": inner(grades, 1, r"<dd\b[^<>]*+>[^<]*+(<a[^<>]*+>)"), "credits_raw": inner(grades, 3, r"(<dd[^<>]*+>)"), "ranks_raw": FL.attr(own(grades, -1), "title"),
+              "badge_titles": F.transform(F.col("_part.badges"), lambda t: FL.attr(t, "title")), "page_script": F.when(script != "", script)}
+    pages = FL._once(pages, "_value", F.when(F.col("_part").isNotNull(), F.struct(*[v.alias(n) for n, v in values.items()])))
+    x = F.col("_value")
+    why = _required({**{n: x[n] for n in ("creates", "fans", "praises", "comments", "visits")}, "grade": x["grade_title"], "credits": x["credits_raw"],
+                     "ranks": x["ranks_raw"], "page script": x["page_script"]})
+    record = F.struct(*[F.when(why.isNull(), x[n]).alias(n) for n in PROFILE_FIELDS.names], why.alias("reject_reason"))
+    # nothing in the page can have the profile's id
+    none = ~seen.rlike(FL._ENTITY) & ~seen.rlike("[\"'=]" + PROFILE_ID + "[\"'\\s/>]")
+    nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in PROFILE_FIELDS], F.lit(f"missing {PROFILE_ID}").alias("reject_reason"))
+    return FL._once(pages, "_rec", F.when(x.isNotNull(), record).when(none, nothing)).drop("_seen", "_hit", "_cell", "_part", "_value")
+
+
 PROFILE_FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in (
     "name_raw", "creates", "fans", "praises", "comments", "visits", "grade_title",
     "credits_raw", "ranks_raw")]
@@ -310,7 +408,7 @@ def user_profile(pages: DataFrame, **kw) -> DataFrame:
     """X3 + X4: the author record plus its article page count.  A missing
     node, an empty grade, a badge without title or a page size of 0
     rejects the whole record."""
-    raw = extract(pages, Rule("profile", PROFILE_FIELDS, _profile_parse), **kw)
+    raw = extract_record(pages, Rule("profile", PROFILE_FIELDS, _profile_parse), _profile_native, **kw)
     return finish_profile(raw)
 
 
@@ -423,6 +521,51 @@ def _article_parse(url, root, html):
            "user_name": uname}
 
 
+def _whole_article() -> str:
+    """Pattern of a regular article from its main box to the end of the body node: type, title, info line and body node are groups."""
+    d = FL.tag("div") + FL.TEXT
+    line = rf"((?:{FL.tag('span')}[^<\x02]*+</span\s*+>{FL.TEXT}|{FL.tag('a')}[^<\x02]*+</a\s*+>{FL.TEXT})*+)"
+    end = rf"</div\s*+>{FL.TEXT}"
+    kind = rf"{FL.tag('span', 'class', ARTICLE_TYPE_CLASS_HAS, 'has')}([^<\x02]++)</span\s*+>{FL.TEXT}"
+    title = rf"(?:{FL.tag('h1')}([^<\x02]++)</h1\s*+>{FL.TEXT})?+"
+    body = rf"({FL.tag('div', 'id', CONTENT_ID)}[^<\x02]*+(?:<(?!/?div\b)[^<\x02]*+)*+</div\s*+>)"
+    return (FL.tag("div", "id", MAIN_BOX_ID) + FL.TEXT + FL.tag("main") + FL.TEXT + d * 4 + kind + title + end + d * 2 + line + end * 4
+            + FL.tag("article") + FL.TEXT + d + body)
+
+
+def _menu() -> str:
+    """Pattern of a regular tool box up to its third entry: praises and comments are groups."""
+    p = rf"{FL.tag('p')}([^<\x02]*+)</p\s*+>{FL.TEXT}"
+    return (FL.tag("[a-z]++", "class", TOOL_BOX_CLASS_STARTS, "starts") + FL.TEXT + FL.tag("ul") + FL.TEXT + FL.element("li", FL.element("button", p))
+            + FL.element("li", "") + FL.tag("li") + FL.TEXT + FL.tag("a") + FL.TEXT + p)
+
+
+def _article_native(pages: DataFrame) -> DataFrame:
+    seen, hit, whole, menu = F.col("_seen"), F.col("_hit"), _whole_article(), _menu()
+    pages = FL._once(pages, "_seen", FL.plain())
+    regular = FL.once(seen, MAIN_BOX_ID) & FL.once(seen, CONTENT_ID) & FL.once(seen, TOOL_BOX_CLASS_STARTS)
+    pages = FL._once(pages, "_hit", F.when(regular, F.struct(F.regexp_extract(seen, whole, 0).alias("main"), F.regexp_extract(seen, menu, 0).alias("menu"))))
+    pages = FL._once(pages, "_cell", F.when((hit["main"] != "") & (hit["menu"] != ""), F.struct(
+        FL.groups(hit["main"], whole, 4).alias("main"), FL.groups(hit["menu"], menu, 2).alias("menu"))))
+    (nature, title, line, content), (praises, comments) = ([F.get(F.col("_cell")[c], i) for i in range(n)] for c, n in (("main", 4), ("menu", 2)))
+
+    def of_line(pattern):  # the first that has a text
+        return F.regexp_extract(line, pattern + r"([^<]++)<", 1)
+
+    parts = {"title": title, "create_time": of_line(FL.tag("span", "class", TIME_CLASS_IS)), "read_count_text": of_line(FL.tag("span", "class", READ_COUNT_CLASS_IS)),
+             "nature": nature, "content": content, "praises": praises, "comments_raw": comments, "user_name": of_line(FL.tag("a"))}
+    pages = FL._once(pages, "_text", F.when(F.col("_cell").isNotNull(), F.struct(*[v.alias(n) for n, v in parts.items()])))
+    pages = FL._once(pages, "_part", F.when(F.col("_text").isNotNull(), F.struct(*[F.nullif(F.col("_text")[n], F.lit("")).alias(n) for n in parts])))
+    x = F.col("_part")
+    values = {n: x[n] if n == "content" else FL.unescape(x[n]) for n in ARTICLE_FIELDS.names}
+    why = _required({"h1": x["title"], "time": x["create_time"], "read count": x["read_count_text"], "user name": x["user_name"], "comments text": x["comments_raw"]})
+    texts = F.concat_ws(" ", *[x[n] for n in ARTICLE_FIELDS.names if n != "content"])
+    # elements whose start ends an open one of their kind could end one around the box
+    apart = ~x["content"].rlike(_ENDING) | ~F.substring_index(seen, MAIN_BOX_ID, 1).rlike(_ENDING)
+    record = F.struct(*[F.when(why.isNull(), values[n]).alias(n) for n in ARTICLE_FIELDS.names], why.alias("reject_reason"))
+    return FL._once(pages, "_rec", F.when(x.isNotNull() & apart & ~texts.rlike(FL._ENTITY), record)).drop("_seen", "_hit", "_cell", "_text", "_part")
+
+
 ARTICLE_FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in (
     "title", "create_time", "read_count_text", "nature", "content", "praises", "comments_raw", "user_name")])
 
@@ -434,7 +577,7 @@ def article_detail(pages: DataFrame, **kw) -> DataFrame:
     """X7 + X8: the article record; ``content`` is the markup of the body
     node, sliced verbatim from the page.  A missing node or read count
     rejects the whole record."""
-    raw = extract(pages, Rule("article", ARTICLE_FIELDS, _article_parse), **kw)
+    raw = extract_record(pages, Rule("article", ARTICLE_FIELDS, _article_parse), _article_native, **kw)
     return finish_article(raw)
 
 

@@ -21,10 +21,48 @@ MARK, GAP = "\u0001", "\u0002"
 ATTRS = r'(?:\s+[a-zA-Z][a-zA-Z0-9\-]*="[^"<>]*+")*+\s*+'
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|title|textarea)\b[^>]*+>.*?</\1\s*+>"
 # what the cut of hidden parts or the item patterns could misread
-_ODD = (r"(?is)[\x00-\x02]|<(?:script|style|title|textarea)\b[^>]*/>|<!(?!--|doctype)|<\?|<!--+>|--!>|<(?:title|textarea)\b[^>]*+>[^<]*+<(?!/(?:title|textarea)\s*+>)"
-        r"|<(?:iframe|noscript|noframes|noembed|xmp|plaintext|template|svg|math)\b")
+_ODD = (r"(?is)[\x00-\x02]|--!>|<(?:!(?!--|doctype)|\?|!--+>|(?:script|style|title|textarea)\b[^>]*/>|(?:title|textarea)\b[^>]*+>[^<]*+<(?!/(?:title|textarea)\s*+>)"
+        r"|(?:iframe|noscript|noframes|noembed|xmp|plaintext|template|svg|math)\b)")
 _ENTITY = r"&(?!(?:amp|lt|gt|quot|#39);)"
 
+TEXT = r"[^<\x00-\x02]*+"                       # between tags, nothing hidden there
+_TWICE = r'<[^<>]*\s(class|id|title)="[^"<>]*"[^<>]*\s\1="'
+
+
+def tag(name: str, attr: str | None = None, value: str = "", how: str = "is") -> str:
+    """Pattern of a start tag, of those whose attribute ``is``, ``has`` (inside) or ``starts`` with a value if one is given."""
+    if attr is None:
+        return rf"<{name}\b{ATTRS}>"
+    before, behind = {"is": ("", ""), "has": ('[^"<>]*', '[^"<>]*'), "starts": ("", '[^"<>]*')}[how]
+    return rf'<{name}\b(?=[^<>]*\s{attr}="{before}{value}{behind}"){ATTRS}>'
+
+
+def element(name: str, body: str, *start) -> str:
+    """Pattern of an element with a body, the text behind it included."""
+    return rf"{tag(name, *start)}{TEXT}{body}</{name}\s*+>{TEXT}"
+
+
+def attr(tag_text: Column, name: str) -> Column:
+    """An attribute of a start tag, null without it."""
+    value = F.nullif(F.regexp_extract(tag_text, rf'\s{name}=("[^"]*+")', 1), F.lit(""))
+    return unescape(F.substring(value, F.lit(2), F.length(value) - 2))
+
+
+def groups(text: Column, pattern: str, n: int) -> Column:
+    """The groups of a text that the pattern matches whole, in one pass; absent ones are empty."""
+    return F.split(F.regexp_replace(text, pattern, MARK.join(f"${i}" for i in range(1, n + 1))), MARK)
+
+
+def plain(html: str = "html") -> Column:
+    """The page as :func:`visible` shows it, null if an entity, a repeated attribute or a hidden part could be misread."""
+    page = F.col(html)
+    return F.when(~page.rlike(_ODD) & ~page.rlike(_TWICE), visible(html))
+
+
+def once(page: Column, word: str) -> Column:
+    """Whether a word stands in the page exactly once."""
+    return F.length(page) - F.length(F.replace(page, F.lit(word), F.lit(""))) == len(word)
+
 
 @dataclass(frozen=True)
 class Flat:
