@@ -157,3 +157,17 @@ def test_a_broken_visited_set_fails_the_batch(spark):
     paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
     with pytest.raises(Exception):
         CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, base + "/ck", Broken(spark, scratch_path(spark, "t_none")))
+
+
+def test_a_page_challenged_for_ever_is_given_up(spark):
+    """The stream counts attempts itself: its pages carry none."""
+    from webcorpus.plans import crawl as CR
+
+    src, base = scratch_path(spark, "t_forever_src"), scratch_path(spark, "t_forever")
+    paths = CR.CrawlPaths(base + "/articles", base + "/rejects", base + "/retry")
+    visited = VisitedTable(spark, scratch_path(spark, "t_forever_visited"))
+    for n in range(3):
+        spark.createDataFrame([(1, "https://x.net/a", "arg1")], PAGE_SCHEMA).coalesce(1).write.parquet(f"{src}/{n}")
+        CR.crawl_articles_stream(spark, W.read_stream(spark, f"{src}/*/*.parquet", PAGE_SCHEMA), paths, base + "/ck", visited)
+    assert sorted(r.attempt for r in CR.read_table(spark, paths.retry, CR.RETRY_SCHEMA).collect()) == [1, 2]
+    assert [(r.reason, r.attempt) for r in CR.read_table(spark, paths.rejects, CR.REJECT_SCHEMA).collect()] == [("challenge page", 3)]

@@ -69,7 +69,7 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     hubs = F.broadcast(hubs) if hubs.count() <= BROADCAST_HUBS else hubs
     salted = pairs.join(hubs, "src", "left").select("src", "dst", F.pmod(F.hash("dst"), F.coalesce("salts", F.lit(1))).alias("salt"))
     # dealt out by (src, salt) first: the duplicates fall away in the same partitions
-    (salted.repartition(n, "src", "salt").distinct().write.bucketBy(n, "src", "salt").saveAsTable(edges_t))
+    (salted.repartition(n, "src", "salt").distinct().write.bucketBy(n, "src", "salt").option("path", f"{base}/edges").saveAsTable(edges_t))
 
     def write_level(df: DataFrame, d: int) -> int:
         """Append one level; its row count is observed during the write
@@ -102,10 +102,11 @@ def crawl_closure(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
         # read the levels back as plain files: the result outlives the tables
         return spark.read.parquet(f"{base}/seen").select("node", F.col("depth").cast("int").alias("depth"))
     finally:
-        remove_scratch(spark, f"{base}/pairs")
-        remove_scratch(spark, f"{base}/hubs")
+        # tables over given paths: dropping them leaves the files
         spark.sql(f"DROP TABLE IF EXISTS {edges_t}")
         spark.sql(f"DROP TABLE IF EXISTS {seen_t}")
+        for part in ("pairs", "hubs", "edges"):
+            remove_scratch(spark, f"{base}/{part}")
 
 
 def nav_edges(nav: DataFrame) -> DataFrame:

@@ -40,9 +40,12 @@ def ineligible_rejects(pages: DataFrame, attempt_col: str = "attempt") -> DataFr
 
 def with_attempts(pages: DataFrame, retries: DataFrame) -> DataFrame:
     """Fetched pages with the attempt number that the retry table holds
-    for their URL (its highest), 0 for pages that were never sent back."""
-    last = retries.groupBy("url").agg(F.max("attempt").alias("attempt"))
-    return pages.drop("attempt").join(last, "url", "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)).cast("int"))
+    for their URL (its highest), or their own if they carry a higher one; 0
+    for pages that were never sent back."""
+    last = retries.groupBy("url").agg(F.max("attempt").alias("_sent"))
+    own = F.coalesce(F.col("attempt"), F.lit(0)) if "attempt" in pages.columns else F.lit(0)
+    return (pages.withColumn("_own", own).drop("attempt").join(last.hint("shuffle_hash"), "url", "left")
+            .withColumn("attempt", F.greatest("_own", F.coalesce("_sent", F.lit(0))).cast("int")).drop("_own", "_sent"))
 
 
 def rejects_table(extracted: DataFrame, stage: str, attempt: int = 0) -> DataFrame:

@@ -111,8 +111,12 @@ def crawl_articles_stream(spark: SparkSession, page_stream: DataFrame, paths: Cr
     batches.  Every other table is written per ``batch`` partition with
     dynamic overwrite, so an epoch replayed after a restart replaces its
     own output; its keys are then in the set already, which is why an epoch
-    leaves its own keys out of the set it compares with."""
+    leaves its own keys out of the set it compares with.  Attempts are counted
+    here: a page comes with the highest attempt that the retry table of
+    earlier epochs holds for its URL, or its own if that is higher."""
     def step(batch: DataFrame, epoch: int):
+        sent_back = read_table(spark, paths.retry, RETRY_SCHEMA).where(F.col("batch") != str(epoch))
+        batch = R.with_attempts(batch, sent_back)
         seen = visited.read()
         if seen is not None:
             own = read_table(spark, paths.articles, ARTICLE_SCHEMA).where(F.col("batch") == str(epoch)).select("url")
@@ -121,6 +125,7 @@ def crawl_articles_stream(spark: SparkSession, page_stream: DataFrame, paths: Cr
         visited.append(crawl_articles(batch, seen, paths, batch_id=str(epoch), meta=meta))
         if epoch % compact_every == compact_every - 1:
             visited.compact()
+            visited.vacuum()
 
     w = page_stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)

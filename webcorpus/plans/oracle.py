@@ -330,3 +330,4 @@ ORACLE["retry_rounds"] = """SELECT CAST(1 AS INTEGER) AS round, page_id, CASE WH
 UNION ALL SELECT 2, page_id, CASE WHEN page_id % 4 = 0 THEN 'retry' ELSE 'content' END, CASE WHEN page_id % 4 = 0 THEN 2 ELSE 1 END
 FROM pages WHERE page_id % 4 < 2
 UNION ALL SELECT 3, page_id, 'reject', 3 FROM pages WHERE page_id % 4 = 0"""
+ORACLE["stream_retry_rounds"] = ORACLE["retry_rounds"]

@@ -23,6 +23,7 @@ from ..operators import visited as V
 from ..operators.parallel import partitioned
 from ..session import apply_runtime_conf, scratch_path
 from ..sources import tables as S
+from ..streaming import retries as RT
 from ..streaming import stream as W
 from . import corpus_build as CB
 from . import crawl as CR
@@ -523,6 +524,22 @@ def retry_rounds(spark, sf_dir):
     return out.drop("url")
 
 
+def stream_retry_rounds(spark, sf_dir):
+    """W1 + W4: the same three rounds as a stateful stream, started anew for each: the attempts come from its state."""
+    pages = _t(spark, sf_dir, "pages").select("page_id", "url", "html")
+    src, (out, ck) = scratch_path(spark, "stream_rounds"), W.new_locations(spark, "stream_retry_rounds")
+    fetch = pages
+    for n in (1, 2, 3):
+        again = (F.col("page_id") % 4 == 0) | ((F.col("page_id") % 4 == 1) & F.lit(n == 1))
+        fetch.withColumn("html", F.when(again, F.lit("<html>arg1</html>")).otherwise(F.replace("html", F.lit("arg1"), F.lit("")))).write.parquet(f"{src}/part{n}")
+        arrived = W.read_stream(spark, f"{src}/*/*.parquet", pages.schema)
+        W.run_to_table(RT.requeue(arrived).withColumn("round", F.lit(n)), out, ck)
+        routed = spark.read.parquet(out)
+        retries = routed.where((F.col("round") == n) & (F.col("route") == "retry")).select("page_id")
+        fetch = pages.join(retries, "page_id", "left_semi")
+    return spark.read.parquet(out).select("round", "page_id", "route", F.col("attempt").alias("next_attempt"))
+
+
 def crawl_articles(spark, sf_dir):
     """E1 RT: article pages of orders not yet visited (the finished ones
     are), extracted and stored; returns the stored records."""
@@ -648,6 +665,7 @@ QUERIES = {
     "append_twice": append_twice,
     "crawl_rejects": crawl_rejects,
     "retry_rounds": retry_rounds,
+    "stream_retry_rounds": stream_retry_rounds,
     "crawl_visited": crawl_visited,
     "stream_extract": stream_extract,
     "stream_first_seen": stream_first_seen,
