@@ -196,6 +196,55 @@ def test_forest_sets_outliers_apart():
     assert a[1000:].min() > np.quantile(a[:1000], 0.98)
 
 
+def test_forest_against_plain_walks():
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.normal(size=(300, 4)).round(1), [[9, 9, 9, 9]] * 3, [[0, 0, 0, 0]] * 40]
+    f = rules.IsolationForest(trees=12, subsample=32).fit(x)
+
+    def expected(n):  # mean path of an unsuccessful search
+        return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+
+    def walk(t, row):
+        node = 1
+        for _ in range(f.depth):
+            node = 2 * node + int(row[f.feature[t, node]] >= f.value[t, node])
+        return f.path[t, node]
+
+    want = [2 ** (-np.mean([walk(t, row) for t in range(12)]) / expected(32)) for row in x]
+    assert np.allclose(f.anomaly(x), want)
+    # a tree's paths: the depth of the leaf and what a search among its rows would take
+    sample = x[:32]
+    one = rules.IsolationForest(trees=1, subsample=32).fit_each([sample])
+
+    def grown(rows, node, level):
+        if one.value[0, node] == -np.inf or level == one.depth:
+            return [(i, level + expected(len(rows))) for i in rows]
+        right = [i for i in rows if sample[i, one.feature[0, node]] >= one.value[0, node]]
+        return grown([i for i in rows if i not in right], 2 * node, level + 1) + grown(right, 2 * node + 1, level + 1)
+
+    paths = dict(grown(range(32), 1, 0))
+    assert np.allclose(one.anomaly(sample), [2 ** (-paths[i] / expected(32)) for i in range(32)])
+
+
+def test_subsamples_are_drawn_from_all_documents(frame, monkeypatch):
+    docs = [(d, f"word{d} " * (d % 50 + 1)) for d in range(3000)] + [(7, "word7 " * 8)] * 2000 + [(None, None)] * 3
+    df = frame(docs, DOC)
+    got = rules._subsamples(df.repartition(9), "doc_id", "text", 20, 64)
+    assert [len(x) for x in got] == [64] * 20
+    again = rules._subsamples(df.coalesce(1), "doc_id", "text", 20, 64)
+    assert all(np.array_equal(a, b) for a, b in zip(got, again))
+    # the smallest hashes of each seed, plainly
+    hashes = np.array(sorted({r.h for r in df.selectExpr("xxhash64(23, cast(doc_id as string), text) as h").collect()}), dtype=np.int64).view(np.uint64)
+    texts = {r.h: r.text for r in df.selectExpr("xxhash64(23, cast(doc_id as string), text) as h", "text").collect()}
+    for t in (0, 13):
+        least = hashes[np.argsort(W.mix(hashes + np.uint64(t) * np.uint64(0x9E3779B97F4A7C15)))[:64]]
+        raw = [(texts[int(h)] or "").encode() for h in least.view(np.int64)]
+        stats = textstats.statistics(np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(r) for r in raw])])
+        assert np.array_equal(got[t], rules._matrix(stats))
+    assert [len(x) for x in rules._subsamples(frame(docs[:5], DOC), "doc_id", "text", 3, 64)] == [5] * 3
+    assert [len(x) for x in rules._subsamples(frame([], DOC), "doc_id", "text", 3, 64)] == [0] * 3
+
+
 def test_words_and_hashes():
     texts = ["a bb  ccc", "", "bb", " a\tbb\n", "é é"]
     raw = [t.encode() for t in texts]
