@@ -48,6 +48,24 @@ def test_benchmark_in_many_blocks_and_small_shards(case):
     assert {r.doc_id: r.longest_words for r in got} == {k: r.longest_words for k, r in whole.items()}
 
 
+def test_one_benchmark_block_is_alive_at_a_time(case, spark, monkeypatch):
+    docs, items, d, b = case
+    alive, most, real = set(), [], spark.sparkContext.broadcast
+
+    def broadcast(value):
+        held = real(value)
+        if isinstance(value, D.Items):
+            alive.add(id(held))
+            most.append(len(alive))
+            destroy = held.destroy
+            held.destroy = lambda *a: (alive.discard(id(held)), destroy(*a))
+        return held
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    check(D.annotate(d, b, ["doc_id"], block_bytes=400).collect(), decontaminated(docs, [(str(i), t) for i, t in items]))
+    assert len(most) > 2 and max(most) == 1
+
+
 def test_longest_match_and_its_places(frame):
     passage = " ".join(f"p{i}" for i in range(30))
     item = frame([(7, f"lead in {passage} tail")], "item_id long, text string")

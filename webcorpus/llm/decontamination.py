@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webcorpus.llm import textwords as W
+from webcorpus.session import remove_scratch, scratch_path
 
 WINDOW = 13
 SHARD_BYTES = 12 << 20          # text of one suffix array
@@ -246,8 +247,10 @@ def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], *, text_col
     ``contaminated``: some words are hit, and at least one in ``share``.
     ``longest_*``: the longest verbatim match, its item and where it starts
     in the document and in the item (words, from 0; null without a match).
-    The benchmark is read in blocks of at most ``block_bytes`` of text;
-    each block is one more step over the same scan of the documents.
+    The benchmark is read in blocks of some ``block_bytes`` of text, one of
+    which is collected, indexed and broadcast at a time: the documents with
+    what a block found are written to the shared folder before the next
+    block is read.  A benchmark of one block needs no written table.
     """
     spark = docs.sparkSession
     items = benchmark.select(W.quoted(item_col).cast("string").alias("i"), W.quoted(item_text_col).alias("t"))
@@ -255,13 +258,20 @@ def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str], *, text_col
     total = items.agg(F.sum("b").alias("s")).first()["s"] or 0
     blocks = max(1, -(-2 * total // block_bytes))
     report = [f.name for f in FIELDS]
-    out = docs
+    out, written = docs, None
     carried: list[str] = []
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
         held = spark.sparkContext.broadcast(Items([(r["i"], r["t"]) for r in part.select("i", "t").orderBy("i", "t").collect()], window))
         last = b == blocks - 1
         out = _pass(out, held, keep, text_col, window, share, shard_bytes, bool(carried), last, clean_only)
+        if not last:
+            path = scratch_path(spark, "decontamination")
+            out.write.parquet(path)
+            held.destroy()
+            if written:
+                remove_scratch(spark, written)
+            out, written = spark.read.schema(out.schema).parquet(path), path
         carried = report
     return out.select(*[W.quoted(c) for c in keep], *[F.col(f"__{c}").alias(c) for c in REPORT]) if not clean_only else out.select(*[W.quoted(c) for c in keep])
 
