@@ -7,6 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tokenizers import Tokenizer
+
 from webcorpus.llm import packing as P
 from webcorpus.llm import queries as Q
 
@@ -94,3 +96,12 @@ ENCODER = P.Encoder(*P.vocabulary_files())
 @given(st.text(max_size=60))
 def test_fast_ids_equal_the_tokenizer_s(text):
     assert ENCODER.ids(text).tolist() == ENCODER.slow.encode(text, add_special_tokens=False).ids
+
+
+def test_very_long_runs_are_packed_whole(frame):
+    texts = [" " * 1_000_000, "\n" * 1_000_000, "#" * 1_000_000, " \n" * 400_000, "a" + " " * 700_000 + "b"]
+    slow = Tokenizer.from_file(P.vocabulary_files()[0])
+    got = P.pack(frame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for d, text in enumerate(texts):
+        ids = b"".join(bytes(r.ids) for r in sorted((r for r in got if r.doc_id == d), key=lambda r: r.start))
+        assert np.frombuffer(ids, "<u4").tolist() == [*slow.encode(text, add_special_tokens=False).ids, 1]

@@ -14,7 +14,8 @@ table.  Sequence ids combine the task's partition and a running number.
 
 The ids are those of the byte-level BPE vocabulary.  They are computed with
 a faster library over the same ranks; a text that contains a special
-token's string goes through the ``tokenizers`` library itself.
+token's string, or a blank run too long for that library's pattern matcher,
+goes through the ``tokenizers`` library itself.
 
 Defined results: a null or empty text is its end id alone; repeated rows
 are packed each on its own; an empty table gives no sequences.
@@ -60,7 +61,10 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype=np.uint32)
+        try:
+            return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype=np.uint32)
+        except ValueError:  # its pattern matcher gives up on very long blank runs
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
 def vocabulary_files(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
