@@ -331,3 +331,6 @@ UNION ALL SELECT 2, page_id, CASE WHEN page_id % 4 = 0 THEN 'retry' ELSE 'conten
 FROM pages WHERE page_id % 4 < 2
 UNION ALL SELECT 3, page_id, 'reject', 3 FROM pages WHERE page_id % 4 = 0"""
 ORACLE["stream_retry_rounds"] = ORACLE["retry_rounds"]
+ORACLE["sql_rows"] = """SELECT d.source, l.quality, count(*) AS n, CAST(sum(length(d.text)) AS BIGINT) AS n_chars
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.source, l.quality"""
+ORACLE["is_member_filtered"] = ORACLE["is_member"]

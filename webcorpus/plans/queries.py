@@ -20,6 +20,7 @@ from ..operators import extract as X
 from ..operators import frontier as G
 from ..operators import routing as R
 from ..operators import visited as V
+from ..operators import visited_filter as VF
 from ..operators.parallel import partitioned
 from ..session import apply_runtime_conf, scratch_path
 from ..sources import tables as S
@@ -97,6 +98,12 @@ def sql_single_row(spark, sf_dir):
                                    "sum(length(html)) AS n_chars FROM webcorpus_pages")
 
 
+def sql_rows(spark, sf_dir):
+    """SQL pass-through of all rows, over tables named in the statement."""
+    return S.sql_rows(spark, "SELECT d.source, l.quality, count(*) AS n, sum(length(d.text)) AS n_chars FROM {docs} d JOIN {labels} l ON d.doc_id = l.doc_id "
+                             "GROUP BY d.source, l.quality", docs=_t(spark, sf_dir, "documents"), labels=_t(spark, sf_dir, "labels"))
+
+
 # -- URL, number and key-value rules ----------------------------------------
 
 def visit_key(spark, sf_dir):
@@ -404,6 +411,14 @@ def is_member(spark, sf_dir):
     return V.is_member(_doc_keys(spark, sf_dir), visited).select("doc_id", "meta", "key", "is_member")
 
 
+def is_member_filtered(spark, sf_dir):
+    """D3 with the set's Bloom filter: keys it does not know take no part in the join."""
+    visited = V.keyed(_label_urls(spark, sf_dir), "url", "blog").select("meta", "key")
+    blocks = VF.blocks_for(_t(spark, sf_dir, "labels").count())
+    found = VF.is_member_filtered(_doc_keys(spark, sf_dir), visited, VF.build(visited, blocks), blocks)
+    return found.select("doc_id", "meta", "key", "is_member")
+
+
 def reconcile_visited(spark, sf_dir):
     """Document keys against the stored (labelled) article URLs."""
     return V.reconcile(_doc_keys(spark, sf_dir).select("meta", "key"), _label_urls(spark, sf_dir), "blog")
@@ -619,6 +634,7 @@ QUERIES = {
     "wholetext_lines": wholetext_lines,
     "per_file_outputs": per_file_outputs,
     "sql_single_row": sql_single_row,
+    "sql_rows": sql_rows,
     "visit_key": visit_key,
     "follow_url": follow_url,
     "resolve_url": resolve_url,
@@ -654,6 +670,7 @@ QUERIES = {
     "set_members": set_members,
     "forget_keys": forget_keys,
     "is_member": is_member,
+    "is_member_filtered": is_member_filtered,
     "reconcile_visited": reconcile_visited,
     "rekey_visited": rekey_visited,
     "frontier_union": frontier_union,

@@ -58,3 +58,11 @@ def sql_single_row(spark: SparkSession, sql: str) -> DataFrame:
     if len(rows) != 1:
         raise ValueError(f"expected exactly one row, got {'none' if not rows else 'more than one'}")
     return spark.createDataFrame(rows, df.schema)
+
+
+def sql_rows(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
+    """S8 (all-rows form): every row of the statement, lazily, as Spark plans it.
+
+    ``tables`` are named in the statement as ``{name}``; nothing is
+    registered or fetched."""
+    return spark.sql(sql, **tables)
