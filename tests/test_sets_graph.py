@@ -100,6 +100,33 @@ def test_write_then_mark_is_idempotent(spark):
     assert [r.url for r in R.ineligible_rejects(recs).collect()] == ["ftp://x.net/c"]
 
 
+def test_write_then_mark_with_keys_in_buckets(spark, monkeypatch):
+    recs = spark.createDataFrame([(i, f"https://x.net/k{i}") for i in range(30)], "id long, url string")
+    path = scratch_path(spark, "t_marked_held")
+    held = V.VisitedTable(spark, path + "_keys", buckets=4)
+    R.write_then_mark(recs.where("id < 10"), path, None, "blog", held=held)
+    stored, _ = R.write_then_mark(recs.where("id < 20"), path, None, "blog", held=held)
+    assert sorted(r.id for r in stored.collect()) == list(range(20))
+
+    class Gone(Exception):
+        pass
+
+    def crash(*_):
+        raise Gone
+
+    calls, real = [], R._index_writes
+    with monkeypatch.context() as m:   # dies once the rows are written, before their keys are
+        m.setattr(R, "_index_writes", lambda *a: calls.append(1) or (real if len(calls) == 1 else crash)(*a))
+        try:
+            R.write_then_mark(recs.where("id < 25"), path, None, "blog", held=held)
+            raise AssertionError
+        except Gone:
+            pass
+    stored, new = R.write_then_mark(recs, path, None, "blog", held=V.VisitedTable(spark, path + "_keys"))
+    assert sorted(r.id for r in stored.collect()) == list(range(30)) and new.count() == 5
+    assert held.read().where("meta = 'blog'").distinct().count() == 30
+
+
 def test_first_seen_orders_by_two_columns(spark):
     big = 2**62
     rows = [("m", "k", -5, big), ("m", "k", -5, -big), ("m", "k", 7, 0), ("m", "l", 0, -1), ("m", "l", 0, 0), ("m", "n", 10**15, 1), ("m", "n", 10**15, -1)]

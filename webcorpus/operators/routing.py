@@ -5,12 +5,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import urls as U
-from ..session import path_exists
+from ..session import list_names, path_exists
 from . import visited as V
 
 # Fixed value: the marker of an access-challenge page instead of content.
@@ -75,26 +75,52 @@ def write_sinks(routed: DataFrame, path: str, mode: str = "append") -> None:
     routed.write.mode(mode).partitionBy("sink").parquet(path)
 
 
+_WRITES = "write"   # the set's members of this name are the writes whose keys it holds
+
+
+def _index_writes(spark: SparkSession, table_path: str, schema: T.StructType, url_col: str, meta: str, held: V.VisitedTable) -> None:
+    """Add to ``held`` the keys of the table's writes that it does not know, and the writes."""
+    names = {n.removeprefix("write=") for n in list_names(spark, table_path) if n.startswith("write=")}
+    known = held.read()
+    if known is not None:
+        names -= {r["key"] for r in known.where(F.col("meta") == _WRITES).select("key").distinct().toLocalIterator()}
+    if names:
+        new = spark.read.schema(schema).parquet(table_path).where(F.col("write").isin(*names)).select(url_col)
+        marks = spark.createDataFrame([(_WRITES, n) for n in sorted(names)], "meta string, key string")
+        held.append(V.keyed(new, url_col, meta).select(*V.SET_COLS).distinct().unionByName(marks))
+
+
 def write_then_mark(records: DataFrame, table_path: str, visited: DataFrame | None,
-                    meta: str, url_col: str = "url", mode: str = "append"):
+                    meta: str, url_col: str = "url", mode: str = "append", held: V.VisitedTable | None = None):
     """K3: store the records whose key the table does not hold yet, then mark
     as visited the keys of the rows just stored -- a key never counts as
     visited unless its record was stored.
 
-    Each call writes one ``write=<n>`` partition and reads back that one, so
-    running the same records again stores nothing and costs the batch, not
-    the table.  Of records with one key the smallest row is stored; records
+    Each call writes one ``write=<n>`` partition and reads back that one;
+    running the same records again stores nothing.  Without ``held`` the keys
+    the table holds are read from its URL column, all of it; ``held`` (a
+    :class:`~webcorpus.operators.visited.VisitedTable`) keeps them in buckets,
+    so that a call shuffles its batch only.  Writes that ``held`` does not
+    know (a job that died before it recorded them) are indexed first.  Of records with one key the smallest row is stored; records
     without a key are not (log them with :func:`ineligible_rejects`).
     Returns ``(stored table, new visited set)``."""
     spark = records.sparkSession
     schema = T.StructType([*records.schema.fields, T.StructField("write", T.StringType())])
     rows = V.keyed(records, url_col, meta)
     rows = rows.groupBy(*V.SET_COLS).agg(F.min(F.struct(*[F.col(c) for c in records.columns])).alias("r"))
-    if path_exists(spark, table_path):
-        held = V.keyed(spark.read.schema(schema).parquet(table_path).select(url_col), url_col, meta).select(*V.SET_COLS).distinct()
-        rows = rows.join(held, V.SET_COLS, "left_anti")
+    if held is not None:
+        _index_writes(spark, table_path, schema, url_col, meta, held)
+        stored_keys = held.read()
+    elif path_exists(spark, table_path):
+        stored_keys = V.keyed(spark.read.schema(schema).parquet(table_path).select(url_col), url_col, meta).select(*V.SET_COLS).distinct()
+    else:
+        stored_keys = None
+    if stored_keys is not None:
+        rows = rows.join(stored_keys, V.SET_COLS, "left_anti")
     write = uuid.uuid4().hex
     (rows.select("r.*").withColumn("write", F.lit(write)).write.mode(mode).partitionBy("write").parquet(table_path))
+    if held is not None:
+        _index_writes(spark, table_path, schema, url_col, meta, held)
     table = spark.read.schema(schema).parquet(table_path)
     written = V.keyed(table.where(F.col("write") == write).select(url_col), url_col, meta).select(*V.SET_COLS).distinct()
     stored = table.drop("write")
