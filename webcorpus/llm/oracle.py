@@ -94,7 +94,14 @@ FROM turns GROUP BY conv_id
 
 def _secrets() -> str:
     """Matches and the pieces between them alternate here, too; the link is a plain range join of all parts."""
-    from webcorpus.llm.secrets import SCOPE, STRONG, WEAK
+    from webcorpus.llm.secrets import WEAK
+
+    scope = 240
+    strong = {  # the base rules, written out
+        "assign": (r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8),
+        "access": ("(AKIA[A-Z0-9]+)", 16),
+        "hex": ("([0-9a-f]{32,})", 32),
+    }
 
     def java_to_re2(p: str) -> str:
         return p.replace("'", "''")
@@ -102,7 +109,7 @@ def _secrets() -> str:
     kinds = " UNION ALL ".join(
         f"SELECT doc_id, '{k}' AS kind, {i} AS rank, {least} AS least, regexp_extract_all(t, '{java_to_re2(p)}', 0) AS m,"
         f" regexp_extract_all(t, '{java_to_re2(p)}', 1) AS g, regexp_split_to_array(t, '{java_to_re2(p)}') AS s FROM doc"
-        for i, (k, (p, least)) in enumerate((STRONG | WEAK).items()))
+        for i, (k, (p, least)) in enumerate((strong | WEAK).items()))
     part = "CASE kind WHEN 'assign' THEN 'secret' WHEN 'hex' THEN 'secret' WHEN 'access' THEN 'identifier' ELSE kind END"
     return f"""
 WITH doc AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -115,7 +122,7 @@ part AS (SELECT doc_id, kind, rank, a, a + n AS e, kind IN ('assign', 'access',
          FROM spot WHERE value >= CASE WHEN kind IN ('assign', 'access', 'hex') THEN 4 ELSE least END),
 base AS (SELECT doc_id, kind, rank, a, e FROM part WHERE strong),
 weak AS (SELECT x.doc_id, x.part, x.a, x.e FROM part x JOIN part y
-         ON x.doc_id = y.doc_id AND x.part <> y.part AND y.a < x.e + {SCOPE} AND y.e > x.a - {SCOPE}
+         ON x.doc_id = y.doc_id AND x.part <> y.part AND y.a < x.e + {scope} AND y.e > x.a - {scope}
          WHERE NOT x.strong GROUP BY ALL HAVING count(DISTINCT y.part) = 2),
 spans AS (SELECT doc_id, kind, rank, a, e FROM base UNION ALL
           SELECT doc_id, 'linked_' || part, CASE part WHEN 'identifier' THEN 3 WHEN 'secret' THEN 4 ELSE 5 END, a, e FROM weak),
