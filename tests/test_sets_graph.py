@@ -202,6 +202,28 @@ def test_write_per_file(spark):
     assert [r.text for r in back.collect()] == ["x\n"]
 
 
+def test_files_are_written_by_the_tasks(spark):
+    """Odd, empty, repeated and null names and texts as Spark's text writer stores them, without its cost for each file."""
+    import os
+
+    from webcorpus.operators import corpus as C
+    rows = [("a/b:c=d%", "x\n\n"), ("e f.txt", None), ("", "empty"), (None, "none"), ("twice", "t"), ("twice", "t"), ("\x01{é}[^]\\", "你\r\n好")]
+    df = spark.createDataFrame(rows, "file_name string, text string").repartition(3)
+    one, two, each = (scratch_path(spark, n) for n in ("t_names", "t_names_spark", "t_each"))
+    C.write_per_file(df, one)
+    body = df.selectExpr("file_name", r"regexp_replace(text, '\\n\\z', '') AS text")
+    body.repartition("file_name").write.partitionBy("file_name").text(two)
+
+    def back(path):
+        return sorted(((r.file_name or "", r.value) for r in spark.read.text(path, wholetext=True).collect()))
+    assert back(one) == back(two) and len(back(one)) == 5
+    C.write_each(df, each)
+    assert sorted(r.value for r in spark.read.text(each, wholetext=True).collect()) == sorted((t or "") + "\n" for _, t in rows)
+    for path in (one, each):
+        names = [n for _, _, files in os.walk(path.removeprefix("file:")) for n in files]
+        assert names and not [n for n in names if n.endswith(".crc")]
+
+
 def test_write_sinks_one_pass(spark):
     ev = spark.createDataFrame([(1, "error"), (2, "view"), (3, "click")], "id int, level string")
     path = scratch_path(spark, "t_sinks")

@@ -6,13 +6,22 @@ expression, so a 100 TB input is processed as parallel scans.
 
 from __future__ import annotations
 
+import os
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
+from ..session import make_folder, mounted, remove_path
 from .parallel import partitioned
 
+#: the tasks, not the driver, put the files of a write in place
+IN_TASKS = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
+_ODD_IN_NAMES = r"\x01-\x1F\x7F\"#%'*/:=?\\{}\[\]^"
+
 CORPUS_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()),
                               T.StructField("text", T.StringType())])
 
@@ -65,15 +74,72 @@ def last_by_title(df: DataFrame, title_col: str = "title", content_col: str = "c
         .select(title_col, order_col, content_col)
 
 
+def _write_rows(df: DataFrame, folder: str, name_col: str | None) -> None:
+    """Text files under a mounted folder, written by the tasks: rows of one
+    ``name_col`` folder (escaped already) in one file there, or a file for
+    each row without one.  A task that runs again writes the same files again."""
+    rows = df.select(*([F.col(name_col).alias("name")] if name_col else []), F.col(df.columns[-1]).alias("text"))
+
+    def run(batches):
+        part, out, last, n = TaskContext.get().partitionId(), None, None, 0
+        try:
+            for batch in batches:
+                names = batch.column("name").to_pylist() if name_col else [None] * batch.num_rows
+                for name, text in zip(names, batch.column("text")):
+                    if out is None or name_col is None or name != last:
+                        if out is not None:
+                            out.close()
+                        if name_col:
+                            os.makedirs(f"{folder}/{name}", exist_ok=True)
+                        out, last = open(f"{folder}/{name}/part.txt" if name_col else f"{folder}/part-{part:05d}-{n}.txt", "wb"), name
+                        n += 1
+                    if text.is_valid:
+                        out.write(text.as_buffer())
+                    out.write(b"\n")
+        finally:
+            if out is not None:
+                out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["files"])
+
+    rows.mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
+def write_each(df: DataFrame, path: str, text_col: str = "text") -> None:
+    """Every row as a text file of its own in a new folder, a newline behind its text.
+
+    On a mounted file system the tasks write the files themselves: Hadoop's
+    local store starts a process for the mode of every file it makes.  Other
+    stores get Spark's text writer, its tasks putting their files in place
+    (the driver would rename them one by one)."""
+    spark = df.sparkSession
+    if not (folder := mounted(spark, path)):
+        return df.select(text_col).write.option("maxRecordsPerFile", 1).option(*IN_TASKS).text(path)
+    make_folder(spark, path)
+    _write_rows(df.select(text_col), folder, None)
+
+
 def write_per_file(df: DataFrame, path: str, name_col: str = "file_name", text_col: str = "text",
                    mode: str = "overwrite") -> None:
     """K5: one output per input file, keyed by its name (``name=<file>``
-    folders).  Meant for folders of a modest number of files; for large
-    corpora keep ``file_name`` as a column of a parquet table instead.
+    folders); where a store keeps its files' names cheaper as rows, keep
+    ``file_name`` as a column of a parquet table instead.  The files are
+    written as :func:`write_each` writes them.
     The text writer ends every row with a newline, so one final ``\n`` is
     taken off first: texts that end in a newline come back unchanged."""
-    body = F.regexp_replace(F.col(text_col), r"\n\z", "").alias(text_col)
-    df.select(name_col, body).repartition(name_col).write.mode(mode).partitionBy(name_col).text(path)
+    spark, body = df.sparkSession, F.regexp_replace(F.col(text_col), r"\n\z", "").alias(text_col)
+    rows = df.select(F.col(name_col), body).repartition(name_col)
+    folder = mounted(spark, path) if mode == "overwrite" else None
+    if not folder:
+        return rows.write.mode(mode).option(*IN_TASKS).partitionBy(name_col).text(path)
+    remove_path(spark, path)
+    make_folder(spark, path)
+    # the folder names of a table partitioned by name: odd characters escaped, none for a null
+    name = F.col(name_col).cast("string")
+    pieces = F.transform(F.regexp_extract_all(name, F.lit(rf"(?s)[{_ODD_IN_NAMES}]|[^{_ODD_IN_NAMES}]+"), F.lit(0)),
+                         lambda p: F.when(p.rlike(f"^[{_ODD_IN_NAMES}]$"), F.concat(F.lit("%"), F.hex(p))).otherwise(p))
+    name = F.when(name != "", F.array_join(pieces, "")).otherwise(F.lit("__HIVE_DEFAULT_PARTITION__"))
+    name = F.concat(F.lit(f"{name_col}="), F.coalesce(name, F.lit("__HIVE_DEFAULT_PARTITION__"))).alias("_folder")
+    _write_rows(rows.select(name, text_col).sortWithinPartitions("_folder"), folder, "_folder")
 
 
 def write_json_corpus(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none",
