@@ -72,7 +72,7 @@ def wholetext_scan(spark, sf_dir):
     per file with its line ends normalised."""
     docs = _t(spark, sf_dir, "documents").select("text")
     path = scratch_path(spark, "text_files")
-    docs.write.option("maxRecordsPerFile", 1).text(path)
+    C.write_each(docs, path)
     # the writer ends every text with a newline
     return S.read_text_files(spark, path).select(F.regexp_replace("text", r"\n\z", "").alias("text"))
 
