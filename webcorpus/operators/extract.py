@@ -362,7 +362,7 @@ def _profile_native(pages: DataFrame) -> DataFrame:
     single = F.lit(True)
     for word in words:
         single = single & FL.once(seen, word)
-    regular = single & ~seen.rlike(FL._ENTITY) & seen.startswith("<html") & ~seen.rlike(r"(?i)<(?:base|frameset|p|li|option)\b|<(?-i:[A-Z])") & F.col("html").rlike(scripts)
+    regular = single & ~seen.rlike(FL._ENTITY) & seen.startswith("<html") & ~seen.rlike(r"<(?:(?i:base|frameset|p|li|option)\b|[A-Z])") & F.col("html").rlike(scripts)
     pages = FL._once(pages, "_hit", F.when(regular, F.regexp_extract(seen, whole, 0)))
     pages = FL._once(pages, "_cell", F.when(hit != "", FL.groups(hit, whole, 4)))
     cut = {n: F.get("_cell", i) for i, n in enumerate(("name", "data", "grades", "badges"))}

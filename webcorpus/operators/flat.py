@@ -19,14 +19,17 @@ from .parallel import partitioned
 
 MARK, GAP = "\u0001", "\u0002"
 ATTRS = r'(?:\s+[a-zA-Z][a-zA-Z0-9\-]*="[^"<>]*+")*+\s*+'
-_HIDDEN = r"(?is)<!--.*?-->|<(script|style|title|textarea)\b[^>]*+>.*?</\1\s*+>"
-# what the cut of hidden parts or the item patterns could misread
-_ODD = (r"(?is)[\x00-\x02]|--!>|<(?:!(?!--|doctype)|\?|!--+>|(?:script|style|title|textarea)\b[^>]*/>|(?:title|textarea)\b[^>]*+>[^<]*+<(?!/(?:title|textarea)\s*+>)"
+_HIDDEN = r"(?is)<(?:!--.*?-->|(script|style|title|textarea)\b[^>]*+>.*?</\1\s*+>)"
+# what the cut of hidden parts or the item patterns could misread; every
+# pattern over whole pages begins with a single character that few places have
+_CONTROL = r"[\x00-\x02]"
+_ODD = (r"(?is)<(?=[!?stinxpm])(?:!(?!--|doctype)|\?|!--+>|(?:script|style|title|textarea)\b[^>]*/>|(?:title|textarea)\b[^>]*+>[^<]*+<(?!/(?:title|textarea)\s*+>)"
         r"|(?:iframe|noscript|noframes|noembed|xmp|plaintext|template|svg|math)\b)")
 _ENTITY = r"&(?!(?:amp|lt|gt|quot|#39);)"
 
 TEXT = r"[^<\x00-\x02]*+"                       # between tags, nothing hidden there
-_TWICE = r'<[^<>]*\s(class|id|title)="[^"<>]*"[^<>]*\s\1="'
+_TWICE_NEAR = r'\s(class|id|title)="[^"<>]*"[^<>]*\s\1="'  # in a tag or not: a cheap first look
+_TWICE = r"<[^<>]*" + _TWICE_NEAR
 
 
 def tag(name: str, attr: str | None = None, value: str = "", how: str = "is") -> str:
@@ -44,8 +47,7 @@ def element(name: str, body: str, *start) -> str:
 
 def attr(tag_text: Column, name: str) -> Column:
     """An attribute of a start tag, null without it."""
-    value = F.nullif(F.regexp_extract(tag_text, rf'\s{name}=("[^"]*+")', 1), F.lit(""))
-    return unescape(F.substring(value, F.lit(2), F.length(value) - 2))
+    return unescape(F.get(F.regexp_extract_all(tag_text, F.lit(rf'\s{name}="([^"]*+)"'), F.lit(1)), 0))
 
 
 def groups(text: Column, pattern: str, n: int) -> Column:
@@ -53,15 +55,20 @@ def groups(text: Column, pattern: str, n: int) -> Column:
     return F.split(F.regexp_replace(text, pattern, MARK.join(f"${i}" for i in range(1, n + 1))), MARK)
 
 
+def odd(page: Column) -> Column:
+    """Whether a page holds what could be misread."""
+    return page.rlike(_CONTROL) | page.contains("--!>") | page.rlike(_ODD)
+
+
 def plain(html: str = "html") -> Column:
     """The page as :func:`visible` shows it, null if an entity, a repeated attribute or a hidden part could be misread."""
     page = F.col(html)
-    return F.when(~page.rlike(_ODD) & ~page.rlike(_TWICE), visible(html))
+    return F.when(~odd(page) & ~(page.rlike(_TWICE_NEAR) & page.rlike(_TWICE)), visible(html))
 
 
 def once(page: Column, word: str) -> Column:
     """Whether a word stands in the page exactly once."""
-    return F.length(page) - F.length(F.replace(page, F.lit(word), F.lit(""))) == len(word)
+    return F.regexp_count(page, F.lit(rf"\Q{word}\E")) == 1
 
 
 @dataclass(frozen=True)
@@ -94,7 +101,7 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def judged(pages: DataFrame, flat: Flat) -> DataFrame:
     """Pages with ``_items``, the markup of the rule's items, and ``_regular``: whether all of them are of the regular form."""
-    df = _once(pages, "_seen", F.when(~F.col("html").rlike(_ODD), visible()))
+    df = _once(pages, "_seen", F.when(~odd(F.col("html")), visible()))
     df = _once(df, "_items", F.regexp_extract_all("_seen", F.lit(flat.item), F.lit(0)))
     df = _once(df, "_cut", F.regexp_replace("_seen", flat.item, MARK))
     df = _once(df, "_bare", F.regexp_replace("_cut", flat.container, ""))
@@ -117,7 +124,8 @@ def extract(pages: DataFrame, flat: Flat, n: int, first: int, record, tree, reas
     src = partitioned(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), "page_id")
     src = judged(src, flat)
     items = src.where("_regular").select("page_id", "url", F.posexplode("_items").alias("pos", "item")).where(F.col("pos") >= first)
-    items = items.select("page_id", "url", "pos", F.struct(*[F.regexp_extract("item", flat.item, i).alias(f"g{i}") for i in range(1, n + 1)]).alias("g"))
+    cells = _once(items, "_g", groups(F.col("item"), flat.item, n))
+    items = cells.select("page_id", "url", "pos", F.struct(*[F.get("_g", i - 1).alias(f"g{i}") for i in range(1, n + 1)]).alias("g"))
     why = reason(F.col("g")) if reason else F.lit(None).cast("string")
     native = items.select("page_id", "url", F.col("pos").cast("int").alias("pos"),
                           *[F.when(why.isNull(), c).alias(name) for name, c in record(F.col("g")).items()], why.alias("reject_reason"))

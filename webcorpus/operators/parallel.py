@@ -21,3 +21,15 @@ def partitioned(df: DataFrame, key: str | None = None) -> DataFrame:
     if not n:
         return df
     return df.repartition(int(n), key) if key else df.repartition(int(n))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Narrow rows dealt out evenly before costly work on each, such as rendering and parsing a page.
+
+    Their scan is no measure of that work: some MB of parquet, one task,
+    hold the rows of hours.  As many partitions as :func:`partitioned` was told, or
+    as shuffles have (``spark.sql.shuffle.partitions``)."""
+    if df.isStreaming:
+        return df
+    conf = df.sparkSession.conf
+    return df.repartition(int(conf.get(STAGE_PARTITIONS, None) or conf.get("spark.sql.shuffle.partitions")))

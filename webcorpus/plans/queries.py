@@ -21,8 +21,8 @@ from ..operators import frontier as G
 from ..operators import routing as R
 from ..operators import visited as V
 from ..operators import visited_filter as VF
-from ..operators.parallel import partitioned
-from ..session import apply_runtime_conf, scratch_path
+from ..operators.parallel import dealt
+from ..session import apply_runtime_conf, remove_scratch, scratch_path
 from ..sources import tables as S
 from ..streaming import retries as RT
 from ..streaming import stream as W
@@ -201,7 +201,7 @@ def site_link_edges(spark, sf_dir):
         G.feed_edges(X.feed_links(RD.feed_pages(o))),
         G.followee_edges(X.followee_links(RD.followee_pages(o))),
         G.article_list_edges(X.article_list_links(RD.article_list_pages(o))),
-        G.list_page_edges(X.user_profile(RD.profile_pages(_t(spark, sf_dir, "customer")))))
+        G.list_page_edges(user_profile(spark, sf_dir)))
 
 
 def article_titles(spark, sf_dir):
@@ -216,8 +216,8 @@ def feed_links(spark, sf_dir):
 
 def user_profile(spark, sf_dir):
     """X3 + X4 RT on profiles rendered from customers."""
-    # one page per row: the narrow rows are dealt out, if at all, so pages render in parallel
-    return X.user_profile(RD.profile_pages(partitioned(_t(spark, sf_dir, "customer"), "c_custkey")), repartition=False)
+    # one page per row: the narrow rows are dealt out, so pages render in parallel
+    return X.user_profile(RD.profile_pages(dealt(_t(spark, sf_dir, "customer"))), repartition=False)
 
 
 def page_count(spark, sf_dir):
@@ -242,8 +242,8 @@ def article_list_links(spark, sf_dir):
 
 def article_detail(spark, sf_dir):
     """X7 + X8 + T5 + M3 RT on article pages rendered from orders."""
-    # one page per row: the narrow rows are dealt out, if at all, so pages render in parallel
-    return X.article_detail(RD.article_pages(partitioned(_t(spark, sf_dir, "orders"), "o_orderkey")), repartition=False)
+    # one page per row: the narrow rows are dealt out, so pages render in parallel
+    return X.article_detail(RD.article_pages(dealt(_t(spark, sf_dir, "orders"))), repartition=False)
 
 
 def read_count(spark, sf_dir):
@@ -317,7 +317,10 @@ def user_info_append(spark, sf_dir):
     """K1 RT: author records with their surrogate id, appended when first
     seen in set ``user``: a first batch is history, the second holds all."""
     ok, _ = X.split_rejects(user_profile(spark, sf_dir))
-    cand = V.keyed(ok.select(*X.USER_COLUMNS, "page_id"), "url", "user")
+    # looked at four times below: the profiles are extracted once
+    cand, once = V.keyed(ok.select(*X.USER_COLUMNS, "page_id"), "url", "user"), scratch_path(spark, "authors")
+    cand.write.parquet(once)
+    cand = spark.read.schema(cand.schema).parquet(once)
     path, schema = scratch_path(spark, "user_info"), T.StructType([T.StructField("id", T.LongType()), *USER_SCHEMA.fields])
     visited = None
     for batch in (cand.where(F.col("page_id") % 2 == 0), cand):
@@ -325,6 +328,7 @@ def user_info_append(spark, sf_dir):
         enforce_schema(first.select(CR.surrogate_id().alias("id"), *X.USER_COLUMNS), schema).write.mode("append").parquet(path)
         stored = spark.read.schema(schema).parquet(path)
         visited = V.keyed(stored.select("url"), "url", "user").select("meta", "key")
+    remove_scratch(spark, once)
     return stored.where(F.col("id") == CR.surrogate_id()).select(*X.USER_COLUMNS)
 
 
