@@ -172,6 +172,37 @@ def test_empty_documents_and_clashing_columns(frame):
     assert rules.judge(docs.limit(0), rules.fit(docs.limit(0), labels), ["doc_id"]).count() == 0
 
 
+def _plain_limit(rows, may_lose):
+    good, best = sum(g for _, g in rows), (0, None)
+    bad, values = len(rows) - sum(g for _, g in rows), sorted({a for a, _ in rows}, reverse=True)
+    for i, v in enumerate(values):
+        lost = sum(g for a, g in rows if a >= v) / good
+        caught = sum(not g for a, g in rows if a >= v) / bad
+        if lost <= may_lose and caught - lost > best[0]:
+            best = (caught - lost, (v + values[i + 1]) / 2 if i + 1 < len(values) else 0.0)
+    return best[1]
+
+
+def test_limit_of_rules_against_plain_model(frame):
+    rng = random.Random(3)
+    for n, may_lose in ((300, 0.05), (300, 0.0), (40, 1.0), (2, 1.0)):
+        rows = [(round(min(1.0, rng.random() * (0.6 if i % 3 else 1.1)), 3), i % 3 != 0) for i in range(n)]
+        got = rules._limit(frame(rows, "anomaly double, good boolean").repartition(5), may_lose)
+        assert got == _plain_limit(rows, may_lose)
+    assert rules._limit(frame([(0.5, True)], "anomaly double, good boolean"), 1.0) is None
+
+
+def test_limit_of_rules_is_fitted_on_all_labelled_rows(frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rules, "_limit", lambda scores, _: seen.append(scores.count()))
+    n = 26_000
+    docs = frame([(i, f"{i} " + " ".join(f"w{j}" for j in range(60))) for i in range(n)], DOC)
+    rules.fit(docs, frame([(i, i % 2) for i in range(n)], "doc_id long, quality int"))
+    assert seen == [sum(not held(i) for i in range(n))] and seen[0] < n
+    rules.fit(docs.limit(40), frame([(i, i % 2) for i in range(40)], "doc_id long, quality int"), max_repeat_percent=100)
+    assert seen[1] == sum(not held(i) for i in range(40))
+
+
 def test_sample_is_bounded_and_leaves_the_held_out_fold(frame):
     docs = frame([(i, "t") for i in range(500)], DOC)
     labels = frame([(i, int(i % 10 == 0)) for i in range(500)] + [(1, 1)], "doc_id long, y int")

@@ -10,9 +10,9 @@ the good ones go.
 
 Every tree has a subsample of its own from all documents: those with the
 smallest seeded hashes of id and text, one seed a tree, found in one pass
-over the table.  The threshold is fitted on at most ``label_rows`` labelled
-documents that are not held out.  The statistics cover every whole text, in
-one pass without a shuffle.
+over the table.  The threshold is fitted on all labelled documents that
+are not held out.  The statistics cover every whole text, in one pass
+without a shuffle.
 
 Defined results: a null or wordless text has all counts 0 and fails the
 floor; lines without words never count as repeated; repeated rows get
@@ -29,12 +29,13 @@ from pyspark.sql import types as T
 
 from webcorpus.llm import labelled, textstats
 from webcorpus.llm import textwords as W
+from webcorpus.llm.scratch import Scratch
 
-LABEL_ROWS = 20_000
 TREES, SUBSAMPLE = 200, 256
 MAY_LOSE = 0.005
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 CHUNK_BYTES = 2 << 20
+BINS = 4096
 U64 = np.uint64
 #: statistics the trees split on; the length of a text is no fault, so it is none of them
 SPLIT_ON = [n for n in textstats.RATIOS if n not in ("log_words", "line_words", "wide", "distinct_words")]
@@ -105,19 +106,6 @@ class IsolationForest:
             out[lo:lo + 2048] = 2.0 ** (-self.path[trees, node].mean(axis=1) / self.norm)
         return out
 
-    def calibrate(self, x: np.ndarray, good: np.ndarray, may_lose: float) -> "IsolationForest":
-        if len(good) and good.any() and not good.all():
-            a = self.anomaly(x)
-            order = np.argsort(-a, kind="stable")
-            a, g = a[order], good[order]
-            lost, caught = np.cumsum(g) / g.sum(), np.cumsum(~g) / (~g).sum()
-            last = np.r_[a[1:] != a[:-1], True]  # rows of one score go together
-            value = np.where(last & (lost <= may_lose), caught - lost, -1)
-            best = int(np.argmax(value))
-            if value[best] > 0:
-                self.limit = float((a[best] + a[best + 1]) / 2) if best + 1 < len(a) else 0.0
-        return self
-
 
 def _matrix(stats: dict) -> np.ndarray:
     return np.stack([np.asarray(stats[n], dtype=np.float64) for n in SPLIT_ON], axis=1)
@@ -127,15 +115,42 @@ def _base_failed(stats: dict, min_words: int, max_percent: int) -> np.ndarray:
     return (stats["n_words"] < min_words) | (100 * stats["n_repeat_words"] > max_percent * stats["n_words"])
 
 
-def _measured(rows: DataFrame, keep: list[str]):
-    """Statistics of sampled (id, text, ...) rows as pandas, equal rows once."""
-    fields = T.StructType([T.StructField(n, T.DoubleType()) for n in ["n_words", "n_repeat_words", *SPLIT_ON]])
-
-    def make():
-        return lambda data, offsets: {n: np.asarray(v, dtype=np.float64) for n, v in textstats.statistics(data, offsets).items() if n in fields.names}
-
-    got = W.annotate(rows.dropDuplicates(["id", "text"]), "text", keep, fields, make, CHUNK_BYTES)
-    return got.toPandas().sort_values(["id", *fields.names], kind="stable")
+def _limit(scores: DataFrame, may_lose: float) -> float | None:
+    """The anomaly above which rows go: the one that best separates good from bad ``(anomaly, good)``
+    rows while at most ``may_lose`` of the good ones go; None without both kinds or without such a one.
+
+    Exact over all rows.  The rows are counted per value, and their running
+    counts are taken in ``BINS`` equal parts of 0 to 1; only the parts' sums
+    pass through the driver."""
+    spark = scores.sparkSession
+    kept = Scratch(spark, "rules")
+    try:
+        part = F.floor(F.col("anomaly") * BINS).cast("int").alias("part")
+        values = kept.save(scores.groupBy("anomaly").agg(F.sum(F.col("good").cast("long")).alias("g"), F.count("*").alias("n"))
+                           .select(part, "anomaly", "g", (F.col("n") - F.col("g")).alias("b")), "scores")
+        parts = values.groupBy("part").agg(F.sum("g"), F.sum("b")).orderBy(F.desc("part")).collect()
+        good, bad = sum(r[1] for r in parts), sum(r[2] for r in parts)
+        if not good or not bad:
+            return None
+        above, rows = (0, 0), []
+        for r in parts:
+            rows.append((r[0], *above))
+            above = (above[0] + r[1], above[1] + r[2])
+        # a part of which even the first row loses too many cannot hold the limit
+        rows = [r for r in rows if r[1] / good <= may_lose]
+        before = spark.createDataFrame(rows, "part int, g0 long, b0 long")
+        so_far = Window.partitionBy("part").orderBy(F.desc("anomaly")).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = values.join(F.broadcast(before), "part").select(
+            "anomaly", ((F.col("g0") + F.sum("g").over(so_far)) / F.lit(float(good))).alias("lost"),
+            ((F.col("b0") + F.sum("b").over(so_far)) / F.lit(float(bad))).alias("caught"))
+        value = (F.col("caught") - F.col("lost")).alias("value")
+        best = ranked.where(F.col("lost") <= may_lose).select("anomaly", value).where("value > 0").orderBy(F.desc("value"), F.desc("anomaly")).first()
+        if best is None:
+            return None
+        below = values.where(F.col("anomaly") < F.lit(best["anomaly"])).agg(F.max("anomaly")).first()[0]
+        return 0.0 if below is None else (best["anomaly"] + below) / 2
+    finally:
+        kept.clear()
 
 
 def _subsamples(docs: DataFrame, id_col: str, text_col: str, trees: int, size: int) -> list[np.ndarray]:
@@ -172,14 +187,20 @@ def _subsamples(docs: DataFrame, id_col: str, text_col: str, trees: int, size: i
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-        label_rows: int = LABEL_ROWS, may_lose: float = MAY_LOSE, min_words: int = MIN_WORDS,
-        max_repeat_percent: int = MAX_REPEAT_PERCENT) -> IsolationForest:
-    """Forest on subsamples of all documents, its limit from labelled ones (1: good) that pass the floor."""
+        may_lose: float = MAY_LOSE, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> IsolationForest:
+    """Forest on subsamples of all documents, its limit from all labelled ones (1: good) outside the held-out fold that pass the floor."""
     forest = IsolationForest()
     forest.fit_each(_subsamples(docs, id_col, text_col, forest.trees, forest.subsample))
-    known = _measured(labelled.sample(docs, labels, label_col, label_rows, id_col=id_col, text_col=text_col), ["id", "label"])
-    known = known[~_base_failed(known, min_words, max_repeat_percent)]
-    return forest.calibrate(known[SPLIT_ON].to_numpy(), known["label"].to_numpy() != 0, may_lose)
+    # only the scores are joined with the labels; the texts are not shuffled
+    text = W.quoted(text_col).cast("string")
+    rows = docs.select(W.quoted(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text")).where(F.col("id").isNotNull() & ~labelled.held_out("id"))
+    scored = judge(rows, forest, ["id", "h"], min_words=min_words, max_repeat_percent=max_repeat_percent)
+    scored = scored.where("not base_failed").select("id", "h", "anomaly").dropDuplicates(["id", "h"])
+    scores = scored.join(labelled.known(labels, label_col, id_col), "id").select("anomaly", (F.col("label") != 0).alias("good"))
+    limit = _limit(scores, may_lose)
+    if limit is not None:
+        forest.limit = limit
+    return forest
 
 
 def judge(docs: DataFrame, forest: IsolationForest, keep: list[str], *, text_col: str = "text",
