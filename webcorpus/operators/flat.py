@@ -47,16 +47,20 @@ def tag(name: str, attr: str | None = None, value: str = "", how: str = "is") ->
     return rf'<{name}\b(?=[^<>]*\s{attr}="{before}{value}{behind}"){ATTRS}>'
 
 
+def _others(name: str) -> str:
+    return rf'(?:\s+(?!(?i:{name})=)[a-zA-Z][a-zA-Z0-9\-]*="[^"<>]*+")*+'
+
+
 def sole(name: str, attr: str, value: str, how: str = "is", without: str = "") -> str:
     """:func:`tag` with the attribute once, and nowhere in the tag a text of the pattern ``without``."""
     none = rf"(?![^<>]*(?:{without}))" if without else ""
-    return tag(name, attr, value, how).replace(r"\b", rf"\b(?!(?:[^<>]*(?i:\s{attr}=)){{2}}){none}", 1)
+    before, behind = {"is": ("", ""), "has": ('[^"<>]*?', '[^"<>]*+'), "starts": ("", '[^"<>]*+')}[how]
+    return rf'<{name}\b{none}{_others(attr)}\s+{attr}="{before}{value}{behind}"{_others(attr)}\s*+>'
 
 
 def holding(name: str, attr: str) -> str:
     """Pattern of a start tag that has the attribute once; its value is a group."""
-    others = rf'(?:\s+(?!(?i:{attr})=)[a-zA-Z][a-zA-Z0-9\-]*="[^"<>]*+")*+'
-    return rf'<{name}\b{others}\s+{attr}="({VALUE}*+)"{others}\s*+>'
+    return rf'<{name}\b{_others(attr)}\s+{attr}="({VALUE}*+)"{_others(attr)}\s*+>'
 
 
 def page_of(body: str) -> str:

@@ -23,8 +23,9 @@ def partitioned(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.repartition(int(n), key) if key else df.repartition(int(n))
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """Narrow rows dealt out evenly before costly work on each, such as rendering and parsing a page.
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Narrow rows dealt out evenly before costly work on each, such as rendering and parsing a page;
+    by hash of ``keys`` if given, for a join that has to shuffle the rows anyway.
 
     Their scan is no measure of that work: some MB of parquet, one task,
     hold the rows of hours.  As many partitions as :func:`partitioned` was told, or
@@ -32,4 +33,4 @@ def dealt(df: DataFrame) -> DataFrame:
     if df.isStreaming:
         return df
     conf = df.sparkSession.conf
-    return df.repartition(int(conf.get(STAGE_PARTITIONS, None) or conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(int(conf.get(STAGE_PARTITIONS, None) or conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -25,6 +25,7 @@ from ..functions import urls as U
 from ..operators import extract as X
 from ..operators import routing as R
 from ..operators import visited as V
+from ..operators.parallel import dealt
 from ..session import path_exists, remove_scratch, scratch_path
 
 #: what is stored of an article: a surrogate id, then the record
@@ -86,7 +87,9 @@ def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPath
 
         content = known.where(F.col("route") == "content").select("page_id", "url")
         chosen = V.first_seen_rows(V.keyed(content, "url", meta), visited, "page_id").select("page_id", "url")
-        fresh = pages.select("page_id", "url", "html").join(chosen.hint("shuffle_hash"), ["page_id", "url"], "left_semi")
+        # the join's partitions are the extraction's tasks: their number is not cut down to what the bytes suggest
+        on = ["page_id", "url"]
+        fresh = dealt(pages.select(*on, "html"), *on).join(dealt(chosen, *on).hint("shuffle_hash"), on, "left_semi")
         extracted = X.article_detail(fresh)
         extracted.write.parquet(extracted_path)
         # one page fetched twice in a batch is one record
