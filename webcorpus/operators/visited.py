@@ -28,14 +28,24 @@ def keyed(df: DataFrame, url_col: str = "url", meta: str | None = None,
     """Add ``key`` (U1) and, if given, a constant ``meta``; ineligible URLs
     (P4: not http(s), or not exactly one suffix) are dropped here, before
     any shuffle."""
-    out = df.withColumn("key", U.visit_key(url_col, suffix))
+    out = keyed_all(df, url_col, suffix)
     if meta is not None:
-        # a name that the optimizer does not take for a constant: as one it would leave the join keys, and
-        # a set stored in buckets of (meta, key) would be shuffled
-        out = out.withColumn("meta", F.concat(F.substring("key", 1, 0), F.lit(meta)))
+        out = in_set(out, meta)
     return out.where(F.col("key").isNotNull())
 
 
+def keyed_all(df: DataFrame, url_col: str = "url", suffix: str = U.KEY_SUFFIX) -> DataFrame:
+    """Add ``key`` (U1) to every row, null for an ineligible URL."""
+    return df.withColumn("key", U.visit_key(url_col, suffix))
+
+
+def in_set(df: DataFrame, meta: str) -> DataFrame:
+    """Add the constant ``meta`` to rows that have their ``key``."""
+    # a name that the optimizer does not take for a constant: as one it would leave the join keys, and
+    # a set stored in buckets of (meta, key) would be shuffled
+    return df.withColumn("meta", F.concat(F.substring("key", 1, 0), F.lit(meta)))
+
+
 def first_seen(candidates: DataFrame, visited: DataFrame | None = None,
                order_cols: tuple[str, ...] = ("seq",)) -> DataFrame:
     """The first arrival of every ``(meta, key)`` that is not yet in

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import urls as U
 from ..operators import extract as X
 from ..operators import routing as R
 from ..operators import visited as V
@@ -75,25 +74,28 @@ def crawl_articles(pages: DataFrame, visited: DataFrame | None, paths: CrawlPath
     spark = pages.sparkSession
     routed_path, extracted_path = scratch_path(spark, "routed"), scratch_path(spark, "extracted")
     try:
-        routed = R.challenge_split(pages, marker, max_attempts).select("page_id", "url", "route", "next_attempt")
+        # the visit key is made once and read back where it is needed; null for an ineligible URL
+        routed = V.keyed_all(R.challenge_split(pages, marker, max_attempts).select("page_id", "url", "route", "next_attempt"))
         routed.write.parquet(routed_path)
         routed = spark.read.schema(routed.schema).parquet(routed_path)
-        known = routed.where(U.is_eligible("url"))
+        known = routed.where(F.col("key").isNotNull())
         _append(known.where(F.col("route") == "retry").select("page_id", "url", F.col("next_attempt").alias("attempt")),
                 paths.retry, RETRY_SCHEMA, batch_id)
         refused = known.where(F.col("route") == "reject").select(
             "url", F.lit("fetch").alias("stage"), F.lit("challenge page").alias("reason"), F.col("next_attempt").alias("attempt"))
-        odd = R.ineligible_rejects(routed.withColumnRenamed("next_attempt", "attempt"))
+        odd = R.ineligible_rejects(routed.where(F.col("key").isNull()).withColumnRenamed("next_attempt", "attempt"))
 
-        content = known.where(F.col("route") == "content").select("page_id", "url")
-        chosen = V.first_seen_rows(V.keyed(content, "url", meta), visited, "page_id").select("page_id", "url")
+        content = known.where(F.col("route") == "content").select("page_id", "url", "key")
+        chosen = V.first_seen_rows(V.in_set(content, meta), visited, "page_id").select("page_id", "url")
         # the join's partitions are the extraction's tasks: their number is not cut down to what the bytes suggest
         on = ["page_id", "url"]
         fresh = dealt(pages.select(*on, "html"), *on).join(dealt(chosen, *on).hint("shuffle_hash"), on, "left_semi")
         extracted = X.article_detail(fresh)
         extracted.write.parquet(extracted_path)
-        # one page fetched twice in a batch is one record
-        extracted = spark.read.schema(extracted.schema).parquet(extracted_path).dropDuplicates(["page_id"])
+        extracted = spark.read.schema(extracted.schema).parquet(extracted_path)
+        # one page fetched twice in a batch is one record; the ids tell whether there is any, and records are sorted only then
+        if not extracted.groupBy("page_id").count().where("count > 1").isEmpty():
+            extracted = extracted.dropDuplicates(["page_id"])
         ok, _ = X.split_rejects(extracted)
         _append(ok.withColumn("id", surrogate_id()), paths.articles, ARTICLE_SCHEMA, batch_id)
         _append(R.rejects_table(extracted, "article").unionByName(refused).unionByName(odd), paths.rejects, REJECT_SCHEMA, batch_id)
