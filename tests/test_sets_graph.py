@@ -224,6 +224,30 @@ def test_files_are_written_by_the_tasks(spark):
         assert names and not [n for n in names if n.endswith(".crc")]
 
 
+def _file_tasks(df):
+    """Files that a plan makes the driver list."""
+    return len(df.inputFiles())
+
+
+def test_per_file_outputs_are_read_back_by_tasks(spark):
+    """The driver lists no folder or file of them; names, nulls and bytes come back as Spark's reader gives them."""
+    from webcorpus.operators import corpus as C
+    from webcorpus.plans.queries import per_file_outputs
+    rows = [("a/b:c=d%", "x\n\n"), ("%41 %zz%", "p"), ("e f.gz", None), ("", "empty"), (None, "none"), ("twice", "t"), ("twice", "u"), ("_h", ""), (".h", "\r\ny"), ("\x01{é}[^]\\\n%", "你\r\n好")]
+    path, folder, empty = (scratch_path(spark, n) for n in ("t_back", "t_back_docs", "t_back_none"))
+    C.write_per_file(spark.createDataFrame(rows, "file_name string, text string").repartition(3), path)
+    spark_reads = sorted((r.file_name or "", r.value) for r in spark.read.text(path, wholetext=True).collect())
+    back = C.read_per_file(spark, path)
+    assert back.schema.simpleString() == "struct<file_name:string,text:string>" and not _file_tasks(back)
+    got = sorted((r.file_name or "", r.text) for r in back.collect())
+    assert got == spark_reads and len(got) == 8
+    spark.createDataFrame([(1, "a\r\nb\n"), (2, ""), (3, None), (4, "a")], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    out = per_file_outputs(spark, folder)
+    assert not _file_tasks(out) and sorted(map(tuple, out.collect())) == [("d1", "a\nb"), ("d2", ""), ("d3", ""), ("d4", "a")]
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{empty}/documents.parquet")
+    assert per_file_outputs(spark, empty).collect() == []
+
+
 def test_write_sinks_one_pass(spark):
     ev = spark.createDataFrame([(1, "error"), (2, "view"), (3, "click")], "id int, level string")
     path = scratch_path(spark, "t_sinks")

@@ -7,6 +7,7 @@ expression, so a 100 TB input is processed as parallel scans.
 from __future__ import annotations
 
 import os
+import re
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -16,10 +17,12 @@ from pyspark.sql import types as T
 
 from ..functions import text as TX
 from ..session import make_folder, mounted, remove_path
+from ..sources.tables import whole_files
 from .parallel import partitioned
 
 #: the tasks, not the driver, put the files of a write in place
 IN_TASKS = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 _ODD_IN_NAMES = r"\x01-\x1F\x7F\"#%'*/:=?\\{}\[\]^"
 
 CORPUS_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()),
@@ -137,11 +140,26 @@ def write_per_file(df: DataFrame, path: str, name_col: str = "file_name", text_c
     name = F.col(name_col).cast("string")
     pieces = F.transform(F.regexp_extract_all(name, F.lit(rf"(?s)[{_ODD_IN_NAMES}]|[^{_ODD_IN_NAMES}]+"), F.lit(0)),
                          lambda p: F.when(p.rlike(f"^[{_ODD_IN_NAMES}]$"), F.concat(F.lit("%"), F.hex(p))).otherwise(p))
-    name = F.when(name != "", F.array_join(pieces, "")).otherwise(F.lit("__HIVE_DEFAULT_PARTITION__"))
-    name = F.concat(F.lit(f"{name_col}="), F.coalesce(name, F.lit("__HIVE_DEFAULT_PARTITION__"))).alias("_folder")
+    name = F.when(name != "", F.array_join(pieces, "")).otherwise(F.lit(_NO_NAME))
+    name = F.concat(F.lit(f"{name_col}="), F.coalesce(name, F.lit(_NO_NAME))).alias("_folder")
     _write_rows(rows.select(name, text_col).sortWithinPartitions("_folder"), folder, "_folder")
 
 
+def read_per_file(spark, path: str, name_col: str = "file_name", text_col: str = "text") -> DataFrame:
+    """K5: what :func:`write_per_file` wrote, one row per file with the name it
+    was written under (null for a null or empty one) and its bytes as they are.
+
+    On a mounted file system tasks list and read the folders; Spark's reader would hold
+    every folder and file of them in the driver's memory, as it does for other stores."""
+    if not (folder := mounted(spark, path)):
+        return spark.read.text(path, wholetext=True).select(F.col(name_col).cast("string").alias(name_col), F.col("value").alias(text_col))
+
+    def name_of(name):
+        value = name.removeprefix(f"{name_col}=")
+        return None if value == _NO_NAME else re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), value)
+    return whole_files(spark, folder, name_of, in_folders=True).toDF(name_col, text_col)
+
+
 def write_json_corpus(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none",
                       max_records_per_file: int = 1_000_000) -> None:
     """JSON Lines, UTF-8 kept (no \\u escapes), written by the

@@ -87,8 +87,8 @@ def per_file_outputs(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("file_name"), "text")
     path = scratch_path(spark, "per_file")
     C.write_per_file(docs, path)
-    back = spark.read.text(path, wholetext=True)
-    return back.select("file_name", F.regexp_replace(F.regexp_replace("value", r"\r\n?", "\n"), r"\n\z", "").alias("text"))
+    back = C.read_per_file(spark, path)
+    return back.select("file_name", F.regexp_replace(F.regexp_replace("text", r"\r\n?", "\n"), r"\n\z", "").alias("text"))
 
 
 def sql_single_row(spark, sf_dir):

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
+import os
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.parallel import dealt
 from ..session import table_path
 
 PAGE_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()),
@@ -13,6 +19,11 @@ PAGE_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()),
                             T.StructField("html", T.StringType())])
 
 
+# files that Spark's reader unpacks by their names
+_PACKED = (".gz", ".bz2", ".deflate", ".snappy", ".lz4", ".zst")
+#: bytes of text a task holds besides the file it reads
+_READ_AT_ONCE = 8 << 20
+
 # a page as a crawl step gets it: with the number of failed attempts so far
 FETCHED_SCHEMA = T.StructType([*PAGE_SCHEMA.fields, T.StructField("attempt", T.IntegerType())])
 
@@ -28,6 +39,56 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE_SCHEMA).parquet(path)
 
 
+def _is_data(name: str) -> bool:
+    """Whether Spark's readers take a file or folder of this name for data."""
+    return not (name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_"))
+
+
+def whole_files(spark: SparkSession, folder: str, name_of: Callable[[str], str | None], in_folders: bool = False) -> DataFrame:
+    """The files of a mounted folder, or of the folders in it, one row per
+    file: ``(name, value)``, what ``name_of`` makes of the name of the file or of its
+    folder, and the file's bytes as they are.  As with Spark's reader, hidden and empty files are none.
+
+    ``spark.read`` holds every file's status, split and task in the driver's
+    memory.  Here one task streams the folder's names, and the tasks they are dealt
+    out to read the files: the driver holds nothing for a file."""
+    def names(_):
+        with os.scandir(folder) as entries:
+            found = (e.name for e in entries if _is_data(e.name))
+            while some := [*itertools.islice(found, 5000)]:
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string())], names=["name"])
+
+    def files(name):
+        if not in_folders:
+            return [f"{folder}/{name}"]
+        return [f"{folder}/{name}/{x}" for x in sorted(os.listdir(f"{folder}/{name}")) if _is_data(x)]
+
+    def rows(of, texts):
+        # not checked for being UTF-8, as Spark's reader does not either
+        return pa.RecordBatch.from_arrays([pa.array(of, pa.string()), pa.array(texts, pa.binary()).view(pa.string())], names=["name", "value"])
+
+    def read(batches):
+        of, texts, held = [], [], 0
+        for name in (x for batch in batches for x in batch.column("name").to_pylist()):
+            for path in files(name):
+                if path.endswith(_PACKED):
+                    raise ValueError(f"{path} is compressed: its folder takes Spark's reader")
+                with open(path, "rb") as f:
+                    text = f.read()
+                if text:
+                    of.append(name_of(name))
+                    texts.append(text)
+                    held += len(text)
+                if held >= _READ_AT_ONCE:
+                    yield rows(of, texts)
+                    of, texts, held = [], [], 0
+        if of:
+            yield rows(of, texts)
+
+    listed = spark.range(0, 1, 1, 1).mapInArrow(names, "name string")
+    return dealt(listed, "name").mapInArrow(read, "name string, value string")
+
+
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """A folder of text files, one row per file ``(file_name, text)``.
 
