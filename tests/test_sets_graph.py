@@ -248,6 +248,36 @@ def test_per_file_outputs_are_read_back_by_tasks(spark):
     assert per_file_outputs(spark, empty).collect() == []
 
 
+def test_text_folders_are_read_by_tasks(spark, tmp_path):
+    """The driver lists none of a folder's files; the tasks read what Spark's reader reads, bytes as they are."""
+    import gzip
+
+    from webcorpus.plans.queries import wholetext_lines, wholetext_scan
+    from webcorpus.sources import tables as S
+    plain, packed, nested = tmp_path / "plain", tmp_path / "packed", tmp_path / "nested"
+    for at in (plain, packed, nested / "k=1"):
+        at.mkdir(parents=True)
+    files = {"a.txt": b"x\r\ny\rz\n\n", "b%20é \n.txt": "你\r".encode(), "no end": b"\xef\xbb\xbfq", "bad": b"\xff\xfe\x00", "empty": b"", "_hidden": b"h", ".hidden": b"h", "_k=v": b"kv", "c._COPYING_": b"h", "large": b"w" * 9_000_000}
+    for name, body in files.items():
+        (plain / name).write_bytes(body)
+    (packed / "a.gz").write_bytes(gzip.compress(b"zipped\n"))
+    (packed / "b").write_bytes(b"plain\n")
+    (nested / "k=1" / "a").write_bytes(b"deep\n")
+    whole = F.regexp_replace("value", r"\r\n?", "\n")
+
+    def spark_reads(path):
+        return sorted(map(tuple, spark.read.text(str(path), wholetext=True).select("_metadata.file_name", F.hex(whole)).collect()))
+    for path, n in ((plain, 6), (packed, 2), (nested, 1), (f"{plain}/a*", 1), (plain / "a.txt", 1)):
+        got = S.read_text_files(spark, str(path))
+        assert sorted(map(tuple, got.select("file_name", F.hex("text")).collect())) == spark_reads(path) and got.count() == n, path
+    assert not _file_tasks(S.read_text_files(spark, str(plain)))
+    folder = scratch_path(spark, "t_whole_docs")
+    spark.createDataFrame([("a\r\nb\n",), ("",), ("a",), ("a",)], "text string").write.parquet(f"{folder}/documents.parquet")
+    scan, lines = wholetext_scan(spark, folder), wholetext_lines(spark, folder)
+    assert not _file_tasks(scan) and sorted(r.text for r in scan.collect()) == ["", "a", "a", "a\nb\n"]
+    assert not _file_tasks(lines) and sorted(r.line for r in lines.collect()) == ["", "", "a", "a", "a", "b"]
+
+
 def test_write_sinks_one_pass(spark):
     ev = spark.createDataFrame([(1, "error"), (2, "view"), (3, "click")], "id int, level string")
     path = scratch_path(spark, "t_sinks")

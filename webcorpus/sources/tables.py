@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 from collections.abc import Callable
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.parallel import dealt
-from ..session import table_path
+from ..session import mounted, table_path
 
 PAGE_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()),
                             T.StructField("url", T.StringType()),
@@ -44,6 +46,11 @@ def _is_data(name: str) -> bool:
     return not (name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_"))
 
 
+def _url_name(name: str) -> str:
+    """A file's name as ``_metadata.file_name`` has it: what a URI's path may not hold is escaped."""
+    return re.sub(r"[^\w!.~'()*:@&=+$,;\x80-\U0010FFFF-]|[\x80-\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]", lambda m: quote(m[0], safe=""), name)
+
+
 def whole_files(spark: SparkSession, folder: str, name_of: Callable[[str], str | None], in_folders: bool = False) -> DataFrame:
     """The files of a mounted folder, or of the folders in it, one row per
     file: ``(name, value)``, what ``name_of`` makes of the name of the file or of its
@@ -89,14 +96,28 @@ def whole_files(spark: SparkSession, folder: str, name_of: Callable[[str], str |
     return dealt(listed, "name").mapInArrow(read, "name string, value string")
 
 
+def _plain_folder(spark: SparkSession, path: str) -> str | None:
+    """The path as tasks can open it, if it is a mounted folder of plain files only; its names are streamed, not held."""
+    folder = None if re.search(r"[*?{}\[\]\\]", path) else mounted(spark, path)
+    if not folder or not os.path.isdir(folder):
+        return None
+    with os.scandir(folder) as entries:
+        plain = all(e.is_file() and not e.name.endswith(_PACKED) for e in entries if _is_data(e.name))
+    return folder if plain else None
+
+
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """A folder of text files, one row per file ``(file_name, text)``.
 
     Whole files (``wholetext``) so line order never needs restoring; line
-    ends are normalised to ``\\n`` as Python's text mode reads them."""
-    df = spark.read.text(path, wholetext=True)
-    return df.select(F.col("_metadata.file_name").alias("file_name"),
-                     F.regexp_replace("value", r"\r\n?", "\n").alias("text"))
+    ends are normalised to ``\\n`` as Python's text mode reads them.  A mounted
+    folder of plain files is read by :func:`whole_files`; patterns, compressed files, folders
+    in folders and other stores by Spark's reader, which lists all files in the driver."""
+    if folder := _plain_folder(spark, path):
+        df = whole_files(spark, folder, _url_name).withColumnRenamed("name", "file_name")
+    else:
+        df = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), "value")
+    return df.select("file_name", F.regexp_replace("value", r"\r\n?", "\n").alias("text"))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, lower: int, upper: int,
